@@ -171,7 +171,7 @@ def rpt_funnel(campaigns: DataFrame, clicks: DataFrame, lifetime: DataFrame) ->
         .groupBy(*keys)
         .agg(
             F.sum("attributed_distinct_customers").cast("bigint").alias("r_paying_customers"),
-            F.sum(F.col("attributed_revenue_usd") * mult).cast(SUM_MONEY).alias("r_channel_revenue_usd"),
+            money_sum(F.col("attributed_revenue_usd") * mult).alias("r_channel_revenue_usd"),
         )
     )
     # NULL channel/type never match (plain equi-join semantics).
