@@ -166,9 +166,9 @@ def guard_status(table: str, batch: DataFrame, target: DataFrame, prefix: str) -
 def guarded_batch(table: str, batch: DataFrame, target: DataFrame, prefix: str) -> DataFrame:
     """The rows an append would add (lazy): nothing if the day's batch exists."""
     key = KEYS[table]
-    already = target.where(F.col(key).startswith(prefix)).select(F.lit(prefix).alias("_batch")).limit(1)
-    fresh = new_rows(batch, target, key).withColumn("_batch", F.lit(prefix))
-    return fresh.join(F.broadcast(already), "_batch", "left_anti").drop("_batch")
+    # scalar subquery, evaluated once: does any row of today's batch exist?
+    existing = target.where(F.col(key).startswith(prefix)).limit(1).select(F.count(F.lit(1))).scalar()
+    return new_rows(batch, target, key).where(existing == 0)
 
 
 @dataclass
