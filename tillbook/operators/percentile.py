@@ -29,27 +29,32 @@ def null_safe_on(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
     return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[k]) for k in keys])
 
 
-def percentile_cont(
-    df: DataFrame,
+def value_histogram(df: DataFrame, keys: list[str], value: str, *extra: Column) -> DataFrame:
+    """``(keys, _v) -> _c`` over non-NULL values, plus optional extra
+    aggregates at the same grain (so a caller can derive other group
+    statistics from the same, already combined, shuffle)."""
+    return (
+        df.withColumn("_v", F.col(value).cast("double"))
+        .where(F.col("_v").isNotNull())
+        .groupBy(*keys, "_v")
+        .agg(F.count(F.lit(1)).alias("_c"), *extra)
+    )
+
+
+def percentile_from_histogram(
+    hist: DataFrame,
     keys: list[str],
-    value: str,
     fraction: float = 0.5,
     alias: str = "percentile",
     partitions: int | None = None,
 ) -> DataFrame:
-    """One row per group in ``keys`` with the interpolated percentile (double).
-
-    NULL values are ignored, as in SQL; a group with no non-NULL value has
-    no row here (callers left-join the result to their group aggregate).
-    """
-    spark = df.sparkSession
+    """Interpolated percentile per group from a ``(keys, _v, _c)`` histogram."""
+    spark = hist.sparkSession
     n_parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    vals = df.select(*keys, F.col(value).cast("double").alias("_v"))
-    present = vals.where(F.col("_v").isNotNull())
-
-    hist = present.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c"))
-    ranged = hist.repartitionByRange(n_parts, *[F.col(k) for k in keys], F.col("_v")).withColumn(
-        "_pid", F.spark_partition_id()
+    ranged = (
+        hist.select(*keys, "_v", "_c")
+        .repartitionByRange(n_parts, *[F.col(k) for k in keys], F.col("_v"))
+        .withColumn("_pid", F.spark_partition_id())
     )
     slice_w = Window.partitionBy("_pid", *keys).orderBy("_v").rowsBetween(
         Window.unboundedPreceding, Window.currentRow
@@ -90,3 +95,19 @@ def percentile_cont(
         *keys,
         (F.col("_vlo") + (F.col("_vhi") - F.col("_vlo")) * F.col("_frac")).alias(alias),
     )
+
+
+def percentile_cont(
+    df: DataFrame,
+    keys: list[str],
+    value: str,
+    fraction: float = 0.5,
+    alias: str = "percentile",
+    partitions: int | None = None,
+) -> DataFrame:
+    """One row per group in ``keys`` with the interpolated percentile (double).
+
+    NULL values are ignored, as in SQL; a group with no non-NULL value has
+    no row here (callers left-join the result to their group aggregate).
+    """
+    return percentile_from_histogram(value_histogram(df, keys, value), keys, fraction, alias, partitions)

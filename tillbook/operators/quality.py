@@ -1,10 +1,10 @@
 """Declarative data-quality checks: unique, not_null, accepted_values.
 
 The check list mirrors the column tests declared on sources, seeds and
-models (64 in all).  Evaluation is batched: every not_null check of a table
-is one ``count_if`` in a single aggregation pass over that table; each
-unique check is one group-by on the key column; a check that appears both
-on a source and on a seed of the same table runs once and is reported under
+models (64 in all).  Evaluation is batched per table: the unique and
+not_null checks of a table are one group-by on its key (with per-key NULL
+counts) plus one tiny global aggregate; a check that appears both on a
+source and on a seed of the same table runs once and is reported under
 both names.  A failing check never aborts the run — it is a row with
 ``passed = false``.
 """
@@ -127,33 +127,67 @@ def accepted_values_failures(df: DataFrame, column: str, values: tuple[str, ...]
     )
 
 
+def _table_pass(df: DataFrame, key: str | None, nn_cols: list[str]) -> DataFrame:
+    """All unique/not_null counts of one table in one pass, as one wide row.
+
+    With a unique key: group by the key (map-side combined, so a hot or
+    heavily duplicated key costs one row per task), carrying per-key NULL
+    counts of the other columns, then one tiny global aggregate.  Without a
+    key: a single global aggregate."""
+    nulls = {c: f"_null_{i}" for i, c in enumerate(nn_cols)}
+    if key is None:
+        return df.agg(*[F.count_if(F.col(c).isNull()).alias(a) for c, a in nulls.items()])
+    per_key = df.groupBy(key).agg(
+        F.count(F.lit(1)).alias("_n"),
+        *[F.count_if(F.col(c).isNull()).alias(a) for c, a in nulls.items()],
+    )
+    return per_key.agg(
+        F.count_if(F.col(key).isNotNull() & (F.col("_n") > 1)).alias("_dup"),
+        *[F.coalesce(F.sum(a), F.lit(0)).cast("bigint").alias(a) for a in nulls.values()],
+    )
+
+
 def run_checks(
     project: Project, tests: tuple[str, ...] = TESTS, checks: list[Check] | None = None
 ) -> DataFrame:
     checks = [c for c in (checks or CHECKS) if c.test in tests]
     parts: list[DataFrame] = []
-    tables = list(dict.fromkeys(c.table for c in checks))
-    for table in tables:
+    for table in dict.fromkeys(c.table for c in checks):
         df = project.table(table)
         mine = [c for c in checks if c.table == table]
+        keys = list(dict.fromkeys(c.column for c in mine if c.test == "unique"))
         nn_cols = list(dict.fromkeys(c.column for c in mine if c.test == "not_null"))
-        if nn_cols:
-            labels = None
-            for col in nn_cols:
-                arr = F.array(*[F.lit(r) for r in _labels(mine, table, col, "not_null")])
-                cond = F.col("column_name") == col
-                labels = F.when(cond, arr) if labels is None else labels.when(cond, arr)
+        for i, key in enumerate(keys or [None]):
+            cols = nn_cols if i == 0 else []
+            if key is None and not cols:
+                continue
+            wide = _table_pass(df, key, cols)
+            results = []  # (resource labels, column, test, failure expression)
+            if key is not None:
+                results.append((_labels(mine, table, key, "unique"), key, "unique", F.col("_dup")))
+            for j, c in enumerate(cols):
+                results.append((_labels(mine, table, c, "not_null"), c, "not_null", F.col(f"_null_{j}")))
+            rows = F.array(
+                *[
+                    F.struct(
+                        F.lit(label).alias("resource_type"),
+                        F.lit(col).alias("column_name"),
+                        F.lit(test).alias("test_name"),
+                        expr.cast("bigint").alias("failures"),
+                    )
+                    for labels, col, test, expr in results
+                    for label in labels
+                ]
+            )
             parts.append(
-                not_null_counts(df, nn_cols).select(
-                    F.explode(labels).alias("resource_type"),
+                wide.select(F.explode(rows).alias("r")).select(
+                    "r.resource_type",
                     F.lit(table).alias("table_name"),
-                    "column_name",
-                    F.lit("not_null").alias("test_name"),
-                    F.col("failures").cast("bigint").alias("failures"),
+                    "r.column_name",
+                    "r.test_name",
+                    "r.failures",
                 )
             )
-        for col in dict.fromkeys(c.column for c in mine if c.test == "unique"):
-            parts.append(_emit(unique_failures(df, col), _labels(mine, table, col, "unique"), table, col, "unique"))
         for c in mine:
             if c.test == "accepted_values":
                 parts.append(

@@ -23,7 +23,7 @@ from tillbook.functions.numeric import (
     stable_round,
     zero_money,
 )
-from tillbook.operators.percentile import null_safe_on, percentile_cont
+from tillbook.operators.percentile import null_safe_on, percentile_from_histogram, value_histogram
 
 
 def rpt_daily_revenue(revenue: DataFrame) -> DataFrame:
@@ -56,17 +56,45 @@ def rpt_daily_revenue(revenue: DataFrame) -> DataFrame:
 
 
 def rpt_customer_ltv(customers: DataFrame) -> DataFrame:
+    """Segment summary with an exact median.
+
+    One pass over the customers: a (segment pair, revenue) histogram that
+    also carries the partial sums the summary needs, so the median and the
+    averages come from the same combined shuffle.  Averages are
+    ``double(sum) / count`` of the original columns (NULLs ignored)."""
     keys = ["lifetime_segment", "market_segment"]
-    summary = customers.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("customer_count"),
-        flag_sum(F.col("is_active")).alias("active_customer_count"),
-        money_sum("total_revenue_usd").alias("total_revenue_usd"),
-        stable_round(mean_of("total_revenue_usd"), 2).alias("avg_ltv_usd"),
-        stable_round(F.avg("avg_order_value_usd"), 2).alias("avg_aov_usd"),
-        stable_round(mean_of("total_orders"), 1).alias("avg_orders_per_customer"),
-        stable_round(F.avg("return_rate_pct"), 2).alias("avg_return_rate_pct"),
+    nn = lambda c: F.count(F.col(c))
+    hist = value_histogram(
+        customers.withColumn("_rev", F.col("total_revenue_usd")),
+        keys,
+        "_rev",
+        flag_sum(F.col("is_active")).alias("h_active"),
+        money_sum("total_revenue_usd").alias("h_revenue"),
+        F.sum("avg_order_value_usd").alias("h_aov_sum"),
+        nn("avg_order_value_usd").alias("h_aov_n"),
+        F.sum("total_orders").alias("h_orders_sum"),
+        nn("total_orders").alias("h_orders_n"),
+        F.sum("return_rate_pct").alias("h_rr_sum"),
+        nn("return_rate_pct").alias("h_rr_n"),
+    )
+    # customers with a NULL revenue (cannot happen: it is coalesced) would be
+    # missing from the histogram; the summary counts rows per segment from it.
+    summary = hist.groupBy(*keys).agg(
+        F.sum("_c").cast("bigint").alias("customer_count"),
+        F.sum("h_active").cast("bigint").alias("active_customer_count"),
+        money_sum("h_revenue").alias("total_revenue_usd"),
+        stable_round(F.sum("h_revenue").cast("double") / F.sum("_c").cast("double"), 2).alias("avg_ltv_usd"),
+        stable_round(F.sum("h_aov_sum") / F.nullif(F.sum("h_aov_n"), F.lit(0)).cast("double"), 2).alias(
+            "avg_aov_usd"
+        ),
+        stable_round(
+            F.sum("h_orders_sum").cast("double") / F.nullif(F.sum("h_orders_n"), F.lit(0)).cast("double"), 1
+        ).alias("avg_orders_per_customer"),
+        stable_round(F.sum("h_rr_sum") / F.nullif(F.sum("h_rr_n"), F.lit(0)).cast("double"), 2).alias(
+            "avg_return_rate_pct"
+        ),
     )
-    median = percentile_cont(customers, keys, "total_revenue_usd", 0.5, alias="median_raw")
+    median = percentile_from_histogram(hist, keys, 0.5, alias="median_raw")
     joined = summary.join(median, null_safe_on(summary, median, keys), "left")
     return joined.select(
         *[summary[k] for k in keys],

@@ -6,6 +6,8 @@
 * Core marts are written as tables, and the reports read those tables, as in
   the warehouse layout.  Facts are partitioned by year so date-range reads
   prune directories.
+* The data-quality checks run last, over the written tables, and are written
+  as a table of results (a failing check is a row, not an exception).
 """
 
 from __future__ import annotations
@@ -41,7 +43,7 @@ def materialize(spark: SparkSession, df: DataFrame, path: str, partition_by: lis
     return spark.read.parquet(path)
 
 
-def build_all(project: Project, out_dir: str | None = None) -> RunResult:
+def build_all(project: Project, out_dir: str | None = None, with_checks: bool = True) -> RunResult:
     spark = project.spark
     root = out_dir or run_folder(spark, "run")
     result = RunResult(root=root)
@@ -59,4 +61,12 @@ def build_all(project: Project, out_dir: str | None = None) -> RunResult:
         step(name, PARTITION_COLUMNS.get(name))
     for name in REPORTS:
         step(name)
+    if with_checks:
+        from tillbook.operators.quality import run_checks
+
+        path = f"{root}/checks/dq_summary"
+        start = time.perf_counter()
+        write_table(run_checks(project), path)
+        result.seconds["dq_summary"] = time.perf_counter() - start
+        result.tables["dq_summary"] = path
     return result
