@@ -7,6 +7,11 @@ from pyspark.sql import functions as F
 
 from tillbook.functions.dates import day_diff, day_of_week
 from tillbook.functions.numeric import stable_round
+from tillbook.operators.skew import heavy_hitters, salted_left_join, union_keys
+
+# A key is "hot" when it holds more than this share of a join input; at most
+# 1 / HOT_KEY_FRACTION keys per detector qualify, which bounds the broadcast.
+HOT_KEY_FRACTION = 0.001
 
 
 def dim_customers(lifetime: DataFrame, as_of: Column) -> DataFrame:
@@ -120,7 +125,23 @@ def fct_revenue(
         F.col("market_segment").alias("customer_segment"),
         "customer_segment_lifecycle",
     )
-    joined = captured.join(order_side, "order_id", "inner").join(segments, "order_customer_id", "left")
+    # A customer may own a third of all captured payments (through many orders
+    # or one order with many payments).  Both cases are found on the base
+    # tables and spread by a salted join; the join result is unchanged.
+    hot_customers = union_keys(
+        "order_customer_id",
+        heavy_hitters(order_side, "order_customer_id", HOT_KEY_FRACTION),
+        order_side.join(
+            F.broadcast(heavy_hitters(captured, "order_id", HOT_KEY_FRACTION)), "order_id", "left_semi"
+        ),
+    )
+    joined = salted_left_join(
+        captured.join(order_side, "order_id", "inner"),
+        segments,
+        "order_customer_id",
+        hot_customers,
+        salt_from=F.col("payment_id"),
+    )
     paid_at = F.col("paid_at")
     return joined.select(
         "payment_id",

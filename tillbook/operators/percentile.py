@@ -24,6 +24,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tillbook.session import storage_root
+
 
 def null_safe_on(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
     return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[k]) for k in keys])
@@ -33,12 +35,20 @@ def value_histogram(df: DataFrame, keys: list[str], value: str, *extra: Column)
     """``(keys, _v) -> _c`` over non-NULL values, plus optional extra
     aggregates at the same grain (so a caller can derive other group
     statistics from the same, already combined, shuffle)."""
-    return (
+    hist = (
         df.withColumn("_v", F.col(value).cast("double"))
         .where(F.col("_v").isNotNull())
         .groupBy(*keys, "_v")
         .agg(F.count(F.lit(1)).alias("_c"), *extra)
     )
+    # Reliable checkpoint in the shared folder: the range partitioner below
+    # samples its input, and both branches that read the partition ids must
+    # see the same bounds even if a stage is recomputed after an executor
+    # loss.  Re-reading checkpointed files yields the same rows in the same
+    # order, so the sampled bounds are deterministic; it also cuts the
+    # upstream lineage that callers share between the histogram's uses.
+    storage_root(df.sparkSession)
+    return hist.checkpoint(eager=True)
 
 
 def percentile_from_histogram(

@@ -32,6 +32,7 @@ def session_configs(cpus: int = 8, shuffle_partitions: int | None = None) -> dic
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }
 
 

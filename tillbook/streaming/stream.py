@@ -14,6 +14,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tillbook.session import storage_root
 from tillbook.sources.schemas import RAW_SCHEMAS
 from tillbook.streaming.daily import BATCH_TABLES, KEYS, new_rows
 
@@ -39,6 +40,7 @@ def stream_append(
     tables: tuple[str, ...] = BATCH_TABLES,
     max_files_per_trigger: int = 64,
 ) -> None:
+    storage_root(spark)  # micro-batches are pinned with checkpoint() before appending
     for table in tables:
         target_path = f"{raw_dir.rstrip('/')}/{table}"
         query = (
