@@ -23,9 +23,8 @@ def spark():
     session = builder.getOrCreate()
     session.sparkContext.setLogLevel("ERROR")
     # tests use their own shared folder only when the session names none
-    if not session.conf.get("spark.checkpoint.dir", None):
-        folder = tempfile.mkdtemp(prefix="tillbook-tests-")
-        session.conf.set("spark.checkpoint.dir", folder)
+    if not session.conf.get("spark.checkpoint.dir", None) and session.sparkContext.getCheckpointDir() is None:
+        session.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tillbook-tests-"))
     yield session
     session.stop()
 

@@ -23,6 +23,8 @@ from tillbook.functions.numeric import (
     stable_round,
     zero_money,
 )
+from tillbook.operators.core import HOT_KEY_FRACTION
+from tillbook.operators.skew import heavy_hitters, salted_left_join
 from tillbook.operators.percentile import null_safe_on, percentile_from_histogram, value_histogram
 
 
@@ -183,9 +185,11 @@ def rpt_funnel(campaigns: DataFrame, clicks: DataFrame, lifetime: DataFrame) ->
     # it, so counts stay exact even if the dimension repeats a campaign id.
     campaign_map = campaigns.groupBy("campaign_id", *keys).agg(F.count(F.lit(1)).alias("mult"))
     mult = F.col("mult")
+    pairs = clicks_by_campaign_customer(clicks)
+    # one campaign may own a third of all (campaign, customer) pairs: spread it
+    hot_campaigns = heavy_hitters(pairs, "campaign_id", HOT_KEY_FRACTION)
     clicks_per_channel = (
-        clicks_by_campaign_customer(clicks)
-        .join(campaign_map, "campaign_id", "inner")
+        salted_left_join(pairs, campaign_map, "campaign_id", hot_campaigns, F.col("customer_id"), how="inner")
         .groupBy(*keys)
         .agg(
             F.sum(F.col("n_clicks") * mult).cast("bigint").alias("c_total_clicks"),

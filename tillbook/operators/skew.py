@@ -51,8 +51,12 @@ def salted_left_join(
     hot: DataFrame,
     salt_from: Column,
     salts: int = 64,
+    how: str = "left",
 ) -> DataFrame:
-    """``left LEFT JOIN right USING (key)`` with the hot keys spread over ``salts`` tasks."""
+    """``left [LEFT|INNER] JOIN right USING (key)`` with the hot keys spread
+    over ``salts`` tasks."""
+    if how not in ("left", "inner"):
+        raise ValueError(f"unsupported join type {how!r}")
     flags = F.broadcast(hot.select(key, F.lit(True).alias("_hot")))
     salted_left = (
         left.join(flags, key, "left")
@@ -74,4 +78,4 @@ def salted_left_join(
         )
         .drop("_hot")
     )
-    return salted_left.join(fanned_right, [key, "_salt"], "left").drop("_salt")
+    return salted_left.join(fanned_right, [key, "_salt"], how).drop("_salt")

@@ -56,18 +56,23 @@ def get_session(
 def storage_root(spark: SparkSession) -> str:
     """Shared folder for written intermediates, checkpoints and appended tables.
 
-    On a cluster this is the shared location named by ``spark.checkpoint.dir``.
-    Only when nothing is configured (a bare local test session) do we pick a
-    scratch folder and register it as the checkpoint directory.
+    On a cluster this is the shared location named by ``spark.checkpoint.dir``
+    (or a checkpoint directory already set on the context).  Only when nothing
+    is configured (a bare local test session) do we pick a scratch folder and
+    register it as the context's checkpoint directory.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not root:
-        root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if not root:
-        root = tempfile.mkdtemp(prefix="tillbook-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(root)
+        current = sc.getCheckpointDir()
+        if current:
+            # setCheckpointDir adds a per-application sub-folder; share its parent
+            root = current.rsplit("/", 1)[0]
+        else:
+            root = tempfile.mkdtemp(prefix="tillbook-")
+            sc.setCheckpointDir(root)
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(root)
     return root.rstrip("/")
 
 
