@@ -40,19 +40,32 @@ def test_salted_join_equals_plain_join(spark):
     assert spread == 16
 
 
+SMALL_DATA_SKEW = {
+    # make broadcast impossible and AQE's skew thresholds match fixture sizes
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "256",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256",
+    "spark.sql.adaptive.coalescePartitions.enabled": "false",
+}
+
+
 def test_revenue_with_hot_customer_and_order(spark):
-    for k, v in {
-        "spark.sql.autoBroadcastJoinThreshold": "-1",
-        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
-    }.items():
+    saved = {k: spark.conf.get(k, None) for k in SMALL_DATA_SKEW}
+    for k, v in SMALL_DATA_SKEW.items():
         spark.conf.set(k, v)
     try:
         df = _hot_project(spark).table("fct_revenue")
         rows = df.collect()
         plan = df._jdf.queryExecution().executedPlan().toString()
     finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "32m")
-        spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "32m")
+        for k, v in saved.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+    assert "SortMergeJoin(skew=true)" in plan  # AQE split the hot order
     assert len(rows) == 3000  # captured payments of known orders: all of them
     by_segment = {}
     for r in rows:
