@@ -1,9 +1,11 @@
 """Benchmark: headline queries at $BENCH_SF_DIR on local[$BENCH_CPUS].
 
 Each query is executed in full through the ``noop`` sink (no rows pulled to
-the driver).  ``pipeline`` is one complete run that writes the reused
-intermediates, the core marts and the reports to the shared storage root.
-Prints one JSON line.
+the driver), twice: ``cold_queries`` is the first run of each query in the
+session, ``queries`` the better of the two (steady state).  ``pipeline`` is
+one complete run that writes the reused intermediates, the core marts, the
+reports and the check results to the shared storage root.  Prints one JSON
+line.
 """
 
 from __future__ import annotations
@@ -52,20 +54,26 @@ def main() -> None:
     run_query(spark, sf_dir, "stg_orders")
     run_query(spark, sf_dir, "int_orders_enriched")
 
-    timings = {name: round(run_query(spark, sf_dir, name), 3) for name in HEADLINE}
+    # pass 1 is cold for every query (plan + code generation + first JIT of its
+    # operators); pass 2 is the steady state of a long-lived executor JVM.
+    cold = {name: run_query(spark, sf_dir, name) for name in HEADLINE}
+    warm = {name: min(cold[name], run_query(spark, sf_dir, name)) for name in HEADLINE}
     start = time.perf_counter()
     build_all(Project.from_dir(spark, sf_dir))
-    timings["pipeline"] = round(time.perf_counter() - start, 3)
+    pipeline = time.perf_counter() - start
 
+    timings = {name: round(v, 3) for name, v in warm.items()}
+    timings["pipeline"] = round(pipeline, 3)
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
-    total = round(sum(v for k, v in timings.items() if k != "pipeline"), 3)
     print(
         json.dumps(
             {
-                "metric": "headline_queries_total",
-                "value": total,
+                "metric": "headline_queries_total_warm",
+                "value": round(sum(warm.values()), 3),
                 "unit": "sec",
                 "queries": timings,
+                "cold_total": round(sum(cold.values()), 3),
+                "cold_queries": {name: round(v, 3) for name, v in cold.items()},
                 "sf": float(sf) if sf.replace(".", "").isdigit() else sf,
                 "cpus": cpus,
             }

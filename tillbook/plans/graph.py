@@ -17,7 +17,14 @@ from pyspark.sql import DataFrame, SparkSession
 from tillbook.config import DEFAULT_AS_OF
 from tillbook.functions.dates import ntz
 from tillbook.operators import core, intermediate, reports, staging
-from tillbook.sources.tables import derive_raw_tables, read_sources
+from tillbook.sources.raw import (
+    derive_raw_marketing_campaigns,
+    derive_raw_marketing_clicks,
+    derive_raw_payments,
+    derive_raw_shipments,
+)
+from tillbook.sources.schemas import SOURCE_SCHEMAS
+from tillbook.sources.tables import read_source
 
 _Builder = Callable[["Project"], DataFrame]
 
@@ -76,6 +83,23 @@ CORE = ("dim_customers", "dim_products", "fct_orders", "fct_revenue")
 REPORTS = tuple(n for n in MODEL_NAMES if n.startswith("rpt_"))
 
 
+class _LazyTables(dict):
+    """A mapping whose values are built on first access (a scan or a derivation
+    is only set up if some model actually reads it)."""
+
+    def __init__(self, factories: dict[str, Callable[[], DataFrame]]) -> None:
+        super().__init__()
+        self._factories = factories
+
+    def __missing__(self, name: str) -> DataFrame:
+        df = self._factories[name]()
+        self[name] = df
+        return df
+
+    def __contains__(self, name: object) -> bool:
+        return name in self._factories or dict.__contains__(self, name)
+
+
 class Project:
     """All models over one set of source tables and one reference clock."""
 
@@ -88,18 +112,30 @@ class Project:
     ) -> None:
         self.spark = spark
         self.sources = sources
-        self.raw = raw if raw is not None else derive_raw_tables(sources)
+        if raw is None:
+            raw = _LazyTables(
+                {
+                    "raw_payments": lambda: derive_raw_payments(sources["orders"]),
+                    "raw_shipments": lambda: derive_raw_shipments(sources["orders"]),
+                    "raw_marketing_campaigns": lambda: derive_raw_marketing_campaigns(sources["part"]),
+                    "raw_marketing_clicks": lambda: derive_raw_marketing_clicks(sources["events"]),
+                }
+            )
+        self.raw = raw
         self.as_of_text = as_of
         self.as_of = ntz(as_of)
         self._tables: dict[str, DataFrame] = {}
 
     @classmethod
     def from_dir(cls, spark: SparkSession, sf_dir: str, as_of: str = DEFAULT_AS_OF) -> Project:
-        return cls(spark, read_sources(spark, sf_dir), as_of=as_of)
+        sources = _LazyTables(
+            {name: (lambda n=name: read_source(spark, sf_dir, n)) for name in SOURCE_SCHEMAS}
+        )
+        return cls(spark, sources, as_of=as_of)
 
     def table(self, name: str) -> DataFrame:
         if name not in self._tables:
-            if name in self.sources:
+            if name not in _BUILDERS and name in self.sources:
                 return self.sources[name]
             self._tables[name] = _BUILDERS[name](self)
         return self._tables[name]
