@@ -24,7 +24,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillbook.session import storage_root
+from tillbook.session import pin
 
 
 def null_safe_on(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
@@ -41,14 +41,13 @@ def value_histogram(df: DataFrame, keys: list[str], value: str, *extra: Column)
         .groupBy(*keys, "_v")
         .agg(F.count(F.lit(1)).alias("_c"), *extra)
     )
-    # Reliable checkpoint in the shared folder: the range partitioner below
-    # samples its input, and both branches that read the partition ids must
-    # see the same bounds even if a stage is recomputed after an executor
-    # loss.  Re-reading checkpointed files yields the same rows in the same
-    # order, so the sampled bounds are deterministic; it also cuts the
-    # upstream lineage that callers share between the histogram's uses.
-    storage_root(df.sparkSession)
-    return hist.checkpoint(eager=True)
+    # Pinned to the shared folder: the range partitioner below samples its
+    # input, and both branches that read the partition ids must see the same
+    # bounds even if a stage is recomputed after an executor loss.  Re-reading
+    # written files yields the same rows in the same order, so the sampled
+    # bounds are deterministic; it also cuts the upstream lineage that callers
+    # share between the histogram's uses.
+    return pin(hist, "histogram")
 
 
 def percentile_from_histogram(

@@ -146,6 +146,15 @@ class Project:
         for later in MODEL_NAMES[MODEL_NAMES.index(name) + 1 :]:
             self._tables.pop(later, None)
 
+    def materialize(self, *names: str) -> None:
+        """Pin models that many consumers read: written once to the shared
+        storage folder and read back, so each is computed once and its lineage
+        is cut (an executor loss re-reads files instead of recomputing upstream)."""
+        from tillbook.session import pin
+
+        for name in names:
+            self.use(name, pin(self.table(name), f"pinned-{name}"))
+
     def register_views(self, names: tuple[str, ...] = STAGING) -> None:
         """Expose models as temp views (the staging layer is a set of views)."""
         for name in names:

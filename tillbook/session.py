@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def session_configs(cpus: int = 8, shuffle_partitions: int | None = None) -> dict[str, str]:
@@ -79,3 +79,16 @@ def storage_root(spark: SparkSession) -> str:
 def run_folder(spark: SparkSession, label: str) -> str:
     """A fresh, never-reused folder under the shared storage root."""
     return f"{storage_root(spark)}/tillbook/{label}-{uuid.uuid4().hex[:12]}"
+
+
+def pin(df: DataFrame, label: str) -> DataFrame:
+    """Materialise ``df`` once as parquet in a fresh shared folder and read it back.
+
+    This is how the pipeline cuts lineage: one job computes and writes the
+    data (``Dataset.checkpoint`` would compute it twice — once to count, once
+    to write), later readers scan files, and a lost executor costs a re-read,
+    never an upstream recompute."""
+    spark = df.sparkSession
+    path = run_folder(spark, label)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)

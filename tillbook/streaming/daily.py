@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tillbook.sources.raw import LANDING_PAGES, PAYMENT_METHODS, pick, zero_pad
-from tillbook.session import storage_root
+from tillbook.session import pin
 from tillbook.sources.schemas import RAW_SCHEMAS
 
 # ---- fixed values ----------------------------------------------------------
@@ -189,7 +189,6 @@ def append_daily_batch(
 
     Each table is guarded on its own, so a run that crashed after the
     payments append still fills shipments and clicks on the next run."""
-    storage_root(spark)  # checkpoint() below needs the shared checkpoint folder
     reports = []
     for table in tables:
         path = f"{raw_dir.rstrip('/')}/{table}"
@@ -200,8 +199,9 @@ def append_daily_batch(
             reports.append(AppendReport(table, 0, True))
             continue
         rows = new_rows(batches[table], target, key).select(*RAW_SCHEMAS[table].names)
-        # the batch is bounded (N rows): pin it before writing so the count and the write agree
-        rows = rows.checkpoint(eager=True)
+        # pin the (at most N) new rows first: the count and the append then read
+        # the same files, and the append never reads the table it writes
+        rows = pin(rows, f"append-{table}")
         n = rows.count()
         rows.write.mode("append").parquet(path)
         reports.append(AppendReport(table, n, False))

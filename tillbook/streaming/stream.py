@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillbook.session import storage_root
+from tillbook.session import pin
 from tillbook.sources.schemas import RAW_SCHEMAS
 from tillbook.streaming.daily import BATCH_TABLES, KEYS, new_rows
 
@@ -26,7 +26,7 @@ def _apply_micro_batch(spark: SparkSession, table: str, target_path: str):
     def apply(batch: DataFrame, batch_id: int) -> None:
         target = spark.read.schema(schema).parquet(target_path)
         rows = new_rows(batch.dropDuplicates([key]), target, key, bounded=False)
-        rows = rows.select(*schema.names).checkpoint(eager=True)
+        rows = pin(rows.select(*schema.names), f"micro-batch-{table}-{batch_id}")
         rows.write.mode("append").parquet(target_path)
 
     return apply
@@ -40,7 +40,6 @@ def stream_append(
     tables: tuple[str, ...] = BATCH_TABLES,
     max_files_per_trigger: int = 64,
 ) -> None:
-    storage_root(spark)  # micro-batches are pinned with checkpoint() before appending
     for table in tables:
         target_path = f"{raw_dir.rstrip('/')}/{table}"
         query = (
