@@ -21,8 +21,8 @@ def _count(spark, raw_dir, t):
 
 def test_batch_is_deterministic_and_sized(spark):
     p = Project.from_dir(spark, SF_SMALL)
-    b1 = daily.daily_batches(p.sources, p.as_of)
-    b2 = daily.daily_batches(Project.from_dir(spark, SF_SMALL).sources, p.as_of)
+    b1 = daily.daily_batches(p.sources, p.as_of_text)
+    b2 = daily.daily_batches(Project.from_dir(spark, SF_SMALL).sources, p.as_of_text)
     for t, n in daily.BATCH_ROWS.items():
         rows = sorted(map(tuple, b1[t].collect()))
         assert len(rows) == n
@@ -35,7 +35,7 @@ def test_append_twice_and_partial_recovery(spark):
     raw_dir = run_folder(spark, "test-append") + "/raw"
     _land(spark, p, raw_dir)
     base = {t: _count(spark, raw_dir, t) for t in daily.BATCH_TABLES}
-    batches = daily.daily_batches(p.sources, p.as_of)
+    batches = daily.daily_batches(p.sources, p.as_of_text)
 
     # a crashed run: only payments got appended
     first = daily.append_daily_batch(spark, raw_dir, batches, p.as_of_text, tables=("raw_payments",))
@@ -53,7 +53,7 @@ def test_append_twice_and_partial_recovery(spark):
 
 def test_row_level_guard_drops_existing_keys(spark):
     p = Project.from_dir(spark, SF_SMALL)
-    batch = daily.daily_batches(p.sources, p.as_of)["raw_payments"]
+    batch = daily.daily_batches(p.sources, p.as_of_text)["raw_payments"]
     target = p.table("raw_payments").unionByName(batch.limit(10))
     assert daily.new_rows(batch, target, "payment_id").count() == 90
 
@@ -64,7 +64,7 @@ def test_stream_replay_lands_once(spark):
     raw_dir, landing, ckpt = f"{root}/raw", f"{root}/landing", f"{root}/ckpt"
     _land(spark, p, raw_dir, tables=("raw_payments",))
     base = _count(spark, raw_dir, "raw_payments")
-    batch = daily.daily_batches(p.sources, p.as_of)["raw_payments"]
+    batch = daily.daily_batches(p.sources, p.as_of_text)["raw_payments"]
     for _ in range(2):  # the same file is delivered twice
         batch.write.mode("append").parquet(f"{landing}/raw_payments")
         stream_append(spark, landing, raw_dir, ckpt, tables=("raw_payments",))

@@ -57,7 +57,7 @@ def main(argv: list[str] | None = None) -> None:
     if args.command in ("append", "daily"):
         if not args.raw_dir:
             parser.error("append needs --raw-dir (the landed raw tables to append to)")
-        batches = daily.daily_batches(project.sources, project.as_of)
+        batches = daily.daily_batches(project.sources, project.as_of_text)
         reports = daily.append_daily_batch(spark, args.raw_dir, batches, args.as_of)
         print(json.dumps([r.__dict__ for r in reports]))
     if args.raw_dir:

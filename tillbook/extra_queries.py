@@ -19,7 +19,7 @@ def _project(spark: SparkSession, sf_dir: str) -> Project:
 
 
 def _batches(p: Project) -> dict[str, DataFrame]:
-    return daily.daily_batches(p.sources, p.as_of)
+    return daily.daily_batches(p.sources, p.as_of_text)
 
 
 def _after_append(p: Project) -> dict[str, DataFrame]:

@@ -1,25 +1,32 @@
-"""Scalar helpers shared by the models (all built-in Spark expressions)."""
+"""Scalar helpers shared by the models: SQL expression builders for the
+money / rounding rules and the dialect's calendar semantics."""
 
 from tillbook.functions.dates import add_hours, day_diff, day_of_week, month_start, ntz
 from tillbook.functions.numeric import (
     MONEY,
     SUM_MONEY,
+    ZERO_COUNT,
+    ZERO_MONEY,
+    E,
+    exprs,
     flag_sum,
     mean_of,
     money_sum,
     pct,
     ratio,
     stable_round,
-    to_money,
-    zero_money,
 )
 
 __all__ = [
     "MONEY",
     "SUM_MONEY",
+    "ZERO_COUNT",
+    "ZERO_MONEY",
+    "E",
     "add_hours",
     "day_diff",
     "day_of_week",
+    "exprs",
     "flag_sum",
     "mean_of",
     "money_sum",
@@ -28,6 +35,4 @@ __all__ = [
     "pct",
     "ratio",
     "stable_round",
-    "to_money",
-    "zero_money",
 ]

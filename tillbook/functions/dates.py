@@ -1,4 +1,4 @@
-"""Calendar helpers with the reference dialect's semantics."""
+"""Calendar helpers with the reference dialect's semantics (SQL expression builders)."""
 
 from __future__ import annotations
 
@@ -6,30 +6,29 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def _c(x: Column | str) -> Column:
-    return F.col(x) if isinstance(x, str) else x
-
-
 def ntz(text: str) -> Column:
     """A ``timestamp_ntz`` literal, independent of the session time zone."""
     return F.lit(text).cast("timestamp_ntz")
 
 
-def day_diff(start: Column | str, end: Column | str) -> Column:
+def ntz_sql(text: str) -> str:
+    return f"CAST('{text}' AS TIMESTAMP_NTZ)"
+
+
+def day_diff(start: str, end: str) -> str:
     """Day boundaries crossed from start to end (23:00 -> 01:00 next day is 1)."""
-    return F.datediff(F.to_date(_c(end)), F.to_date(_c(start)))
+    return f"datediff(to_date({end}), to_date({start}))"
 
 
-def day_of_week(x: Column | str) -> Column:
+def day_of_week(x: str) -> str:
     """Day of week with Sunday = 0 … Saturday = 6."""
-    return F.dayofweek(_c(x)) - F.lit(1)
+    return f"(dayofweek({x}) - 1)"
 
 
-def month_start(x: Column | str) -> Column:
+def month_start(x: str) -> str:
     """First day of the month, as a date."""
-    return F.trunc(F.to_date(_c(x)), "MM")
+    return f"trunc(to_date({x}), 'MM')"
 
 
-def add_hours(ts: Column | str, hours: Column | int) -> Column:
-    h = hours if isinstance(hours, Column) else F.lit(hours)
-    return F.timestamp_add("HOUR", h, _c(ts))
+def add_hours(ts: str, hours: str) -> str:
+    return f"timestampadd(HOUR, CAST({hours} AS INT), {ts})"

@@ -1,4 +1,4 @@
-"""Money and rounding rules.
+"""Money and rounding rules, as SQL expression builders.
 
 * Money is decimal.  Source doubles are cast to ``decimal(12,2)`` *before*
   any arithmetic, so line totals are exact.
@@ -7,6 +7,9 @@
   ``double(sum) / count`` and rounded half-up through a 6-place decimal
   (:func:`stable_round`), which makes the rounding independent of the last
   bits of a floating-point sum.
+
+Each builder takes and returns Spark SQL expression text; :func:`E` turns
+one into a Column (one JVM call, parsed and resolved by Catalyst).
 """
 
 from __future__ import annotations
@@ -16,22 +19,19 @@ from pyspark.sql import functions as F
 
 MONEY = "decimal(12,2)"
 SUM_MONEY = "decimal(22,2)"
-_ROUNDING_STAGE = "decimal(28,6)"
-
-
-def _c(x: Column | str) -> Column:
-    return F.col(x) if isinstance(x, str) else x
+ZERO_MONEY = "CAST(0 AS DECIMAL(22,2))"
+ZERO_COUNT = "CAST(0 AS BIGINT)"
 
 
-def to_money(x: Column | str) -> Column:
-    return _c(x).cast(MONEY)
+def E(sql: str) -> Column:  # noqa: N802 - short on purpose, used in every projection
+    return F.expr(sql)
 
 
-def zero_money() -> Column:
-    return F.lit(0).cast(SUM_MONEY)
+def exprs(*sql: str) -> list[Column]:
+    return [F.expr(s) for s in sql]
 
 
-def money_sum(x: Column | str) -> Column:
+def money_sum(x: str) -> str:
     """Exact sum of 2-place money as ``decimal(22,2)``.
 
     Summed as whole cents in a ``bigint`` buffer: Spark keeps decimal sums
@@ -39,34 +39,29 @@ def money_sum(x: Column | str) -> Column:
     slower per row.  Under ANSI mode a (practically impossible) overflow of
     the long raises instead of wrapping, so the result is never silently
     wrong."""
-    cents = F.sum((_c(x) * F.lit(100)).cast("bigint"))
-    return (cents.cast("decimal(20,0)") / F.lit(100)).cast(SUM_MONEY)
+    return f"CAST(CAST(sum(CAST(({x}) * 100 AS BIGINT)) AS DECIMAL(20,0)) / 100 AS DECIMAL(22,2))"
 
 
-def flag_sum(cond: Column) -> Column:
+def flag_sum(cond: str) -> str:
     """``sum(case when cond then 1 else 0 end)`` as bigint."""
-    return F.sum(F.when(cond, F.lit(1)).otherwise(F.lit(0))).cast("bigint")
+    return f"CAST(sum(CASE WHEN {cond} THEN 1 ELSE 0 END) AS BIGINT)"
 
 
-def stable_round(x: Column | str, places: int) -> Column:
+def stable_round(x: str, places: int) -> str:
     """Half-up rounding of a double at ``places`` digits, via decimal(28,6)."""
-    return F.round(_c(x).cast("double").cast(_ROUNDING_STAGE), places).cast("double")
+    return f"CAST(round(CAST(CAST(({x}) AS DOUBLE) AS DECIMAL(28,6)), {places}) AS DOUBLE)"
 
 
-def ratio(num: Column | str, den: Column | str) -> Column:
+def ratio(num: str, den: str) -> str:
     """``double(num) / double(den)``; NULL when den is 0 or NULL."""
-    return _c(num).cast("double") / F.nullif(_c(den).cast("double"), F.lit(0.0))
+    return f"(CAST(({num}) AS DOUBLE) / nullif(CAST(({den}) AS DOUBLE), 0.0D))"
 
 
-def pct(num: Column | str, den: Column | str, places: int = 2) -> Column:
+def pct(num: str, den: str, places: int = 2) -> str:
     """``round(100 * num / den, places)`` in double; NULL when den is 0."""
-    return stable_round(
-        (F.lit(100.0) * _c(num).cast("double")) / F.nullif(_c(den).cast("double"), F.lit(0.0)),
-        places,
-    )
+    return stable_round(f"(100.0D * CAST(({num}) AS DOUBLE)) / nullif(CAST(({den}) AS DOUBLE), 0.0D)", places)
 
 
-def mean_of(x: Column | str) -> Column:
+def mean_of(x: str) -> str:
     """Aggregate mean as ``double(sum(x)) / count(x)`` (NULLs ignored)."""
-    col = _c(x)
-    return F.sum(col).cast("double") / F.nullif(F.count(col), F.lit(0)).cast("double")
+    return f"(CAST(sum({x}) AS DOUBLE) / CAST(nullif(count({x}), 0) AS DOUBLE))"

@@ -1,8 +1,11 @@
-"""Core marts: customer and product dimensions, order and revenue facts."""
+"""Core marts: customer and product dimensions, order and revenue facts.
+
+``as_of`` arguments are the reference clock as a SQL expression.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillbook.functions.dates import day_diff, day_of_week
@@ -14,13 +17,13 @@ from tillbook.operators.skew import heavy_hitters, salted_left_join, union_keys
 HOT_KEY_FRACTION = 0.001
 
 
-def dim_customers(lifetime: DataFrame, as_of: Column) -> DataFrame:
-    total = F.col("total_orders")
-    return lifetime.select(
+def dim_customers(lifetime: DataFrame, as_of: str) -> DataFrame:
+    return_rate = stable_round("(CAST(returned_orders AS DOUBLE) / CAST(total_orders AS DOUBLE)) * 100.0D", 2)
+    return lifetime.selectExpr(
         "customer_id",
         "full_name",
         "market_segment",
-        F.col("customer_segment_lifecycle").alias("lifetime_segment"),
+        "customer_segment_lifecycle AS lifetime_segment",
         "total_orders",
         "total_revenue_usd",
         "avg_order_value_usd",
@@ -31,21 +34,13 @@ def dim_customers(lifetime: DataFrame, as_of: Column) -> DataFrame:
         "acquired_at",
         "delivered_orders",
         "returned_orders",
-        F.when(
-            total > 0,
-            stable_round(
-                (F.col("returned_orders").cast("double") / total.cast("double")) * F.lit(100.0), 2
-            ),
-        )
-        .otherwise(F.lit(0.0))
-        .alias("return_rate_pct"),
-        as_of.alias("dim_last_refreshed_at"),
+        f"CASE WHEN total_orders > 0 THEN {return_rate} ELSE 0.0D END AS return_rate_pct",
+        f"{as_of} AS dim_last_refreshed_at",
     )
 
 
-def dim_products(performance: DataFrame, as_of: Column) -> DataFrame:
-    tier = F.col("sales_tier")
-    return performance.select(
+def dim_products(performance: DataFrame, as_of: str) -> DataFrame:
+    return performance.selectExpr(
         "product_id",
         "product_name",
         "brand",
@@ -58,25 +53,22 @@ def dim_products(performance: DataFrame, as_of: Column) -> DataFrame:
         "gross_revenue_usd",
         "return_rate_pct",
         "sales_tier",
-        F.when(tier.isin("bestseller", "strong"), "core_catalog")
-        .when(tier.isin("steady", "slow"), "long_tail")
-        .otherwise("unsold")
-        .alias("catalog_role"),
-        as_of.alias("dim_last_refreshed_at"),
+        """CASE WHEN sales_tier IN ('bestseller', 'strong') THEN 'core_catalog'
+                WHEN sales_tier IN ('steady', 'slow') THEN 'long_tail'
+                ELSE 'unsold' END AS catalog_role""",
+        f"{as_of} AS dim_last_refreshed_at",
     )
 
 
-def fct_orders(orders_enriched: DataFrame, as_of: Column) -> DataFrame:
-    problems = F.col("problem_payment_count")
-    delivered_at = F.col("latest_delivered_at")
-    return orders_enriched.select(
+def fct_orders(orders_enriched: DataFrame, as_of: str) -> DataFrame:
+    return orders_enriched.selectExpr(
         "order_id",
         "customer_id",
         "order_date",
-        F.year("order_date").alias("order_year"),
-        F.quarter("order_date").alias("order_quarter"),
-        F.month("order_date").alias("order_month"),
-        day_of_week("order_date").alias("order_day_of_week"),
+        "year(order_date) AS order_year",
+        "quarter(order_date) AS order_quarter",
+        "month(order_date) AS order_month",
+        f"{day_of_week('order_date')} AS order_day_of_week",
         "order_status",
         "economic_status",
         "priority",
@@ -86,24 +78,22 @@ def fct_orders(orders_enriched: DataFrame, as_of: Column) -> DataFrame:
         "item_count",
         "total_quantity",
         "items_subtotal_usd",
-        F.col("captured_amount_usd").alias("revenue_usd"),
+        "captured_amount_usd AS revenue_usd",
         "order_total_usd",
         "payment_attempt_count",
         "problem_payment_count",
-        F.when((problems > 0) & ~F.col("is_completed"), "at_risk")
-        .when(problems > 0, "recovered")
-        .otherwise("clean")
-        .alias("payment_health"),
+        """CASE WHEN problem_payment_count > 0 AND NOT is_completed THEN 'at_risk'
+                WHEN problem_payment_count > 0 THEN 'recovered'
+                ELSE 'clean' END AS payment_health""",
         "latest_shipped_at",
         "latest_delivered_at",
-        F.when(delivered_at.isNotNull(), day_diff("order_date", delivered_at)).alias("days_to_delivery"),
-        as_of.alias("fact_last_refreshed_at"),
+        f"CASE WHEN latest_delivered_at IS NOT NULL THEN {day_diff('order_date', 'latest_delivered_at')} END"
+        " AS days_to_delivery",
+        f"{as_of} AS fact_last_refreshed_at",
     )
 
 
-def fct_revenue(
-    payments: DataFrame, orders: DataFrame, lifetime: DataFrame, as_of: Column
-) -> DataFrame:
+def fct_revenue(payments: DataFrame, orders: DataFrame, lifetime: DataFrame, as_of: str) -> DataFrame:
     """Captured payments with order priority and customer segments.
 
     The reference joins orders to the customer roll-up and then payments to
@@ -112,18 +102,12 @@ def fct_revenue(
     customer) is equivalent and shrinks the customer-keyed join from all
     orders to captured payments.
     """
-    captured = payments.where(F.col("is_captured")).select(
+    captured = payments.where("is_captured").select(
         "payment_id", "order_id", "customer_id", "amount_usd", "payment_method", "paid_at"
     )
-    order_side = orders.select(
-        "order_id",
-        F.col("customer_id").alias("order_customer_id"),
-        F.col("priority").alias("order_priority"),
-    )
-    segments = lifetime.select(
-        F.col("customer_id").alias("order_customer_id"),
-        F.col("market_segment").alias("customer_segment"),
-        "customer_segment_lifecycle",
+    order_side = orders.selectExpr("order_id", "customer_id AS order_customer_id", "priority AS order_priority")
+    segments = lifetime.selectExpr(
+        "customer_id AS order_customer_id", "market_segment AS customer_segment", "customer_segment_lifecycle"
     )
     # A customer may own a third of all captured payments (through many orders
     # or one order with many payments).  Both cases are found on the base
@@ -142,21 +126,20 @@ def fct_revenue(
         hot_customers,
         salt_from=F.col("payment_id"),
     )
-    paid_at = F.col("paid_at")
-    return joined.select(
+    return joined.selectExpr(
         "payment_id",
         "order_id",
         "customer_id",
-        F.col("amount_usd").alias("revenue_usd"),
+        "amount_usd AS revenue_usd",
         "payment_method",
         "paid_at",
-        F.to_date(paid_at).alias("paid_date"),
-        F.year(paid_at).alias("paid_year"),
-        F.quarter(paid_at).alias("paid_quarter"),
-        F.month(paid_at).alias("paid_month"),
-        F.weekofyear(paid_at).alias("paid_week"),
+        "to_date(paid_at) AS paid_date",
+        "year(paid_at) AS paid_year",
+        "quarter(paid_at) AS paid_quarter",
+        "month(paid_at) AS paid_month",
+        "weekofyear(paid_at) AS paid_week",
         "order_priority",
         "customer_segment",
         "customer_segment_lifecycle",
-        as_of.alias("fact_last_refreshed_at"),
+        f"{as_of} AS fact_last_refreshed_at",
     )

@@ -1,56 +1,60 @@
 """Intermediate models: order, customer and product grain roll-ups.
 
 Each child table is aggregated to the parent key *before* it is joined
-(partial + final hash aggregation, so a hot key collapses map-side), and
-all joins of one model share the same key, so Spark hash-partitions every
-side once and chains the sort-merge joins inside one stage.
+(partial + final aggregation, so a hot key collapses map-side), and all
+joins of one model share the same key, so Spark hash-partitions every side
+once and chains the sort-merge joins inside one stage.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
-from tillbook.functions.numeric import flag_sum, mean_of, money_sum, stable_round, zero_money
+from tillbook.functions.numeric import (
+    ZERO_COUNT,
+    ZERO_MONEY,
+    exprs,
+    flag_sum,
+    mean_of,
+    money_sum,
+    stable_round,
+)
 
 
 def int_orders_enriched(
     orders: DataFrame, items: DataFrame, payments: DataFrame, shipments: DataFrame
 ) -> DataFrame:
     items_per_order = items.groupBy("order_id").agg(
-        F.count(F.lit(1)).alias("it_item_count"),
-        money_sum("quantity").alias("it_total_quantity"),
-        money_sum("line_total_usd").alias("it_items_subtotal_usd"),
-        flag_sum(F.col("was_returned")).alias("it_returned_item_count"),
+        *exprs(
+            "count(1) AS it_item_count",
+            f"{money_sum('quantity')} AS it_total_quantity",
+            f"{money_sum('line_total_usd')} AS it_items_subtotal_usd",
+            f"{flag_sum('was_returned')} AS it_returned_item_count",
+        )
     )
     payments_per_order = payments.groupBy("order_id").agg(
-        money_sum(
-            F.when(F.col("is_captured"), F.col("amount_usd")).otherwise(F.lit(0).cast("decimal(12,2)"))
-        ).alias("p_captured_amount_usd"),
-        F.max(F.when(F.col("is_captured"), F.col("paid_at"))).alias("last_captured_at"),
-        F.count(F.lit(1)).alias("p_payment_attempt_count"),
-        flag_sum(F.col("is_problem")).alias("p_problem_payment_count"),
+        *exprs(
+            f"{money_sum('CASE WHEN is_captured THEN amount_usd ELSE CAST(0 AS DECIMAL(12,2)) END')}"
+            " AS p_captured_amount_usd",
+            "max(CASE WHEN is_captured THEN paid_at END) AS last_captured_at",
+            "count(1) AS p_payment_attempt_count",
+            f"{flag_sum('is_problem')} AS p_problem_payment_count",
+        )
     )
     shipments_per_order = shipments.groupBy("order_id").agg(
-        F.max("shipped_at").alias("latest_shipped_at"),
-        F.max("delivered_at").alias("latest_delivered_at"),
-        F.max(F.when(F.col("is_delivered"), 1).otherwise(0)).alias("s_has_delivery"),
-        F.max(F.when(F.col("is_returned"), 1).otherwise(0)).alias("s_has_return"),
+        *exprs(
+            "max(shipped_at) AS latest_shipped_at",
+            "max(delivered_at) AS latest_delivered_at",
+            "max(CASE WHEN is_delivered THEN 1 ELSE 0 END) AS s_has_delivery",
+            "max(CASE WHEN is_returned THEN 1 ELSE 0 END) AS s_has_return",
+        )
     )
     joined = (
         orders.join(items_per_order, "order_id", "left")
         .join(payments_per_order, "order_id", "left")
         .join(shipments_per_order, "order_id", "left")
     )
-    captured = F.col("p_captured_amount_usd")
-    completed = F.col("is_completed")
-    economic_status = (
-        F.when((captured > 0) & completed, "completed")
-        .when((captured > 0) & ~completed, "paid_pending")
-        .when(captured.isNull() & completed, "fulfilled_unpaid")
-        .otherwise("open")
-    )
-    return joined.select(
+    return joined.selectExpr(
         "order_id",
         "customer_id",
         "order_date",
@@ -58,125 +62,118 @@ def int_orders_enriched(
         "priority",
         "is_completed",
         "order_total_usd",
-        F.coalesce("it_item_count", F.lit(0).cast("bigint")).alias("item_count"),
-        F.coalesce("it_total_quantity", zero_money()).alias("total_quantity"),
-        F.coalesce("it_items_subtotal_usd", zero_money()).alias("items_subtotal_usd"),
-        F.coalesce("it_returned_item_count", F.lit(0).cast("bigint")).alias("returned_item_count"),
-        F.coalesce(captured, zero_money()).alias("captured_amount_usd"),
+        f"coalesce(it_item_count, {ZERO_COUNT}) AS item_count",
+        f"coalesce(it_total_quantity, {ZERO_MONEY}) AS total_quantity",
+        f"coalesce(it_items_subtotal_usd, {ZERO_MONEY}) AS items_subtotal_usd",
+        f"coalesce(it_returned_item_count, {ZERO_COUNT}) AS returned_item_count",
+        f"coalesce(p_captured_amount_usd, {ZERO_MONEY}) AS captured_amount_usd",
         "last_captured_at",
-        F.coalesce("p_payment_attempt_count", F.lit(0).cast("bigint")).alias("payment_attempt_count"),
-        F.coalesce("p_problem_payment_count", F.lit(0).cast("bigint")).alias("problem_payment_count"),
-        F.coalesce(captured > 0, F.lit(False)).alias("has_payment"),
+        f"coalesce(p_payment_attempt_count, {ZERO_COUNT}) AS payment_attempt_count",
+        f"coalesce(p_problem_payment_count, {ZERO_COUNT}) AS problem_payment_count",
+        "coalesce(p_captured_amount_usd > 0, false) AS has_payment",
         "latest_shipped_at",
         "latest_delivered_at",
-        (F.coalesce("s_has_delivery", F.lit(0)) == 1).alias("is_delivered"),
-        (F.coalesce("s_has_return", F.lit(0)) == 1).alias("has_return"),
-        economic_status.alias("economic_status"),
+        "coalesce(s_has_delivery, 0) = 1 AS is_delivered",
+        "coalesce(s_has_return, 0) = 1 AS has_return",
+        # captured IS NULL only when the order has no payment row at all: an
+        # order whose payments all failed has captured = 0 and stays 'open'
+        """CASE WHEN p_captured_amount_usd > 0 AND is_completed THEN 'completed'
+                WHEN p_captured_amount_usd > 0 AND NOT is_completed THEN 'paid_pending'
+                WHEN p_captured_amount_usd IS NULL AND is_completed THEN 'fulfilled_unpaid'
+                ELSE 'open' END AS economic_status""",
     )
 
 
 def first_touch(clicks: DataFrame) -> DataFrame:
     """Earliest click per customer (ties broken by click_id).
 
-    Expressed as ``min(struct(...))`` — a hash aggregate with map-side
+    Expressed as ``min(named_struct(...))`` — an aggregate with map-side
     partial aggregation — instead of ``row_number()`` over a window, so a
     customer with a third of all clicks costs one row per map task rather
-    than a single sorted partition.
+    than a single sorted partition.  The leading NULL flag keeps clicks
+    without a time last, as an ascending sort would.
     """
-    touch = F.min(
-        F.struct(
-            F.col("clicked_at").isNull().alias("late"),
-            F.col("clicked_at").alias("at"),
-            F.col("click_id").alias("id"),
-            F.col("campaign_id").alias("campaign"),
-        )
-    )
+    touch = "min(named_struct('late', clicked_at IS NULL, 'at', clicked_at, 'id', click_id, 'campaign', campaign_id))"
     return (
-        clicks.where(F.col("customer_id").isNotNull())
+        clicks.where("customer_id IS NOT NULL")
         .groupBy("customer_id")
-        .agg(touch.alias("t"))
-        .select(
-            "customer_id",
-            F.col("t.campaign").alias("acquisition_campaign_id"),
-            F.col("t.at").alias("acquired_at"),
-        )
+        .agg(*exprs(f"{touch} AS t"))
+        .selectExpr("customer_id", "t.campaign AS acquisition_campaign_id", "t.at AS acquired_at")
     )
 
 
-def lifecycle_segment(total_orders: Column) -> Column:
-    return (
-        F.when(total_orders.isNull() | (total_orders == 0), "never_ordered")
-        .when(total_orders == 1, "one_time")
-        .when(total_orders.between(2, 5), "repeat")
-        .otherwise("loyal")
-    )
+def lifecycle_segment(total_orders: str) -> str:
+    return f"""CASE WHEN {total_orders} IS NULL OR {total_orders} = 0 THEN 'never_ordered'
+                    WHEN {total_orders} = 1 THEN 'one_time'
+                    WHEN {total_orders} BETWEEN 2 AND 5 THEN 'repeat'
+                    ELSE 'loyal' END"""
 
 
 def int_customer_lifetime(
-    customers: DataFrame, orders_enriched: DataFrame, clicks: DataFrame, as_of: Column
+    customers: DataFrame, orders_enriched: DataFrame, clicks: DataFrame, as_of: str
 ) -> DataFrame:
+    """``as_of`` is the reference clock as a SQL expression."""
     order_aggregates = (
-        orders_enriched.where(F.col("customer_id").isNotNull())
+        orders_enriched.where("customer_id IS NOT NULL")
         .groupBy("customer_id")
         .agg(
-            F.count(F.lit(1)).alias("o_total_orders"),
-            money_sum("captured_amount_usd").alias("o_total_revenue_usd"),
-            F.min("order_date").alias("first_order_date"),
-            F.max("order_date").alias("last_order_date"),
-            flag_sum(F.col("is_delivered")).alias("o_delivered_orders"),
-            flag_sum(F.col("has_return")).alias("o_returned_orders"),
-            mean_of("captured_amount_usd").alias("avg_order_value_usd"),
+            *exprs(
+                "count(1) AS o_total_orders",
+                f"{money_sum('captured_amount_usd')} AS o_total_revenue_usd",
+                "min(order_date) AS first_order_date",
+                "max(order_date) AS last_order_date",
+                f"{flag_sum('is_delivered')} AS o_delivered_orders",
+                f"{flag_sum('has_return')} AS o_returned_orders",
+                f"{mean_of('captured_amount_usd')} AS avg_order_value_usd",
+            )
         )
     )
-    active_since = F.date_sub(F.to_date(as_of), 90).cast("timestamp_ntz")
     joined = customers.join(order_aggregates, "customer_id", "left").join(
         first_touch(clicks), "customer_id", "left"
     )
-    return joined.select(
+    return joined.selectExpr(
         "customer_id",
         "full_name",
         "market_segment",
         "account_balance_usd",
-        F.coalesce("o_total_orders", F.lit(0).cast("bigint")).alias("total_orders"),
-        F.coalesce("o_total_revenue_usd", zero_money()).alias("total_revenue_usd"),
-        F.coalesce("o_delivered_orders", F.lit(0).cast("bigint")).alias("delivered_orders"),
-        F.coalesce("o_returned_orders", F.lit(0).cast("bigint")).alias("returned_orders"),
+        f"coalesce(o_total_orders, {ZERO_COUNT}) AS total_orders",
+        f"coalesce(o_total_revenue_usd, {ZERO_MONEY}) AS total_revenue_usd",
+        f"coalesce(o_delivered_orders, {ZERO_COUNT}) AS delivered_orders",
+        f"coalesce(o_returned_orders, {ZERO_COUNT}) AS returned_orders",
         "avg_order_value_usd",
         "first_order_date",
         "last_order_date",
-        F.coalesce(F.col("last_order_date") >= active_since, F.lit(False)).alias("is_active"),
+        f"coalesce(last_order_date >= CAST(date_sub(to_date({as_of}), 90) AS TIMESTAMP_NTZ), false) AS is_active",
         "acquisition_campaign_id",
         "acquired_at",
-        lifecycle_segment(F.col("o_total_orders")).alias("customer_segment_lifecycle"),
+        f"{lifecycle_segment('o_total_orders')} AS customer_segment_lifecycle",
     )
 
 
-def sales_tier(units: Column) -> Column:
-    return (
-        F.when(units >= 10000, "bestseller")
-        .when(units >= 1000, "strong")
-        .when(units >= 100, "steady")
-        .when(units > 0, "slow")
-        .otherwise("no_sales")
-    )
+def sales_tier(units: str) -> str:
+    return f"""CASE WHEN {units} >= 10000 THEN 'bestseller'
+                    WHEN {units} >= 1000 THEN 'strong'
+                    WHEN {units} >= 100 THEN 'steady'
+                    WHEN {units} > 0 THEN 'slow'
+                    ELSE 'no_sales' END"""
 
 
 def int_product_performance(products: DataFrame, items: DataFrame) -> DataFrame:
-    qty, total = F.col("quantity"), F.col("line_total_usd")
-    zero = F.lit(0).cast("decimal(12,2)")
+    zero = "CAST(0 AS DECIMAL(12,2))"
     product_sales = items.groupBy("product_id").agg(
-        F.count_distinct("order_id").alias("s_orders_containing_product"),
-        money_sum(qty).alias("s_units_sold"),
-        money_sum(total).alias("s_gross_revenue_usd"),
-        money_sum(F.when(F.col("was_returned"), qty).otherwise(zero)).alias("s_units_returned"),
-        money_sum(F.when(F.col("was_returned"), total).otherwise(zero)).alias("s_returned_revenue_usd"),
-        stable_round(
-            F.avg(total.cast("double") / F.nullif(qty, F.lit(0)).cast("double")), 6
-        ).alias("avg_unit_price_usd"),
+        *exprs(
+            "count(DISTINCT order_id) AS s_orders_containing_product",
+            f"{money_sum('quantity')} AS s_units_sold",
+            f"{money_sum('line_total_usd')} AS s_gross_revenue_usd",
+            f"{money_sum(f'CASE WHEN was_returned THEN quantity ELSE {zero} END')} AS s_units_returned",
+            f"{money_sum(f'CASE WHEN was_returned THEN line_total_usd ELSE {zero} END')} AS s_returned_revenue_usd",
+            f"{stable_round('avg(CAST(line_total_usd AS DOUBLE) / CAST(nullif(quantity, 0) AS DOUBLE))', 6)}"
+            " AS avg_unit_price_usd",
+        )
     )
-    sold = F.col("s_units_sold")
-    units = F.coalesce(sold, zero_money())
-    return products.join(product_sales, "product_id", "left").select(
+    units = f"coalesce(s_units_sold, {ZERO_MONEY})"
+    return_rate = stable_round("(CAST(s_units_returned AS DOUBLE) / CAST(s_units_sold AS DOUBLE)) * 100.0D", 2)
+    return products.join(product_sales, "product_id", "left").selectExpr(
         "product_id",
         "product_name",
         "brand",
@@ -185,20 +182,12 @@ def int_product_performance(products: DataFrame, items: DataFrame) -> DataFrame:
         "material",
         "product_size",
         "retail_price_usd",
-        units.alias("units_sold"),
-        F.coalesce("s_orders_containing_product", F.lit(0).cast("bigint")).alias(
-            "orders_containing_product"
-        ),
-        F.coalesce("s_gross_revenue_usd", zero_money()).alias("gross_revenue_usd"),
-        F.coalesce("s_units_returned", zero_money()).alias("units_returned"),
-        F.coalesce("s_returned_revenue_usd", zero_money()).alias("returned_revenue_usd"),
+        f"{units} AS units_sold",
+        f"coalesce(s_orders_containing_product, {ZERO_COUNT}) AS orders_containing_product",
+        f"coalesce(s_gross_revenue_usd, {ZERO_MONEY}) AS gross_revenue_usd",
+        f"coalesce(s_units_returned, {ZERO_MONEY}) AS units_returned",
+        f"coalesce(s_returned_revenue_usd, {ZERO_MONEY}) AS returned_revenue_usd",
         "avg_unit_price_usd",
-        F.when(sold.isNull() | (sold == 0), F.lit(0.0))
-        .otherwise(
-            stable_round(
-                (F.col("s_units_returned").cast("double") / sold.cast("double")) * F.lit(100.0), 2
-            )
-        )
-        .alias("return_rate_pct"),
-        sales_tier(units).alias("sales_tier"),
+        f"CASE WHEN s_units_sold IS NULL OR s_units_sold = 0 THEN 0.0D ELSE {return_rate} END AS return_rate_pct",
+        f"{sales_tier(units)} AS sales_tier",
     )

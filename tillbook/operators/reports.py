@@ -9,51 +9,57 @@ exchange is bounded by the calendar, not by the data.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillbook.functions.dates import month_start
 from tillbook.functions.numeric import (
-    SUM_MONEY,
+    ZERO_COUNT,
+    ZERO_MONEY,
+    E,
+    exprs,
     flag_sum,
     mean_of,
     money_sum,
     pct,
     ratio,
     stable_round,
-    zero_money,
 )
 from tillbook.operators.core import HOT_KEY_FRACTION
-from tillbook.operators.skew import heavy_hitters, salted_left_join
 from tillbook.operators.percentile import null_safe_on, percentile_from_histogram, value_histogram
+from tillbook.operators.skew import heavy_hitters, salted_left_join
+
+_BY_DAY = "ORDER BY paid_date ASC NULLS LAST"
+_LAST_7 = f"({_BY_DAY} ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)"
 
 
 def rpt_daily_revenue(revenue: DataFrame) -> DataFrame:
     daily = revenue.groupBy("paid_date").agg(
-        F.count(F.lit(1)).alias("payment_count"),
-        F.count_distinct("order_id").alias("orders_paid"),
-        F.count_distinct("customer_id").alias("paying_customers"),
-        money_sum("revenue_usd").alias("revenue_usd"),
-        mean_of("revenue_usd").alias("avg_payment"),
+        *exprs(
+            "count(1) AS payment_count",
+            "count(DISTINCT order_id) AS orders_paid",
+            "count(DISTINCT customer_id) AS paying_customers",
+            f"{money_sum('revenue_usd')} AS revenue_usd",
+            f"{mean_of('revenue_usd')} AS avg_payment",
+        )
     )
-    by_day = Window.orderBy(F.col("paid_date").asc_nulls_last())
-    rev = F.col("revenue_usd")
-    last_7 = by_day.rowsBetween(-6, 0)
-    with_prev = daily.withColumn("prior", F.lag(rev).over(by_day)).withColumn(
-        "rolling", F.sum(rev).over(last_7).cast("double") / F.count(rev).over(last_7).cast("double")
+    with_prev = daily.selectExpr(
+        "*",
+        f"lag(revenue_usd) OVER ({_BY_DAY}) AS prior",
+        f"CAST(sum(revenue_usd) OVER {_LAST_7} AS DOUBLE) / CAST(count(revenue_usd) OVER {_LAST_7} AS DOUBLE)"
+        " AS rolling",
     )
-    prior = F.col("prior")
-    return with_prev.select(
+    return with_prev.selectExpr(
         "paid_date",
         "payment_count",
         "orders_paid",
         "paying_customers",
-        rev.alias("revenue_usd"),
-        stable_round("avg_payment", 2).alias("avg_payment_usd"),
-        prior.alias("prior_day_revenue_usd"),
-        (rev - prior).cast(SUM_MONEY).alias("day_over_day_change_usd"),
-        pct(rev - prior, prior).alias("day_over_day_change_pct"),
-        stable_round("rolling", 2).alias("rolling_7d_avg_usd"),
+        "revenue_usd",
+        f"{stable_round('avg_payment', 2)} AS avg_payment_usd",
+        "prior AS prior_day_revenue_usd",
+        "CAST(revenue_usd - prior AS DECIMAL(22,2)) AS day_over_day_change_usd",
+        f"{pct('revenue_usd - prior', 'prior')} AS day_over_day_change_pct",
+        f"{stable_round('rolling', 2)} AS rolling_7d_avg_usd",
     ).orderBy(F.col("paid_date").desc_nulls_first())
 
 
@@ -65,36 +71,34 @@ def rpt_customer_ltv(customers: DataFrame) -> DataFrame:
     averages come from the same combined shuffle.  Averages are
     ``double(sum) / count`` of the original columns (NULLs ignored)."""
     keys = ["lifetime_segment", "market_segment"]
-    nn = lambda c: F.count(F.col(c))
     hist = value_histogram(
-        customers.withColumn("_rev", F.col("total_revenue_usd")),
+        customers,
         keys,
-        "_rev",
-        flag_sum(F.col("is_active")).alias("h_active"),
-        money_sum("total_revenue_usd").alias("h_revenue"),
-        F.sum("avg_order_value_usd").alias("h_aov_sum"),
-        nn("avg_order_value_usd").alias("h_aov_n"),
-        F.sum("total_orders").alias("h_orders_sum"),
-        nn("total_orders").alias("h_orders_n"),
-        F.sum("return_rate_pct").alias("h_rr_sum"),
-        nn("return_rate_pct").alias("h_rr_n"),
+        "total_revenue_usd",
+        *exprs(
+            f"{flag_sum('is_active')} AS h_active",
+            f"{money_sum('total_revenue_usd')} AS h_revenue",
+            "sum(avg_order_value_usd) AS h_aov_sum",
+            "count(avg_order_value_usd) AS h_aov_n",
+            "sum(total_orders) AS h_orders_sum",
+            "count(total_orders) AS h_orders_n",
+            "sum(return_rate_pct) AS h_rr_sum",
+            "count(return_rate_pct) AS h_rr_n",
+        ),
     )
-    # customers with a NULL revenue (cannot happen: it is coalesced) would be
-    # missing from the histogram; the summary counts rows per segment from it.
+    # total_revenue_usd is never NULL (coalesced upstream), so every customer
+    # is in the histogram and the segment counts can be taken from it
     summary = hist.groupBy(*keys).agg(
-        F.sum("_c").cast("bigint").alias("customer_count"),
-        F.sum("h_active").cast("bigint").alias("active_customer_count"),
-        money_sum("h_revenue").alias("total_revenue_usd"),
-        stable_round(F.sum("h_revenue").cast("double") / F.sum("_c").cast("double"), 2).alias("avg_ltv_usd"),
-        stable_round(F.sum("h_aov_sum") / F.nullif(F.sum("h_aov_n"), F.lit(0)).cast("double"), 2).alias(
-            "avg_aov_usd"
-        ),
-        stable_round(
-            F.sum("h_orders_sum").cast("double") / F.nullif(F.sum("h_orders_n"), F.lit(0)).cast("double"), 1
-        ).alias("avg_orders_per_customer"),
-        stable_round(F.sum("h_rr_sum") / F.nullif(F.sum("h_rr_n"), F.lit(0)).cast("double"), 2).alias(
-            "avg_return_rate_pct"
-        ),
+        *exprs(
+            "CAST(sum(_c) AS BIGINT) AS customer_count",
+            "CAST(sum(h_active) AS BIGINT) AS active_customer_count",
+            f"{money_sum('h_revenue')} AS total_revenue_usd",
+            f"{stable_round('CAST(sum(h_revenue) AS DOUBLE) / CAST(sum(_c) AS DOUBLE)', 2)} AS avg_ltv_usd",
+            f"{stable_round('sum(h_aov_sum) / CAST(nullif(sum(h_aov_n), 0) AS DOUBLE)', 2)} AS avg_aov_usd",
+            f"{stable_round('CAST(sum(h_orders_sum) AS DOUBLE) / CAST(nullif(sum(h_orders_n), 0) AS DOUBLE)', 1)}"
+            " AS avg_orders_per_customer",
+            f"{stable_round('sum(h_rr_sum) / CAST(nullif(sum(h_rr_n), 0) AS DOUBLE)', 2)} AS avg_return_rate_pct",
+        )
     )
     median = percentile_from_histogram(hist, keys, 0.5, alias="median_raw")
     joined = summary.join(median, null_safe_on(summary, median, keys), "left")
@@ -104,7 +108,7 @@ def rpt_customer_ltv(customers: DataFrame) -> DataFrame:
         "active_customer_count",
         "total_revenue_usd",
         "avg_ltv_usd",
-        stable_round(median["median_raw"], 2).alias("median_ltv_usd"),
+        E(f"{stable_round('median_raw', 2)} AS median_ltv_usd"),
         "avg_aov_usd",
         "avg_orders_per_customer",
         "avg_return_rate_pct",
@@ -116,8 +120,7 @@ def clicks_by_campaign_customer(clicks: DataFrame) -> DataFrame:
     campaign and channel click metrics.  Distinct clickers become plain row
     counts at this grain, and a hot campaign is already combined map-side."""
     return clicks.groupBy("campaign_id", "customer_id").agg(
-        F.count(F.lit(1)).alias("n_clicks"),
-        flag_sum(F.col("did_convert")).alias("n_conversions"),
+        *exprs("count(1) AS n_clicks", f"{flag_sum('did_convert')} AS n_conversions")
     )
 
 
@@ -127,64 +130,60 @@ def attribution_by_campaign(lifetime: DataFrame) -> DataFrame:
     Each customer id has exactly one acquisition campaign, so distinct
     customers add up exactly across campaigns of a channel."""
     return (
-        lifetime.where(F.col("acquisition_campaign_id").isNotNull())
-        .groupBy(F.col("acquisition_campaign_id").alias("campaign_id"))
+        lifetime.where("acquisition_campaign_id IS NOT NULL")
+        .groupBy(E("acquisition_campaign_id AS campaign_id"))
         .agg(
-            money_sum("total_revenue_usd").alias("attributed_revenue_usd"),
-            F.count(F.lit(1)).alias("attributed_customer_count"),
-            F.count_distinct("customer_id").alias("attributed_distinct_customers"),
+            *exprs(
+                f"{money_sum('total_revenue_usd')} AS attributed_revenue_usd",
+                "count(1) AS attributed_customer_count",
+                "count(DISTINCT customer_id) AS attributed_distinct_customers",
+            )
         )
     )
 
 
 def rpt_marketing_roi(campaigns: DataFrame, clicks: DataFrame, lifetime: DataFrame) -> DataFrame:
-    per_pair = clicks_by_campaign_customer(clicks)
-    campaign_clicks = per_pair.groupBy("campaign_id").agg(
-        F.sum("n_clicks").cast("bigint").alias("click_count"),
-        F.count("customer_id").alias("unique_clickers"),
-        F.sum("n_conversions").cast("bigint").alias("conversions"),
+    campaign_clicks = clicks_by_campaign_customer(clicks).groupBy("campaign_id").agg(
+        *exprs(
+            "CAST(sum(n_clicks) AS BIGINT) AS click_count",
+            "count(customer_id) AS unique_clickers",
+            "CAST(sum(n_conversions) AS BIGINT) AS conversions",
+        )
     )
-    attributed = attribution_by_campaign(lifetime)
-    joined = campaigns.join(campaign_clicks, "campaign_id", "left").join(attributed, "campaign_id", "left")
-    clicks_n = F.col("click_count")
-    budget = F.col("budget_usd")
-    acquired = F.col("attributed_customer_count")
-    revenue = F.col("attributed_revenue_usd")
-    return joined.select(
+    joined = campaigns.join(campaign_clicks, "campaign_id", "left").join(
+        attribution_by_campaign(lifetime), "campaign_id", "left"
+    )
+    return joined.selectExpr(
         "campaign_id",
         "campaign_name",
         "channel",
         "campaign_type",
         "budget_usd",
         "duration_days",
-        F.coalesce(clicks_n, F.lit(0).cast("bigint")).alias("click_count"),
-        F.coalesce("unique_clickers", F.lit(0).cast("bigint")).alias("unique_clickers"),
-        F.coalesce("conversions", F.lit(0).cast("bigint")).alias("conversions"),
-        F.when(clicks_n > 0, pct("conversions", clicks_n)).otherwise(F.lit(0.0)).alias(
-            "conversion_rate_pct"
-        ),
-        F.coalesce(acquired, F.lit(0).cast("bigint")).alias("customers_acquired"),
-        F.coalesce(revenue, zero_money()).alias("attributed_revenue_usd"),
-        F.when((budget > 0) & revenue.isNotNull(), stable_round(ratio(revenue, budget), 2)).alias(
-            "roi_multiplier"
-        ),
-        F.when((budget > 0) & (clicks_n > 0), stable_round(ratio(budget, clicks_n), 2)).alias(
-            "cost_per_click_usd"
-        ),
-        F.when(acquired > 0, stable_round(ratio(budget, acquired), 2)).alias("cost_per_acquisition_usd"),
+        f"coalesce(click_count, {ZERO_COUNT}) AS click_count",
+        f"coalesce(unique_clickers, {ZERO_COUNT}) AS unique_clickers",
+        f"coalesce(conversions, {ZERO_COUNT}) AS conversions",
+        f"CASE WHEN click_count > 0 THEN {pct('conversions', 'click_count')} ELSE 0.0D END AS conversion_rate_pct",
+        f"coalesce(attributed_customer_count, {ZERO_COUNT}) AS customers_acquired",
+        f"coalesce(attributed_revenue_usd, {ZERO_MONEY}) AS attributed_revenue_usd",
+        f"""CASE WHEN budget_usd > 0 AND attributed_revenue_usd IS NOT NULL
+                 THEN {stable_round(ratio('attributed_revenue_usd', 'budget_usd'), 2)} END AS roi_multiplier""",
+        f"""CASE WHEN budget_usd > 0 AND click_count > 0
+                 THEN {stable_round(ratio('budget_usd', 'click_count'), 2)} END AS cost_per_click_usd""",
+        f"""CASE WHEN attributed_customer_count > 0
+                 THEN {stable_round(ratio('budget_usd', 'attributed_customer_count'), 2)} END
+            AS cost_per_acquisition_usd""",
     ).orderBy(F.col("budget_usd").desc_nulls_first())
 
 
 def rpt_funnel(campaigns: DataFrame, clicks: DataFrame, lifetime: DataFrame) -> DataFrame:
     keys = ["channel", "campaign_type"]
     channel_stats = campaigns.groupBy(*keys).agg(
-        F.count_distinct("campaign_id").alias("campaign_count"),
-        money_sum("budget_usd").alias("total_budget_usd"),
+        *exprs("count(DISTINCT campaign_id) AS campaign_count", f"{money_sum('budget_usd')} AS total_budget_usd")
     )
     # campaign -> (channel, type) with the number of dimension rows carrying
     # it, so counts stay exact even if the dimension repeats a campaign id.
-    campaign_map = campaigns.groupBy("campaign_id", *keys).agg(F.count(F.lit(1)).alias("mult"))
-    mult = F.col("mult")
+    campaign_map = campaigns.groupBy("campaign_id", *keys).agg(*exprs("count(1) AS mult"))
     pairs = clicks_by_campaign_customer(clicks)
     # one campaign may own a third of all (campaign, customer) pairs: spread it
     hot_campaigns = heavy_hitters(pairs, "campaign_id", HOT_KEY_FRACTION)
@@ -192,9 +191,11 @@ def rpt_funnel(campaigns: DataFrame, clicks: DataFrame, lifetime: DataFrame) ->
         salted_left_join(pairs, campaign_map, "campaign_id", hot_campaigns, F.col("customer_id"), how="inner")
         .groupBy(*keys)
         .agg(
-            F.sum(F.col("n_clicks") * mult).cast("bigint").alias("c_total_clicks"),
-            F.count_distinct("customer_id").alias("c_unique_clickers"),
-            F.sum(F.col("n_conversions") * mult).cast("bigint").alias("c_conversions"),
+            *exprs(
+                "CAST(sum(n_clicks * mult) AS BIGINT) AS c_total_clicks",
+                "count(DISTINCT customer_id) AS c_unique_clickers",
+                "CAST(sum(n_conversions * mult) AS BIGINT) AS c_conversions",
+            )
         )
     )
     revenue_per_channel = (
@@ -202,72 +203,70 @@ def rpt_funnel(campaigns: DataFrame, clicks: DataFrame, lifetime: DataFrame) ->
         .join(campaign_map, "campaign_id", "inner")
         .groupBy(*keys)
         .agg(
-            F.sum("attributed_distinct_customers").cast("bigint").alias("r_paying_customers"),
-            money_sum(F.col("attributed_revenue_usd") * mult).alias("r_channel_revenue_usd"),
+            *exprs(
+                "CAST(sum(attributed_distinct_customers) AS BIGINT) AS r_paying_customers",
+                f"{money_sum('attributed_revenue_usd * mult')} AS r_channel_revenue_usd",
+            )
         )
     )
     # NULL channel/type never match (plain equi-join semantics).
     joined = channel_stats.join(clicks_per_channel, keys, "left").join(revenue_per_channel, keys, "left")
-    total_clicks, conversions = F.col("c_total_clicks"), F.col("c_conversions")
-    revenue, budget = F.col("r_channel_revenue_usd"), F.col("total_budget_usd")
-    out = joined.select(
+    out = joined.selectExpr(
         "channel",
         "campaign_type",
         "campaign_count",
         "total_budget_usd",
-        F.coalesce(total_clicks, F.lit(0).cast("bigint")).alias("total_clicks"),
-        F.coalesce("c_unique_clickers", F.lit(0).cast("bigint")).alias("unique_clickers"),
-        F.coalesce(conversions, F.lit(0).cast("bigint")).alias("conversions"),
-        F.coalesce("r_paying_customers", F.lit(0).cast("bigint")).alias("paying_customers"),
-        F.coalesce(revenue, zero_money()).alias("channel_revenue_usd"),
-        F.when(total_clicks > 0, pct(conversions, total_clicks)).otherwise(F.lit(0.0)).alias(
-            "click_to_conversion_pct"
-        ),
-        F.when(conversions > 0, pct("r_paying_customers", conversions)).otherwise(F.lit(0.0)).alias(
-            "conversion_to_paid_pct"
-        ),
-        F.when((budget > 0) & revenue.isNotNull(), stable_round(ratio(revenue, budget), 2)).alias(
-            "channel_roi"
-        ),
+        f"coalesce(c_total_clicks, {ZERO_COUNT}) AS total_clicks",
+        f"coalesce(c_unique_clickers, {ZERO_COUNT}) AS unique_clickers",
+        f"coalesce(c_conversions, {ZERO_COUNT}) AS conversions",
+        f"coalesce(r_paying_customers, {ZERO_COUNT}) AS paying_customers",
+        f"coalesce(r_channel_revenue_usd, {ZERO_MONEY}) AS channel_revenue_usd",
+        f"""CASE WHEN c_total_clicks > 0 THEN {pct('c_conversions', 'c_total_clicks')} ELSE 0.0D END
+            AS click_to_conversion_pct""",
+        # NULL (not 0) when a channel has conversions but acquired nobody
+        f"""CASE WHEN c_conversions > 0 THEN {pct('r_paying_customers', 'c_conversions')} ELSE 0.0D END
+            AS conversion_to_paid_pct""",
+        f"""CASE WHEN total_budget_usd > 0 AND r_channel_revenue_usd IS NOT NULL
+                 THEN {stable_round(ratio('r_channel_revenue_usd', 'total_budget_usd'), 2)} END AS channel_roi""",
     )
     return out.orderBy(F.col("channel_revenue_usd").desc_nulls_last())
 
 
-def rpt_executive_summary(
-    revenue: DataFrame, orders: DataFrame, lifetime: DataFrame
-) -> DataFrame:
-    by_revenue_month = revenue.groupBy(month_start("paid_date").alias("r_month")).agg(
-        money_sum("revenue_usd").alias("r_revenue_usd"),
-        F.count_distinct("order_id").alias("r_orders_paid"),
-        F.count_distinct("customer_id").alias("r_paying_customers"),
+def rpt_executive_summary(revenue: DataFrame, orders: DataFrame, lifetime: DataFrame) -> DataFrame:
+    by_revenue_month = revenue.groupBy(E(f"{month_start('paid_date')} AS r_month")).agg(
+        *exprs(
+            f"{money_sum('revenue_usd')} AS r_revenue_usd",
+            "count(DISTINCT order_id) AS r_orders_paid",
+            "count(DISTINCT customer_id) AS r_paying_customers",
+        )
     )
-    by_order_month = orders.groupBy(month_start("order_date").alias("o_month")).agg(
-        F.count(F.lit(1)).alias("o_orders_placed"),
-        flag_sum(F.col("has_return")).alias("o_orders_returned"),
-        mean_of("days_to_delivery").alias("o_avg_delivery_days"),
+    by_order_month = orders.groupBy(E(f"{month_start('order_date')} AS o_month")).agg(
+        *exprs(
+            "count(1) AS o_orders_placed",
+            f"{flag_sum('has_return')} AS o_orders_returned",
+            f"{mean_of('days_to_delivery')} AS o_avg_delivery_days",
+        )
     )
     by_acquisition_month = (
-        lifetime.where(F.col("acquired_at").isNotNull())
-        .groupBy(month_start("acquired_at").alias("c_month"))
-        .agg(F.count(F.lit(1)).alias("c_new_customers"))
+        lifetime.where("acquired_at IS NOT NULL")
+        .groupBy(E(f"{month_start('acquired_at')} AS c_month"))
+        .agg(*exprs("count(1) AS c_new_customers"))
     )
     r_month, o_month, c_month = F.col("r_month"), F.col("o_month"), F.col("c_month")
     joined = by_revenue_month.join(by_order_month, r_month == o_month, "full").join(
         by_acquisition_month, F.coalesce(r_month, o_month) == c_month, "full"
     )
-    rev = F.col("r_revenue_usd")
-    prev = F.lag(rev).over(Window.orderBy(r_month.asc_nulls_last()))
-    placed = F.col("o_orders_placed")
-    zero = F.lit(0).cast("bigint")
-    return joined.select(
-        F.coalesce(r_month, o_month, c_month).alias("report_month"),
-        F.coalesce(rev, zero_money()).alias("revenue_usd"),
-        F.coalesce("r_orders_paid", zero).alias("orders_paid"),
-        F.coalesce(placed, zero).alias("orders_placed"),
-        F.coalesce("o_orders_returned", zero).alias("orders_returned"),
-        F.when(placed > 0, pct("o_orders_returned", placed)).otherwise(F.lit(0.0)).alias("return_rate_pct"),
-        F.coalesce("r_paying_customers", zero).alias("paying_customers"),
-        F.coalesce("c_new_customers", zero).alias("new_customers"),
-        stable_round("o_avg_delivery_days", 1).alias("avg_delivery_days"),
-        pct(rev - prev, prev).alias("revenue_mom_change_pct"),
+    prev = "lag(r_revenue_usd) OVER (ORDER BY r_month ASC NULLS LAST)"
+    return joined.selectExpr(
+        "coalesce(r_month, o_month, c_month) AS report_month",
+        f"coalesce(r_revenue_usd, {ZERO_MONEY}) AS revenue_usd",
+        f"coalesce(r_orders_paid, {ZERO_COUNT}) AS orders_paid",
+        f"coalesce(o_orders_placed, {ZERO_COUNT}) AS orders_placed",
+        f"coalesce(o_orders_returned, {ZERO_COUNT}) AS orders_returned",
+        f"""CASE WHEN o_orders_placed > 0 THEN {pct('o_orders_returned', 'o_orders_placed')} ELSE 0.0D END
+            AS return_rate_pct""",
+        f"coalesce(r_paying_customers, {ZERO_COUNT}) AS paying_customers",
+        f"coalesce(c_new_customers, {ZERO_COUNT}) AS new_customers",
+        f"{stable_round('o_avg_delivery_days', 1)} AS avg_delivery_days",
+        f"{pct(f'r_revenue_usd - {prev}', prev)} AS revenue_mom_change_pct",
     ).orderBy(F.col("report_month").desc_nulls_first())

@@ -1,16 +1,14 @@
 """Staging models: typed, renamed, lightly cleaned views of each raw input.
 
 All of them are narrow projections + filters, so Catalyst fuses each into the
-parquet scan's whole-stage-codegen span; nothing here shuffles.
+parquet scan's whole-stage-codegen span; nothing here shuffles.  They are
+written as SQL expressions (``selectExpr``), which compile to the same plan
+as Column expressions and cost one JVM call per column to build.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
-
-from tillbook.functions.dates import day_diff
-from tillbook.functions.numeric import to_money
+from pyspark.sql import DataFrame
 
 # ---- fixed values (code maps of the reference) -------------------------------
 ORDER_STATUS = {"O": "open", "F": "fulfilled", "P": "pending"}
@@ -27,145 +25,153 @@ PROBLEM_PAYMENT_STATUSES = ["failed", "refunded"]
 # -------------------------------------------------------------------------------
 
 
-def decode(col: Column, mapping: dict[str, str], default: str) -> Column:
-    """Simple ``case col when k then v … else default end``."""
-    expr = None
-    for code, label in mapping.items():
-        expr = (F.when(col == code, label) if expr is None else expr.when(col == code, label))
-    return expr.otherwise(default)
+def _quote(value: str) -> str:
+    return "'" + value.replace("'", "''") + "'"
+
+
+def decode_sql(column: str, mapping: dict[str, str], default: str) -> str:
+    """Simple ``case column when k then v … else default end``."""
+    branches = " ".join(f"WHEN {_quote(k)} THEN {_quote(v)}" for k, v in mapping.items())
+    return f"CASE {column} {branches} ELSE {_quote(default)} END"
+
 
+def in_sql(column: str, values: list[str]) -> str:
+    return f"{column} IN ({', '.join(_quote(v) for v in values)})"
 
-def is_true(cond: Column) -> Column:
+
+def is_true_sql(cond: str) -> str:
     """``case when cond then true else false end`` (NULL -> false)."""
-    return F.coalesce(cond, F.lit(False))
+    return f"coalesce({cond}, false)"
+
+
+def day_diff_sql(start: str, end: str) -> str:
+    """Day boundaries crossed from start to end (23:00 -> 01:00 next day is 1)."""
+    return f"datediff(to_date({end}), to_date({start}))"
 
 
 def stg_customers(customer: DataFrame) -> DataFrame:
-    return customer.where(F.col("c_custkey").isNotNull()).select(
-        F.col("c_custkey").alias("customer_id"),
-        F.trim("c_name").alias("full_name"),
-        F.trim("c_address").alias("address"),
-        F.col("c_nationkey").alias("nation_id"),
-        F.col("c_phone").alias("phone"),
-        to_money("c_acctbal").alias("account_balance_usd"),
-        F.col("c_mktsegment").alias("market_segment"),
-        F.trim("c_comment").alias("customer_notes"),
+    return customer.where("c_custkey IS NOT NULL").selectExpr(
+        "c_custkey AS customer_id",
+        "trim(c_name) AS full_name",
+        "trim(c_address) AS address",
+        "c_nationkey AS nation_id",
+        "c_phone AS phone",
+        "CAST(c_acctbal AS DECIMAL(12,2)) AS account_balance_usd",
+        "c_mktsegment AS market_segment",
+        "trim(c_comment) AS customer_notes",
     )
 
 
 def stg_orders(orders: DataFrame) -> DataFrame:
-    return orders.where(F.col("o_orderkey").isNotNull()).select(
-        F.col("o_orderkey").alias("order_id"),
-        F.col("o_custkey").alias("customer_id"),
-        to_money("o_totalprice").alias("order_total_usd"),
-        F.col("o_orderdate").alias("order_date"),
-        decode(F.col("o_orderstatus"), ORDER_STATUS, "unknown").alias("order_status"),
-        decode(F.col("o_orderpriority"), ORDER_PRIORITY, "normal").alias("priority"),
-        F.trim("o_clerk").alias("sales_clerk"),
-        F.col("o_shippriority").alias("shipping_priority"),
-        is_true(F.col("o_orderstatus") == "F").alias("is_completed"),
+    return orders.where("o_orderkey IS NOT NULL").selectExpr(
+        "o_orderkey AS order_id",
+        "o_custkey AS customer_id",
+        "CAST(o_totalprice AS DECIMAL(12,2)) AS order_total_usd",
+        "o_orderdate AS order_date",
+        f"{decode_sql('o_orderstatus', ORDER_STATUS, 'unknown')} AS order_status",
+        f"{decode_sql('o_orderpriority', ORDER_PRIORITY, 'normal')} AS priority",
+        "trim(o_clerk) AS sales_clerk",
+        "o_shippriority AS shipping_priority",
+        f"{is_true_sql("o_orderstatus = 'F'")} AS is_completed",
     )
 
 
 def stg_order_items(lineitem: DataFrame) -> DataFrame:
-    price = F.col("l_extendedprice").cast("decimal(12,2)")
-    discount = F.col("l_discount").cast("decimal(5,4)")
-    tax = F.col("l_tax").cast("decimal(5,4)")
-    return lineitem.where(F.col("l_orderkey").isNotNull()).select(
-        F.concat(
-            F.col("l_orderkey").cast("string"), F.lit("-"), F.col("l_linenumber").cast("string")
-        ).alias("order_item_id"),
-        F.col("l_orderkey").alias("order_id"),
-        F.col("l_partkey").alias("product_id"),
-        F.col("l_suppkey").alias("supplier_id"),
-        F.col("l_linenumber").alias("line_number"),
-        F.col("l_quantity").cast("decimal(8,2)").alias("quantity"),
-        price.alias("gross_amount_usd"),
-        discount.alias("discount_pct"),
-        tax.alias("tax_pct"),
-        (price * (F.lit(1) - discount) * (F.lit(1) + tax)).cast("decimal(12,2)").alias("line_total_usd"),
-        F.col("l_shipdate").alias("shipped_date"),
-        F.col("l_commitdate").alias("committed_date"),
-        F.col("l_receiptdate").alias("receipt_date"),
-        is_true(F.col("l_returnflag").isin(RETURN_FLAGS)).alias("was_returned"),
-        decode(F.col("l_linestatus"), LINE_STATUS, "unknown").alias("line_status"),
+    price = "CAST(l_extendedprice AS DECIMAL(12,2))"
+    discount = "CAST(l_discount AS DECIMAL(5,4))"
+    tax = "CAST(l_tax AS DECIMAL(5,4))"
+    return lineitem.where("l_orderkey IS NOT NULL").selectExpr(
+        "concat(CAST(l_orderkey AS STRING), '-', CAST(l_linenumber AS STRING)) AS order_item_id",
+        "l_orderkey AS order_id",
+        "l_partkey AS product_id",
+        "l_suppkey AS supplier_id",
+        "l_linenumber AS line_number",
+        "CAST(l_quantity AS DECIMAL(8,2)) AS quantity",
+        f"{price} AS gross_amount_usd",
+        f"{discount} AS discount_pct",
+        f"{tax} AS tax_pct",
+        f"CAST({price} * (1 - {discount}) * (1 + {tax}) AS DECIMAL(12,2)) AS line_total_usd",
+        "l_shipdate AS shipped_date",
+        "l_commitdate AS committed_date",
+        "l_receiptdate AS receipt_date",
+        f"{is_true_sql(in_sql('l_returnflag', RETURN_FLAGS))} AS was_returned",
+        f"{decode_sql('l_linestatus', LINE_STATUS, 'unknown')} AS line_status",
     )
 
 
 def stg_products(part: DataFrame) -> DataFrame:
-    return part.where(F.col("p_partkey").isNotNull()).select(
-        F.col("p_partkey").alias("product_id"),
-        F.trim("p_name").alias("product_name"),
-        F.col("p_mfgr").alias("manufacturer"),
-        F.col("p_brand").alias("brand"),
-        F.col("p_type").alias("product_type"),
-        F.split_part(F.col("p_type"), F.lit(" "), F.lit(1)).alias("quality_tier"),
-        F.split_part(F.col("p_type"), F.lit(" "), F.lit(-1)).alias("material"),
-        F.col("p_size").cast("int").alias("product_size"),
-        F.col("p_container").alias("container"),
-        to_money("p_retailprice").alias("retail_price_usd"),
-        F.trim("p_comment").alias("product_notes"),
+    return part.where("p_partkey IS NOT NULL").selectExpr(
+        "p_partkey AS product_id",
+        "trim(p_name) AS product_name",
+        "p_mfgr AS manufacturer",
+        "p_brand AS brand",
+        "p_type AS product_type",
+        "split_part(p_type, ' ', 1) AS quality_tier",
+        "split_part(p_type, ' ', -1) AS material",
+        "CAST(p_size AS INT) AS product_size",
+        "p_container AS container",
+        "CAST(p_retailprice AS DECIMAL(12,2)) AS retail_price_usd",
+        "trim(p_comment) AS product_notes",
     )
 
 
-def stg_payments(raw_payments: DataFrame, as_of: Column) -> DataFrame:
-    status = F.col("status")
-    paid_at = F.col("paid_at").cast("timestamp_ntz")
-    review_cutoff = F.timestamp_add("HOUR", F.lit(-24), as_of)
-    return raw_payments.where(F.col("payment_id").isNotNull() & (F.col("amount_usd") > 0)).select(
+def stg_payments(raw_payments: DataFrame, as_of: str) -> DataFrame:
+    """``as_of`` is the reference clock as a SQL expression."""
+    paid_at = "CAST(paid_at AS TIMESTAMP_NTZ)"
+    review = f"status = 'pending' AND {paid_at} < timestampadd(HOUR, -24, {as_of})"
+    return raw_payments.where("payment_id IS NOT NULL AND amount_usd > 0").selectExpr(
         "payment_id",
         "order_id",
         "customer_id",
-        to_money("amount_usd").alias("amount_usd"),
+        "CAST(amount_usd AS DECIMAL(12,2)) AS amount_usd",
         "payment_method",
-        status.alias("payment_status"),
-        paid_at.alias("paid_at"),
-        is_true(status == "captured").alias("is_captured"),
-        is_true(status.isin(PROBLEM_PAYMENT_STATUSES)).alias("is_problem"),
-        is_true((status == "pending") & (paid_at < review_cutoff)).alias("needs_review"),
+        "status AS payment_status",
+        f"{paid_at} AS paid_at",
+        f"{is_true_sql("status = 'captured'")} AS is_captured",
+        f"{is_true_sql(in_sql('status', PROBLEM_PAYMENT_STATUSES))} AS is_problem",
+        f"{is_true_sql(review)} AS needs_review",
     )
 
 
 def stg_shipments(raw_shipments: DataFrame) -> DataFrame:
-    shipped = F.col("shipped_at").cast("timestamp_ntz")
-    delivered = F.col("delivered_at").cast("timestamp_ntz")
-    return raw_shipments.where(F.col("shipment_id").isNotNull()).select(
+    shipped, delivered = "CAST(shipped_at AS TIMESTAMP_NTZ)", "CAST(delivered_at AS TIMESTAMP_NTZ)"
+    return raw_shipments.where("shipment_id IS NOT NULL").selectExpr(
         "shipment_id",
         "order_id",
         "carrier",
         "tracking_number",
-        F.col("status").alias("shipment_status"),
-        shipped.alias("shipped_at"),
-        delivered.alias("delivered_at"),
-        is_true(F.col("status") == "delivered").alias("is_delivered"),
-        is_true(F.col("status") == "returned").alias("is_returned"),
-        F.when(delivered.isNotNull(), day_diff(shipped, delivered)).alias("delivery_time_days"),
+        "status AS shipment_status",
+        f"{shipped} AS shipped_at",
+        f"{delivered} AS delivered_at",
+        f"{is_true_sql("status = 'delivered'")} AS is_delivered",
+        f"{is_true_sql("status = 'returned'")} AS is_returned",
+        f"CASE WHEN {delivered} IS NOT NULL THEN {day_diff_sql(shipped, delivered)} END AS delivery_time_days",
     )
 
 
-def stg_marketing_campaigns(raw_campaigns: DataFrame, as_of: Column) -> DataFrame:
-    started = F.col("started_at").cast("timestamp_ntz")
-    ended = F.col("ended_at").cast("timestamp_ntz")
-    return raw_campaigns.where(F.col("campaign_id").isNotNull()).select(
+def stg_marketing_campaigns(raw_campaigns: DataFrame, as_of: str) -> DataFrame:
+    """``as_of`` is the reference clock as a SQL expression."""
+    started, ended = "CAST(started_at AS TIMESTAMP_NTZ)", "CAST(ended_at AS TIMESTAMP_NTZ)"
+    return raw_campaigns.where("campaign_id IS NOT NULL").selectExpr(
         "campaign_id",
-        F.trim("campaign_name").alias("campaign_name"),
+        "trim(campaign_name) AS campaign_name",
         "channel",
         "campaign_type",
-        to_money("budget_usd").alias("budget_usd"),
-        started.alias("started_at"),
-        ended.alias("ended_at"),
-        day_diff(started, ended).alias("duration_days"),
-        is_true(as_of.between(started, ended)).alias("is_active"),
+        "CAST(budget_usd AS DECIMAL(12,2)) AS budget_usd",
+        f"{started} AS started_at",
+        f"{ended} AS ended_at",
+        f"{day_diff_sql(started, ended)} AS duration_days",
+        f"{is_true_sql(f'{as_of} BETWEEN {started} AND {ended}')} AS is_active",
     )
 
 
 def stg_marketing_clicks(raw_clicks: DataFrame) -> DataFrame:
-    return raw_clicks.where(F.col("click_id").isNotNull()).select(
+    return raw_clicks.where("click_id IS NOT NULL").selectExpr(
         "click_id",
         "campaign_id",
         "customer_id",
-        F.col("clicked_at").cast("timestamp_ntz").alias("clicked_at"),
+        "CAST(clicked_at AS TIMESTAMP_NTZ) AS clicked_at",
         "source_url",
-        F.col("converted").cast("boolean").alias("did_convert"),
-        F.col("customer_id").isNull().alias("is_anonymous"),
+        "CAST(converted AS BOOLEAN) AS did_convert",
+        "customer_id IS NULL AS is_anonymous",
     )

@@ -10,6 +10,7 @@ reports read.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -39,10 +40,10 @@ _BUILDERS: dict[str, _Builder] = {
     "stg_orders": lambda p: staging.stg_orders(p.sources["orders"]),
     "stg_order_items": lambda p: staging.stg_order_items(p.sources["lineitem"]),
     "stg_products": lambda p: staging.stg_products(p.sources["part"]),
-    "stg_payments": lambda p: staging.stg_payments(p.table("raw_payments"), p.as_of),
+    "stg_payments": lambda p: staging.stg_payments(p.table("raw_payments"), p.as_of_sql),
     "stg_shipments": lambda p: staging.stg_shipments(p.table("raw_shipments")),
     "stg_marketing_campaigns": lambda p: staging.stg_marketing_campaigns(
-        p.table("raw_marketing_campaigns"), p.as_of
+        p.table("raw_marketing_campaigns"), p.as_of_sql
     ),
     "stg_marketing_clicks": lambda p: staging.stg_marketing_clicks(p.table("raw_marketing_clicks")),
     # intermediate (ephemeral in the warehouse; materialised once per pipeline run here)
@@ -50,17 +51,17 @@ _BUILDERS: dict[str, _Builder] = {
         p.table("stg_orders"), p.table("stg_order_items"), p.table("stg_payments"), p.table("stg_shipments")
     ),
     "int_customer_lifetime": lambda p: intermediate.int_customer_lifetime(
-        p.table("stg_customers"), p.table("int_orders_enriched"), p.table("stg_marketing_clicks"), p.as_of
+        p.table("stg_customers"), p.table("int_orders_enriched"), p.table("stg_marketing_clicks"), p.as_of_sql
     ),
     "int_product_performance": lambda p: intermediate.int_product_performance(
         p.table("stg_products"), p.table("stg_order_items")
     ),
     # core marts
-    "dim_customers": lambda p: core.dim_customers(p.table("int_customer_lifetime"), p.as_of),
-    "dim_products": lambda p: core.dim_products(p.table("int_product_performance"), p.as_of),
-    "fct_orders": lambda p: core.fct_orders(p.table("int_orders_enriched"), p.as_of),
+    "dim_customers": lambda p: core.dim_customers(p.table("int_customer_lifetime"), p.as_of_sql),
+    "dim_products": lambda p: core.dim_products(p.table("int_product_performance"), p.as_of_sql),
+    "fct_orders": lambda p: core.fct_orders(p.table("int_orders_enriched"), p.as_of_sql),
     "fct_revenue": lambda p: core.fct_revenue(
-        p.table("stg_payments"), p.table("stg_orders"), p.table("int_customer_lifetime"), p.as_of
+        p.table("stg_payments"), p.table("stg_orders"), p.table("int_customer_lifetime"), p.as_of_sql
     ),
     # reports
     "rpt_daily_revenue": lambda p: reports.rpt_daily_revenue(p.table("fct_revenue")),
@@ -122,8 +123,11 @@ class Project:
                 }
             )
         self.raw = raw
+        # validated: the clock is embedded in SQL expressions
+        as_of = dt.datetime.fromisoformat(as_of).strftime("%Y-%m-%d %H:%M:%S")
         self.as_of_text = as_of
         self.as_of = ntz(as_of)
+        self.as_of_sql = f"CAST('{as_of}' AS TIMESTAMP_NTZ)"
         self._tables: dict[str, DataFrame] = {}
 
     @classmethod

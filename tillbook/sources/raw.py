@@ -4,17 +4,17 @@ The reference ships randomly generated seed files for payments, shipments,
 campaigns and clicks.  Here they are pure projections of the source tables
 (integer arithmetic on the keys), so the same rows come out at every scale
 and on every engine, and the work grows with the source tables.
+
+The projections are written as SQL expressions (``selectExpr``): Catalyst
+compiles them to the same plan as the Column API, and each column is one
+call into the JVM when the plan is built.
 """
 
 from __future__ import annotations
 
-from decimal import Decimal
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillbook.functions.dates import add_hours, ntz
-
 # ---- fixed values (must equal the reference's vocabularies) ----------------
 PAYMENT_METHODS = ["credit_card", "debit_card", "ach", "paypal", "apple_pay"]
 CHANNELS = ["google_ads", "facebook", "email", "instagram", "tiktok", "podcast"]
@@ -27,97 +27,76 @@ CAMPAIGN_EPOCH = "1999-08-01 00:00:00"
 CAMPAIGN_COUNT = 40
 
 
-def pick(values: list, index: Column) -> Column:
-    """``values[index]`` with a 0-based index (a literal array lookup)."""
-    return F.get(F.array(*[F.lit(v) for v in values]), index.cast("int"))
+def pick_sql(values: list, index_sql: str) -> str:
+    """``values[index]`` with a 0-based index, as a literal array lookup."""
+    items = ", ".join(f"'{v}'" if isinstance(v, str) else str(v) for v in values)
+    return f"get(array({items}), CAST({index_sql} AS INT))"
 
 
-def zero_pad(x: Column, width: int) -> Column:
+def pad_sql(x_sql: str, width: int) -> str:
     """Left-pad an integer with zeros; never truncates wider values."""
-    return F.format_string(f"%0{width}d", x)
+    return f"format_string('%0{width}d', {x_sql})"
 
 
-def cents_to_money(cents: Column) -> Column:
-    return (cents.cast("decimal(20,0)") * F.lit(Decimal("0.01"))).cast("decimal(12,2)")
+def hours_sql(ts_sql: str, hours_sql: str) -> str:
+    return f"timestampadd(HOUR, CAST({hours_sql} AS INT), {ts_sql})"
 
 
 def derive_raw_payments(orders: DataFrame) -> DataFrame:
     """One payment attempt for 17 of every 20 orders, a second attempt for
     orders whose key ends in 3 (single scan: the attempts are exploded)."""
-    k = F.col("o_orderkey")
-    base = orders.where(k.isNotNull() & ((k % 20) < 17)).select(
+    k, status = "o_orderkey", "(o_orderkey * 13 + att * 3) % 8"
+    base = orders.where("o_orderkey IS NOT NULL AND o_orderkey % 20 < 17").selectExpr(
         "o_orderkey",
         "o_custkey",
         "o_orderdate",
-        F.explode(
-            F.when((k % 10) == 3, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
-        ).alias("att"),
+        "explode(IF(o_orderkey % 10 = 3, array(1, 2), array(1))) AS att",
     )
-    att = F.col("att")
-    status_code = (k * 13 + att * 3) % 8
-    return base.select(
-        F.concat(F.lit("PMT_"), zero_pad(k, 8), F.lit("_"), att.cast("string")).alias("payment_id"),
-        k.alias("order_id"),
-        F.col("o_custkey").alias("customer_id"),
-        F.when((k % 97) == 0, F.lit(0).cast("decimal(12,2)"))
-        .otherwise(cents_to_money(F.lit(1500) + (k * 7919 + att * 131) % 498500))
-        .alias("amount_usd"),
-        F.when((k % 19) == 7, F.lit(None).cast("string"))
-        .otherwise(pick(PAYMENT_METHODS, (k + att) % 5))
-        .alias("payment_method"),
-        F.when(status_code < 5, "captured")
-        .when(status_code == 5, "pending")
-        .when(status_code == 6, "failed")
-        .otherwise("refunded")
-        .alias("status"),
-        add_hours("o_orderdate", ((k * 37 + att * 29) % 8760).cast("int")).alias("paid_at"),
+    return base.selectExpr(
+        f"concat('PMT_', {pad_sql(k, 8)}, '_', CAST(att AS STRING)) AS payment_id",
+        f"{k} AS order_id",
+        "o_custkey AS customer_id",
+        f"""CASE WHEN {k} % 97 = 0 THEN CAST(0 AS DECIMAL(12,2))
+                 ELSE CAST(CAST(1500 + ({k} * 7919 + att * 131) % 498500 AS DECIMAL(20,0)) * 0.01 AS DECIMAL(12,2))
+            END AS amount_usd""",
+        f"CASE WHEN {k} % 19 = 7 THEN NULL ELSE {pick_sql(PAYMENT_METHODS, f'({k} + att) % 5')} END AS payment_method",
+        f"""CASE WHEN {status} < 5 THEN 'captured' WHEN {status} = 5 THEN 'pending'
+                 WHEN {status} = 6 THEN 'failed' ELSE 'refunded' END AS status""",
+        f"{hours_sql('o_orderdate', f'({k} * 37 + att * 29) % 8760')} AS paid_at",
     )
 
 
 def derive_raw_shipments(orders: DataFrame) -> DataFrame:
     """One shipment for three of every four orders."""
-    k = F.col("o_orderkey")
-    status_code = (k * 11) % 6
-    status = (
-        F.when(status_code < 3, "delivered")
-        .when(status_code == 3, "in_transit")
-        .when(status_code == 4, "delayed")
-        .otherwise("returned")
-    )
-    shipped_at = add_hours("o_orderdate", (F.lit(24) * (1 + (k * 17) % 30) + k % 24).cast("int"))
-    return orders.where(k.isNotNull() & ((k % 4) != 3)).select(
-        F.concat(F.lit("SHIP_"), zero_pad(k, 8)).alias("shipment_id"),
-        k.alias("order_id"),
-        F.when((k % 4) == 0, "UPS").when((k % 4) == 1, "FedEx").otherwise("USPS").alias("carrier"),
-        F.concat(F.lit("TR"), (F.lit(100000000) + (k * 104729) % 899999999).cast("string")).alias(
-            "tracking_number"
-        ),
-        status.alias("status"),
-        shipped_at.alias("shipped_at"),
-        F.when(
-            status_code < 3,
-            add_hours(shipped_at, (F.lit(24) * (2 + k % 7) + k % 13).cast("int")),
-        ).alias("delivered_at"),
+    k, status = "o_orderkey", "(o_orderkey * 11) % 6"
+    shipped = hours_sql("o_orderdate", f"24 * (1 + ({k} * 17) % 30) + {k} % 24")
+    return orders.where("o_orderkey IS NOT NULL AND o_orderkey % 4 <> 3").selectExpr(
+        f"concat('SHIP_', {pad_sql(k, 8)}) AS shipment_id",
+        f"{k} AS order_id",
+        f"CASE {k} % 4 WHEN 0 THEN 'UPS' WHEN 1 THEN 'FedEx' ELSE 'USPS' END AS carrier",
+        f"concat('TR', CAST(100000000 + ({k} * 104729) % 899999999 AS STRING)) AS tracking_number",
+        f"""CASE WHEN {status} < 3 THEN 'delivered' WHEN {status} = 3 THEN 'in_transit'
+                 WHEN {status} = 4 THEN 'delayed' ELSE 'returned' END AS status""",
+        f"{shipped} AS shipped_at",
+        f"CASE WHEN {status} < 3 THEN {hours_sql(shipped, f'24 * (2 + {k} % 7) + {k} % 13')} END AS delivered_at",
     )
 
 
 def derive_raw_marketing_campaigns(part: DataFrame) -> DataFrame:
     """Forty campaigns, one per part key 0..39 (the scan filter is pushed to parquet)."""
-    i = F.col("p_partkey") + 1
-    ctype = pick(CAMPAIGN_TYPES, (i * 7) % 4)
-    channel = pick(CHANNELS, i % 6)
-    return part.where(F.col("p_partkey") < CAMPAIGN_COUNT).select(
-        F.concat(F.lit("CMP_"), zero_pad(i, 4)).alias("campaign_id"),
-        F.concat(F.lit("  "), ctype, F.lit(" "), channel, F.lit(" ")).alias("campaign_name"),
-        channel.alias("channel"),
-        ctype.alias("campaign_type"),
-        F.when(i == CAMPAIGN_COUNT, F.lit(0).cast("bigint"))
-        .otherwise(pick(BUDGET_TIERS, i % 5).cast("bigint"))
-        .alias("budget_usd"),
-        add_hours(ntz(CAMPAIGN_EPOCH), (F.lit(24 * 18) * i).cast("int")).alias("started_at"),
-        add_hours(ntz(CAMPAIGN_EPOCH), (F.lit(24) * (18 * i + 7 + (i * 11) % 84)).cast("int")).alias(
-            "ended_at"
-        ),
+    i = "(p_partkey + 1)"
+    ctype = pick_sql(CAMPAIGN_TYPES, f"({i} * 7) % 4")
+    channel = pick_sql(CHANNELS, f"{i} % 6")
+    epoch = f"CAST('{CAMPAIGN_EPOCH}' AS TIMESTAMP_NTZ)"
+    return part.where(F.col("p_partkey") < CAMPAIGN_COUNT).selectExpr(
+        f"concat('CMP_', {pad_sql(i, 4)}) AS campaign_id",
+        f"concat('  ', {ctype}, ' ', {channel}, ' ') AS campaign_name",
+        f"{channel} AS channel",
+        f"{ctype} AS campaign_type",
+        f"CAST(CASE WHEN {i} = {CAMPAIGN_COUNT} THEN 0 ELSE {pick_sql(BUDGET_TIERS, f'{i} % 5')} END AS BIGINT)"
+        " AS budget_usd",
+        f"{hours_sql(epoch, f'24 * 18 * {i}')} AS started_at",
+        f"{hours_sql(epoch, f'24 * (18 * {i} + 7 + ({i} * 11) % 84)')} AS ended_at",
     )
 
 
@@ -127,14 +106,14 @@ def derive_raw_marketing_clicks(events: DataFrame) -> DataFrame:
     Clicks of most users are moved back into the order period (one month
     per ``user_id % 12``) so first-touch attribution meets real orders.
     """
-    e, user = F.col("event_id"), F.col("user_id")
-    hour_start = add_hours(F.to_date("ts").cast("timestamp_ntz"), F.hour("ts"))
-    shift = F.when((user % 5) == 0, F.lit(0)).otherwise(F.lit(24) * (8766 + 30 * (user % 12)))
-    return events.where(F.col("event_type") != "error").select(
-        F.concat(F.lit("CLICK_"), zero_pad(e, 7)).alias("click_id"),
-        F.concat(F.lit("CMP_"), zero_pad((e * 17) % 38 + 1, 4)).alias("campaign_id"),
-        F.when((e % 10) < 7, user).alias("customer_id"),
-        add_hours(hour_start, (-shift).cast("int")).alias("clicked_at"),
-        F.concat(F.lit("/landing/"), pick(LANDING_PAGES, e % 5)).alias("source_url"),
-        ((e % 25) < 3).alias("converted"),
+    e = "event_id"
+    hour_start = hours_sql("CAST(to_date(ts) AS TIMESTAMP_NTZ)", "hour(ts)")
+    shift = "CASE WHEN user_id % 5 = 0 THEN 0 ELSE 24 * (8766 + 30 * (user_id % 12)) END"
+    return events.where("event_type <> 'error'").selectExpr(
+        f"concat('CLICK_', {pad_sql(e, 7)}) AS click_id",
+        f"concat('CMP_', {pad_sql(f'({e} * 17) % 38 + 1', 4)}) AS campaign_id",
+        f"CASE WHEN {e} % 10 < 7 THEN user_id END AS customer_id",
+        f"{hours_sql(hour_start, f'-({shift})')} AS clicked_at",
+        f"concat('/landing/', {pick_sql(LANDING_PAGES, f'{e} % 5')}) AS source_url",
+        f"{e} % 25 < 3 AS converted",
     )

@@ -22,7 +22,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tillbook.sources.raw import LANDING_PAGES, PAYMENT_METHODS, pick, zero_pad
+from tillbook.sources.raw import LANDING_PAGES, PAYMENT_METHODS, pad_sql, pick_sql
 from tillbook.session import pin
 from tillbook.sources.schemas import RAW_SCHEMAS
 
@@ -51,73 +51,63 @@ def sample_rows(df: DataFrame, key: str, n: int) -> DataFrame:
     return top.withColumn("rn", F.row_number().over(Window.orderBy(*order)))
 
 
-def batch_day(as_of: Column) -> Column:
-    return F.date_format(as_of, "yyyyMMdd")
-
-
 def batch_prefix(table: str, as_of_text: str) -> str:
     return f"{ID_PREFIX[table]}{as_of_text[:10].replace('-', '')}_"
 
 
-def batch_payments(orders: DataFrame, as_of: Column) -> DataFrame:
+def _as_of_sql(as_of_text: str) -> str:
+    return f"CAST('{as_of_text}' AS TIMESTAMP_NTZ)"
+
+
+def batch_payments(orders: DataFrame, as_of_text: str) -> DataFrame:
     s = sample_rows(orders.select("o_orderkey", "o_custkey"), "o_orderkey", BATCH_ROWS["raw_payments"])
-    rn, k = F.col("rn"), F.col("o_orderkey")
-    status_roll = (rn * 53) % 100
-    return s.select(
-        F.concat(F.lit("PMT_"), batch_day(as_of), F.lit("_"), zero_pad(rn, 4)).alias("payment_id"),
-        k.alias("order_id"),
-        F.col("o_custkey").alias("customer_id"),
-        (F.lit(15) + (k * 7919) % 4986).cast("decimal(12,2)").alias("amount_usd"),
-        F.when((rn * 37) % 100 < 5, F.lit(None).cast("string"))
-        .otherwise(pick(PAYMENT_METHODS, rn % 5))
-        .alias("payment_method"),
-        F.when(status_roll < 5, "failed")
-        .when(status_roll < 10, "pending")
-        .when(status_roll < 15, "refunded")
-        .otherwise("captured")
-        .alias("status"),
-        F.timestamp_add("HOUR", -(rn % 37), as_of).alias("paid_at"),
+    now, roll = _as_of_sql(as_of_text), "(rn * 53) % 100"
+    return s.selectExpr(
+        f"concat('{batch_prefix('raw_payments', as_of_text)}', {pad_sql('rn', 4)}) AS payment_id",
+        "o_orderkey AS order_id",
+        "o_custkey AS customer_id",
+        "CAST(15 + (o_orderkey * 7919) % 4986 AS DECIMAL(12,2)) AS amount_usd",
+        f"CASE WHEN (rn * 37) % 100 < 5 THEN NULL ELSE {pick_sql(PAYMENT_METHODS, 'rn % 5')} END AS payment_method",
+        f"""CASE WHEN {roll} < 5 THEN 'failed' WHEN {roll} < 10 THEN 'pending'
+                 WHEN {roll} < 15 THEN 'refunded' ELSE 'captured' END AS status""",
+        f"timestampadd(HOUR, -(rn % 37), {now}) AS paid_at",
     )
 
 
-def batch_shipments(orders: DataFrame, as_of: Column) -> DataFrame:
+def batch_shipments(orders: DataFrame, as_of_text: str) -> DataFrame:
     s = sample_rows(orders.select("o_orderkey"), "o_orderkey", BATCH_ROWS["raw_shipments"])
-    rn, k = F.col("rn"), F.col("o_orderkey")
-    status_roll = (rn * 53) % 100
-    return s.select(
-        F.concat(F.lit("SHIP_"), batch_day(as_of), F.lit("_"), zero_pad(rn, 4)).alias("shipment_id"),
-        k.alias("order_id"),
-        pick(BATCH_CARRIERS, rn % 4).alias("carrier"),
-        (F.lit(100000000) + (k * 104729) % 899999999).cast("string").alias("tracking_number"),
-        F.when(status_roll < 5, "returned")
-        .when(status_roll < 20, "in_transit")
-        .when(status_roll < 25, "delayed")
-        .otherwise("delivered")
-        .alias("status"),
-        F.timestamp_add("DAY", -(1 + rn % 7), as_of).alias("shipped_at"),
+    now, roll = _as_of_sql(as_of_text), "(rn * 53) % 100"
+    return s.selectExpr(
+        f"concat('{batch_prefix('raw_shipments', as_of_text)}', {pad_sql('rn', 4)}) AS shipment_id",
+        "o_orderkey AS order_id",
+        f"{pick_sql(BATCH_CARRIERS, 'rn % 4')} AS carrier",
+        "CAST(100000000 + (o_orderkey * 104729) % 899999999 AS STRING) AS tracking_number",
+        f"""CASE WHEN {roll} < 5 THEN 'returned' WHEN {roll} < 20 THEN 'in_transit'
+                 WHEN {roll} < 25 THEN 'delayed' ELSE 'delivered' END AS status""",
+        f"timestampadd(DAY, -(1 + rn % 7), {now}) AS shipped_at",
         # independent of status, as in the reference: delivered rows without a date occur
-        F.when((rn * 37) % 100 < 75, F.timestamp_add("DAY", 2 + rn % 7, as_of)).alias("delivered_at"),
+        f"CASE WHEN (rn * 37) % 100 < 75 THEN timestampadd(DAY, 2 + rn % 7, {now}) END AS delivered_at",
     )
 
 
-def batch_clicks(customers: DataFrame, as_of: Column) -> DataFrame:
+def batch_clicks(customers: DataFrame, as_of_text: str) -> DataFrame:
     s = sample_rows(customers.select("c_custkey"), "c_custkey", BATCH_ROWS["raw_marketing_clicks"])
-    rn = F.col("rn")
-    return s.select(
-        F.concat(F.lit("CLICK_"), batch_day(as_of), F.lit("_"), zero_pad(rn, 5)).alias("click_id"),
-        F.concat(F.lit("CMP_"), zero_pad((rn * 17) % 40 + 1, 4)).alias("campaign_id"),
-        F.when((rn * 41) % 100 < 70, F.col("c_custkey")).alias("customer_id"),
-        F.timestamp_add("HOUR", -(rn % 25), as_of).alias("clicked_at"),
-        F.concat(F.lit("/landing/"), pick(LANDING_PAGES, rn % 5)).alias("source_url"),
-        ((rn * 59) % 100 < 12).alias("converted"),
+    now = _as_of_sql(as_of_text)
+    return s.selectExpr(
+        f"concat('{batch_prefix('raw_marketing_clicks', as_of_text)}', {pad_sql('rn', 5)}) AS click_id",
+        f"concat('CMP_', {pad_sql('(rn * 17) % 40 + 1', 4)}) AS campaign_id",
+        "CASE WHEN (rn * 41) % 100 < 70 THEN c_custkey END AS customer_id",
+        f"timestampadd(HOUR, -(rn % 25), {now}) AS clicked_at",
+        f"concat('/landing/', {pick_sql(LANDING_PAGES, 'rn % 5')}) AS source_url",
+        "(rn * 59) % 100 < 12 AS converted",
     )
 
 
-def daily_batches(sources: dict[str, DataFrame], as_of: Column) -> dict[str, DataFrame]:
+def daily_batches(sources: dict[str, DataFrame], as_of_text: str) -> dict[str, DataFrame]:
     return {
-        "raw_payments": batch_payments(sources["orders"], as_of),
-        "raw_shipments": batch_shipments(sources["orders"], as_of),
-        "raw_marketing_clicks": batch_clicks(sources["customer"], as_of),
+        "raw_payments": batch_payments(sources["orders"], as_of_text),
+        "raw_shipments": batch_shipments(sources["orders"], as_of_text),
+        "raw_marketing_clicks": batch_clicks(sources["customer"], as_of_text),
     }
 
 
