@@ -91,39 +91,41 @@ def _labels(checks: list[Check], table: str, column: str, test: str) -> list[str
 
 def _emit(df: DataFrame, resources: list[str], table: str, column: str, test: str) -> DataFrame:
     """Attach the (resource, table, column, test) labels to a one-row failure count."""
-    return df.select(
-        F.explode(F.array(*[F.lit(r) for r in resources])).alias("resource_type"),
-        F.lit(table).alias("table_name"),
-        F.lit(column).alias("column_name"),
-        F.lit(test).alias("test_name"),
-        F.col("failures").cast("bigint").alias("failures"),
+    labels = ", ".join(f"'{r}'" for r in resources)
+    return df.selectExpr(
+        f"explode(array({labels})) AS resource_type",
+        f"'{table}' AS table_name",
+        f"'{column}' AS column_name",
+        f"'{test}' AS test_name",
+        "CAST(failures AS BIGINT) AS failures",
     )
 
 
 def not_null_counts(df: DataFrame, columns: list[str]) -> DataFrame:
     """NULL count of every column in one pass, unpivoted to (column_name, failures)."""
-    wide = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns])
+    wide = df.agg(*[F.expr(f"count_if({c} IS NULL) AS {c}") for c in columns])
     return wide.unpivot([], columns, "column_name", "failures")
 
 
 def unique_failures(df: DataFrame, column: str) -> DataFrame:
     """Number of non-NULL values that occur more than once."""
     return (
-        df.where(F.col(column).isNotNull())
+        df.where(f"{column} IS NOT NULL")
         .groupBy(column)
-        .agg(F.count(F.lit(1)).alias("n"))
-        .where(F.col("n") > 1)
-        .agg(F.count(F.lit(1)).alias("failures"))
+        .agg(F.expr("count(1) AS n"))
+        .where("n > 1")
+        .agg(F.expr("count(1) AS failures"))
     )
 
 
 def accepted_values_failures(df: DataFrame, column: str, values: tuple[str, ...]) -> DataFrame:
     """Number of distinct values outside the accepted list (NULL passes)."""
+    listed = ", ".join(f"'{v}'" for v in values)
     return (
         df.groupBy(column)
-        .agg(F.count(F.lit(1)).alias("n"))
-        .where(~F.col(column).isin(list(values)))
-        .agg(F.count(F.lit(1)).alias("failures"))
+        .agg(F.expr("count(1) AS n"))
+        .where(f"NOT ({column} IN ({listed}))")
+        .agg(F.expr("count(1) AS failures"))
     )
 
 
@@ -136,14 +138,13 @@ def _table_pass(df: DataFrame, key: str | None, nn_cols: list[str]) -> DataFrame
     key: a single global aggregate."""
     nulls = {c: f"_null_{i}" for i, c in enumerate(nn_cols)}
     if key is None:
-        return df.agg(*[F.count_if(F.col(c).isNull()).alias(a) for c, a in nulls.items()])
+        return df.agg(*[F.expr(f"count_if({c} IS NULL) AS {a}") for c, a in nulls.items()])
     per_key = df.groupBy(key).agg(
-        F.count(F.lit(1)).alias("_n"),
-        *[F.count_if(F.col(c).isNull()).alias(a) for c, a in nulls.items()],
+        F.expr("count(1) AS _n"), *[F.expr(f"count_if({c} IS NULL) AS {a}") for c, a in nulls.items()]
     )
     return per_key.agg(
-        F.count_if(F.col(key).isNotNull() & (F.col("_n") > 1)).alias("_dup"),
-        *[F.coalesce(F.sum(a), F.lit(0)).cast("bigint").alias(a) for a in nulls.values()],
+        F.expr(f"count_if({key} IS NOT NULL AND _n > 1) AS _dup"),
+        *[F.expr(f"CAST(coalesce(sum({a}), 0) AS BIGINT) AS {a}") for a in nulls.values()],
     )
 
 
@@ -164,25 +165,19 @@ def run_checks(
             wide = _table_pass(df, key, cols)
             results = []  # (resource labels, column, test, failure expression)
             if key is not None:
-                results.append((_labels(mine, table, key, "unique"), key, "unique", F.col("_dup")))
+                results.append((_labels(mine, table, key, "unique"), key, "unique", "_dup"))
             for j, c in enumerate(cols):
-                results.append((_labels(mine, table, c, "not_null"), c, "not_null", F.col(f"_null_{j}")))
-            rows = F.array(
-                *[
-                    F.struct(
-                        F.lit(label).alias("resource_type"),
-                        F.lit(col).alias("column_name"),
-                        F.lit(test).alias("test_name"),
-                        expr.cast("bigint").alias("failures"),
-                    )
-                    for labels, col, test, expr in results
-                    for label in labels
-                ]
+                results.append((_labels(mine, table, c, "not_null"), c, "not_null", f"_null_{j}"))
+            structs = ", ".join(
+                f"named_struct('resource_type', '{label}', 'column_name', '{col}', 'test_name', '{test}',"
+                f" 'failures', CAST({expr} AS BIGINT))"
+                for labels, col, test, expr in results
+                for label in labels
             )
             parts.append(
-                wide.select(F.explode(rows).alias("r")).select(
+                wide.selectExpr(f"explode(array({structs})) AS r").selectExpr(
                     "r.resource_type",
-                    F.lit(table).alias("table_name"),
+                    f"'{table}' AS table_name",
                     "r.column_name",
                     "r.test_name",
                     "r.failures",
@@ -200,4 +195,4 @@ def run_checks(
                     )
                 )
     result = reduce(DataFrame.unionByName, parts)
-    return result.withColumn("passed", F.col("failures") == 0).select(*RESULT_COLUMNS)
+    return result.selectExpr(*RESULT_COLUMNS[:-1], "failures = 0 AS passed")
