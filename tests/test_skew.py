@@ -72,3 +72,14 @@ def test_revenue_with_hot_customer_and_order(spark):
         by_segment[r["customer_segment"]] = by_segment.get(r["customer_segment"], 0) + 1
     assert by_segment["HOT"] >= 1000 and None not in by_segment
     assert "_salt" in plan  # the customer join runs on (customer, salt)
+
+
+def test_hot_customer_and_order_are_detected(spark):
+    from tillbook.operators.core import HOT_KEY_FRACTION
+    from tillbook.operators.skew import heavy_rows
+
+    p = _hot_project(spark)
+    hot_customers = heavy_rows(p.table("int_customer_lifetime"), "customer_id", "total_orders", HOT_KEY_FRACTION)
+    assert 1 in {r.customer_id for r in hot_customers.collect()}
+    hot_orders = heavy_rows(p.table("int_orders_enriched"), "order_id", "payment_attempt_count", 0.1)
+    assert [r.order_id for r in hot_orders.collect()] == [7]

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tillbook.functions.dates import day_diff, day_of_week
 from tillbook.functions.numeric import stable_round
-from tillbook.operators.skew import heavy_hitters, salted_left_join, union_keys
+from tillbook.operators.skew import heavy_rows, salted_left_join, union_keys
 
 # A key is "hot" when it holds more than this share of a join input; at most
 # 1 / HOT_KEY_FRACTION keys per detector qualify, which bounds the broadcast.
@@ -93,7 +93,9 @@ def fct_orders(orders_enriched: DataFrame, as_of: str) -> DataFrame:
     )
 
 
-def fct_revenue(payments: DataFrame, orders: DataFrame, lifetime: DataFrame, as_of: str) -> DataFrame:
+def fct_revenue(
+    payments: DataFrame, orders: DataFrame, lifetime: DataFrame, orders_enriched: DataFrame, as_of: str
+) -> DataFrame:
     """Captured payments with order priority and customer segments.
 
     The reference joins orders to the customer roll-up and then payments to
@@ -109,14 +111,18 @@ def fct_revenue(payments: DataFrame, orders: DataFrame, lifetime: DataFrame, as_
     segments = lifetime.selectExpr(
         "customer_id AS order_customer_id", "market_segment AS customer_segment", "customer_segment_lifecycle"
     )
-    # A customer may own a third of all captured payments (through many orders
-    # or one order with many payments).  Both cases are found on the base
-    # tables and spread by a salted join; the join result is unchanged.
+    # A customer may own a third of all captured payments, through many orders
+    # or through one order with many payments.  The roll-ups already hold both
+    # counts (orders per customer, payments per order; in a pipeline run they
+    # are materialised tables), so the hot keys are a filter, not a new
+    # aggregation.  The salted join spreads them; its result is unchanged.
     hot_customers = union_keys(
         "order_customer_id",
-        heavy_hitters(order_side, "order_customer_id", HOT_KEY_FRACTION),
-        order_side.join(
-            F.broadcast(heavy_hitters(captured, "order_id", HOT_KEY_FRACTION)), "order_id", "left_semi"
+        heavy_rows(lifetime, "customer_id", "total_orders", HOT_KEY_FRACTION).selectExpr(
+            "customer_id AS order_customer_id"
+        ),
+        heavy_rows(orders_enriched, "order_id", "payment_attempt_count", HOT_KEY_FRACTION).selectExpr(
+            "customer_id AS order_customer_id"
         ),
     )
     joined = salted_left_join(

@@ -40,6 +40,16 @@ def heavy_hitters(df: DataFrame, key: str, fraction: float) -> DataFrame:
     )
 
 
+def heavy_rows(df: DataFrame, key: str, weight: str, fraction: float) -> DataFrame:
+    """Rows of a table already at key grain whose ``weight`` column exceeds
+    ``fraction`` of the column total — at most ``1 / fraction`` rows.
+
+    Used when an upstream roll-up already holds the per-key counts, so no
+    extra aggregation is needed (a filter under a scalar-subquery total)."""
+    total = df.select(F.sum(weight)).scalar()
+    return df.where(F.col(key).isNotNull() & (F.col(weight) > total * F.lit(float(fraction))))
+
+
 def union_keys(key: str, *tables: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, [t.select(key) for t in tables]).distinct()
 

@@ -61,7 +61,11 @@ _BUILDERS: dict[str, _Builder] = {
     "dim_products": lambda p: core.dim_products(p.table("int_product_performance"), p.as_of_sql),
     "fct_orders": lambda p: core.fct_orders(p.table("int_orders_enriched"), p.as_of_sql),
     "fct_revenue": lambda p: core.fct_revenue(
-        p.table("stg_payments"), p.table("stg_orders"), p.table("int_customer_lifetime"), p.as_of_sql
+        p.table("stg_payments"),
+        p.table("stg_orders"),
+        p.table("int_customer_lifetime"),
+        p.table("int_orders_enriched"),
+        p.as_of_sql,
     ),
     # reports
     "rpt_daily_revenue": lambda p: reports.rpt_daily_revenue(p.table("fct_revenue")),
