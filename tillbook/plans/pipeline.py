@@ -13,6 +13,7 @@
 from __future__ import annotations
 
 import time
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,7 +22,6 @@ from tillbook.plans.graph import CORE, REPORTS, Project
 from tillbook.session import run_folder
 
 PARTITION_COLUMNS = {"fct_orders": ["order_year"], "fct_revenue": ["paid_year"]}
-MATERIALIZED_INTERMEDIATES = ("int_orders_enriched", "int_customer_lifetime")
 
 
 @dataclass
@@ -43,24 +43,41 @@ def materialize(spark: SparkSession, df: DataFrame, path: str, partition_by: lis
     return spark.read.parquet(path)
 
 
-def build_all(project: Project, out_dir: str | None = None, with_checks: bool = True) -> RunResult:
+def build_all(
+    project: Project, out_dir: str | None = None, with_checks: bool = True, parallel_models: int = 4
+) -> RunResult:
+    """Build and write every model, layer by layer.
+
+    Models of one layer are independent once the previous layer is written,
+    so their writes run as concurrent Spark jobs (``parallel_models``, as
+    many as the warehouse runner's threads): one job's single-task scans and
+    stage gaps are filled by another's tasks.  DataFrames are built on the
+    calling thread; worker threads only run the write actions."""
     spark = project.spark
     root = out_dir or run_folder(spark, "run")
     result = RunResult(root=root)
 
-    def step(name: str, partition_by: list[str] | None = None, folder: str = "marts") -> None:
-        path = f"{root}/{folder}/{name}"
-        start = time.perf_counter()
-        project.use(name, materialize(spark, project.table(name), path, partition_by))
-        result.seconds[name] = time.perf_counter() - start
-        result.tables[name] = path
-
-    for name in MATERIALIZED_INTERMEDIATES:
-        step(name, folder="intermediate")
-    for name in CORE:
-        step(name, PARTITION_COLUMNS.get(name))
-    for name in REPORTS:
-        step(name)
+    def layer(names: tuple[str, ...], folder: str = "marts") -> None:
+        frames = {name: project.table(name) for name in names}
+
+        def write(name: str) -> tuple[str, str, float]:
+            path = f"{root}/{folder}/{name}"
+            start = time.perf_counter()
+            write_table(frames[name], path, PARTITION_COLUMNS.get(name))
+            return name, path, time.perf_counter() - start
+
+        with ThreadPoolExecutor(max_workers=max(1, parallel_models)) as pool:
+            for name, path, seconds in pool.map(write, names):
+                result.seconds[name] = seconds
+                result.tables[name] = path
+        for name in names:
+            project.use(name, spark.read.parquet(result.tables[name]))
+
+    # the customer roll-up reads the order roll-up, so they are two layers
+    layer(("int_orders_enriched",), folder="intermediate")
+    layer(("int_customer_lifetime",), folder="intermediate")
+    layer(CORE)
+    layer(REPORTS)
     if with_checks:
         from tillbook.operators.quality import run_checks
 
