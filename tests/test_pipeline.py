@@ -66,3 +66,13 @@ def test_plans_stay_jvm_side_and_pruned(spark):
 def test_first_touch_is_a_hash_aggregate(spark):
     plan = _plan(Project.from_dir(spark, SF_SMALL).table("int_customer_lifetime"))
     assert "Window" not in plan
+
+
+def test_materialize_cuts_lineage(spark):
+    p = Project.from_dir(spark, SF_SMALL)
+    before = _rows(p.table("rpt_marketing_roi"))
+    assert "orders.parquet" in _plan(p.table("rpt_marketing_roi"))
+    p.materialize("int_customer_lifetime")
+    # orders reach this report only through the customer roll-up, now read from the pinned files
+    assert "orders.parquet" not in _plan(p.table("rpt_marketing_roi"))
+    assert _rows(p.table("rpt_marketing_roi")) == before

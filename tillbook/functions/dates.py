@@ -11,8 +11,6 @@ def ntz(text: str) -> Column:
     return F.lit(text).cast("timestamp_ntz")
 
 
-def ntz_sql(text: str) -> str:
-    return f"CAST('{text}' AS TIMESTAMP_NTZ)"
 
 
 def day_diff(start: str, end: str) -> str:

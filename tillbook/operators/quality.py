@@ -101,21 +101,8 @@ def _emit(df: DataFrame, resources: list[str], table: str, column: str, test: st
     )
 
 
-def not_null_counts(df: DataFrame, columns: list[str]) -> DataFrame:
-    """NULL count of every column in one pass, unpivoted to (column_name, failures)."""
-    wide = df.agg(*[F.expr(f"count_if({c} IS NULL) AS {c}") for c in columns])
-    return wide.unpivot([], columns, "column_name", "failures")
 
 
-def unique_failures(df: DataFrame, column: str) -> DataFrame:
-    """Number of non-NULL values that occur more than once."""
-    return (
-        df.where(f"{column} IS NOT NULL")
-        .groupBy(column)
-        .agg(F.expr("count(1) AS n"))
-        .where("n > 1")
-        .agg(F.expr("count(1) AS failures"))
-    )
 
 
 def accepted_values_failures(df: DataFrame, column: str, values: tuple[str, ...]) -> DataFrame:

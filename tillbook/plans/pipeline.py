@@ -38,9 +38,6 @@ def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None)
     writer.parquet(path)
 
 
-def materialize(spark: SparkSession, df: DataFrame, path: str, partition_by: list[str] | None = None) -> DataFrame:
-    write_table(df, path, partition_by)
-    return spark.read.parquet(path)
 
 
 def build_all(

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillbook.sources import raw
 from tillbook.sources.schemas import RAW_SCHEMAS, SOURCE_SCHEMAS
 
 
@@ -26,14 +25,6 @@ def read_sources(spark: SparkSession, base_dir: str) -> dict[str, DataFrame]:
     return {name: read_source(spark, base_dir, name) for name in SOURCE_SCHEMAS}
 
 
-def derive_raw_tables(sources: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """The four supplemental raw tables, derived from the source tables."""
-    return {
-        "raw_payments": raw.derive_raw_payments(sources["orders"]),
-        "raw_shipments": raw.derive_raw_shipments(sources["orders"]),
-        "raw_marketing_campaigns": raw.derive_raw_marketing_campaigns(sources["part"]),
-        "raw_marketing_clicks": raw.derive_raw_marketing_clicks(sources["events"]),
-    }
 
 
 def read_raw_tables(spark: SparkSession, raw_dir: str) -> dict[str, DataFrame]:
