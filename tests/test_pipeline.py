@@ -76,3 +76,10 @@ def test_materialize_cuts_lineage(spark):
     # orders reach this report only through the customer roll-up, now read from the pinned files
     assert "orders.parquet" not in _plan(p.table("rpt_marketing_roi"))
     assert _rows(p.table("rpt_marketing_roi")) == before
+
+
+def test_staging_views(spark):
+    p = Project.from_dir(spark, SF_SMALL)
+    p.register_views()
+    n = spark.sql("SELECT count(*) AS n FROM stg_orders WHERE order_status = 'fulfilled'").first().n
+    assert n == p.table("stg_orders").where("is_completed").count()
