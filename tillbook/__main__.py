@@ -58,10 +58,10 @@ def main(argv: list[str] | None = None) -> None:
         if not args.raw_dir:
             parser.error("append needs --raw-dir (the landed raw tables to append to)")
         batches = daily.daily_batches(project.sources, project.as_of_text)
-        reports = daily.append_daily_batch(spark, args.raw_dir, batches, args.as_of)
+        reports = daily.append_daily_batch(spark, args.raw_dir, batches, project.as_of_text)
         print(json.dumps([r.__dict__ for r in reports]))
     if args.raw_dir:
-        project = Project(spark, project.sources, raw=read_raw_tables(spark, args.raw_dir), as_of=args.as_of)
+        project = Project(spark, project.sources, raw=read_raw_tables(spark, args.raw_dir), as_of=project.as_of_text)
     if args.command in ("build", "daily"):
         result = build_all(project, args.out)
         print(json.dumps({"root": result.root, "seconds": result.seconds}))

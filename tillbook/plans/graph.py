@@ -16,7 +16,6 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tillbook.config import DEFAULT_AS_OF
-from tillbook.functions.dates import ntz
 from tillbook.operators import core, intermediate, reports, staging
 from tillbook.sources.raw import (
     derive_raw_marketing_campaigns,
@@ -130,7 +129,6 @@ class Project:
         # validated: the clock is embedded in SQL expressions
         as_of = dt.datetime.fromisoformat(as_of).strftime("%Y-%m-%d %H:%M:%S")
         self.as_of_text = as_of
-        self.as_of = ntz(as_of)
         self.as_of_sql = f"CAST('{as_of}' AS TIMESTAMP_NTZ)"
         self._tables: dict[str, DataFrame] = {}
 
