@@ -1,7 +1,7 @@
 """Scalar helpers shared by the models: SQL expression builders for the
 money / rounding rules and the dialect's calendar semantics."""
 
-from tillbook.functions.dates import add_hours, day_diff, day_of_week, month_start, ntz
+from tillbook.functions.dates import add_hours, day_diff, day_of_week, month_start
 from tillbook.functions.numeric import (
     MONEY,
     SUM_MONEY,
@@ -31,7 +31,6 @@ __all__ = [
     "mean_of",
     "money_sum",
     "month_start",
-    "ntz",
     "pct",
     "ratio",
     "stable_round",

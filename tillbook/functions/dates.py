@@ -2,16 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
-
-def ntz(text: str) -> Column:
-    """A ``timestamp_ntz`` literal, independent of the session time zone."""
-    return F.lit(text).cast("timestamp_ntz")
-
-
-
 
 def day_diff(start: str, end: str) -> str:
     """Day boundaries crossed from start to end (23:00 -> 01:00 next day is 1)."""

@@ -10,6 +10,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from tillbook.functions.dates import day_diff
+
 # ---- fixed values (code maps of the reference) -------------------------------
 ORDER_STATUS = {"O": "open", "F": "fulfilled", "P": "pending"}
 ORDER_PRIORITY = {
@@ -44,9 +46,6 @@ def is_true_sql(cond: str) -> str:
     return f"coalesce({cond}, false)"
 
 
-def day_diff_sql(start: str, end: str) -> str:
-    """Day boundaries crossed from start to end (23:00 -> 01:00 next day is 1)."""
-    return f"datediff(to_date({end}), to_date({start}))"
 
 
 def stg_customers(customer: DataFrame) -> DataFrame:
@@ -145,7 +144,7 @@ def stg_shipments(raw_shipments: DataFrame) -> DataFrame:
         f"{delivered} AS delivered_at",
         f"{is_true_sql("status = 'delivered'")} AS is_delivered",
         f"{is_true_sql("status = 'returned'")} AS is_returned",
-        f"CASE WHEN {delivered} IS NOT NULL THEN {day_diff_sql(shipped, delivered)} END AS delivery_time_days",
+        f"CASE WHEN {delivered} IS NOT NULL THEN {day_diff(shipped, delivered)} END AS delivery_time_days",
     )
 
 
@@ -160,7 +159,7 @@ def stg_marketing_campaigns(raw_campaigns: DataFrame, as_of: str) -> DataFrame:
         "CAST(budget_usd AS DECIMAL(12,2)) AS budget_usd",
         f"{started} AS started_at",
         f"{ended} AS ended_at",
-        f"{day_diff_sql(started, ended)} AS duration_days",
+        f"{day_diff(started, ended)} AS duration_days",
         f"{is_true_sql(f'{as_of} BETWEEN {started} AND {ended}')} AS is_active",
     )
 

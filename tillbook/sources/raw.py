@@ -15,6 +15,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tillbook.functions.dates import add_hours
+
 # ---- fixed values (must equal the reference's vocabularies) ----------------
 PAYMENT_METHODS = ["credit_card", "debit_card", "ach", "paypal", "apple_pay"]
 CHANNELS = ["google_ads", "facebook", "email", "instagram", "tiktok", "podcast"]
@@ -38,8 +40,6 @@ def pad_sql(x_sql: str, width: int) -> str:
     return f"format_string('%0{width}d', {x_sql})"
 
 
-def hours_sql(ts_sql: str, hours_sql: str) -> str:
-    return f"timestampadd(HOUR, CAST({hours_sql} AS INT), {ts_sql})"
 
 
 def derive_raw_payments(orders: DataFrame) -> DataFrame:
@@ -62,14 +62,14 @@ def derive_raw_payments(orders: DataFrame) -> DataFrame:
         f"CASE WHEN {k} % 19 = 7 THEN NULL ELSE {pick_sql(PAYMENT_METHODS, f'({k} + att) % 5')} END AS payment_method",
         f"""CASE WHEN {status} < 5 THEN 'captured' WHEN {status} = 5 THEN 'pending'
                  WHEN {status} = 6 THEN 'failed' ELSE 'refunded' END AS status""",
-        f"{hours_sql('o_orderdate', f'({k} * 37 + att * 29) % 8760')} AS paid_at",
+        f"{add_hours('o_orderdate', f'({k} * 37 + att * 29) % 8760')} AS paid_at",
     )
 
 
 def derive_raw_shipments(orders: DataFrame) -> DataFrame:
     """One shipment for three of every four orders."""
     k, status = "o_orderkey", "(o_orderkey * 11) % 6"
-    shipped = hours_sql("o_orderdate", f"24 * (1 + ({k} * 17) % 30) + {k} % 24")
+    shipped = add_hours("o_orderdate", f"24 * (1 + ({k} * 17) % 30) + {k} % 24")
     return orders.where("o_orderkey IS NOT NULL AND o_orderkey % 4 <> 3").selectExpr(
         f"concat('SHIP_', {pad_sql(k, 8)}) AS shipment_id",
         f"{k} AS order_id",
@@ -78,7 +78,7 @@ def derive_raw_shipments(orders: DataFrame) -> DataFrame:
         f"""CASE WHEN {status} < 3 THEN 'delivered' WHEN {status} = 3 THEN 'in_transit'
                  WHEN {status} = 4 THEN 'delayed' ELSE 'returned' END AS status""",
         f"{shipped} AS shipped_at",
-        f"CASE WHEN {status} < 3 THEN {hours_sql(shipped, f'24 * (2 + {k} % 7) + {k} % 13')} END AS delivered_at",
+        f"CASE WHEN {status} < 3 THEN {add_hours(shipped, f'24 * (2 + {k} % 7) + {k} % 13')} END AS delivered_at",
     )
 
 
@@ -95,8 +95,8 @@ def derive_raw_marketing_campaigns(part: DataFrame) -> DataFrame:
         f"{ctype} AS campaign_type",
         f"CAST(CASE WHEN {i} = {CAMPAIGN_COUNT} THEN 0 ELSE {pick_sql(BUDGET_TIERS, f'{i} % 5')} END AS BIGINT)"
         " AS budget_usd",
-        f"{hours_sql(epoch, f'24 * 18 * {i}')} AS started_at",
-        f"{hours_sql(epoch, f'24 * (18 * {i} + 7 + ({i} * 11) % 84)')} AS ended_at",
+        f"{add_hours(epoch, f'24 * 18 * {i}')} AS started_at",
+        f"{add_hours(epoch, f'24 * (18 * {i} + 7 + ({i} * 11) % 84)')} AS ended_at",
     )
 
 
@@ -107,13 +107,13 @@ def derive_raw_marketing_clicks(events: DataFrame) -> DataFrame:
     per ``user_id % 12``) so first-touch attribution meets real orders.
     """
     e = "event_id"
-    hour_start = hours_sql("CAST(to_date(ts) AS TIMESTAMP_NTZ)", "hour(ts)")
+    hour_start = add_hours("CAST(to_date(ts) AS TIMESTAMP_NTZ)", "hour(ts)")
     shift = "CASE WHEN user_id % 5 = 0 THEN 0 ELSE 24 * (8766 + 30 * (user_id % 12)) END"
     return events.where("event_type <> 'error'").selectExpr(
         f"concat('CLICK_', {pad_sql(e, 7)}) AS click_id",
         f"concat('CMP_', {pad_sql(f'({e} * 17) % 38 + 1', 4)}) AS campaign_id",
         f"CASE WHEN {e} % 10 < 7 THEN user_id END AS customer_id",
-        f"{hours_sql(hour_start, f'-({shift})')} AS clicked_at",
+        f"{add_hours(hour_start, f'-({shift})')} AS clicked_at",
         f"concat('/landing/', {pick_sql(LANDING_PAGES, f'{e} % 5')}) AS source_url",
         f"{e} % 25 < 3 AS converted",
     )
