@@ -83,3 +83,18 @@ def test_staging_views(spark):
     p.register_views()
     n = spark.sql("SELECT count(*) AS n FROM stg_orders WHERE order_status = 'fulfilled'").first().n
     assert n == p.table("stg_orders").where("is_completed").count()
+
+
+def test_order_grain_joins_are_co_partitioned(spark):
+    saved = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # the static plan: what runs when nothing fits in memory
+    try:
+        plan = _plan(Project.from_dir(spark, SF_SMALL).table("int_orders_enriched"))
+    finally:
+        for k, v in saved.items():
+            spark.conf.set(k, v)
+    exchanges = re.findall(r"Exchange (\w+)\(([^)]*)\)", plan)
+    assert len(exchanges) == 4  # orders, lines, payments, shipments: once each
+    assert all(kind == "hashpartitioning" and "order_id" in cols for kind, cols in exchanges)
+    assert plan.count("SortMergeJoin") == 3
