@@ -69,3 +69,18 @@ def test_stream_replay_lands_once(spark):
         batch.write.mode("append").parquet(f"{landing}/raw_payments")
         stream_append(spark, landing, raw_dir, ckpt, tables=("raw_payments",))
     assert _count(spark, raw_dir, "raw_payments") == base + 100
+
+
+def test_stream_replay_after_lost_checkpoint(spark):
+    p = Project.from_dir(spark, SF_SMALL)
+    root = run_folder(spark, "test-stream-replay")
+    raw_dir, landing = f"{root}/raw", f"{root}/landing"
+    _land(spark, p, raw_dir, tables=("raw_shipments",))
+    base = _count(spark, raw_dir, "raw_shipments")
+    daily.daily_batches(p.sources, p.as_of_text)["raw_shipments"].write.mode("append").parquet(
+        f"{landing}/raw_shipments"
+    )
+    stream_append(spark, landing, raw_dir, f"{root}/ckpt-a", tables=("raw_shipments",))
+    # the checkpoint is lost: a new one replays every landed file
+    stream_append(spark, landing, raw_dir, f"{root}/ckpt-b", tables=("raw_shipments",))
+    assert _count(spark, raw_dir, "raw_shipments") == base + 75
