@@ -44,8 +44,12 @@ def get_session(
     shuffle_partitions: int | None = None,
 ) -> SparkSession:
     cpus = cpus or int(os.environ.get("BENCH_CPUS", "8"))
-    builder = SparkSession.builder.master(master or f"local[{cpus}]").appName(app_name)
-    builder = builder.config("spark.driver.memory", driver_memory)
+    builder = SparkSession.builder.appName(app_name)
+    # Under spark-submit the JVM (and the cluster master) already exist: keep
+    # them.  Only a plain `python` run starts its own local-mode Spark.
+    launched_by_submit = "PYSPARK_GATEWAY_PORT" in os.environ
+    if master or not launched_by_submit:
+        builder = builder.master(master or f"local[{cpus}]").config("spark.driver.memory", driver_memory)
     for key, value in session_configs(cpus, shuffle_partitions).items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
