@@ -22,6 +22,7 @@ def session_configs(cpus: int = 8, shuffle_partitions: int | None = None) -> dic
         "spark.sql.shuffle.partitions": str(parts),
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
         "spark.sql.autoBroadcastJoinThreshold": "32m",
