@@ -128,13 +128,25 @@ def new_rows(batch: DataFrame, target: DataFrame, key: str, bounded: bool = True
     return batch.join(clashing, key, "left_anti")
 
 
+def day_rows(target: DataFrame, key: str, prefix: str) -> DataFrame:
+    """Keys of the target that carry the batch's day prefix.
+
+    Every key of a daily batch starts with the prefix, so a key can only
+    clash with these rows: both guards read just them.  The prefix filter is
+    pushed into the parquet scan (``StringStartsWith``), where row-group
+    min/max statistics skip every file whose key range excludes it — the
+    seed files and earlier days' batches — so the guard does not scan the
+    table."""
+    return target.select(key).where(F.col(key).startswith(prefix))
+
+
 def guard_status(table: str, batch: DataFrame, target: DataFrame, prefix: str) -> DataFrame:
     """One row: how many rows of today's batch exist, and how many would be appended."""
     key = KEYS[table]
+    today = day_rows(target, key, prefix)
     kinds = (
-        target.where(F.col(key).startswith(prefix))
-        .select(F.lit("existing").alias("kind"))
-        .unionByName(new_rows(batch, target, key).select(F.lit("fresh").alias("kind")))
+        today.select(F.lit("existing").alias("kind"))
+        .unionByName(new_rows(batch, today, key).select(F.lit("fresh").alias("kind")))
         .unionByName(batch.select(F.lit("batch").alias("kind")))
     )
     counts = kinds.agg(
@@ -156,9 +168,10 @@ def guard_status(table: str, batch: DataFrame, target: DataFrame, prefix: str) -
 def guarded_batch(table: str, batch: DataFrame, target: DataFrame, prefix: str) -> DataFrame:
     """The rows an append would add (lazy): nothing if the day's batch exists."""
     key = KEYS[table]
+    today = day_rows(target, key, prefix)
     # scalar subquery, evaluated once: does any row of today's batch exist?
-    existing = target.where(F.col(key).startswith(prefix)).limit(1).select(F.count(F.lit(1))).scalar()
-    return new_rows(batch, target, key).where(existing == 0)
+    existing = today.limit(1).select(F.count(F.lit(1))).scalar()
+    return new_rows(batch, today, key).where(existing == 0)
 
 
 @dataclass
@@ -185,10 +198,11 @@ def append_daily_batch(
         target = spark.read.schema(RAW_SCHEMAS[table]).parquet(path)
         prefix = batch_prefix(table, as_of_text)
         key = KEYS[table]
-        if target.where(F.col(key).startswith(prefix)).limit(1).count() > 0:
+        today = day_rows(target, key, prefix)
+        if today.limit(1).count() > 0:
             reports.append(AppendReport(table, 0, True))
             continue
-        rows = new_rows(batches[table], target, key).select(*RAW_SCHEMAS[table].names)
+        rows = new_rows(batches[table], today, key).select(*RAW_SCHEMAS[table].names)
         # pin the (at most N) new rows first: the count and the append then read
         # the same files, and the append never reads the table it writes
         rows = pin(rows, f"append-{table}")
