@@ -84,3 +84,19 @@ def test_stream_replay_after_lost_checkpoint(spark):
     # the checkpoint is lost: a new one replays every landed file
     stream_append(spark, landing, raw_dir, f"{root}/ckpt-b", tables=("raw_shipments",))
     assert _count(spark, raw_dir, "raw_shipments") == base + 75
+
+
+def test_guard_reads_only_day_prefixed_keys(spark):
+    """Over landed raw tables the day prefix is pushed into the parquet scan."""
+    p = Project.from_dir(spark, SF_SMALL)
+    raw_dir = run_folder(spark, "test-guard-plan") + "/raw"
+    _land(spark, p, raw_dir, tables=("raw_payments",))
+    target = spark.read.schema(RAW_SCHEMAS["raw_payments"]).parquet(f"{raw_dir}/raw_payments")
+    batch = daily.daily_batches(p.sources, p.as_of_text)["raw_payments"]
+    prefix = daily.batch_prefix("raw_payments", p.as_of_text)
+    df = daily.guard_status("raw_payments", batch, target, prefix)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert f"StringStartsWith(payment_id,{prefix})" in plan
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+    row = df.first()
+    assert (row.existing_batch_rows, row.batch_rows, row.rows_to_append) == (0, 100, 100)
