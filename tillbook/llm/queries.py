@@ -8,13 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tillbook.llm.byte_bpe import op1_byte_bpe
 from tillbook.llm.class_lm import op6_class_lm
+from tillbook.llm.repeats import op10_repeats
 from tillbook.llm.token_planes import op5_token_planes
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def registered() -> dict[str, Query]:
-    found = [op1_byte_bpe, op5_token_planes, op6_class_lm]
+    found = [op1_byte_bpe, op5_token_planes, op6_class_lm, op10_repeats]
     return {f.__name__: f for f in found}
 
 
