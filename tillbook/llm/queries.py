@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tillbook.llm.byte_bpe import op1_byte_bpe
 from tillbook.llm.class_lm import op6_class_lm
+from tillbook.llm.quality import op2_quality
 from tillbook.llm.repeats import op10_repeats
 from tillbook.llm.templates import op4_templates
 from tillbook.llm.token_planes import op5_token_planes
@@ -16,7 +17,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def registered() -> dict[str, Query]:
-    found = [op1_byte_bpe, op5_token_planes, op6_class_lm, op10_repeats, op4_templates]
+    found = [op1_byte_bpe, op5_token_planes, op6_class_lm, op10_repeats, op4_templates, op2_quality]
     return {f.__name__: f for f in found}
 
 
