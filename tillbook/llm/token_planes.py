@@ -25,6 +25,7 @@ spans chunks; an empty table gives an empty folder; further columns are not read
 from __future__ import annotations
 
 import math
+import re
 import zlib
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
@@ -36,6 +37,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillbook.llm.byte_bpe import byte_characters
 from tillbook.llm.common import id_and_text, read_table, slices, text_bytes
 from tillbook.session import run_folder
 
@@ -116,27 +118,52 @@ def joined_crc(pieces: Iterable[tuple[int, int]]) -> int:
 # ---------------------------------------------------------------- encoding
 
 
+#: Characters of texts whose pieces a plain pattern finds: Latin letters, digits, ASCII signs but the apostrophe.
+_SIGNS = r"""!"#$%&()*+,\-./:;<=>?@\[\\\]^_`{|}~"""
+_PLAIN = re.compile(rf"[A-Za-zÀ-ÖØ-öø-ÿ0-9 \n{_SIGNS}]*")
+_PIECES = re.compile(rf"[a-zß-öø-ÿ]+|[0-9]|[{_SIGNS}]+")
+
+
 class WordCoder:
-    """A tokenizers file whose merges never cross a space: ids per word, remembered."""
+    """A tokenizers file whose merges never cross a space, with what words encode to remembered.
+
+    A text of plain characters is lower-cased and cut to letters, single digits
+    and runs of signs, as the file's own steps do; the library's merges then
+    run on new pieces alone.  In other texts, words go through all its steps."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.merges = self.tokenizer.model
+        self.characters = dict(enumerate(byte_characters()))
         self.known: dict[str, bytes] = {}
 
-    def encode(self, texts: list[str], end: int) -> list[np.ndarray]:
-        """Each text's ids and the end id, as uint32."""
-        parts = [text.replace("\n", " ").split(" ") for text in texts]
-        words = set().union(*parts)
+    def learn(self, words: set[str], plain: bool) -> None:
         new = [w for w in words if w not in self.known]
         if len(self.known) + len(new) > REMEMBERED:
             self.known, new = {}, list(words)
-        if new:
+        if plain:
+            tokenize, characters = self.merges.tokenize, self.characters
+            for w in new:
+                shown = w if w.isascii() else w.encode().decode("latin-1").translate(characters)
+                self.known[w] = np.array([t.id for t in tokenize(shown)], "<u4").tobytes()
+        elif new:
             self.known.update(zip(new, (np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)), strict=True))
-        known, last = self.known.__getitem__, np.array([end], "<u4").tobytes()
-        return [np.frombuffer(b"".join([*map(known, own), last]), "<u4") for own in parts]
+
+    def encode(self, texts: list[str], end: int) -> list[np.ndarray]:
+        """Each text's ids and the end id, as uint32."""
+        last = np.array([end], "<u4").tobytes()
+        out: list[np.ndarray] = [None] * len(texts)  # type: ignore[list-item]
+        for plain in (True, False):
+            at = [i for i, t in enumerate(texts) if (_PLAIN.fullmatch(t) is not None) == plain]
+            parts = [_PIECES.findall(texts[i].lower()) if plain else texts[i].replace("\n", " ").split(" ") for i in at]
+            self.learn(set().union(*parts), plain)
+            known = self.known.__getitem__
+            for i, own in zip(at, parts, strict=True):
+                out[i] = np.frombuffer(b"".join([*map(known, own), last]), "<u4")
+        return out
 
 
 @lru_cache(maxsize=2)
@@ -186,7 +213,7 @@ def write(docs: DataFrame, folder: str, path: str, end: int, block: int = BLOCK_
     """Encodes every text of ``docs`` with the tokenizers file ``path`` and writes the chunks to ``folder``, shards in ascending doc_id order."""
     rows = id_and_text(docs)
     shards = max(1, math.ceil(text_bytes(rows) / FILE_TEXT_BYTES))
-    rows = rows.repartitionByRange(shards, "doc_id", "text").sortWithinPartitions("doc_id", "text")
+    rows = rows.repartitionByRange(shards, "doc_id").sortWithinPartitions("doc_id", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = coder(path)
