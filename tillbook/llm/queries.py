@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tillbook.llm.byte_bpe import op1_byte_bpe
 from tillbook.llm.class_lm import op6_class_lm
 from tillbook.llm.jaccard import op7_jaccard_join
+from tillbook.llm.licenses import op9_licenses
 from tillbook.llm.lines import op8_line_dedup
 from tillbook.llm.neighbours import op3_multiprobe
 from tillbook.llm.quality import op2_quality
@@ -20,7 +21,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def registered() -> dict[str, Query]:
-    found = [op1_byte_bpe, op5_token_planes, op6_class_lm, op10_repeats, op4_templates, op2_quality, op8_line_dedup, op7_jaccard_join, op3_multiprobe]
+    found = [op1_byte_bpe, op5_token_planes, op6_class_lm, op10_repeats, op4_templates, op2_quality, op8_line_dedup, op7_jaccard_join, op3_multiprobe, op9_licenses]
     return {f.__name__: f for f in found}
 
 
