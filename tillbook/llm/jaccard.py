@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 
 from tillbook.llm.common import Words, id_and_text, mix, read_table, shard_count, sharded, slices, text_bytes
 from tillbook.llm.graph import components, merge
-from tillbook.llm.lines import LAST, row_keys
+from tillbook.llm.lines import LAST
 from tillbook.session import pin
 
 WORDS = 5
@@ -108,7 +108,7 @@ def describe(placed: DataFrame) -> DataFrame:
                 hashes, first = sets(part.column("text"))
                 tokens = [t.tobytes() for t in sample(hashes, first)]
                 ids = part.column("doc_id")
-                columns = [ids, ids.fill_null(LAST), row_keys(part.column("text")), part.column("shard"), set_keys(hashes, first).view(np.int64), np.diff(first), tokens]
+                columns = [ids, ids.fill_null(LAST), part.column("tie"), part.column("shard"), set_keys(hashes, first).view(np.int64), np.diff(first), tokens]
                 kinds = [pa.int64()] * 6 + [pa.binary()]
                 yield pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["doc_id", "doc", "tie", "shard", "node", "size", "tokens"])
 
@@ -279,7 +279,7 @@ def _fetch(placed: DataFrame, asked: DataFrame) -> DataFrame:
         out: dict[str, list] = {c: [] for c in ("node", "root", "blocks", "docs", "members")}
         if wanted.num_rows and rows.num_rows:
             ids = rows.column("doc_id").fill_null(LAST).to_pylist()
-            where = dict(zip(zip(ids, row_keys(rows.column("text")).tolist(), strict=True), range(len(ids)), strict=True))
+            where = dict(zip(zip(ids, rows.column("tie").to_pylist(), strict=True), range(len(ids)), strict=True))
             at = [where[r["doc"], r["tie"]] for r in wanted.select(["doc", "tie"]).to_pylist()]
             hashes, first = sets(rows.column("text").take(pa.array(at)))
             out["members"] = [hashes[a:b].tobytes() for a, b in zip(first[:-1], first[1:], strict=True)]
@@ -298,7 +298,7 @@ def join(docs: DataFrame) -> DataFrame:
     it is linked to, copies of its set among them), ``n_linked_sets`` (different sets), and ``tie`` and ``stays``:
     whether it is its class's first document, in order of doc_id and a hash of the text."""
     placed = id_and_text(docs)
-    placed = sharded(placed, shard_count(text_bytes(placed)))
+    placed = sharded(placed, shard_count(text_bytes(placed))).withColumn("tie", F.xxhash64("text"))
     members = pin(describe(placed), "sets")
     nodes = pin(members.groupBy("node").agg(F.min("tokens").alias("tokens"), F.min(F.struct("doc", "tie", "shard")).alias("place"), F.max("size").alias("size"), F.count("*").alias("docs")), "nodes")
     filled = nodes.where("size > 0")
@@ -331,5 +331,15 @@ def join(docs: DataFrame) -> DataFrame:
     )
 
 
+def firsts(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs``, all columns, that are the first document of their class (of rows equal in doc_id and text, one)."""
+    names = docs.columns
+    plain = docs.toDF(*(f"c{i}" for i in range(len(names))))
+    doc_id, text = (F.col(f"c{names.index(c)}") for c in ("doc_id", "text"))
+    keyed = plain.withColumn("doc", F.coalesce(doc_id.cast("long"), F.lit(LAST))).withColumn("tie", F.xxhash64(F.coalesce(text.cast("string"), F.lit(""))))
+    stays = join(docs.select("doc_id", "text")).where("stays").select(F.coalesce("doc_id", F.lit(LAST)).alias("doc"), "tie")
+    return keyed.join(stays, ["doc", "tie"], "left_semi").dropDuplicates(["doc", "tie"]).drop("doc", "tie").toDF(*names)
+
+
 def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return join(read_table(spark, sf_dir, "documents")).drop("tie", "stays")

@@ -156,6 +156,14 @@ def scored(docs: DataFrame, model: Model, kept: list[int] | None = None, name: s
     return plain.mapInArrow(run, schema).toDF(*(docs.columns[i] for i in kept), name)
 
 
+def accepted(docs: DataFrame, model: Model) -> DataFrame:
+    """The rows of ``docs``, all columns, whose score is ``REJECT_BELOW`` or more."""
+    names = docs.columns
+    plain = docs.toDF(*(f"c{i}" for i in range(len(names))))
+    rows = scored(plain, model, text=f"c{names.index('text')}")
+    return rows.where(F.col("score") >= REJECT_BELOW).drop("score").toDF(*names)
+
+
 def held_out(column: str = "doc_id") -> Column:
     """The fold that is not learned from."""
     return crc_mod(column, 5) == 0

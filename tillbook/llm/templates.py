@@ -150,8 +150,8 @@ class Items:
         return [int(x) for x in np.unique(self.sizes)]
 
 
-_HIT = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("n_windows", pa.int64()), ("item_windows", pa.int64()), ("share", pa.float64()), ("exact", pa.bool_()), ("consistent", pa.bool_()), ("contaminated", pa.bool_())])
-HIT = "doc_id long, item_id long, n_windows long, item_windows long, share double, exact boolean, consistent boolean, contaminated boolean"
+_HIT = pa.schema([("doc_id", pa.int64()), ("key", pa.int64()), ("item_id", pa.int64()), ("n_windows", pa.int64()), ("item_windows", pa.int64()), ("share", pa.float64()), ("exact", pa.bool_()), ("consistent", pa.bool_()), ("contaminated", pa.bool_())])
+HIT = "doc_id long, key long, item_id long, n_windows long, item_windows long, share double, exact boolean, consistent boolean, contaminated boolean"
 
 
 def judge(docs: Templates, row: int, items: Items, item: int, pairs: list[tuple[int, int, int]]) -> tuple[int, bool, bool, bool] | None:
@@ -193,7 +193,7 @@ def judge(docs: Templates, row: int, items: Items, item: int, pairs: list[tuple[
 
 def _hits(part, items: Items, docs: Templates, first: np.ndarray, match: np.ndarray, sizes: np.ndarray) -> pa.RecordBatch:
     """Rows for matching windows: document token, place in the items' windows, size."""
-    ids = part.column("doc_id").to_pylist()
+    ids = list(zip(part.column("doc_id").to_pylist(), part.column("key").to_pylist(), strict=True))
     pairs: dict[tuple[int, int], list[tuple[int, int, int]]] = defaultdict(list)
     for at, place, size in zip(first.tolist(), match.tolist(), sizes.tolist(), strict=True):
         pairs[int(docs.doc[at]), int(items.item[place])].append((at, int(items.at[place]), size))
@@ -201,7 +201,7 @@ def _hits(part, items: Items, docs: Templates, first: np.ndarray, match: np.ndar
     for (row, item), found in sorted(pairs.items()):
         if said := judge(docs, row, items, item, found):
             n, total = said[0], int(items.count[item])
-            rows.append((ids[row], items.ids[item], n, total, n / total, *said[1:]))
+            rows.append((*ids[row], items.ids[item], n, total, n / total, *said[1:]))
     columns = zip(*rows, strict=True) if rows else [[]] * len(_HIT)
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _HIT, strict=True)], schema=_HIT)
 
@@ -214,8 +214,8 @@ def _spread(left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 
 def find(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, broadcast_windows: int = BROADCAST_WINDOWS) -> DataFrame:
-    """A row for each document and benchmark item that share a template window, with the verdict ``contaminated``."""
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where("text <> ''")
+    """A row for each document and benchmark item that share a template window, with the verdict ``contaminated``; ``key`` is a hash of the row's doc_id and text."""
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where("text <> ''").withColumn("key", F.xxhash64("doc_id", "text"))
     given = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).where("text <> ''")
     # a window takes two bytes of text at least, so this bounds what is collected and broadcast
     size = given.agg(F.sum(F.octet_length("text"))).first()[0] or 0
@@ -272,21 +272,21 @@ def _by_shuffle(rows: DataFrame, given: DataFrame, window: int) -> DataFrame:
                         own = [(docs.doc[f], h, np.full(len(f), n)) for n in lengths for f, h in [docs.windows(n)]]
                         which, found, sizes = (np.concatenate(c) for c in zip(*own, strict=True))
                     keyed = np.unique(np.rec.fromarrays([which, found.view(np.int64), sizes], names="row,hash,size"))
-                    texts = part.column("key").take(pa.array(keyed["row"]))
-                    yield pa.RecordBatch.from_arrays([texts, pa.array(keyed["hash"]), pa.array(keyed["size"])], names=["key", "hash", "size"])
+                    texts = part.column("name").take(pa.array(keyed["row"]))
+                    yield pa.RecordBatch.from_arrays([texts, pa.array(keyed["hash"]), pa.array(keyed["size"])], names=["name", "hash", "size"])
 
         return run
 
-    schema = "key binary, hash long, size long"
+    schema = "name binary, hash long, size long"
     # rows are known by their content, so that equal rows are judged once and rejoined
-    doc_rows = rows.withColumn("key", F.unhex(F.sha2("text", 256)))
-    item_rows = given.withColumn("key", F.unhex(F.sha2("text", 256))).withColumnRenamed("item_id", "id")
+    doc_rows = rows.withColumn("name", F.unhex(F.sha2("text", 256)))
+    item_rows = given.withColumn("name", F.unhex(F.sha2("text", 256))).withColumnRenamed("item_id", "id")
     every = [*range(1, window + 1)]
-    items = item_rows.dropDuplicates(["key"]).mapInArrow(hashes_of(None), schema).withColumnRenamed("key", "item_key")
-    windows = doc_rows.select("key", "text", F.col("doc_id").alias("id")).mapInArrow(hashes_of(every), schema)
-    pairs = windows.join(items, ["hash", "size"]).select("key", "item_key").distinct()
-    texts = item_rows.select(F.col("key").alias("item_key"), F.col("id").alias("item_id"), F.col("text").alias("item_text"))
-    joined = pairs.join(texts, "item_key").join(doc_rows, "key").select("doc_id", "text", "item_id", "item_text")
+    items = item_rows.dropDuplicates(["name"]).mapInArrow(hashes_of(None), schema).withColumnRenamed("name", "item_name")
+    windows = doc_rows.select("name", "text", F.col("doc_id").alias("id")).mapInArrow(hashes_of(every), schema)
+    pairs = windows.join(items, ["hash", "size"]).select("name", "item_name").distinct()
+    texts = item_rows.select(F.col("name").alias("item_name"), F.col("id").alias("item_id"), F.col("text").alias("item_text"))
+    joined = pairs.join(texts, "item_name").join(doc_rows, "name").select("doc_id", "key", "text", "item_id", "item_text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -305,10 +305,14 @@ def _by_shuffle(rows: DataFrame, given: DataFrame, window: int) -> DataFrame:
 
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of ``docs``, all columns, without contaminated documents (a null doc_id is judged by its text alone)."""
-    bad = find(docs, benchmark).where("contaminated").select(F.col("doc_id").alias("_bad")).distinct()
-    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["_bad"]), "left_anti")
+    """The rows of ``docs``, all columns, without contaminated documents."""
+    names = docs.columns
+    plain = docs.toDF(*(f"c{i}" for i in range(len(names))))
+    doc_id, text = (F.col(f"c{names.index(c)}") for c in ("doc_id", "text"))
+    bad = find(docs.select("doc_id", "text"), benchmark).where("contaminated").select("key").distinct()
+    keyed = plain.withColumn("key", F.xxhash64(doc_id.cast("long"), text.cast("string")))
+    return keyed.join(bad, "key", "left_anti").drop("key").toDF(*names)
 
 
 def op4_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return find(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    return find(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")).drop("key")
