@@ -25,5 +25,65 @@ def registered() -> dict[str, Query]:
     return {f.__name__: f for f in found}
 
 
+# Window by window: in which document it is first; windows that are earlier elsewhere, put together to spans; what lies between those.
+_REPEATS_SQL = """
+WITH docs AS (
+  SELECT row_number() OVER () AS row_id, doc_id, hex(encode(coalesce(text, ''))) AS hx FROM documents
+), windows AS (
+  SELECT row_id, doc_id, pos, substr(hx, 2 * pos - 1, 100) AS w
+  FROM docs, unnest(range(1, length(hx) // 2 - 48)) AS u(pos)
+  WHERE doc_id IS NOT NULL
+), firsts AS (
+  SELECT w, min(doc_id) AS first_doc FROM windows GROUP BY w
+), starts AS (
+  SELECT row_id, pos, lag(pos) OVER (PARTITION BY row_id ORDER BY pos) AS before
+  FROM windows JOIN firsts USING (w) WHERE first_doc < doc_id
+), numbered AS (
+  SELECT row_id, pos, count(*) FILTER (WHERE before IS NULL OR before < pos - 50) OVER (PARTITION BY row_id ORDER BY pos) AS span FROM starts
+), spans AS (
+  SELECT row_id, span, min(pos) AS a, max(pos) + 49 AS b FROM numbered GROUP BY row_id, span
+), between_spans AS (
+  SELECT row_id, a, b, lag(b, 1, 0) OVER (PARTITION BY row_id ORDER BY a) AS before FROM spans
+), cut AS (
+  SELECT row_id, count(*) AS n_spans, sum(b - a + 1) AS n_removed,
+    string_agg(hx[2 * before + 1 : 2 * a - 2], '' ORDER BY a) || any_value(hx)[2 * max(b) + 1 :] AS kept
+  FROM between_spans JOIN docs USING (row_id) GROUP BY row_id
+)
+SELECT doc_id, (length(hx) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
+  sha256(unhex(coalesce(kept, hx))) AS kept_sha256
+FROM docs LEFT JOIN cut USING (row_id)
+"""
+
+# Sets of shingles, every pair of sets that shares one, and what is reached over the links.
+_JACCARD_SQL = """
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w
+  FROM documents
+), shingles AS (
+  SELECT doc_id, list_sort(list_distinct(CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i : i + 4], ' '))
+    WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END)) AS s
+  FROM words
+), sets AS (
+  SELECT row_number() OVER () AS node, s, len(s) AS n, count(*) AS docs, min(doc_id) AS first_doc FROM shingles GROUP BY s
+), tokens AS (
+  SELECT node, n, unnest(s) AS token FROM sets
+), links AS (
+  SELECT a.node AS a, b.node AS b FROM tokens a JOIN tokens b ON a.token = b.token AND a.node <> b.node
+  GROUP BY a.node, b.node, a.n, b.n HAVING 5 * count(*) >= 4 * (a.n + b.n - count(*))
+), reached AS (
+  SELECT node, node AS other FROM sets
+  UNION
+  SELECT r.node, l.b FROM reached r JOIN links l ON r.other = l.a
+), classes AS (
+  SELECT r.node, min(s.first_doc) AS class_id FROM reached r JOIN sets s ON r.other = s.node GROUP BY r.node
+), counts AS (
+  SELECT l.a AS node, count(*) AS n_sets, sum(s.docs) AS n_docs FROM links l JOIN sets s ON l.b = s.node GROUP BY l.a
+)
+SELECT d.doc_id, c.class_id, (t.docs - 1 + coalesce(n.n_docs, 0))::BIGINT AS n_links, coalesce(n.n_sets, 0)::BIGINT AS n_linked_sets
+FROM shingles d JOIN sets t ON d.s = t.s JOIN classes c USING (node) LEFT JOIN counts n USING (node)
+"""
+
+
 def oracle_queries() -> dict[str, str]:
-    return {}
+    """SQL of the queries whose exact rows SQL can give; the others are held against brute force in tests/llm."""
+    return {"op10_repeats": _REPEATS_SQL, "op7_jaccard_join": _JACCARD_SQL}
