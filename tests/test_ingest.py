@@ -1,22 +1,25 @@
 """The daily append is idempotent per table, in batch and in streaming form."""
 
+import os
+
 from pyspark.sql import functions as F
 
 from tests.conftest import SF_SMALL
 from tillbook.plans.graph import Project
 from tillbook.session import run_folder
 from tillbook.sources.schemas import RAW_SCHEMAS
+from tillbook.sources.tables import BATCH_DATE, land, read_landed
 from tillbook.streaming import daily
 from tillbook.streaming.stream import stream_append
 
 
 def _land(spark, p, raw_dir, tables=daily.BATCH_TABLES):
     for t in tables:
-        p.table(t).select(*RAW_SCHEMAS[t].names).write.mode("overwrite").parquet(f"{raw_dir}/{t}")
+        land(p.table(t), raw_dir, t, mode="overwrite")
 
 
 def _count(spark, raw_dir, t):
-    return spark.read.schema(RAW_SCHEMAS[t]).parquet(f"{raw_dir}/{t}").count()
+    return read_landed(spark, raw_dir, t).count()
 
 
 def test_batch_is_deterministic_and_sized(spark):
@@ -66,7 +69,7 @@ def test_stream_replay_lands_once(spark):
     base = _count(spark, raw_dir, "raw_payments")
     batch = daily.daily_batches(p.sources, p.as_of_text)["raw_payments"]
     for _ in range(2):  # the same file is delivered twice
-        batch.write.mode("append").parquet(f"{landing}/raw_payments")
+        batch.withColumn(BATCH_DATE, daily.batch_day(p.as_of_text)).write.mode("append").parquet(f"{landing}/raw_payments")
         stream_append(spark, landing, raw_dir, ckpt, tables=("raw_payments",))
     assert _count(spark, raw_dir, "raw_payments") == base + 100
 
@@ -77,26 +80,59 @@ def test_stream_replay_after_lost_checkpoint(spark):
     raw_dir, landing = f"{root}/raw", f"{root}/landing"
     _land(spark, p, raw_dir, tables=("raw_shipments",))
     base = _count(spark, raw_dir, "raw_shipments")
-    daily.daily_batches(p.sources, p.as_of_text)["raw_shipments"].write.mode("append").parquet(
-        f"{landing}/raw_shipments"
-    )
+    batch = daily.daily_batches(p.sources, p.as_of_text)["raw_shipments"]
+    batch.withColumn(BATCH_DATE, daily.batch_day(p.as_of_text)).write.mode("append").parquet(f"{landing}/raw_shipments")
     stream_append(spark, landing, raw_dir, f"{root}/ckpt-a", tables=("raw_shipments",))
     # the checkpoint is lost: a new one replays every landed file
     stream_append(spark, landing, raw_dir, f"{root}/ckpt-b", tables=("raw_shipments",))
     assert _count(spark, raw_dir, "raw_shipments") == base + 75
 
 
-def test_guard_reads_only_day_prefixed_keys(spark):
-    """Over landed raw tables the day prefix is pushed into the parquet scan."""
+def test_guard_reads_only_the_days_partition(spark):
     p = Project.from_dir(spark, SF_SMALL)
     raw_dir = run_folder(spark, "test-guard-plan") + "/raw"
     _land(spark, p, raw_dir, tables=("raw_payments",))
-    target = spark.read.schema(RAW_SCHEMAS["raw_payments"]).parquet(f"{raw_dir}/raw_payments")
     batch = daily.daily_batches(p.sources, p.as_of_text)["raw_payments"]
-    prefix = daily.batch_prefix("raw_payments", p.as_of_text)
-    df = daily.guard_status("raw_payments", batch, target, prefix)
+    df = daily.guard_status("raw_payments", batch, read_landed(spark, raw_dir, "raw_payments"), p.as_of_text)
     plan = df._jdf.queryExecution().executedPlan().toString()
-    assert f"StringStartsWith(payment_id,{prefix})" in plan
+    assert "PartitionFilters: [isnotnull(batch_date" in plan
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
     row = df.first()
     assert (row.existing_batch_rows, row.batch_rows, row.rows_to_append) == (0, 100, 100)
+
+
+def test_keys_that_look_like_a_day_and_half_landed_batches(spark):
+    """An order key that spells the day doesn't block the batch, and a batch that landed in part is completed."""
+    p = Project.from_dir(spark, SF_SMALL)
+    raw_dir = run_folder(spark, "test-date-keys") + "/raw"
+    _land(spark, p, raw_dir)
+    dated = p.table("raw_payments").limit(1).selectExpr("'PMT_20010801_1' AS payment_id", *RAW_SCHEMAS["raw_payments"].names[1:])
+    land(dated, raw_dir, "raw_payments")
+    batches = daily.daily_batches(p.sources, p.as_of_text)
+    part = batches["raw_payments"].where("right(payment_id, 4) <= '0040'").withColumn(BATCH_DATE, daily.batch_day(p.as_of_text))
+    land(part, raw_dir, "raw_payments")
+    first = daily.append_daily_batch(spark, raw_dir, batches, p.as_of_text)
+    assert [r.appended for r in first] == [60, 75, 150]
+    landed = daily.day_rows(read_landed(spark, raw_dir, "raw_payments"), p.as_of_text).drop(BATCH_DATE)
+    assert sorted(map(tuple, landed.collect()), key=str) == sorted(map(tuple, batches["raw_payments"].select(landed.columns).collect()), key=str)
+    assert [r.appended for r in daily.append_daily_batch(spark, raw_dir, batches, p.as_of_text)] == [0, 0, 0]
+    # another day is another batch
+    later = "2001-08-02 00:00:00"
+    assert [r.appended for r in daily.append_daily_batch(spark, raw_dir, daily.daily_batches(p.sources, later), later)] == [100, 75, 150]
+
+
+def test_stream_reads_only_the_partitions_of_its_dates(spark):
+    """Files of other days may even be unreadable: a micro-batch does not open them."""
+    p = Project.from_dir(spark, SF_SMALL)
+    root = run_folder(spark, "test-stream-days")
+    raw_dir, landing = f"{root}/raw", f"{root}/landing"
+    _land(spark, p, raw_dir, tables=("raw_shipments",))
+    other = f"{raw_dir}/raw_shipments/{BATCH_DATE}=2000-01-01"
+    os.makedirs(other)
+    with open(f"{other}/part-0.parquet", "w") as broken:
+        broken.write("no parquet")
+    batch = daily.daily_batches(p.sources, p.as_of_text)["raw_shipments"]
+    batch.withColumn(BATCH_DATE, daily.batch_day(p.as_of_text)).write.parquet(f"{landing}/raw_shipments")
+    stream_append(spark, landing, raw_dir, f"{root}/ckpt", tables=("raw_shipments",))
+    rows = daily.day_rows(read_landed(spark, raw_dir, "raw_shipments"), p.as_of_text).drop(BATCH_DATE)
+    assert sorted(map(tuple, rows.collect()), key=str) == sorted(map(tuple, batch.select(rows.columns).collect()), key=str)

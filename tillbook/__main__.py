@@ -5,7 +5,7 @@ Commands mirror the reference's daily flow:
 * ``seed``   — land the raw tables in ``--raw-dir``: from seed CSV files in
   ``--seed-dir`` (one folder or file per table) or, without it, derived from
   the source tables;
-* ``append`` — land today's batch into the raw tables (idempotent per table);
+* ``append`` — land today's batch into the raw tables (idempotent per row);
 * ``build``  — build every model, write intermediates, marts, reports and the
   check results under ``--out`` (default: a fresh folder in the shared
   storage root);
@@ -19,16 +19,16 @@ submitting context) or stand-alone on local cores.
 from __future__ import annotations
 
 import argparse
+import datetime as dt
 import json
 
-from tillbook.config import DEFAULT_AS_OF
 from tillbook.operators.quality import run_checks
 from tillbook.plans.graph import Project
 from tillbook.plans.pipeline import build_all
 from tillbook.session import get_session
 from tillbook.sources.schemas import RAW_SCHEMAS
 from tillbook.sources.seeds import load_seed
-from tillbook.sources.tables import read_raw_tables
+from tillbook.sources.tables import land, read_raw_tables
 from tillbook.streaming import daily
 
 
@@ -39,11 +39,12 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--source-dir", required=True, help="folder with the source parquet tables")
     parser.add_argument("--raw-dir", help="landed raw tables (default: derive them from the sources)")
     parser.add_argument("--out", help="output folder for a build")
-    parser.add_argument("--as-of", default=DEFAULT_AS_OF, help="reference clock, 'YYYY-MM-DD HH:MM:SS'")
+    parser.add_argument("--as-of", help="reference clock, 'YYYY-MM-DD HH:MM:SS' (default: now, UTC)")
     args = parser.parse_args(argv)
 
+    as_of = args.as_of or dt.datetime.now(dt.UTC).strftime("%Y-%m-%d %H:%M:%S")
     spark = get_session()
-    project = Project.from_dir(spark, args.source_dir, as_of=args.as_of)
+    project = Project.from_dir(spark, args.source_dir, as_of=as_of)
     if args.command == "seed":
         if not args.raw_dir:
             parser.error("seed needs --raw-dir")
@@ -51,7 +52,7 @@ def main(argv: list[str] | None = None) -> None:
             if args.seed_dir:
                 load_seed(spark, f"{args.seed_dir.rstrip('/')}/{table}", table, args.raw_dir)
             else:
-                project.table(table).write.mode("overwrite").parquet(f"{args.raw_dir.rstrip('/')}/{table}")
+                land(project.table(table), args.raw_dir, table, mode="overwrite")
         print(json.dumps({"raw_dir": args.raw_dir, "tables": list(RAW_SCHEMAS)}))
         return
     if args.command in ("append", "daily"):

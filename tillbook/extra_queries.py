@@ -5,11 +5,13 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tillbook.operators.quality import run_checks
 from tillbook.plans.graph import Project
 from tillbook.session import run_folder
-from tillbook.sources.schemas import RAW_SCHEMAS
+from tillbook.sources.seeds import load_seed, write_seed_csv
+from tillbook.sources.tables import BATCH_DATE, land, read_landed
 from tillbook.streaming import daily
 from tillbook.streaming.stream import stream_append
 
@@ -27,9 +29,8 @@ def _after_append(p: Project) -> dict[str, DataFrame]:
     batches = _batches(p)
     out = {}
     for table in daily.BATCH_TABLES:
-        prefix = daily.batch_prefix(table, p.as_of_text)
-        raw = p.table(table)
-        out[table] = raw.unionByName(daily.guarded_batch(table, batches[table], raw, prefix))
+        raw = daily.unbatched(p.table(table))
+        out[table] = raw.unionByName(daily.guarded_batch(table, batches[table], raw, p.as_of_text)).drop(BATCH_DATE)
     return out
 
 
@@ -61,31 +62,38 @@ def batch_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = _project(spark, sf_dir)
     batches = _batches(p)
     parts = [
-        daily.guard_status(t, batches[t], p.table(t), daily.batch_prefix(t, p.as_of_text))
+        daily.guard_status(t, batches[t], daily.unbatched(p.table(t)), p.as_of_text)
         for t in daily.BATCH_TABLES
     ]
     return reduce(DataFrame.unionByName, parts)
 
 
-def _land_raw(p: Project, raw_dir: str) -> None:
+def _first_load(p: Project, raw_dir: str) -> None:
     for table in daily.BATCH_TABLES:
-        p.table(table).select(*RAW_SCHEMAS[table].names).write.mode("overwrite").parquet(f"{raw_dir}/{table}")
+        land(p.table(table), raw_dir, table, mode="overwrite")
 
 
-def _read_landed(spark: SparkSession, raw_dir: str) -> dict[str, DataFrame]:
-    return {t: spark.read.schema(RAW_SCHEMAS[t]).parquet(f"{raw_dir}/{t}") for t in daily.BATCH_TABLES}
+def _appended(spark: SparkSession, raw_dir: str, day: str) -> DataFrame:
+    """Rows that landed with the day's batch, of all tables: table, key, and their other columns as JSON."""
+    parts = []
+    for table, key in daily.KEYS.items():
+        rows = daily.day_rows(read_landed(spark, raw_dir, table), day).drop(BATCH_DATE)
+        others = [c for c in rows.columns if c != key]
+        text = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("-")) for c in others])
+        parts.append(rows.select(F.lit(daily.TABLE_LABELS[table]).alias("table_name"), F.col(key).alias("row_key"), text.alias("row_values")))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def append_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Land the raw tables, append today's batch twice (the second run is a
-    no-op), and report the row counts of the landed tables."""
+    no-op), and return the rows that were appended."""
     p = _project(spark, sf_dir)
     raw_dir = run_folder(spark, "append") + "/raw"
-    _land_raw(p, raw_dir)
+    _first_load(p, raw_dir)
     batches = _batches(p)
     for _ in range(2):
         daily.append_daily_batch(spark, raw_dir, batches, p.as_of_text)
-    return daily.table_counts(_read_landed(spark, raw_dir))
+    return _appended(spark, raw_dir, p.as_of_text)
 
 
 def stream_append_query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -94,13 +102,23 @@ def stream_append_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = _project(spark, sf_dir)
     root = run_folder(spark, "stream")
     raw_dir, landing, checkpoints = f"{root}/raw", f"{root}/landing", f"{root}/checkpoints"
-    _land_raw(p, raw_dir)
-    batches = _batches(p)
+    _first_load(p, raw_dir)
     for _ in range(2):
-        for table, df in batches.items():
-            df.select(*RAW_SCHEMAS[table].names).write.mode("append").parquet(f"{landing}/{table}")
+        for table, df in _batches(p).items():
+            df.withColumn(BATCH_DATE, daily.batch_day(p.as_of_text)).write.mode("append").parquet(f"{landing}/{table}")
         stream_append(spark, landing, raw_dir, checkpoints)
-    return daily.table_counts(_read_landed(spark, raw_dir))
+    return _appended(spark, raw_dir, p.as_of_text)
+
+
+def seed_load(table: str):
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        """A raw table written as seed CSV, loaded from it, and read as landed."""
+        root = run_folder(spark, f"seed-{table}")
+        write_seed_csv(_project(spark, sf_dir).table(table), f"{root}/csv")
+        load_seed(spark, f"{root}/csv", table, f"{root}/raw")
+        return read_landed(spark, f"{root}/raw", table).drop(BATCH_DATE)
+
+    return run
 
 
 def raw_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -131,4 +149,8 @@ def registered() -> dict:
         "latest_shipments": latest("raw_shipments"),
         "latest_clicks": latest("raw_marketing_clicks"),
         "stream_append": stream_append_query,
+        "seed_payments": seed_load("raw_payments"),
+        "seed_shipments": seed_load("raw_shipments"),
+        "seed_campaigns": seed_load("raw_marketing_campaigns"),
+        "seed_clicks": seed_load("raw_marketing_clicks"),
     }

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from tillbook.oracle import AS_OF, BATCH_DAY, CTES, HOURS, cte, with_ctes
+from tillbook.config import DEFAULT_AS_OF
 from tillbook.operators.quality import CHECKS
+from tillbook.oracle import AS_OF, BATCH_DAY, CTES, HOURS, cte, model_sql, with_ctes
+from tillbook.sources.schemas import RAW_SCHEMAS
 
 # ------------------------------------------------------------- daily batch
 cte("sampled_orders", [], """
@@ -54,32 +56,40 @@ _BATCH = {
     "marketing_clicks": ("raw_marketing_clicks", "batch_clicks", "click_id", f"CLICK_{BATCH_DAY}_"),
 }
 
+# First-load rows carry no batch date; a day's batch is judged by the rows that carry its date.
+DAY = f"DATE '{DEFAULT_AS_OF[:10]}'"
+
 _guard_parts = []
 for _label, (_raw, _batch, _key, _prefix) in _BATCH.items():
-    _existing = f"(SELECT count(*) FROM {_raw} WHERE starts_with({_key}, '{_prefix}'))"
-    _fresh = (
-        f"(SELECT count(*) FROM {_batch} b WHERE NOT EXISTS "
-        f"(SELECT 1 FROM {_raw} r WHERE r.{_key} = b.{_key}))"
-    )
-    _guard_parts.append(
-        f"SELECT '{_label}' AS table_name, '{_prefix}' AS batch_prefix, {_existing} AS existing_batch_rows, "
-        f"(SELECT count(*) FROM {_batch}) AS batch_rows, "
-        f"CASE WHEN {_existing} > 0 THEN CAST(0 AS BIGINT) ELSE {_fresh} END AS rows_to_append"
-    )
+    cte(f"dated_{_raw}", [_raw], f"SELECT *, CAST(NULL AS DATE) AS batch_date FROM {_raw}")
     cte(
         f"guarded_{_batch}",
-        [_raw, _batch],
-        f"SELECT * FROM {_batch} b WHERE NOT EXISTS (SELECT 1 FROM {_raw} r WHERE r.{_key} = b.{_key}) "
-        f"AND {_existing} = 0",
+        [f"dated_{_raw}", _batch],
+        f"SELECT *, {DAY} AS batch_date FROM {_batch} WHERE {_key} NOT IN (SELECT {_key} FROM dated_{_raw} WHERE batch_date = {DAY})",
+    )
+    cte(f"after_{_raw}", [f"dated_{_raw}", f"guarded_{_batch}"], f"FROM dated_{_raw} UNION ALL BY NAME FROM guarded_{_batch}")
+    _guard_parts.append(
+        f"SELECT '{_label}' AS table_name, '{_prefix}' AS batch_prefix, "
+        f"(SELECT count(*) FROM dated_{_raw} WHERE batch_date = {DAY} AND starts_with({_key}, '{_prefix}')) AS existing_batch_rows, "
+        f"(SELECT count(*) FROM {_batch}) AS batch_rows, (SELECT count(*) FROM guarded_{_batch}) AS rows_to_append"
     )
-    cte(f"after_{_raw}", [_raw, f"guarded_{_batch}"], f"SELECT * FROM {_raw} UNION ALL SELECT * FROM guarded_{_batch}")
 
 cte(
     "batch_guard",
-    [dep for v in _BATCH.values() for dep in v[:2]],
+    [dep for v in _BATCH.values() for dep in (f"dated_{v[0]}", f"guarded_{v[1]}")],
     "\nUNION ALL\n".join(_guard_parts),
 )
 
+
+def _appended_sql() -> str:
+    parts = []
+    for label, (raw, batch, key, _) in _BATCH.items():
+        names = RAW_SCHEMAS[raw].names
+        text = ", ".join(f"coalesce(CAST({c} AS VARCHAR), '-')" for c in names if c != key)
+        parts.append(f"SELECT '{label}' AS table_name, {key} AS row_key, concat_ws('|', {text}) AS row_values FROM after_{raw} WHERE batch_date = {DAY}")
+    return with_ctes([f"after_{v[0]}" for v in _BATCH.values()], "\nUNION ALL\n".join(parts))
+
+
 cte(
     "raw_counts",
     [f"after_{v[0]}" for v in _BATCH.values()],
@@ -99,7 +109,7 @@ def _latest_sql(raw: str) -> str:
     key, ts = _KEYS[raw], _TIME[raw]
     return with_ctes(
         [f"after_{raw}"],
-        f"SELECT * FROM after_{raw} WHERE {key} LIKE '{_ID[raw]}%' "
+        f"SELECT * EXCLUDE (batch_date) FROM after_{raw} WHERE {key} LIKE '{_ID[raw]}%' "
         f"ORDER BY {ts} DESC NULLS LAST, {key} ASC LIMIT 5",
     )
 
@@ -143,8 +153,13 @@ def queries() -> dict[str, str]:
         "batch_guard": with_ctes(["batch_guard"], "SELECT * FROM batch_guard"),
         "raw_counts": with_ctes(["raw_counts"], "SELECT * FROM raw_counts"),
         # the physical append (and its streaming form) must land exactly the guarded rows once
-        "append_batch": with_ctes(["raw_counts"], "SELECT * FROM raw_counts"),
-        "stream_append": with_ctes(["raw_counts"], "SELECT * FROM raw_counts"),
+        "append_batch": _appended_sql(),
+        "stream_append": _appended_sql(),
+        # a raw table is the same after a round through seed CSV
+        "seed_payments": model_sql("raw_payments"),
+        "seed_shipments": model_sql("raw_shipments"),
+        "seed_campaigns": model_sql("raw_marketing_campaigns"),
+        "seed_clicks": model_sql("raw_marketing_clicks"),
         "dq_unique": dq_sql(("unique",)),
         "dq_not_null": dq_sql(("not_null",)),
         "dq_accepted_values": dq_sql(("accepted_values",)),

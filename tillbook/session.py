@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -29,6 +30,8 @@ def session_configs(cpus: int = 8, shuffle_partitions: int | None = None) -> dic
         "spark.sql.adaptive.autoBroadcastJoinThreshold": "32m",
         "spark.sql.files.maxPartitionBytes": "256m",
         "spark.sql.session.timeZone": "UTC",
+        # money sums rely on it: an overflow raises instead of wrapping
+        "spark.sql.ansi.enabled": "true",
         "spark.sql.parquet.filterPushdown": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.ui.enabled": "false",
@@ -45,15 +48,22 @@ def get_session(
     shuffle_partitions: int | None = None,
 ) -> SparkSession:
     cpus = cpus or int(os.environ.get("BENCH_CPUS", "8"))
+    configs = session_configs(cpus, shuffle_partitions)
     builder = SparkSession.builder.appName(app_name)
-    # Under spark-submit the JVM (and the cluster master) already exist: keep
-    # them.  Only a plain `python` run starts its own local-mode Spark.
-    launched_by_submit = "PYSPARK_GATEWAY_PORT" in os.environ
-    if master or not launched_by_submit:
+    # Under spark-submit the JVM (and the cluster master) already exist: what
+    # was submitted stays, and how many partitions a shuffle has is the
+    # cluster's business.  Only a plain `python` run starts its own local Spark.
+    if "PYSPARK_GATEWAY_PORT" in os.environ and not master:
+        spark = builder.getOrCreate()
+        submitted = spark.sparkContext.getConf()
+        for key, value in configs.items():
+            if key != "spark.sql.shuffle.partitions" and not submitted.contains(key) and spark.conf.isModifiable(key):
+                spark.conf.set(key, value)
+    else:
         builder = builder.master(master or f"local[{cpus}]").config("spark.driver.memory", driver_memory)
-    for key, value in session_configs(cpus, shuffle_partitions).items():
-        builder = builder.config(key, value)
-    spark = builder.getOrCreate()
+        for key, value in configs.items():
+            builder = builder.config(key, value)
+        spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 
@@ -62,9 +72,9 @@ def storage_root(spark: SparkSession) -> str:
     """Shared folder for written intermediates, checkpoints and appended tables.
 
     On a cluster this is the shared location named by ``spark.checkpoint.dir``
-    (or a checkpoint directory already set on the context).  Only when nothing
-    is configured (a bare local test session) do we pick a scratch folder and
-    register it as the context's checkpoint directory.
+    (or a checkpoint directory already set on the context).  Only on a local
+    master, where all tasks share the machine, is a scratch folder picked if
+    nothing is configured; elsewhere that is an error.
     """
     sc = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
@@ -73,9 +83,11 @@ def storage_root(spark: SparkSession) -> str:
         if current:
             # setCheckpointDir adds a per-application sub-folder; share its parent
             root = current.rsplit("/", 1)[0]
-        else:
+        elif re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
             root = tempfile.mkdtemp(prefix="tillbook-")
             sc.setCheckpointDir(root)
+        else:
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(root)
     return root.rstrip("/")
@@ -97,3 +109,9 @@ def pin(df: DataFrame, label: str) -> DataFrame:
     path = run_folder(spark, label)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Deletes a folder that a run wrote and no later step reads."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

@@ -1,10 +1,10 @@
-"""Declared schemas — the pipeline never infers types.
+"""Declared schemas of the source and raw tables.
 
-The source schemas list every column the staging layer selects.  Columns a
-given physical table lacks (the test tables have no addresses, comments,
-clerks, commit/receipt dates, …) come back from the parquet reader as typed
-NULLs, so the staging code is the same whatever subset of TPC-H columns a
-deployment ships.
+The source schemas list every column the staging layer selects.  The columns
+in ``OPTIONAL`` may be absent from a deployment's tables (the test tables have
+no addresses, comments, clerks, commit/receipt dates, …) and are then typed
+NULLs; any other missing column is an error.  Amounts declared double may be
+stored as decimals.
 """
 
 from pyspark.sql import types as T
@@ -123,6 +123,14 @@ SOURCE_SCHEMAS = {
     "events": EVENTS,
 }
 
+OPTIONAL = {
+    "customer": {"c_address", "c_phone", "c_comment"},
+    "orders": {"o_clerk", "o_shippriority"},
+    "lineitem": {"l_commitdate", "l_receiptdate"},
+    "part": {"p_mfgr", "p_container", "p_comment"},
+    "events": {"value", "props"},
+}
+
 RAW_SCHEMAS = {
     "raw_payments": RAW_PAYMENTS,
     "raw_shipments": RAW_SHIPMENTS,

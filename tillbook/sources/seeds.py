@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tillbook.sources.schemas import RAW_SCHEMAS
+from tillbook.sources.tables import land
 
 
 def read_seed_csv(spark: SparkSession, path: str, table: str) -> DataFrame:
@@ -27,9 +28,8 @@ def read_seed_csv(spark: SparkSession, path: str, table: str) -> DataFrame:
 
 def load_seed(spark: SparkSession, csv_path: str, table: str, raw_dir: str) -> str:
     """Load one seed CSV into ``<raw_dir>/<table>`` (full refresh), return the path."""
-    out = f"{raw_dir.rstrip('/')}/{table}"
-    read_seed_csv(spark, csv_path, table).write.mode("overwrite").parquet(out)
-    return out
+    land(read_seed_csv(spark, csv_path, table), raw_dir, table, mode="overwrite")
+    return f"{raw_dir.rstrip('/')}/{table}"
 
 
 def write_seed_csv(df: DataFrame, path: str) -> None:

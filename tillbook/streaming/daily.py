@@ -6,12 +6,12 @@ arithmetic hash of the key, top N taken with a bounded top-k
 (``TakeOrderedAndProject``: each task keeps N rows) — and every attribute is
 a function of the row number, so a re-run produces the same batch.
 
-Idempotency is checked per table, twice over:
-
-* batch level — rows whose key starts with the day's prefix already exist;
-* row level — batch keys already present are dropped by a semi/anti join in
-  which only the N-row batch is broadcast (its size is bounded by N), so the
-  target table is scanned but never shuffled.
+Landed raw tables are partitioned by ``batch_date``, the day whose batch a row
+came with (NULL: the first load).  The guard reads that day's partition alone,
+and never judges by key text: a first-load key may look like a day's.  Batch
+rows whose key is in the partition already are dropped (the N-row batch and the
+keys of one day's batch are what is joined), so a batch that landed in part
+is completed and a whole one adds nothing.
 """
 
 from __future__ import annotations
@@ -22,12 +22,11 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tillbook.sources.raw import LANDING_PAGES, PAYMENT_METHODS, pad_sql, pick_sql
-from tillbook.session import pin
-from tillbook.sources.schemas import RAW_SCHEMAS
+from tillbook.sources.raw import CARRIERS, LANDING_PAGES, PAYMENT_METHODS, pad_sql, pick_sql
+from tillbook.session import remove, run_folder
+from tillbook.sources.tables import BATCH_DATE, land, read_landed
 
 # ---- fixed values ----------------------------------------------------------
-BATCH_CARRIERS = ["UPS", "FedEx", "USPS", "DHL"]
 ID_PREFIX = {"raw_payments": "PMT_", "raw_shipments": "SHIP_", "raw_marketing_clicks": "CLICK_"}
 BATCH_ROWS = {"raw_payments": 100, "raw_shipments": 75, "raw_marketing_clicks": 150}
 # Short table names used by the reference's status and count queries.
@@ -80,7 +79,7 @@ def batch_shipments(orders: DataFrame, as_of_text: str) -> DataFrame:
     return s.selectExpr(
         f"concat('{batch_prefix('raw_shipments', as_of_text)}', {pad_sql('rn', 4)}) AS shipment_id",
         "o_orderkey AS order_id",
-        f"{pick_sql(BATCH_CARRIERS, 'rn % 4')} AS carrier",
+        f"{pick_sql(CARRIERS, 'rn % 4')} AS carrier",
         "CAST(100000000 + (o_orderkey * 104729) % 899999999 AS STRING) AS tracking_number",
         f"""CASE WHEN {roll} < 5 THEN 'returned' WHEN {roll} < 20 THEN 'in_transit'
                  WHEN {roll} < 25 THEN 'delayed' ELSE 'delivered' END AS status""",
@@ -114,64 +113,51 @@ def daily_batches(sources: dict[str, DataFrame], as_of_text: str) -> dict[str, D
 def new_rows(batch: DataFrame, target: DataFrame, key: str, bounded: bool = True) -> DataFrame:
     """Batch rows whose key is not yet in the target.
 
-    The semi join finds the target keys that clash with the batch, the anti
-    join drops them from the batch; the target is only scanned.  A daily
-    batch has at most N rows, so it is broadcast outright (``bounded``);
+    The semi join finds the target keys that clash with the batch (each
+    once), the anti join drops them from the batch.  A daily
+    batch has at most N rows, so it and the clashing keys are broadcast outright (``bounded``);
     for stream micro-batches of unknown size AQE decides from the measured
     size whether to broadcast or shuffle."""
     batch_keys = batch.select(key)
     if bounded:
         batch_keys = F.broadcast(batch_keys)
-    clashing = target.select(key).join(batch_keys, key, "left_semi")
+    clashing = target.select(key).join(batch_keys, key, "left_semi").distinct()
     if bounded:
         clashing = F.broadcast(clashing)
     return batch.join(clashing, key, "left_anti")
 
 
-def day_rows(target: DataFrame, key: str, prefix: str) -> DataFrame:
-    """Keys of the target that carry the batch's day prefix.
+def batch_day(as_of_text: str) -> Column:
+    return F.lit(as_of_text[:10]).cast("date")
+
+
+def day_rows(target: DataFrame, as_of_text: str) -> DataFrame:
+    """Rows of the target that came with the day's batch: one partition of a landed table."""
+    return target.where(F.col(BATCH_DATE) == batch_day(as_of_text))
+
 
-    Every key of a daily batch starts with the prefix, so a key can only
-    clash with these rows: both guards read just them.  The prefix filter is
-    pushed into the parquet scan (``StringStartsWith``), where row-group
-    min/max statistics skip every file whose key range excludes it — the
-    seed files and earlier days' batches — so the guard does not scan the
-    table."""
-    return target.select(key).where(F.col(key).startswith(prefix))
+def unbatched(raw: DataFrame) -> DataFrame:
+    """A first-load raw table in the shape of a landed one."""
+    return raw.withColumn(BATCH_DATE, F.lit(None).cast("date"))
 
 
-def guard_status(table: str, batch: DataFrame, target: DataFrame, prefix: str) -> DataFrame:
+def guard_status(table: str, batch: DataFrame, target: DataFrame, as_of_text: str) -> DataFrame:
     """One row: how many rows of today's batch exist, and how many would be appended."""
     key = KEYS[table]
-    today = day_rows(target, key, prefix)
-    kinds = (
-        today.select(F.lit("existing").alias("kind"))
-        .unionByName(new_rows(batch, today, key).select(F.lit("fresh").alias("kind")))
-        .unionByName(batch.select(F.lit("batch").alias("kind")))
-    )
-    counts = kinds.agg(
-        F.count_if(F.col("kind") == "existing").alias("existing_batch_rows"),
-        F.count_if(F.col("kind") == "batch").alias("batch_rows"),
-        F.count_if(F.col("kind") == "fresh").alias("fresh"),
-    )
-    return counts.select(
-        F.lit(TABLE_LABELS[table]).alias("table_name"),
-        F.lit(prefix).alias("batch_prefix"),
-        "existing_batch_rows",
-        "batch_rows",
-        F.when(F.col("existing_batch_rows") > 0, F.lit(0).cast("bigint"))
-        .otherwise(F.col("fresh"))
-        .alias("rows_to_append"),
-    )
+    prefix = batch_prefix(table, as_of_text)
+    # a flag per batch row: one sampling of the batch and one read of the day's partition
+    today = day_rows(target, as_of_text).where(F.col(key).startswith(prefix)).select(key, F.lit(1).alias("landed")).distinct()
+    flagged = F.broadcast(batch.select(key, F.lit(1).alias("fresh"))).join(today, key, "full")
+    return flagged.agg(
+        F.count("landed").alias("existing_batch_rows"),
+        F.count("fresh").alias("batch_rows"),
+        F.count_if(F.col("landed").isNull()).alias("rows_to_append"),
+    ).select(F.lit(TABLE_LABELS[table]).alias("table_name"), F.lit(prefix).alias("batch_prefix"), "existing_batch_rows", "batch_rows", "rows_to_append")
 
 
-def guarded_batch(table: str, batch: DataFrame, target: DataFrame, prefix: str) -> DataFrame:
-    """The rows an append would add (lazy): nothing if the day's batch exists."""
-    key = KEYS[table]
-    today = day_rows(target, key, prefix)
-    # scalar subquery, evaluated once: does any row of today's batch exist?
-    existing = today.limit(1).select(F.count(F.lit(1))).scalar()
-    return new_rows(batch, today, key).where(existing == 0)
+def guarded_batch(table: str, batch: DataFrame, target: DataFrame, as_of_text: str) -> DataFrame:
+    """The rows an append would add (lazy), with their ``batch_date``."""
+    return new_rows(batch, day_rows(target, as_of_text), KEYS[table]).withColumn(BATCH_DATE, batch_day(as_of_text))
 
 
 @dataclass
@@ -188,27 +174,22 @@ def append_daily_batch(
     as_of_text: str,
     tables: tuple[str, ...] = BATCH_TABLES,
 ) -> list[AppendReport]:
-    """Append today's batch to each landed raw table; safe to re-run.
+    """Append what is missing of today's batch to each landed raw table; safe to re-run.
 
-    Each table is guarded on its own, so a run that crashed after the
-    payments append still fills shipments and clicks on the next run."""
+    A run that crashed between tables, or within one, is completed by the next."""
     reports = []
     for table in tables:
-        path = f"{raw_dir.rstrip('/')}/{table}"
-        target = spark.read.schema(RAW_SCHEMAS[table]).parquet(path)
-        prefix = batch_prefix(table, as_of_text)
-        key = KEYS[table]
-        today = day_rows(target, key, prefix)
-        if today.limit(1).count() > 0:
-            reports.append(AppendReport(table, 0, True))
-            continue
-        rows = new_rows(batches[table], today, key).select(*RAW_SCHEMAS[table].names)
+        rows = guarded_batch(table, batches[table], read_landed(spark, raw_dir, table), as_of_text)
         # pin the (at most N) new rows first: the count and the append then read
         # the same files, and the append never reads the table it writes
-        rows = pin(rows, f"append-{table}")
+        path = run_folder(spark, f"append-{table}")
+        rows.write.parquet(path)
+        rows = spark.read.parquet(path)
         n = rows.count()
-        rows.write.mode("append").parquet(path)
-        reports.append(AppendReport(table, n, False))
+        if n:
+            land(rows.coalesce(1), raw_dir, table)
+        remove(spark, path)
+        reports.append(AppendReport(table, n, n == 0))
     return reports
 
 

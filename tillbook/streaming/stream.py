@@ -2,9 +2,11 @@
 
 New batch files dropped into ``<landing>/<table>/`` are read by a file
 source with a declared schema and applied with ``foreachBatch``:
-de-duplicate by key inside the micro-batch, drop keys already in the target
-(semi/anti join, no watermark needed because the dedup is by primary key
-against the target), append.  ``trigger(availableNow=True)`` processes what
+de-duplicate by key inside the micro-batch, drop keys that landed already,
+append.  Landed files carry the ``batch_date`` of the batch they belong to, and a
+key can only have landed with its own batch: the target is read in the
+partitions of the micro-batch's dates alone, so the work of a micro-batch
+does not grow with the table.  ``trigger(availableNow=True)`` processes what
 has landed and stops, so the job can be scheduled like the daily task; the
 checkpoint makes every file count once, and the key anti join makes a
 replayed micro-batch (after a failure between write and commit) harmless.
@@ -13,21 +15,30 @@ replayed micro-batch (after a failure between write and commit) harmless.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tillbook.session import pin
+from tillbook.session import remove, run_folder
 from tillbook.sources.schemas import RAW_SCHEMAS
+from tillbook.sources.tables import BATCH_DATE, land, read_landed
 from tillbook.streaming.daily import BATCH_TABLES, KEYS, new_rows
 
 
-def _apply_micro_batch(spark: SparkSession, table: str, target_path: str):
+def _apply_micro_batch(spark: SparkSession, table: str, raw_dir: str):
     key = KEYS[table]
-    schema = RAW_SCHEMAS[table]
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        target = spark.read.schema(schema).parquet(target_path)
-        rows = new_rows(batch.dropDuplicates([key]), target, key, bounded=False)
-        rows = pin(rows.select(*schema.names), f"micro-batch-{table}-{batch_id}")
-        rows.write.mode("append").parquet(target_path)
+        path = run_folder(spark, f"micro-batch-{table}-{batch_id}")
+        batch.dropDuplicates([key]).write.parquet(f"{path}/batch")
+        rows = spark.read.parquet(f"{path}/batch")
+        days = [r[0] for r in rows.select(BATCH_DATE).distinct().collect()]  # a few days' batches at most
+        target = read_landed(spark, raw_dir, table)
+        same_days = F.col(BATCH_DATE).isin([d for d in days if d is not None])
+        if None in days:
+            same_days |= F.col(BATCH_DATE).isNull()
+        new_rows(rows, target.where(same_days), key, bounded=False).write.parquet(f"{path}/new")
+        land(spark.read.parquet(f"{path}/new"), raw_dir, table)
+        remove(spark, path)
 
     return apply
 
@@ -41,12 +52,12 @@ def stream_append(
     max_files_per_trigger: int = 64,
 ) -> None:
     for table in tables:
-        target_path = f"{raw_dir.rstrip('/')}/{table}"
+        schema = T.StructType([*RAW_SCHEMAS[table].fields, T.StructField(BATCH_DATE, T.DateType())])
         query = (
-            spark.readStream.schema(RAW_SCHEMAS[table])
+            spark.readStream.schema(schema)
             .option("maxFilesPerTrigger", max_files_per_trigger)
             .parquet(f"{landing_dir.rstrip('/')}/{table}")
-            .writeStream.foreachBatch(_apply_micro_batch(spark, table, target_path))
+            .writeStream.foreachBatch(_apply_micro_batch(spark, table, raw_dir))
             .option("checkpointLocation", f"{checkpoint_dir.rstrip('/')}/{table}")
             .trigger(availableNow=True)
             .start()
