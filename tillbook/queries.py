@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tillbook import extra_queries
 from tillbook.plans.graph import MODEL_NAMES, Project
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,11 +21,4 @@ def _model_query(name: str) -> Query:
 
 
 def registered() -> dict[str, Query]:
-    out: dict[str, Query] = {name: _model_query(name) for name in MODEL_NAMES}
-    try:
-        from tillbook import extra_queries
-
-        out.update(extra_queries.registered())
-    except ImportError:  # pragma: no cover - during bootstrap
-        pass
-    return out
+    return {**{name: _model_query(name) for name in MODEL_NAMES}, **extra_queries.registered()}

@@ -13,7 +13,6 @@ call into the JVM when the plan is built.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from tillbook.functions.dates import add_hours
 
@@ -22,11 +21,15 @@ PAYMENT_METHODS = ["credit_card", "debit_card", "ach", "paypal", "apple_pay"]
 CHANNELS = ["google_ads", "facebook", "email", "instagram", "tiktok", "podcast"]
 CAMPAIGN_TYPES = ["acquisition", "retention", "reactivation", "brand"]
 LANDING_PAGES = ["summer-sale", "new-arrivals", "holiday", "clearance", "newsletter"]
+CARRIERS = ["UPS", "FedEx", "USPS", "DHL"]
+BUDGET_TIERS = [2500, 5000, 10000, 25000, 50000, 100000]
+PAYMENT_STATUSES = ["captured", "captured", "captured", "captured", "captured", "pending", "failed", "refunded"]
+SHIPMENT_STATUSES = ["delivered", "delivered", "delivered", "in_transit", "delayed", "returned"]
 # -----------------------------------------------------------------------------
 
-BUDGET_TIERS = [2500, 5000, 10000, 25000, 50000]
 CAMPAIGN_EPOCH = "1999-08-01 00:00:00"
-CAMPAIGN_COUNT = 40
+#: Campaigns that events click on, and the length of a round of start dates.
+CLICKED_CAMPAIGNS = 40
 
 
 def pick_sql(values: list, index_sql: str) -> str:
@@ -40,12 +43,10 @@ def pad_sql(x_sql: str, width: int) -> str:
     return f"format_string('%0{width}d', {x_sql})"
 
 
-
-
 def derive_raw_payments(orders: DataFrame) -> DataFrame:
     """One payment attempt for 17 of every 20 orders, a second attempt for
     orders whose key ends in 3 (single scan: the attempts are exploded)."""
-    k, status = "o_orderkey", "(o_orderkey * 13 + att * 3) % 8"
+    k = "o_orderkey"
     base = orders.where("o_orderkey IS NOT NULL AND o_orderkey % 20 < 17").selectExpr(
         "o_orderkey",
         "o_custkey",
@@ -60,8 +61,7 @@ def derive_raw_payments(orders: DataFrame) -> DataFrame:
                  ELSE CAST(CAST(1500 + ({k} * 7919 + att * 131) % 498500 AS DECIMAL(20,0)) * 0.01 AS DECIMAL(12,2))
             END AS amount_usd""",
         f"CASE WHEN {k} % 19 = 7 THEN NULL ELSE {pick_sql(PAYMENT_METHODS, f'({k} + att) % 5')} END AS payment_method",
-        f"""CASE WHEN {status} < 5 THEN 'captured' WHEN {status} = 5 THEN 'pending'
-                 WHEN {status} = 6 THEN 'failed' ELSE 'refunded' END AS status""",
+        f"{pick_sql(PAYMENT_STATUSES, f'({k} * 13 + att * 3) % 8')} AS status",
         f"{add_hours('o_orderdate', f'({k} * 37 + att * 29) % 8760')} AS paid_at",
     )
 
@@ -73,35 +73,35 @@ def derive_raw_shipments(orders: DataFrame) -> DataFrame:
     return orders.where("o_orderkey IS NOT NULL AND o_orderkey % 4 <> 3").selectExpr(
         f"concat('SHIP_', {pad_sql(k, 8)}) AS shipment_id",
         f"{k} AS order_id",
-        f"CASE {k} % 4 WHEN 0 THEN 'UPS' WHEN 1 THEN 'FedEx' ELSE 'USPS' END AS carrier",
+        f"{pick_sql(CARRIERS, f'({k} * 3 + {k} % 7) % 4')} AS carrier",
         f"concat('TR', CAST(100000000 + ({k} * 104729) % 899999999 AS STRING)) AS tracking_number",
-        f"""CASE WHEN {status} < 3 THEN 'delivered' WHEN {status} = 3 THEN 'in_transit'
-                 WHEN {status} = 4 THEN 'delayed' ELSE 'returned' END AS status""",
+        f"{pick_sql(SHIPMENT_STATUSES, status)} AS status",
         f"{shipped} AS shipped_at",
         f"CASE WHEN {status} < 3 THEN {add_hours(shipped, f'24 * (2 + {k} % 7) + {k} % 13')} END AS delivered_at",
     )
 
 
 def derive_raw_marketing_campaigns(part: DataFrame) -> DataFrame:
-    """Forty campaigns, one per part key 0..39 (the scan filter is pushed to parquet)."""
+    """One campaign per part; start dates go round after ``CLICKED_CAMPAIGNS``, the last of each round has no budget."""
     i = "(p_partkey + 1)"
     ctype = pick_sql(CAMPAIGN_TYPES, f"({i} * 7) % 4")
     channel = pick_sql(CHANNELS, f"{i} % 6")
     epoch = f"CAST('{CAMPAIGN_EPOCH}' AS TIMESTAMP_NTZ)"
-    return part.where(F.col("p_partkey") < CAMPAIGN_COUNT).selectExpr(
+    days = f"18 * (p_partkey % {CLICKED_CAMPAIGNS} + 1)"
+    return part.where("p_partkey IS NOT NULL").selectExpr(
         f"concat('CMP_', {pad_sql(i, 4)}) AS campaign_id",
         f"concat('  ', {ctype}, ' ', {channel}, ' ') AS campaign_name",
         f"{channel} AS channel",
         f"{ctype} AS campaign_type",
-        f"CAST(CASE WHEN {i} = {CAMPAIGN_COUNT} THEN 0 ELSE {pick_sql(BUDGET_TIERS, f'{i} % 5')} END AS BIGINT)"
+        f"CAST(CASE WHEN {i} % {CLICKED_CAMPAIGNS} = 0 THEN 0 ELSE {pick_sql(BUDGET_TIERS, f'({i} * 5 + {i} % 7) % 6')} END AS BIGINT)"
         " AS budget_usd",
-        f"{add_hours(epoch, f'24 * 18 * {i}')} AS started_at",
-        f"{add_hours(epoch, f'24 * (18 * {i} + 7 + ({i} * 11) % 84)')} AS ended_at",
+        f"{add_hours(epoch, f'24 * ({days})')} AS started_at",
+        f"{add_hours(epoch, f'24 * ({days} + 7 + ({i} * 11) % 84)')} AS ended_at",
     )
 
 
 def derive_raw_marketing_clicks(events: DataFrame) -> DataFrame:
-    """Every non-error event becomes a click; 3 in 10 are anonymous.
+    """Every event becomes a click; 3 in 10 are anonymous.
 
     Clicks of most users are moved back into the order period (one month
     per ``user_id % 12``) so first-touch attribution meets real orders.
@@ -109,9 +109,9 @@ def derive_raw_marketing_clicks(events: DataFrame) -> DataFrame:
     e = "event_id"
     hour_start = add_hours("CAST(to_date(ts) AS TIMESTAMP_NTZ)", "hour(ts)")
     shift = "CASE WHEN user_id % 5 = 0 THEN 0 ELSE 24 * (8766 + 30 * (user_id % 12)) END"
-    return events.where("event_type <> 'error'").selectExpr(
+    return events.selectExpr(
         f"concat('CLICK_', {pad_sql(e, 7)}) AS click_id",
-        f"concat('CMP_', {pad_sql(f'({e} * 17) % 38 + 1', 4)}) AS campaign_id",
+        f"concat('CMP_', {pad_sql(f'({e} * 17) % {CLICKED_CAMPAIGNS} + 1', 4)}) AS campaign_id",
         f"CASE WHEN {e} % 10 < 7 THEN user_id END AS customer_id",
         f"{add_hours(hour_start, f'-({shift})')} AS clicked_at",
         f"concat('/landing/', {pick_sql(LANDING_PAGES, f'{e} % 5')}) AS source_url",
