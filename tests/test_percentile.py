@@ -3,8 +3,9 @@
 import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
-from tillbook.operators.percentile import percentile_cont
+from tillbook.operators.percentile import percentile_cont, value_range
 
 
 def brute(values, fraction):
@@ -16,11 +17,11 @@ def brute(values, fraction):
     return vals[lo] + (vals[hi] - vals[lo]) * (pos - lo)
 
 
-def check(spark, rows, fraction, partitions):
+def check(spark, rows, fraction):
     df = spark.createDataFrame(rows, "g string, h int, v double")
     got = {
         (r["g"], r["h"]): r["p"]
-        for r in percentile_cont(df, ["g", "h"], "v", fraction, alias="p", partitions=partitions).collect()
+        for r in percentile_cont(df, ["g", "h"], "v", fraction, alias="p").collect()
     }
     groups = {}
     for g, h, v in rows:
@@ -38,7 +39,7 @@ def test_hot_group_and_null_keys(spark):
     rows += [("a", None, 1.5), ("a", None, None), ("b", 3, None)]  # NULL values are ignored
     rows += [("even", 4, 1.0), ("even", 4, 2.0), ("even", 4, 3.35), ("even", 4, 100.0)]
     for fraction in (0.5, 0.1, 0.9):
-        check(spark, rows, fraction, partitions=7)
+        check(spark, rows, fraction)
 
 
 @settings(max_examples=15, deadline=None)
@@ -52,4 +53,18 @@ def test_hot_group_and_null_keys(spark):
 )
 def test_matches_brute_force(spark, rows, fraction):
     rows = [(g, h, None if v is None else float(v)) for g, h, v in rows]
-    check(spark, rows, fraction, partitions=3)
+    check(spark, rows, fraction)
+
+
+def test_ranges_follow_the_values(spark):
+    values = sorted({0.0, *(s * m * 10.0**e for s in (1, -1) for m in (1, 1.004, 2.5, 9.99) for e in range(-300, 300, 23))})
+    rows = spark.createDataFrame([(v,) for v in values], "v double").withColumn("r", value_range(F.col("v"))).orderBy("v").collect()
+    assert all(a.r <= b.r for a, b in zip(rows, rows[1:]))
+    assert all((r.r > 0) == (r.v > 0) and (r.r < 0) == (r.v < 0) for r in rows)
+
+
+def test_values_of_every_size(spark):
+    rng = np.random.default_rng(3)
+    rows = [("g", 1, float(s * 10**e)) for s, e in zip(rng.choice([-1, 1], 400), rng.uniform(-9, 9, 400))] + [("g", 1, None)] * 5
+    for fraction in (0.0, 0.31, 0.5, 1.0):
+        check(spark, rows, fraction)

@@ -78,6 +78,7 @@ def rpt_customer_ltv(customers: DataFrame) -> DataFrame:
         *exprs(
             f"{flag_sum('is_active')} AS h_active",
             f"{money_sum('total_revenue_usd')} AS h_revenue",
+            "count(total_revenue_usd) AS h_revenue_n",
             "sum(avg_order_value_usd) AS h_aov_sum",
             "count(avg_order_value_usd) AS h_aov_n",
             "sum(total_orders) AS h_orders_sum",
@@ -86,14 +87,13 @@ def rpt_customer_ltv(customers: DataFrame) -> DataFrame:
             "count(return_rate_pct) AS h_rr_n",
         ),
     )
-    # total_revenue_usd is never NULL (coalesced upstream), so every customer
-    # is in the histogram and the segment counts can be taken from it
+    # customers without a revenue are in the histogram too, under a NULL value
     summary = hist.groupBy(*keys).agg(
         *exprs(
             "CAST(sum(_c) AS BIGINT) AS customer_count",
             "CAST(sum(h_active) AS BIGINT) AS active_customer_count",
             f"{money_sum('h_revenue')} AS total_revenue_usd",
-            f"{stable_round('CAST(sum(h_revenue) AS DOUBLE) / CAST(sum(_c) AS DOUBLE)', 2)} AS avg_ltv_usd",
+            f"{stable_round('CAST(sum(h_revenue) AS DOUBLE) / CAST(nullif(sum(h_revenue_n), 0) AS DOUBLE)', 2)} AS avg_ltv_usd",
             f"{stable_round('sum(h_aov_sum) / CAST(nullif(sum(h_aov_n), 0) AS DOUBLE)', 2)} AS avg_aov_usd",
             f"{stable_round('CAST(sum(h_orders_sum) AS DOUBLE) / CAST(nullif(sum(h_orders_n), 0) AS DOUBLE)', 1)}"
             " AS avg_orders_per_customer",
