@@ -32,8 +32,11 @@ def project(spark: SparkSession, **tables: list[dict]) -> Project:
     return Project(spark, sources, raw=raw, as_of=AS_OF)
 
 
-def customer(key, segment="BUILDING", name=None):
-    return {"c_custkey": key, "c_name": name or f"Customer#{key}", "c_nationkey": 1, "c_acctbal": 10.0,
+_NAMED = object()
+
+
+def customer(key, segment="BUILDING", name=_NAMED):
+    return {"c_custkey": key, "c_name": f"Customer#{key}" if name is _NAMED else name, "c_nationkey": 1, "c_acctbal": 10.0,
             "c_mktsegment": segment}
 
 

@@ -63,7 +63,7 @@ def test_plans_stay_jvm_side_and_pruned(spark):
     assert "ReadSchema: struct<p_partkey:bigint>" in formatted
 
 
-def test_first_touch_is_a_hash_aggregate(spark):
+def test_first_touch_needs_no_window(spark):
     plan = _plan(Project.from_dir(spark, SF_SMALL).table("int_customer_lifetime"))
     assert "Window" not in plan
 
@@ -98,3 +98,52 @@ def test_order_grain_joins_are_co_partitioned(spark):
     assert len(exchanges) == 4  # orders, lines, payments, shipments: once each
     assert all(kind == "hashpartitioning" and "order_id" in cols for kind, cols in exchanges)
     assert plan.count("SortMergeJoin") == 3
+
+
+ORDERS = {
+    "rpt_customer_ltv": ("total_revenue_usd", True, True),
+    "rpt_daily_revenue": ("paid_date", True, True),
+    "rpt_executive_summary": ("report_month", True, True),
+    "rpt_funnel": ("channel_revenue_usd", True, False),
+    "rpt_marketing_roi": ("budget_usd", True, True),
+}
+
+
+def test_rows_of_reports_are_ordered(spark):
+    p = Project.from_dir(spark, SF_SMALL)
+    for name, (column, descending, nulls_first) in ORDERS.items():
+        values = [r[column] for r in p.table(name).collect()]
+        known = [v for v in values if v is not None]
+        assert known == sorted(known, reverse=descending), name
+        missing = [None] * (len(values) - len(known))
+        assert values == (missing + known if nulls_first else known + missing), name
+
+
+def test_building_a_model_starts_no_job(spark):
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("building", "models")
+    p = Project.from_dir(spark, SF_SMALL)
+    for name in CORE + REPORTS:
+        p.table(name)
+    started = [j for j in tracker.getJobIdsForGroup("building")]
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    # reading the footers of the source tables is all that may run
+    assert len(started) <= 5
+
+
+def test_facts_are_few_files_a_year(spark):
+    result = build_all(Project.from_dir(spark, SF_SMALL), with_checks=False)
+    for name, column in (("fct_orders", "order_year"), ("fct_revenue", "paid_year")):
+        files = spark.read.parquet(result.tables[name]).selectExpr("input_file_name() AS f", f"{column} AS y").distinct()
+        assert max(r["count"] for r in files.groupBy("y").count().collect()) <= 2
+
+
+def _scans(df) -> int:
+    return _plan(df).count("FileScan parquet")
+
+
+def test_scans_of_reports(spark):
+    p = Project.from_dir(spark, SF_SMALL)
+    for name in ("fct_revenue", "rpt_daily_revenue", "rpt_executive_summary"):
+        assert _scans(p.table(name)) <= 8, name
+    assert _plan(p.table("rpt_funnel")).count("events.parquet") == 2

@@ -20,7 +20,7 @@ def test_planted_violations(spark):
     got = {(r["table_name"], r["column_name"], r["test_name"]): (r["failures"], r["passed"])
            for r in run_checks(p, checks=checks).collect()}
     assert got[("customer", "c_custkey", "unique")] == (1, False)
-    assert got[("customer", "c_name", "not_null")] == (0, True)  # name is the placeholder, not NULL
+    assert got[("customer", "c_name", "not_null")] == (1, False)
     assert got[("orders", "o_orderkey", "unique")] == (1, False)
     assert got[("orders", "o_orderkey", "not_null")] == (1, False)
     assert got[("orders", "o_custkey", "not_null")] == (1, False)

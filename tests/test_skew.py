@@ -3,7 +3,8 @@
 from pyspark.sql import functions as F
 
 from tests.fixtures import customer, order, payment, project
-from tillbook.operators.skew import heavy_hitters, salted_left_join
+from tillbook.operators import core
+from tillbook.operators.skew import hot_keys, salted_left_join
 
 
 def _hot_project(spark, n=3000):
@@ -16,28 +17,38 @@ def _hot_project(spark, n=3000):
     return project(spark, customer=custs, orders=orders, raw_payments=pays)
 
 
-def test_heavy_hitters_bound(spark):
-    df = spark.range(10000).select((F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id"))).alias("k"))
-    assert [r.k for r in heavy_hitters(df, "k", 0.01).collect()] == [0]
+def test_hot_keys_follow_their_size(spark):
+    df = spark.range(10000).select(F.when(F.col("id") % 3 == 0, 0).when(F.col("id") % 3 == 1, F.col("id")).alias("k"))
+    assert [(r.k, r["_salts"]) for r in hot_keys(df, "k", 1000).collect()] == [(0, 4)]
+    assert [(r.k, r["_salts"]) for r in hot_keys(df, "k", 100).collect()] == [(0, 34)]
 
 
 def test_salted_join_equals_plain_join(spark):
     left = spark.range(6000).select(
-        (F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id") % 50)).alias("k"), F.col("id").alias("row")
+        F.when(F.col("id") % 3 == 0, 1).when(F.col("id") % 3 == 1, F.col("id") % 50).alias("k"), F.col("id").alias("row")
     )
-    right = spark.createDataFrame([(k, f"v{k}") for k in range(1, 40)] + [(1, "dup")], "k long, v string")
-    hot = heavy_hitters(left, "k", 0.1)
-    salted = salted_left_join(left, right, "k", hot, salt_from=F.col("row"), salts=16)
-    plain = left.join(right, "k", "left")
-    assert sorted(map(tuple, salted.collect())) == sorted(map(tuple, plain.collect()))
-    # the hot key's rows are spread over many salts
-    spread = (
-        left.join(F.broadcast(hot), "k", "left_semi")
-        .select(F.pmod(F.xxhash64("row"), F.lit(16)).alias("s"))
-        .distinct()
-        .count()
-    )
-    assert spread == 16
+    right = spark.createDataFrame([(k, f"v{k}") for k in range(1, 40)] + [(1, "dup"), (None, "null")], "k long, v string")
+    for how in ("left", "inner"):
+        salted = salted_left_join(left, right, "k", F.col("row"), rows_per_task=100, how=how)
+        plain = left.join(right, "k", how)
+        assert sorted(map(str, salted.collect())) == sorted(map(str, plain.select(salted.columns).collect()))
+
+
+def test_hot_and_null_keys_are_spread(spark):
+    """A third of the rows have one key, a third none: no task of the join gets a third of the rows."""
+    saved = {k: spark.conf.get(k, None) for k in (*SMALL_DATA_SKEW, "spark.sql.adaptive.enabled", "spark.sql.shuffle.partitions")}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        left = spark.range(9000).select(F.when(F.col("id") % 3 == 0, 1).when(F.col("id") % 3 == 1, F.col("id")).alias("k"), F.col("id").alias("row"))
+        right = spark.range(9000).select(F.col("id").alias("k"), F.lit("v").alias("v"))
+        joined = salted_left_join(left, right, "k", F.col("row"), rows_per_task=100)
+        sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        for k, v in saved.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert sum(sizes) == 9000 and max(sizes) < 1500
 
 
 SMALL_DATA_SKEW = {
@@ -56,7 +67,8 @@ def test_revenue_with_hot_customer_and_order(spark):
     for k, v in SMALL_DATA_SKEW.items():
         spark.conf.set(k, v)
     try:
-        df = _hot_project(spark).table("fct_revenue")
+        p = _hot_project(spark)
+        df = core.fct_revenue(p.table("paid_orders"), p.table("int_customer_lifetime"), p.as_of_sql, rows_per_task=200)
         rows = df.collect()
         plan = df._jdf.queryExecution().executedPlan().toString()
     finally:
@@ -72,14 +84,3 @@ def test_revenue_with_hot_customer_and_order(spark):
         by_segment[r["customer_segment"]] = by_segment.get(r["customer_segment"], 0) + 1
     assert by_segment["HOT"] >= 1000 and None not in by_segment
     assert "_salt" in plan  # the customer join runs on (customer, salt)
-
-
-def test_hot_customer_and_order_are_detected(spark):
-    from tillbook.operators.core import HOT_KEY_FRACTION
-    from tillbook.operators.skew import heavy_rows
-
-    p = _hot_project(spark)
-    hot_customers = heavy_rows(p.table("int_customer_lifetime"), "customer_id", "total_orders", HOT_KEY_FRACTION)
-    assert 1 in {r.customer_id for r in hot_customers.collect()}
-    hot_orders = heavy_rows(p.table("int_orders_enriched"), "order_id", "payment_attempt_count", 0.1)
-    assert [r.order_id for r in hot_orders.collect()] == [7]

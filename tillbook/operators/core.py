@@ -10,11 +10,7 @@ from pyspark.sql import functions as F
 
 from tillbook.functions.dates import day_diff, day_of_week
 from tillbook.functions.numeric import stable_round
-from tillbook.operators.skew import heavy_rows, salted_left_join, union_keys
-
-# A key is "hot" when it holds more than this share of a join input; at most
-# 1 / HOT_KEY_FRACTION keys per detector qualify, which bounds the broadcast.
-HOT_KEY_FRACTION = 0.001
+from tillbook.operators.skew import ROWS_PER_TASK, salted_left_join
 
 
 def dim_customers(lifetime: DataFrame, as_of: str) -> DataFrame:
@@ -93,53 +89,39 @@ def fct_orders(orders_enriched: DataFrame, as_of: str) -> DataFrame:
     )
 
 
-def fct_revenue(
-    payments: DataFrame, orders: DataFrame, lifetime: DataFrame, orders_enriched: DataFrame, as_of: str
-) -> DataFrame:
+def paid_orders(payments: DataFrame, orders: DataFrame) -> DataFrame:
+    """Captured payments with their order's customer and priority, and their calendar columns.
+
+    All that reports read of the revenue fact but its customer segments."""
+    captured = payments.where("is_captured").select(
+        "payment_id", "order_id", "customer_id", "amount_usd", "payment_method", "paid_at"
+    )
+    order_side = orders.selectExpr("order_id", "customer_id AS order_customer_id", "priority AS order_priority")
+    return captured.join(order_side, "order_id", "inner").selectExpr("*", "amount_usd AS revenue_usd", "to_date(paid_at) AS paid_date")
+
+
+def fct_revenue(paid: DataFrame, lifetime: DataFrame, as_of: str, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
     """Captured payments with order priority and customer segments.
 
     The reference joins orders to the customer roll-up and then payments to
     that lookup.  Joining captured payments to orders first (inner, on
     order_id) and only then to the customer roll-up (left, on the order's
     customer) is equivalent and shrinks the customer-keyed join from all
-    orders to captured payments.
+    orders to captured payments.  A customer may own a third of them, and
+    orders may lack a customer: the join spreads both.
     """
-    captured = payments.where("is_captured").select(
-        "payment_id", "order_id", "customer_id", "amount_usd", "payment_method", "paid_at"
-    )
-    order_side = orders.selectExpr("order_id", "customer_id AS order_customer_id", "priority AS order_priority")
     segments = lifetime.selectExpr(
         "customer_id AS order_customer_id", "market_segment AS customer_segment", "customer_segment_lifecycle"
     )
-    # A customer may own a third of all captured payments, through many orders
-    # or through one order with many payments.  The roll-ups already hold both
-    # counts (orders per customer, payments per order; in a pipeline run they
-    # are materialised tables), so the hot keys are a filter, not a new
-    # aggregation.  The salted join spreads them; its result is unchanged.
-    hot_customers = union_keys(
-        "order_customer_id",
-        heavy_rows(lifetime, "customer_id", "total_orders", HOT_KEY_FRACTION).selectExpr(
-            "customer_id AS order_customer_id"
-        ),
-        heavy_rows(orders_enriched, "order_id", "payment_attempt_count", HOT_KEY_FRACTION).selectExpr(
-            "customer_id AS order_customer_id"
-        ),
-    )
-    joined = salted_left_join(
-        captured.join(order_side, "order_id", "inner"),
-        segments,
-        "order_customer_id",
-        hot_customers,
-        salt_from=F.col("payment_id"),
-    )
+    joined = salted_left_join(paid, segments, "order_customer_id", F.col("payment_id"), rows_per_task)
     return joined.selectExpr(
         "payment_id",
         "order_id",
         "customer_id",
-        "amount_usd AS revenue_usd",
+        "revenue_usd",
         "payment_method",
         "paid_at",
-        "to_date(paid_at) AS paid_date",
+        "paid_date",
         "year(paid_at) AS paid_year",
         "quarter(paid_at) AS paid_quarter",
         "month(paid_at) AS paid_month",

@@ -25,9 +25,7 @@ from tillbook.functions.numeric import (
     ratio,
     stable_round,
 )
-from tillbook.operators.core import HOT_KEY_FRACTION
 from tillbook.operators.percentile import null_safe_on, percentile_from_histogram, value_histogram
-from tillbook.operators.skew import heavy_hitters, salted_left_join
 
 _BY_DAY = "ORDER BY paid_date ASC NULLS LAST"
 _LAST_7 = f"({_BY_DAY} ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)"
@@ -185,10 +183,10 @@ def rpt_funnel(campaigns: DataFrame, clicks: DataFrame, lifetime: DataFrame) ->
     # it, so counts stay exact even if the dimension repeats a campaign id.
     campaign_map = campaigns.groupBy("campaign_id", *keys).agg(*exprs("count(1) AS mult"))
     pairs = clicks_by_campaign_customer(clicks)
-    # one campaign may own a third of all (campaign, customer) pairs: spread it
-    hot_campaigns = heavy_hitters(pairs, "campaign_id", HOT_KEY_FRACTION)
+    # Both sides of this join are plain shuffles, so AQE broadcasts the map if it
+    # measures small, and else splits a campaign that owns a third of the pairs.
     clicks_per_channel = (
-        salted_left_join(pairs, campaign_map, "campaign_id", hot_campaigns, F.col("customer_id"), how="inner")
+        pairs.join(campaign_map, "campaign_id")
         .groupBy(*keys)
         .agg(
             *exprs(

@@ -59,15 +59,9 @@ _BUILDERS: dict[str, _Builder] = {
     "dim_customers": lambda p: core.dim_customers(p.table("int_customer_lifetime"), p.as_of_sql),
     "dim_products": lambda p: core.dim_products(p.table("int_product_performance"), p.as_of_sql),
     "fct_orders": lambda p: core.fct_orders(p.table("int_orders_enriched"), p.as_of_sql),
-    "fct_revenue": lambda p: core.fct_revenue(
-        p.table("stg_payments"),
-        p.table("stg_orders"),
-        p.table("int_customer_lifetime"),
-        p.table("int_orders_enriched"),
-        p.as_of_sql,
-    ),
+    "fct_revenue": lambda p: core.fct_revenue(p.table("paid_orders"), p.table("int_customer_lifetime"), p.as_of_sql),
     # reports
-    "rpt_daily_revenue": lambda p: reports.rpt_daily_revenue(p.table("fct_revenue")),
+    "rpt_daily_revenue": lambda p: reports.rpt_daily_revenue(p.revenue()),
     "rpt_customer_ltv": lambda p: reports.rpt_customer_ltv(p.table("dim_customers")),
     "rpt_marketing_roi": lambda p: reports.rpt_marketing_roi(
         p.table("stg_marketing_campaigns"), p.table("stg_marketing_clicks"), p.table("int_customer_lifetime")
@@ -76,11 +70,16 @@ _BUILDERS: dict[str, _Builder] = {
         p.table("stg_marketing_campaigns"), p.table("stg_marketing_clicks"), p.table("int_customer_lifetime")
     ),
     "rpt_executive_summary": lambda p: reports.rpt_executive_summary(
-        p.table("fct_revenue"), p.table("fct_orders"), p.table("int_customer_lifetime")
+        p.revenue(), p.table("fct_orders"), p.table("int_customer_lifetime")
     ),
 }
 
 MODEL_NAMES = tuple(_BUILDERS)
+
+#: Shared sub-plans that are no models.
+_SHARED: dict[str, _Builder] = {
+    "paid_orders": lambda p: core.paid_orders(p.table("stg_payments"), p.table("stg_orders")),
+}
 STAGING = tuple(n for n in MODEL_NAMES if n.startswith("stg_"))
 INTERMEDIATE = ("int_orders_enriched", "int_customer_lifetime", "int_product_performance")
 CORE = ("dim_customers", "dim_products", "fct_orders", "fct_revenue")
@@ -131,6 +130,7 @@ class Project:
         self.as_of_text = as_of
         self.as_of_sql = f"CAST('{as_of}' AS TIMESTAMP_NTZ)"
         self._tables: dict[str, DataFrame] = {}
+        self._written: set[str] = set()
 
     @classmethod
     def from_dir(cls, spark: SparkSession, sf_dir: str, as_of: str = DEFAULT_AS_OF) -> Project:
@@ -143,14 +143,22 @@ class Project:
         if name not in self._tables:
             if name not in _BUILDERS and name in self.sources:
                 return self.sources[name]
-            self._tables[name] = _BUILDERS[name](self)
+            self._tables[name] = (_BUILDERS.get(name) or _SHARED[name])(self)
         return self._tables[name]
 
+    def revenue(self) -> DataFrame:
+        """What reports read of the revenue fact: the written mart, or else
+        the payment-order join below it, without the customer segments that no report reads."""
+        return self.table("fct_revenue" if "fct_revenue" in self._written else "paid_orders")
+
     def use(self, name: str, df: DataFrame) -> None:
         """Replace a model by a materialised copy for all later consumers."""
         self._tables[name] = df
+        self._written.add(name)
+        self._tables.pop("paid_orders", None)
         for later in MODEL_NAMES[MODEL_NAMES.index(name) + 1 :]:
             self._tables.pop(later, None)
+            self._written.discard(later)
 
     def materialize(self, *names: str) -> None:
         """Pin models that many consumers read: written once to the shared

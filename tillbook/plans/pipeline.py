@@ -32,12 +32,11 @@ class RunResult:
 
 
 def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
-    writer = df.write.mode("overwrite")
     if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
-
-
+        # each year's rows meet in as many tasks as their size needs, so a year is a few files, not one per task
+        df.hint("rebalance", *partition_by).write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    else:
+        df.write.mode("overwrite").parquet(path)
 
 
 def build_all(
