@@ -17,8 +17,10 @@ a run of at most ``RUN`` windows.  Equal windows have equal minimisers, so
 
 1. shards tell the buckets which minimisers they hold; those of one document
    alone are done with (the answer is a bit for each);
-2. of the others the runs' hashes are sent; where a minimiser has one kind of
-   run, the first document that has it is the whole answer;
+2. of the others the runs' hashes are sent.  A window holds half of its bytes
+   beside the minimiser left or right of it, so two kinds of run that differ
+   so far on both sides have no window in common; where a kind has no such
+   partner, the first document that has it is the whole answer;
 3. the bytes of the remaining kinds of run are sent, each kind once per shard,
    and inserted column by column, which says for each window where it is first.
 
@@ -52,6 +54,7 @@ from tillbook.llm.common import (
     bucket_edges,
     id_and_text,
     meet,
+    mix,
     parcels,
     powers,
     prefix_sums,
@@ -78,16 +81,19 @@ NO_DOC = np.iinfo(np.int64).max
 # ---------------------------------------------------------------- the construction
 
 
-def _sparse_minima(values: np.ndarray) -> list[np.ndarray]:
+_SPAN = 512  # a power of two
+
+
+def _sparse_minima(values: np.ndarray, most: int) -> list[np.ndarray]:
+    """Minima of 1, 2, 4, ... up to ``most`` neighbours."""
     levels = [values]
-    while 2 << len(levels) - 1 <= len(values):
+    while 2 << len(levels) - 1 <= min(len(values), most):
         half = 1 << len(levels) - 1
         levels.append(np.minimum(levels[-1][:-half], levels[-1][half:]))
     return levels
 
 
-def _range_min(levels: list[np.ndarray], first: np.ndarray, last: np.ndarray) -> np.ndarray:
-    """Minimum of values[first..last] (both inclusive, first <= last)."""
+def _lookup(levels: list[np.ndarray], first: np.ndarray, last: np.ndarray) -> np.ndarray:
     level = np.frexp(last - first + 1)[1] - 1
     out = np.empty(len(first), levels[0].dtype)
     for k in np.unique(level):
@@ -96,55 +102,83 @@ def _range_min(levels: list[np.ndarray], first: np.ndarray, last: np.ndarray) ->
     return out
 
 
+class _RangeMin:
+    """Minima of ranges [first, last], both inclusive; long ones by spans of ``_SPAN``."""
+
+    def __init__(self, values: np.ndarray):
+        self.near = _sparse_minima(values, _SPAN)
+        whole = len(values) // _SPAN
+        self.far = _sparse_minima(values[: whole * _SPAN].reshape(whole, _SPAN).min(1), whole) if whole else []
+
+    def __call__(self, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+        long = last - first >= _SPAN
+        if not long.any():
+            return _lookup(self.near, first, last)
+        out = np.empty(len(first), np.uint8)
+        out[~long] = _lookup(self.near, first[~long], last[~long])
+        a, b = first[long], last[long]
+        edge = np.minimum(_lookup(self.near, a, a + _SPAN - 1), _lookup(self.near, b - _SPAN + 1, b))
+        begin, end = -(-a // _SPAN), (b + 1) // _SPAN - 1  # spans that lie inside
+        inner = begin <= end
+        edge[inner] = np.minimum(edge[inner], _lookup(self.far, begin[inner], end[inner]))
+        out[long] = edge
+        return out
+
+
 def build(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Transform (uint16: byte + 1, 0 for an end) and common prefixes (uint8) of strings of at most 254 bytes.
+    """Transform (ranks of bytes from 1 on, 0 for an end) and common prefixes (uint8) of strings of at most 254 bytes.
 
     Round j inserts, for every string that has so many symbols, its suffix of
     j symbols; ends sort before all bytes and by string."""
     count = len(offsets) - 1
+    used = np.flatnonzero(np.bincount(data, minlength=256))
+    code = np.zeros(256, np.uint8 if len(used) < 256 else np.uint16)  # one byte a symbol, unless all 256 occur
+    code[used] = np.arange(1, len(used) + 1)
+    data = code[data]
     left = np.diff(offsets)  # symbols not inserted yet
-    symbol = np.zeros(count, np.uint16)
-    has = left > 0
-    symbol[has] = data[offsets[1:][has] - 1].astype(np.uint16) + 1
-    bwt, lcp = symbol.copy(), np.zeros(count, np.uint8)
-    place, alive = np.arange(count)[has], np.flatnonzero(has)
+    bwt, lcp = np.zeros(count, code.dtype), np.zeros(count, np.uint8)
+    alive = np.flatnonzero(left > 0)
+    bwt[alive] = data[offsets[1:][alive] - 1]
+    place, symbol = alive.copy(), bwt[alive]
     while len(alive):
         n = len(bwt)
         order = np.argsort(bwt, kind="stable")  # by symbol, then by place: what LF mapping does
-        lf = np.empty(n, np.int64)
-        lf[order] = np.arange(n)
-        ends = int(np.searchsorted(bwt[order], 1))  # rows whose symbol is an end have no suffix before them
-        by_place = np.argsort(lf[place])
-        alive, place = alive[by_place], place[by_place]
-        rank = lf[place]  # ascending; the new row's place is count + rank - ends
-        left[alive] -= 1
-        new_symbol = np.zeros(len(alive), np.uint16)
-        more = left[alive] > 0
-        new_symbol[more] = data[offsets[alive[more]] + left[alive[more]] - 1].astype(np.uint16) + 1
-        levels = _sparse_minima(lcp)
-        sorted_symbol = bwt[order]
-
-        def prefix(k: np.ndarray, order=order, symbols=sorted_symbol, levels=levels) -> np.ndarray:
-            """Common prefix of the rows of ranks k - 1 and k."""
+        begin = np.concatenate([[0], np.cumsum(np.bincount(bwt, minlength=len(used) + 1))])  # of each symbol in the order
+        rank = np.empty(len(alive), np.int64)
+        by_symbol = np.argsort(symbol, kind="stable")
+        cuts = np.searchsorted(symbol[by_symbol], np.arange(len(used) + 2))
+        for c in np.flatnonzero(np.diff(cuts)):
+            own = by_symbol[cuts[c] : cuts[c + 1]]
+            rank[own] = begin[c] + np.searchsorted(order[begin[c] : begin[c + 1]], place[own])
+        ends = begin[1]  # rows whose symbol is an end have no suffix before them
+        ascending = np.argsort(rank)
+        alive, rank, symbol = alive[ascending], rank[ascending], symbol[ascending]
+        least = _RangeMin(lcp)
+
+        def prefix(k: np.ndarray, c: np.ndarray, order=order, begin=begin, least=least) -> np.ndarray:
+            """Common prefix of the rows of ranks k - 1 and k, the latter with symbol c."""
             out = np.zeros(len(k), np.uint8)
-            same = k > 0
-            same[same] = symbols[k[same]] == symbols[k[same] - 1]
-            out[same] = _range_min(levels, order[k[same] - 1] + 1, order[k[same]]) + 1
+            same = k > begin[c]
+            k = k[same]
+            out[same] = least(order[k - 1] + 1, order[k]) + 1
             return out
 
+        left[alive] -= 1
+        more = left[alive] > 0
+        new_symbol = np.zeros(len(alive), code.dtype)
+        new_symbol[more] = data[offsets[alive[more]] + left[alive[more]] - 1]
         target = count + rank - ends
         old = np.ones(n + len(alive), bool)
         old[target] = False
-        grown = np.empty(n + len(alive), np.uint16)
+        grown = np.empty(n + len(alive), code.dtype)
         common = np.empty(n + len(alive), np.uint8)
         grown[old], common[old] = bwt, lcp
-        grown[target], common[target] = new_symbol, prefix(rank)
-        after = rank + 1
+        grown[target], common[target] = new_symbol, prefix(rank, symbol)
+        after = rank + 1  # whose predecessor may be new
         after = after[after < n]
-        common[count + after - ends] = prefix(after)
+        common[count + after - ends] = prefix(after, bwt[order[after]])
         bwt, lcp = grown, common
-        keep = more
-        alive, place = alive[keep], target[keep]
+        alive, place, symbol = alive[more], target[more], new_symbol[more]
     return bwt, lcp
 
 
@@ -179,56 +213,75 @@ def first_seen(data: np.ndarray, offsets: np.ndarray, docs: np.ndarray, length:
 # ---------------------------------------------------------------- runs of a shard
 
 
-def minima(sums: np.ndarray, gram: int, length: int, seed: int) -> np.ndarray:
-    """Smallest gram hash of each window of ``length`` bytes."""
+def minima(sums: np.ndarray, gram: int, length: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hash of each gram, and the smallest in each window of ``length`` bytes."""
     n = len(sums) - 1
     if n < length:
-        return np.zeros(0, np.uint64)
+        return np.zeros(0, np.uint64), np.zeros(0, np.uint64)
     with np.errstate(over="ignore"):
         h = (sums[gram:] - sums[:-gram]) * powers(_INVERSE, n + 1)[: n - gram + 1]
         h *= np.uint64(0x9E3779B97F4A7C15 + 2 * seed)
         h ^= h >> np.uint64(29)
         h *= np.uint64(0xBF58476D1CE4E5B9)
         h ^= h >> np.uint64(32)
-    wide, step = length - gram + 1, 1
+    wide, step, least = length - gram + 1, 1, h
     while 2 * step <= wide:
-        h = np.minimum(h[:-step], h[step:])
+        least = np.minimum(least[:-step], least[step:])
         step *= 2
-    return np.minimum(h[: len(h) - (wide - step)], h[wide - step :]) if step < wide else h
+    return h, np.minimum(least[: len(least) - (wide - step)], least[wide - step :]) if step < wide else least
+
+
+def sides(sums: np.ndarray, grams: np.ndarray, least: np.ndarray, start: np.ndarray, stop: np.ndarray, length: int) -> np.ndarray:
+    """For each run, 32-bit hashes (nonzero) of its minimiser with the bytes left and right of it, 0 where a run has too few; both 1 where the minimiser occurs twice."""
+    side = (length - GRAM) // 2  # a window has so many bytes left or right of its minimiser
+    wide = np.arange(length - GRAM + 1)
+    out = np.zeros((len(start), 2), np.uint32)
+    for at in range(0, len(start), 1 << 14):
+        a, b = start[at : at + (1 << 14)], stop[at : at + (1 << 14)]
+        own = least[a][:, None]
+        first = a + np.argmax(grams[a[:, None] + wide] == own, axis=1)
+        last = b - 1 + wide[-1] - np.argmax(grams[(b - 1)[:, None] + wide[::-1]] == own, axis=1)
+        for k, (left, right) in enumerate(((first - side, first + GRAM), (first, first + GRAM + side))):
+            fits = (left >= a) & (right <= b + length - 1)
+            out[at : at + len(a), k][fits] = (range_hashes(sums, left[fits], right[fits]) >> np.uint64(32)).astype(np.uint32) | np.uint32(2)
+        out[at : at + len(a)][first != last] = 1
+    return out
 
 
 class Runs:
     """Runs of the documents of a shard, rows in order of doc_id; byte positions count from the shard's first."""
 
-    def __init__(self, table: pa.Table, length: int = LENGTH):
-        self.table, self.length = table, length
+    def __init__(self, table: pa.Table, length: int = LENGTH, sides: bool = False):
+        self.table, self.length, self.with_sides = table, length, sides
         self.raw, self.offsets = text_arrays(table.column("text"))
         self.docs = table.column("doc_id").fill_null(NO_DOC).to_numpy()
-        self.start, self.stop, self.key, self.kind, self.doc = self._all(GRAM, 0, None)
+        self.start, self.stop, self.key, self.kind, self.doc, self.sides = self._all(GRAM, 0, None)
 
     def _all(self, gram: int, seed: int, chosen: np.ndarray | None) -> list[np.ndarray]:
         found, row = [], 0
         for part in slices(self.table, most=1 << 20):
             found.append(self._cut(row, part.num_rows, gram, seed, chosen))
             row += part.num_rows
-        kinds = (np.int64, np.int64, np.uint64, np.uint64, np.int64)
-        return [np.concatenate([np.zeros(0, t), *(f[i] for f in found)]) for i, t in enumerate(kinds)]
+        kinds = (np.int64, np.int64, np.uint64, np.uint64, np.int64, np.uint32)
+        return [np.concatenate([np.zeros((0, 2) if i == 5 else 0, t), *(f[i] for f in found)]) for i, t in enumerate(kinds)]
 
     def _cut(self, row: int, rows: int, gram: int, seed: int, chosen: np.ndarray | None):
-        """Runs of rows [row, row + rows): start, stop (last window + 1), minimiser, hash of content, doc.
+        """Runs of rows [row, row + rows): start, stop (last window + 1), minimiser (mixed: minima
+        alone lie at the low end, and buckets are ranges), hash of content, doc.
 
         ``chosen`` (windows by byte position, or all) are the windows that take part."""
         base, end = self.offsets[row], self.offsets[row + rows]
         sums = prefix_sums(_byte_table(0)[self.raw[base:end]])
-        least = minima(sums, gram, self.length, seed)
+        grams, least = minima(sums, gram, self.length, seed)
         n = len(least)
-        ends = self.offsets[row + 1 : row + rows + 1] - base
-        which = np.repeat(np.arange(rows), np.diff(np.concatenate([[0], ends])))[:n]
-        inside = (np.arange(n) + self.length <= ends[which]) & (self.docs[row + which] != NO_DOC) if n else np.zeros(0, bool)
+        sizes = np.diff(self.offsets[row : row + rows + 1])
+        valid = np.where(self.docs[row : row + rows] != NO_DOC, np.maximum(sizes - self.length + 1, 0), 0)
+        # no window opens at a row's last bytes, so windows of two rows are never neighbours
+        inside = np.repeat(np.tile([True, False], rows), np.stack([valid, sizes - valid], 1).ravel())[:n]
         if chosen is not None:
             inside &= chosen[base : base + n]
         first = inside.copy()
-        first[1:] &= (least[1:] != least[:-1]) | (which[1:] != which[:-1]) | ~inside[:-1]
+        first[1:] &= (least[1:] != least[:-1]) | ~inside[:-1]
         last = inside.copy()
         last[:-1] &= first[1:] | ~inside[1:]
         start, stop = np.flatnonzero(first), np.flatnonzero(last) + 1
@@ -238,7 +291,8 @@ class Runs:
             end_of = np.repeat(stop, pieces)
             start = np.repeat(start, pieces) + nth * RUN
             stop = np.minimum(start + RUN, end_of)
-        return start + base, stop + base, least[start], range_hashes(sums, start, stop + self.length - 1), self.docs[row + which[start]]
+        beside = sides(sums, grams, least, start, stop, self.length) if self.with_sides else np.zeros((len(start), 2), np.uint32)
+        return start + base, stop + base, mix(least[start]), range_hashes(sums, start, stop + self.length - 1), self.docs[row + np.searchsorted(np.cumsum(sizes), start, side="right")], beside
 
     def kinds(self, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Of the chosen runs the first occurrence (by document) of each kind, in order of kind, and whether several documents have it."""
@@ -255,8 +309,8 @@ class Runs:
         np.add.at(windows, self.start[which], 1)
         np.add.at(windows, self.stop[which], -1)
         again = self._all(HOT_GRAM, 1, np.cumsum(windows[:-1]) > 0)
-        mine = (self.start, self.stop, self.key, self.kind, self.doc)
-        self.start, self.stop, self.key, self.kind, self.doc = (np.concatenate([m[~which], a]) for m, a in zip(mine, again, strict=True))
+        mine = (self.start, self.stop, self.key, self.kind, self.doc, self.sides)
+        self.start, self.stop, self.key, self.kind, self.doc, self.sides = (np.concatenate([m[~which], a]) for m, a in zip(mine, again, strict=True))
 
 
 def _has(sorted_keys: np.ndarray, keys: np.ndarray) -> np.ndarray:
@@ -269,7 +323,7 @@ def _has(sorted_keys: np.ndarray, keys: np.ndarray) -> np.ndarray:
 
 # ---------------------------------------------------------------- the three questions
 
-_KIND = np.dtype([("key", "<u8"), ("kind", "<u8"), ("doc", "<i8"), ("several", "?")])
+_KIND = np.dtype([("key", "<u8"), ("kind", "<u8"), ("doc", "<i8"), ("sides", "<u4", 2), ("several", "?")])
 #: Answers to the second question: the first document of a kind, or that its bytes (its runs cut again) are asked for.
 _FOUND = np.dtype([("kind", "<u8"), ("doc", "<i8"), ("state", "u1")])
 DONE, BYTES, AGAIN = 0, 1, 2
@@ -303,6 +357,18 @@ def _shard_keys(runs: Runs) -> tuple[np.ndarray, np.ndarray]:
     return ordered[first], np.minimum.reduceat(docs, first) < np.maximum.reduceat(docs, first)
 
 
+def _partners(key: np.ndarray, sides_: np.ndarray) -> np.ndarray:
+    """Which kinds of run may share a window with another kind of the same minimiser (keys numbered, ascending)."""
+    others = np.bincount(key) > 1
+    twice = np.bincount(key, weights=(sides_[:, 0] == 1)) > 0  # the minimiser's place is not clear
+    out = (others & twice)[key]
+    for k in range(2):
+        code = key.astype(np.uint64) << np.uint64(32) | sides_[:, k].astype(np.uint64)
+        _, which, counts = np.unique(code, return_inverse=True, return_counts=True)
+        out |= (counts[which] > 1) & (sides_[:, k] > 1)
+    return out
+
+
 def _by_bucket(keys: np.ndarray, rows: np.ndarray, buckets: int) -> Iterable[tuple[int, bytes]]:
     """Rows, sorted by key, as one parcel for each bucket."""
     order = np.argsort(keys, kind="stable")
@@ -341,7 +407,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 
     # 2. which kinds of run do they have, and in which document first?
     def ask_kinds(shard: int, table: pa.Table, replies: dict[int, bytes]) -> pa.Table:
-        runs = Runs(table, length)
+        runs = Runs(table, length, sides=True)
         keys, _ = _shard_keys(runs)
         edges = bucket_edges(keys, buckets)
         shared = np.zeros(len(keys), bool)
@@ -350,6 +416,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
         at, several = runs.kinds(shared[np.searchsorted(keys, _short(runs.key))] if len(keys) else np.zeros(0, bool))
         out = np.zeros(len(at), _KIND)
         out["key"], out["kind"], out["doc"], out["several"] = runs.key[at], runs.kind[at], runs.doc[at], several
+        out["sides"] = runs.sides[at]
         return _parcels(shard, _by_bucket(out["key"], out, buckets))
 
     def tell_kinds(bucket: int, shards_: list[int], payloads: list[bytes]) -> Iterable[tuple[int, bytes]]:
@@ -360,18 +427,19 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
         new_key = np.concatenate([[True], key[1:] != key[:-1]])
         new_kind = new_key | np.concatenate([[True], kind[1:] != kind[:-1]])
         key_no, kind_no = np.cumsum(new_key) - 1, np.cumsum(new_kind) - 1
-        kinds_of = np.bincount(key_no[new_kind])
         first_doc = doc[new_kind]
-        state = np.where(kinds_of == 1, DONE, np.where(kinds_of > HOT_KINDS, AGAIN, BYTES)).astype(np.uint8)
+        partnered = _partners(key_no[new_kind], every["sides"][order][new_kind])
+        many = np.bincount(key_no[new_kind], weights=partnered) > HOT_KINDS
+        state = np.where(partnered, np.where(many[key_no[new_kind]], AGAIN, BYTES), DONE).astype(np.uint8)
         out = np.zeros(len(every), _FOUND)
-        out["kind"], out["doc"], out["state"] = every["kind"], 0, 0
-        out["doc"][order], out["state"][order] = first_doc[kind_no], state[key_no]
+        out["kind"] = every["kind"]
+        out["doc"][order], out["state"][order] = first_doc[kind_no], state[kind_no]
         # a minimiser of one document alone can't lose anything, nor can a kind that is nowhere else
         least, most = np.minimum.reduceat(doc, np.flatnonzero(new_key)), np.maximum.reduceat(doc, np.flatnonzero(new_key))
         several_key = np.bincount(key_no, weights=every["several"][order]) > 0
         alone = np.zeros(len(every), bool)
         alone[order] = ((least == most) & ~several_key)[key_no]
-        said = np.where(out["state"] == DONE, (every["several"] | (out["doc"] < every["doc"])), ~alone)
+        said = np.where(out["state"] == DONE, every["several"] | (out["doc"] < every["doc"]), ~alone)
         at = 0
         for shard, part in zip(shards_, parts, strict=True):
             own = out[at : at + len(part)][said[at : at + len(part)]]
