@@ -45,7 +45,8 @@ SIMILAR = (4, 5)  # 0.8 as a fraction, so that the test is exact
 SAMPLED = 48
 #: Sampled tokens that agree, at least, before a pair is verified: at similarity 0.8 fewer agree with a chance of 1e-5.
 PASS = 26
-SMALL = 64
+#: Sets that are compared pair by pair: about as much work as sending each to its children.
+SMALL = 1024
 DEPTH = 4
 BRANCH = 1.875
 RECALL = 0.9999
