@@ -147,3 +147,4 @@ def test_scans_of_reports(spark):
     for name in ("fct_revenue", "rpt_daily_revenue", "rpt_executive_summary"):
         assert _scans(p.table(name)) <= 8, name
     assert _plan(p.table("rpt_funnel")).count("events.parquet") == 2
+    assert _scans(registered()["dq_summary"](spark, SF_SMALL)) <= 15

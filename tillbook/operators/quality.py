@@ -2,8 +2,9 @@
 
 The check list mirrors the column tests declared on sources, seeds and
 models (64 in all).  Evaluation is batched per table: the unique and
-not_null checks of a table are one group-by on its key (with per-key NULL
-counts) plus one tiny global aggregate; a check that appears both on a
+not_null checks of a table, and those of the staging view that reads it, are
+one group-by on its key (with per-key NULL counts) plus one tiny global
+aggregate, so a table is scanned once for both; a check that appears both on a
 source and on a seed of the same table runs once and is reported under
 both names.  A failing check never aborts the run — it is a row with
 ``passed = false``.
@@ -17,7 +18,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillbook.plans.graph import Project
+from tillbook.plans.graph import STAGED_FROM, Project
 
 
 @dataclass(frozen=True)
@@ -101,10 +102,6 @@ def _emit(df: DataFrame, resources: list[str], table: str, column: str, test: st
     )
 
 
-
-
-
-
 def accepted_values_failures(df: DataFrame, column: str, values: tuple[str, ...]) -> DataFrame:
     """Number of distinct values outside the accepted list (NULL passes)."""
     listed = ", ".join(f"'{v}'" for v in values)
@@ -135,51 +132,75 @@ def _table_pass(df: DataFrame, key: str | None, nn_cols: list[str]) -> DataFrame
     )
 
 
+def _report(wide: DataFrame, results: list[tuple[str, str, str, str, str]]) -> DataFrame:
+    """Rows of a wide row; results: resource, table, column, test, failure expression."""
+    structs = ", ".join(
+        f"named_struct('resource_type', '{resource}', 'table_name', '{table}', 'column_name', '{column}',"
+        f" 'test_name', '{test}', 'failures', CAST({failures} AS BIGINT))"
+        for resource, table, column, test, failures in results
+    )
+    return wide.selectExpr(f"inline(array({structs}))")
+
+
+def _joint_pass(df: DataFrame, source: str, view: str, checks: list[Check]) -> DataFrame:
+    """Unique and not_null checks of a table and of its staging view in one pass over ``staging.beside_source``.
+
+    The view's key is the table's own key, so one group-by counts both."""
+    own = [c for c in checks if c.table in (source, view)]
+    key = next((c.column for c in CHECKS if c.table == view and c.test == "unique"))
+    nulls: dict[tuple[str, str], str] = {}
+    for c in own:
+        if c.test == "not_null":
+            where = f"_src.{c.column} IS NULL" if c.table == source else f"_staged AND {c.column} IS NULL"
+            nulls.setdefault((c.table, c.column), where)
+    aliases = {k: f"_null_{i}" for i, k in enumerate(nulls)}
+    per_key = df.groupBy(key).agg(
+        F.expr("count(1) AS _n"), F.expr("count_if(_staged) AS _m"), *[F.expr(f"count_if({w}) AS {aliases[k]}") for k, w in nulls.items()]
+    )
+    wide = per_key.agg(
+        F.expr(f"count_if({key} IS NOT NULL AND _n > 1) AS _dup_source"),
+        F.expr(f"count_if({key} IS NOT NULL AND _m > 1) AS _dup_view"),
+        *[F.expr(f"coalesce(sum({a}), 0) AS {a}") for a in aliases.values()],
+    )
+    failures = {"unique": {source: "_dup_source", view: "_dup_view"}}
+    return _report(
+        wide,
+        [
+            (c.resource_type, c.table, c.column, c.test, failures["unique"][c.table] if c.test == "unique" else aliases[c.table, c.column])
+            for c in own
+            if c.test != "accepted_values"
+        ],
+    )
+
+
 def run_checks(
     project: Project, tests: tuple[str, ...] = TESTS, checks: list[Check] | None = None
 ) -> DataFrame:
     checks = [c for c in (checks or CHECKS) if c.test in tests]
     parts: list[DataFrame] = []
+    done: set[str] = set()
+    for view, source in STAGED_FROM.items():
+        wanted = [c for c in checks if c.table in (source, view) and c.test != "accepted_values"]
+        if wanted and (df := project.beside_source(view)) is not None:
+            parts.append(_joint_pass(df, source, view, wanted))
+            done |= {source, view}
     for table in dict.fromkeys(c.table for c in checks):
-        df = project.table(table)
         mine = [c for c in checks if c.table == table]
+        df = project.table(table)
+        for c in mine:
+            if c.test == "accepted_values":
+                parts.append(_emit(accepted_values_failures(df, c.column, c.values), [c.resource_type], table, c.column, c.test))
+        if table in done:
+            continue
         keys = list(dict.fromkeys(c.column for c in mine if c.test == "unique"))
         nn_cols = list(dict.fromkeys(c.column for c in mine if c.test == "not_null"))
         for i, key in enumerate(keys or [None]):
             cols = nn_cols if i == 0 else []
             if key is None and not cols:
                 continue
-            wide = _table_pass(df, key, cols)
-            results = []  # (resource labels, column, test, failure expression)
-            if key is not None:
-                results.append((_labels(mine, table, key, "unique"), key, "unique", "_dup"))
+            results = [(label, table, key, "unique", "_dup") for label in _labels(mine, table, key, "unique")] if key else []
             for j, c in enumerate(cols):
-                results.append((_labels(mine, table, c, "not_null"), c, "not_null", f"_null_{j}"))
-            structs = ", ".join(
-                f"named_struct('resource_type', '{label}', 'column_name', '{col}', 'test_name', '{test}',"
-                f" 'failures', CAST({expr} AS BIGINT))"
-                for labels, col, test, expr in results
-                for label in labels
-            )
-            parts.append(
-                wide.selectExpr(f"explode(array({structs})) AS r").selectExpr(
-                    "r.resource_type",
-                    f"'{table}' AS table_name",
-                    "r.column_name",
-                    "r.test_name",
-                    "r.failures",
-                )
-            )
-        for c in mine:
-            if c.test == "accepted_values":
-                parts.append(
-                    _emit(
-                        accepted_values_failures(df, c.column, c.values),
-                        [c.resource_type],
-                        table,
-                        c.column,
-                        "accepted_values",
-                    )
-                )
+                results += [(label, table, c, "not_null", f"_null_{j}") for label in _labels(mine, table, c, "not_null")]
+            parts.append(_report(_table_pass(df, key, cols), results))
     result = reduce(DataFrame.unionByName, parts)
     return result.selectExpr(*RESULT_COLUMNS[:-1], "failures = 0 AS passed")

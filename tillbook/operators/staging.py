@@ -46,10 +46,20 @@ def is_true_sql(cond: str) -> str:
     return f"coalesce({cond}, false)"
 
 
+def staged(raw: DataFrame, condition: str, *columns: str) -> DataFrame:
+    """The rows of a staging view."""
+    return raw.where(condition).selectExpr(*columns)
 
 
-def stg_customers(customer: DataFrame) -> DataFrame:
-    return customer.where("c_custkey IS NOT NULL").selectExpr(
+def beside_source(raw: DataFrame, condition: str, *columns: str) -> DataFrame:
+    """All raw rows: the raw columns in ``_src``, the view's columns, and ``_staged``, whether the view has the row."""
+    return raw.selectExpr("struct(*) AS _src", *columns, f"coalesce({condition}, false) AS _staged")
+
+
+def stg_customers(customer: DataFrame, stage=staged) -> DataFrame:
+    return stage(
+        customer,
+        "c_custkey IS NOT NULL",
         "c_custkey AS customer_id",
         "trim(c_name) AS full_name",
         "trim(c_address) AS address",
@@ -61,8 +71,10 @@ def stg_customers(customer: DataFrame) -> DataFrame:
     )
 
 
-def stg_orders(orders: DataFrame) -> DataFrame:
-    return orders.where("o_orderkey IS NOT NULL").selectExpr(
+def stg_orders(orders: DataFrame, stage=staged) -> DataFrame:
+    return stage(
+        orders,
+        "o_orderkey IS NOT NULL",
         "o_orderkey AS order_id",
         "o_custkey AS customer_id",
         "CAST(o_totalprice AS DECIMAL(12,2)) AS order_total_usd",
@@ -75,11 +87,13 @@ def stg_orders(orders: DataFrame) -> DataFrame:
     )
 
 
-def stg_order_items(lineitem: DataFrame) -> DataFrame:
+def stg_order_items(lineitem: DataFrame, stage=staged) -> DataFrame:
     price = "CAST(l_extendedprice AS DECIMAL(12,2))"
     discount = "CAST(l_discount AS DECIMAL(5,4))"
     tax = "CAST(l_tax AS DECIMAL(5,4))"
-    return lineitem.where("l_orderkey IS NOT NULL").selectExpr(
+    return stage(
+        lineitem,
+        "l_orderkey IS NOT NULL",
         "concat(CAST(l_orderkey AS STRING), '-', CAST(l_linenumber AS STRING)) AS order_item_id",
         "l_orderkey AS order_id",
         "l_partkey AS product_id",
@@ -98,8 +112,10 @@ def stg_order_items(lineitem: DataFrame) -> DataFrame:
     )
 
 
-def stg_products(part: DataFrame) -> DataFrame:
-    return part.where("p_partkey IS NOT NULL").selectExpr(
+def stg_products(part: DataFrame, stage=staged) -> DataFrame:
+    return stage(
+        part,
+        "p_partkey IS NOT NULL",
         "p_partkey AS product_id",
         "trim(p_name) AS product_name",
         "p_mfgr AS manufacturer",
@@ -114,11 +130,13 @@ def stg_products(part: DataFrame) -> DataFrame:
     )
 
 
-def stg_payments(raw_payments: DataFrame, as_of: str) -> DataFrame:
+def stg_payments(raw_payments: DataFrame, as_of: str, stage=staged) -> DataFrame:
     """``as_of`` is the reference clock as a SQL expression."""
     paid_at = "CAST(paid_at AS TIMESTAMP_NTZ)"
     review = f"status = 'pending' AND {paid_at} < timestampadd(HOUR, -24, {as_of})"
-    return raw_payments.where("payment_id IS NOT NULL AND amount_usd > 0").selectExpr(
+    return stage(
+        raw_payments,
+        "payment_id IS NOT NULL AND amount_usd > 0",
         "payment_id",
         "order_id",
         "customer_id",
@@ -132,9 +150,11 @@ def stg_payments(raw_payments: DataFrame, as_of: str) -> DataFrame:
     )
 
 
-def stg_shipments(raw_shipments: DataFrame) -> DataFrame:
+def stg_shipments(raw_shipments: DataFrame, stage=staged) -> DataFrame:
     shipped, delivered = "CAST(shipped_at AS TIMESTAMP_NTZ)", "CAST(delivered_at AS TIMESTAMP_NTZ)"
-    return raw_shipments.where("shipment_id IS NOT NULL").selectExpr(
+    return stage(
+        raw_shipments,
+        "shipment_id IS NOT NULL",
         "shipment_id",
         "order_id",
         "carrier",
@@ -148,10 +168,12 @@ def stg_shipments(raw_shipments: DataFrame) -> DataFrame:
     )
 
 
-def stg_marketing_campaigns(raw_campaigns: DataFrame, as_of: str) -> DataFrame:
+def stg_marketing_campaigns(raw_campaigns: DataFrame, as_of: str, stage=staged) -> DataFrame:
     """``as_of`` is the reference clock as a SQL expression."""
     started, ended = "CAST(started_at AS TIMESTAMP_NTZ)", "CAST(ended_at AS TIMESTAMP_NTZ)"
-    return raw_campaigns.where("campaign_id IS NOT NULL").selectExpr(
+    return stage(
+        raw_campaigns,
+        "campaign_id IS NOT NULL",
         "campaign_id",
         "trim(campaign_name) AS campaign_name",
         "channel",
@@ -164,8 +186,10 @@ def stg_marketing_campaigns(raw_campaigns: DataFrame, as_of: str) -> DataFrame:
     )
 
 
-def stg_marketing_clicks(raw_clicks: DataFrame) -> DataFrame:
-    return raw_clicks.where("click_id IS NOT NULL").selectExpr(
+def stg_marketing_clicks(raw_clicks: DataFrame, stage=staged) -> DataFrame:
+    return stage(
+        raw_clicks,
+        "click_id IS NOT NULL",
         "click_id",
         "campaign_id",
         "customer_id",

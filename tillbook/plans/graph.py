@@ -28,6 +28,25 @@ from tillbook.sources.tables import read_source
 
 _Builder = Callable[["Project"], DataFrame]
 
+#: Staging views: function, table that it reads, whether it takes the clock.
+_VIEWS = {
+    "stg_customers": (staging.stg_customers, "customer", False),
+    "stg_orders": (staging.stg_orders, "orders", False),
+    "stg_order_items": (staging.stg_order_items, "lineitem", False),
+    "stg_products": (staging.stg_products, "part", False),
+    "stg_payments": (staging.stg_payments, "raw_payments", True),
+    "stg_shipments": (staging.stg_shipments, "raw_shipments", False),
+    "stg_marketing_campaigns": (staging.stg_marketing_campaigns, "raw_marketing_campaigns", True),
+    "stg_marketing_clicks": (staging.stg_marketing_clicks, "raw_marketing_clicks", False),
+}
+STAGED_FROM = {view: source for view, (_, source, _) in _VIEWS.items()}
+
+
+def _staged(p: Project, view: str) -> DataFrame:
+    build, source, clock = _VIEWS[view]
+    return build(p.table(source), *([p.as_of_sql] if clock else []))
+
+
 _BUILDERS: dict[str, _Builder] = {
     # raw inputs
     "raw_payments": lambda p: p.raw["raw_payments"],
@@ -35,16 +54,7 @@ _BUILDERS: dict[str, _Builder] = {
     "raw_marketing_campaigns": lambda p: p.raw["raw_marketing_campaigns"],
     "raw_marketing_clicks": lambda p: p.raw["raw_marketing_clicks"],
     # staging (views)
-    "stg_customers": lambda p: staging.stg_customers(p.sources["customer"]),
-    "stg_orders": lambda p: staging.stg_orders(p.sources["orders"]),
-    "stg_order_items": lambda p: staging.stg_order_items(p.sources["lineitem"]),
-    "stg_products": lambda p: staging.stg_products(p.sources["part"]),
-    "stg_payments": lambda p: staging.stg_payments(p.table("raw_payments"), p.as_of_sql),
-    "stg_shipments": lambda p: staging.stg_shipments(p.table("raw_shipments")),
-    "stg_marketing_campaigns": lambda p: staging.stg_marketing_campaigns(
-        p.table("raw_marketing_campaigns"), p.as_of_sql
-    ),
-    "stg_marketing_clicks": lambda p: staging.stg_marketing_clicks(p.table("raw_marketing_clicks")),
+    **{view: (lambda p, v=view: _staged(p, v)) for view in _VIEWS},
     # intermediate (ephemeral in the warehouse; materialised once per pipeline run here)
     "int_orders_enriched": lambda p: intermediate.int_orders_enriched(
         p.table("stg_orders"), p.table("stg_order_items"), p.table("stg_payments"), p.table("stg_shipments")
@@ -139,6 +149,14 @@ class Project:
         )
         return cls(spark, sources, as_of=as_of)
 
+    def beside_source(self, name: str) -> DataFrame | None:
+        """A staging view's columns beside those of the table it reads
+        (``staging.beside_source``); None if either was replaced by another DataFrame."""
+        build, source, clock = _VIEWS[name]
+        if {name, source} & self._written:
+            return None
+        return build(self.table(source), *([self.as_of_sql] if clock else []), stage=staging.beside_source)
+
     def table(self, name: str) -> DataFrame:
         if name not in self._tables:
             if name not in _BUILDERS and name in self.sources:
