@@ -315,4 +315,5 @@ def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def op4_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return find(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")).drop("key")
+    """The contaminated documents, with the items that they hold."""
+    return find(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")).where("contaminated").drop("key")
