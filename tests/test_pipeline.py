@@ -2,13 +2,15 @@
 
 import re
 
+import pytest
+
 from tests.conftest import SF_SMALL
 from tillbook.plans.graph import CORE, REPORTS, Project
 from tillbook.plans.pipeline import build_all
 from tillbook.queries import registered
 from tillbook.session import run_folder
 from tillbook.sources.seeds import load_seed, write_seed_csv
-from tillbook.sources.tables import read_raw_tables
+from tillbook.sources.tables import read_landed, read_raw_tables, read_source
 
 
 def _rows(df):
@@ -38,6 +40,40 @@ def test_seed_csv_round_trip(spark):
     assert landed["raw_marketing_clicks"].where("customer_id IS NULL").count() > 0
 
 
+def test_seed_csv_as_shipped(spark, tmp_path):
+    """A hand-written seed file: header, ISO times, names with spaces, empty fields; a malformed row fails the load."""
+    seed = tmp_path / "raw_marketing_campaigns.csv"
+    seed.write_text(
+        "campaign_id,campaign_name,channel,campaign_type,budget_usd,started_at,ended_at\n"
+        "CMP_0001,Retention Podcast Q3,podcast,retention,10000,2025-08-06T00:00:00,2025-09-30T00:00:00\n"
+        "CMP_0002,  Brand Email Q1 ,email,brand,,2025-01-01T00:00:00,\n"
+    )
+    raw_dir = run_folder(spark, "test-shipped-seed")
+    load_seed(spark, str(seed), "raw_marketing_campaigns", raw_dir)
+    rows = read_landed(spark, raw_dir, "raw_marketing_campaigns").orderBy("campaign_id").collect()
+    assert [(r.campaign_name, r.budget_usd, str(r.started_at), r.ended_at is None, r.batch_date) for r in rows] == [
+        ("Retention Podcast Q3", 10000, "2025-08-06 00:00:00", False, None),
+        ("  Brand Email Q1 ", None, "2025-01-01 00:00:00", True, None),
+    ]
+    seed.write_text(seed.read_text() + "CMP_0003,Bad,email,brand,many,2025-01-01T00:00:00,\n")
+    with pytest.raises(Exception, match="(?i)malformed|many"):
+        load_seed(spark, str(seed), "raw_marketing_campaigns", raw_dir)
+
+
+def test_source_columns(spark, tmp_path):
+    """Decimal amounts are read; a missing required column fails, a missing optional one is NULL."""
+    part = spark.read.parquet(f"{SF_SMALL}/part.parquet")
+    decimal = part.withColumn("p_retailprice", part["p_retailprice"].cast("decimal(12,2)"))
+    decimal.write.parquet(str(tmp_path / "a" / "part.parquet"))
+    part.withColumnRenamed("p_partkey", "key").write.parquet(str(tmp_path / "b" / "part.parquet"))
+    own = Project.from_dir(spark, str(tmp_path / "a")).table("stg_products")
+    given = Project.from_dir(spark, SF_SMALL).table("stg_products")
+    assert own.schema == given.schema and _rows(own) == _rows(given)
+    assert own.where("manufacturer IS NOT NULL").count() == 0
+    with pytest.raises(ValueError, match="part lacks the columns p_partkey"):
+        read_source(spark, str(tmp_path / "b"), "part")
+
+
 def _plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 

@@ -49,6 +49,7 @@ def dim_products(performance: DataFrame, as_of: str) -> DataFrame:
         "gross_revenue_usd",
         "return_rate_pct",
         "sales_tier",
+        # fixed values: the three roles
         """CASE WHEN sales_tier IN ('bestseller', 'strong') THEN 'core_catalog'
                 WHEN sales_tier IN ('steady', 'slow') THEN 'long_tail'
                 ELSE 'unsold' END AS catalog_role""",
@@ -78,6 +79,7 @@ def fct_orders(orders_enriched: DataFrame, as_of: str) -> DataFrame:
         "order_total_usd",
         "payment_attempt_count",
         "problem_payment_count",
+        # fixed values: the three states
         """CASE WHEN problem_payment_count > 0 AND NOT is_completed THEN 'at_risk'
                 WHEN problem_payment_count > 0 THEN 'recovered'
                 ELSE 'clean' END AS payment_health""",

@@ -75,7 +75,7 @@ def int_orders_enriched(
         "latest_delivered_at",
         "coalesce(s_has_delivery, 0) = 1 AS is_delivered",
         "coalesce(s_has_return, 0) = 1 AS has_return",
-        # captured IS NULL only when the order has no payment row at all: an
+        # fixed values: the four statuses.  captured IS NULL only when the order has no payment row at all: an
         # order whose payments all failed has captured = 0 and stays 'open'
         """CASE WHEN p_captured_amount_usd > 0 AND is_completed THEN 'completed'
                 WHEN p_captured_amount_usd > 0 AND NOT is_completed THEN 'paid_pending'
@@ -103,6 +103,7 @@ def first_touch(clicks: DataFrame) -> DataFrame:
 
 
 def lifecycle_segment(total_orders: str) -> str:
+    # fixed values: labels and order counts
     return f"""CASE WHEN {total_orders} IS NULL OR {total_orders} = 0 THEN 'never_ordered'
                     WHEN {total_orders} = 1 THEN 'one_time'
                     WHEN {total_orders} BETWEEN 2 AND 5 THEN 'repeat'
@@ -151,6 +152,7 @@ def int_customer_lifetime(
 
 
 def sales_tier(units: str) -> str:
+    # fixed values: labels and unit counts
     return f"""CASE WHEN {units} >= 10000 THEN 'bestseller'
                     WHEN {units} >= 1000 THEN 'strong'
                     WHEN {units} >= 100 THEN 'steady'
