@@ -47,9 +47,8 @@ def encode_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     import public_tokenizers
 
     path, pattern = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
-    encoded = byte_bpe.encode(docs, path, pattern, offsets=False)
-    decoded = byte_bpe.decode(encoded.drop("text"), path, pattern)
-    return decoded.withColumnRenamed("bpe_text", "text").withColumn("n_tokens", F.size("bpe_ids")).select(*docs.columns, "bpe_ids", "n_tokens")
+    encoded = byte_bpe.encode(docs, path, pattern, offsets=False, decoded=True)  # one pass: a task has one Python worker
+    return encoded.drop("text").withColumnRenamed("bpe_text", "text").withColumn("n_tokens", F.size("bpe_ids")).select(*docs.columns, "bpe_ids", "n_tokens")
 
 
 STAGES: list[tuple[str, Stage]] = [

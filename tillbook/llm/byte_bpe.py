@@ -23,8 +23,8 @@ from __future__ import annotations
 
 import base64
 import hashlib
-import sys
 import unicodedata
+from array import array
 from collections.abc import Iterator
 from functools import cached_property, lru_cache
 
@@ -38,6 +38,8 @@ from tillbook.llm.common import id_and_text, read_table, slices
 
 #: Matches a worker remembers before it forgets all of them.
 REMEMBERED = 400_000
+#: Ids that are made Python numbers at a time.
+DECODED = 500_000
 
 
 def byte_characters() -> list[str]:
@@ -47,6 +49,11 @@ def byte_characters() -> list[str]:
     return [chr(b) if b in visible else chr(0x100 + hidden.index(b)) for b in range(256)]
 
 
+def too_young(text: str) -> bool:
+    """Whether a character is not in Python's Unicode tables."""
+    return not text.isascii() and any(unicodedata.category(c) == "Cn" for c in text)
+
+
 def read_ranks(path: str) -> dict[bytes, int]:
     with open(path, "rb") as lines:
         return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
@@ -56,7 +63,7 @@ class ByteBpe:
     """Encoder and decoder of one rank file."""
 
     def __init__(self, path: str, pattern: str):
-        from tokenizers import Tokenizer, models, pre_tokenizers
+        from tokenizers import models
 
         self.ranks = read_ranks(path)
         self.table: dict[int, bytes] = {rank: token for token, rank in self.ranks.items()}
@@ -68,20 +75,22 @@ class ByteBpe:
             for cut in range(1, len(token))
             if token[:cut] in self.ranks and token[cut:] in self.ranks
         ]
-        self.tokenizer = Tokenizer(models.BPE(vocab={shown[t]: r for t, r in self.ranks.items()}, merges=merges, ignore_merges=True))
-        self.tokenizer.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.merges = models.BPE(vocab={shown[t]: r for t, r in self.ranks.items()}, merges=merges, ignore_merges=True)
+        self.characters = dict(enumerate(table))
         self.pattern = regex.compile(pattern)
-        self.known: dict[str, list[int]] = {}
+        self.known: dict[str, bytes] = {}  # ids of a match, as uint32
         self.pattern_text = pattern
-        self.unassigned = {c for c in map(chr, range(sys.maxunicode + 1)) if unicodedata.category(c) == "Cn"}
+        self.young: set[str] = set()  # matches with such a character
 
     def learn(self, matches: set[str]) -> None:
         new = [m for m in matches if m not in self.known]
         if new:
             if len(self.known) + len(new) > REMEMBERED:
-                self.known = {}
-                new = list(matches)
-            self.known.update(zip(new, (e.ids for e in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)), strict=True))
+                self.known, self.young, new = {}, set(), list(matches)
+            self.young.update(filter(too_young, new))
+            tokenize, characters = self.merges.tokenize, self.characters
+            for m in new:  # a match is one word to the merges: its bytes, shown as characters
+                self.known[m] = array("I", [t.id for t in tokenize(m.encode().decode("latin-1").translate(characters))]).tobytes()
 
     @cached_property
     def whole_text(self):
@@ -91,14 +100,12 @@ class ByteBpe:
 
     def encode(self, texts: list[str]) -> list[list[int]]:
         parts = [self.pattern.findall(text) for text in texts]
-        seen = set().union(*parts)
-        self.learn(seen)
-        known = self.known
-        out = [[i for part in own for i in known[part]] for own in parts]
-        if not all(map(str.isascii, seen)) and not self.unassigned.isdisjoint("".join(seen)):
-            for n, text in enumerate(texts):
-                if not self.unassigned.isdisjoint(text):
-                    out[n] = self.whole_text.encode_ordinary(text)
+        self.learn(set().union(*parts))
+        known = self.known.__getitem__
+        out = [np.frombuffer(b"".join(map(known, own)), "<u4").tolist() for own in parts]
+        for n, own in enumerate(parts if self.young else []):
+            if not self.young.isdisjoint(own):
+                out[n] = self.whole_text.encode_ordinary(texts[n])
         return out
 
     def decode(self, ids: list[int]) -> bytes:
@@ -129,28 +136,63 @@ def coder(path: str, pattern: str) -> ByteBpe:
     return ByteBpe(path, pattern)
 
 
-def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", prefix: str = "bpe_") -> DataFrame:
-    """All columns of ``docs`` and ``<prefix>ids`` array<int>, ``<prefix>offsets`` array<struct<first, end>> in characters.
+_OFFSET = T.StructType([T.StructField("first", T.IntegerType()), T.StructField("end", T.IntegerType())])
+
+
+def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", prefix: str = "bpe_", offsets: bool = True, decoded: bool = False) -> DataFrame:
+    """All columns of ``docs`` and ``<prefix>ids`` array<int>, with ``offsets`` the characters [first, end) of
+    each token, and with ``decoded`` the text that the ids give (``<prefix>text``).
 
     The rank file is read from ``path`` on each executor."""
-    added = {f"{prefix}ids": pa.list_(pa.int32()), f"{prefix}offsets": pa.list_(pa.struct([("first", pa.int32()), ("end", pa.int32())]))}
     position = docs.columns.index(text)
-    names = [f"c{i}" for i in range(len(docs.columns))] + list(added)  # positions, so that clashing names don't matter
+    added = [T.StructField(f"{prefix}ids", T.ArrayType(T.IntegerType()))]
+    added += [T.StructField(f"{prefix}offsets", T.ArrayType(_OFFSET))] * offsets + [T.StructField(f"{prefix}text", T.StringType())] * decoded
+    kinds = [pa.list_(pa.int32())] + [pa.list_(pa.struct([("first", pa.int32()), ("end", pa.int32())]))] * offsets + [pa.string()] * decoded
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[list[pa.Array]]:
         bpe = coder(path, pattern)
         for batch in batches:
-            for part in slices(batch, batch.schema.names[position]):
+            for part in slices(batch, batch.schema.names[position], 1 << 20):
                 ids = bpe.encode([t or "" for t in part.column(position).to_pylist()])
-                offsets = [[{"first": a, "end": b} for a, b in bpe.character_offsets(own)] for own in ids]
-                new = [pa.array(v, kind) for v, kind in zip((ids, offsets), added.values(), strict=True)]
-                yield pa.RecordBatch.from_arrays([*part.columns, *new], names=names)
-
-    fields = [T.StructField(f"c{i}", f.dataType, True) for i, f in enumerate(docs.schema.fields)]
-    offset = T.StructType([T.StructField("first", T.IntegerType()), T.StructField("end", T.IntegerType())])
-    schema = T.StructType([*fields, T.StructField(f"{prefix}ids", T.ArrayType(T.IntegerType())), T.StructField(f"{prefix}offsets", T.ArrayType(offset))])
-    plain = docs.toDF(*names[: len(docs.columns)])
-    return plain.mapInArrow(run, schema).toDF(*docs.columns, *added)
+                new: list[list] = [ids]
+                if offsets:
+                    new.append([[{"first": a, "end": b} for a, b in bpe.character_offsets(own)] for own in ids])
+                if decoded:
+                    new.append([bpe.decode_text(own) for own in ids])
+                yield [*part.columns, *(pa.array(v, k) for v, k in zip(new, kinds, strict=True))]
+
+    return _with_columns(docs, added, run)
+
+
+def decode(docs: DataFrame, path: str, pattern: str, ids: str = "bpe_ids", name: str = "bpe_text") -> DataFrame:
+    """All columns of ``docs`` and the text of each row's ids (null ids: no tokens); bytes that are no UTF-8 are replaced."""
+    position = docs.columns.index(ids)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[list[pa.Array]]:
+        bpe = coder(path, pattern)
+        for batch in batches:
+            ends = np.cumsum(batch.column(position).value_lengths().fill_null(0).to_numpy())
+            at = 0
+            while at < batch.num_rows:  # so many ids at a time, or one row
+                seen = ends[at - 1] if at else 0
+                n = max(1, int(np.searchsorted(ends, seen + DECODED, side="right")) - at)
+                part = batch.slice(at, n)
+                yield [*part.columns, pa.array([bpe.decode_text(own or []) for own in part.column(position).to_pylist()], pa.string())]
+                at += n
+
+    return _with_columns(docs, [T.StructField(name, T.StringType())], run)
+
+
+def _with_columns(docs: DataFrame, added: list[T.StructField], run) -> DataFrame:
+    """Runs ``run`` over Arrow batches; columns are known by place, so that clashing names don't matter."""
+    fields = [T.StructField(f"c{i}", f.dataType) for i, f in enumerate([*docs.schema.fields, *added])]
+
+    def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for columns in run(batches):
+            yield pa.RecordBatch.from_arrays(columns, names=[f.name for f in fields])
+
+    plain = docs.toDF(*(f"c{i}" for i in range(len(docs.columns))))
+    return plain.mapInArrow(named, T.StructType(fields)).toDF(*docs.columns, *(f.name for f in added))
 
 
 _DIGEST = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string()), ("n_bytes", pa.int64())])

@@ -81,14 +81,14 @@ def _byte_table(seed: int) -> np.ndarray:
 
 
 def powers(base: int, n: int) -> np.ndarray:
-    """1, base, base**2, ... modulo 2**64 (kept per process, grown by doubling)."""
+    """1, base, base**2, ... modulo 2**64 (kept per process)."""
     have = _POWERS.get(base)
     if have is None or len(have) < n:
-        size = 1 << max(10, (n - 1).bit_length())
+        size = -(-n // (1 << 20)) << 20
         have = np.ones(1, np.uint64)
         with np.errstate(over="ignore"):
             while len(have) < size:
-                have = np.concatenate([have, have * np.uint64(pow(base, len(have), 1 << 64))])
+                have = np.concatenate([have, have[: size - len(have)] * np.uint64(pow(base, len(have), 1 << 64))])
         _POWERS[base] = have
     return have[:n]
 
@@ -115,6 +115,18 @@ def range_hashes(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.n
         return mix((sums[ends] - sums[starts]) * powers(_INVERSE, len(sums))[starts] + (ends - starts).astype(np.uint64))
 
 
+def block_hashes(raw: np.ndarray, offsets: np.ndarray, values: np.ndarray, starts: np.ndarray, ends: np.ndarray, most: int = 1 << 20) -> np.ndarray:
+    """Hashes of ascending byte ranges that lie in one row each, ``values`` (by byte) summed for some ``most`` bytes of rows at a time."""
+    out = np.empty(len(starts), np.uint64)
+    at = 0
+    while at < len(raw):
+        to = int(offsets[min(max(np.searchsorted(offsets, at + most, side="right") - 1, np.searchsorted(offsets, at, side="right")), len(offsets) - 1)])
+        i, j = np.searchsorted(starts, [at, to])
+        out[i:j] = range_hashes(prefix_sums(values[raw[at:to]]), starts[i:j] - at, ends[i:j] - at)
+        at = to
+    return out
+
+
 #: Fixed: bytes that part words (space, and 0x09 to 0x0D).
 WHITE = np.zeros(256, bool)
 WHITE[[0x20, *range(0x09, 0x0E)]] = True
@@ -142,7 +154,7 @@ class Words:
         self.ends = np.flatnonzero(finishes) + 1
         self.first = np.searchsorted(self.starts, self.offsets)
         self.doc = np.repeat(np.arange(len(self.offsets) - 1), np.diff(self.first))
-        self.hashes = range_hashes(prefix_sums(_byte_table(seed)[LOWER[self.raw]]), self.starts, self.ends)
+        self.hashes = block_hashes(self.raw, self.offsets, _byte_table(seed)[LOWER], self.starts, self.ends)
 
     def shingles(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         """Hash and row of every n-word shingle; a row of 1 to n-1 words has one shingle, all of them."""
@@ -179,6 +191,12 @@ def parcels(rows: Iterable[tuple[int, int, bytes]]) -> pa.Table:
     return pa.table([pa.array(c, t.type) for c, t in zip(zip(*rows) if rows else ([], [], []), _PARCEL, strict=True)], schema=_PARCEL)
 
 
+def tidied(table: pa.Table) -> pa.Table:
+    """Gives memory that Arrow keeps for later back to the system: workers live on between stages."""
+    pa.default_memory_pool().release_unused()
+    return table
+
+
 def bucket_edges(keys: np.ndarray, buckets: int) -> np.ndarray:
     """Where each bucket's keys begin in sorted uint64 keys (buckets + 1 entries); a bucket is an equal range of the keys' high 32 bits."""
     cuts = (np.arange(1, buckets, dtype=np.uint64) << np.uint64(32)) // np.uint64(buckets) << np.uint64(32)
@@ -190,7 +208,7 @@ def send(shard_rows: DataFrame, emit: Callable[[int, pa.Table], Iterable[tuple[i
 
     def run(key: tuple, rows: pa.Table) -> pa.Table:
         shard = key[0].as_py()
-        return parcels((shard, bucket, payload) for bucket, payload in emit(shard, rows))
+        return tidied(parcels((shard, bucket, payload) for bucket, payload in emit(shard, rows)))
 
     return shard_rows.groupBy("shard").applyInArrow(run, PARCEL)
 
@@ -206,7 +224,7 @@ def answer(sent: DataFrame, reduce: Callable[[int, list[int], list[bytes]], Iter
         order = np.argsort(rows.column("shard").to_numpy(), kind="stable")
         shards, payloads = rows.column("shard").to_pylist(), rows.column("payload").to_pylist()
         out = reduce(bucket, [shards[i] for i in order], [payloads[i] for i in order])
-        return parcels((shard, bucket, payload) for shard, payload in out)
+        return tidied(parcels((shard, bucket, payload) for shard, payload in out))
 
     return sent.groupBy("bucket").applyInArrow(run, PARCEL)
 
@@ -216,6 +234,6 @@ def meet(shard_rows: DataFrame, replies: DataFrame, finish: Callable[[int, pa.Ta
 
     def run(key: tuple, rows: pa.Table, got: pa.Table) -> pa.Table:
         by_bucket = dict(zip(got.column("bucket").to_pylist(), got.column("payload").to_pylist(), strict=True))
-        return finish(key[0].as_py(), rows, by_bucket)
+        return tidied(finish(key[0].as_py(), rows, by_bucket))
 
     return shard_rows.groupBy("shard").cogroup(replies.groupBy("shard")).applyInArrow(run, schema)
