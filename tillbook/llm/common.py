@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 #: Text bytes that one shard of documents holds on average.
 SHARD_BYTES = 4 << 20
+SMALL_SHARDS = 50_000
 #: Rows an Arrow-batch operator turns to numpy arrays at a time.
 SLICE_BYTES = 4 << 20
 
@@ -174,7 +175,9 @@ def text_bytes(docs: DataFrame) -> int:
 
 
 def shard_count(total: int, shard_bytes: int = SHARD_BYTES) -> int:
-    return max(1, math.ceil(total / shard_bytes))
+    """Shards for so much text.  Beyond ``SMALL_SHARDS`` of them they grow, 16-fold at most,
+    so that what a shard sends to a bucket stays more than a few keys."""
+    return max(1, math.ceil(total / max(shard_bytes, min(total // SMALL_SHARDS, 16 * shard_bytes))))
 
 
 def sharded(docs: DataFrame, shards: int) -> DataFrame:

@@ -468,15 +468,15 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
         found = _read(replies.values(), b"k", _FOUND)
         runs, _, asked = prepare(table, found)
         at, several = runs.kinds(asked)
-        at = at[np.argsort(runs.key[at], kind="stable")]
-        by_kind = dict(zip(runs.kind[runs.kinds(asked)[0]].tolist(), several.tolist(), strict=True)) if len(at) else {}
+        by_key = np.argsort(runs.key[at], kind="stable")
+        at, several = at[by_key], several[by_key]
         edges = bucket_edges(runs.key[at], buckets)
         rows = []
         for b in np.flatnonzero(np.diff(edges)):
             own = at[edges[b] : edges[b + 1]]
             head = np.zeros(len(own), _CONTENT)
             head["kind"], head["doc"], head["size"] = runs.kind[own], runs.doc[own], runs.stop[own] + length - 1 - runs.start[own]
-            head["several"] = [by_kind[k] for k in head["kind"].tolist()]
+            head["several"] = several[edges[b] : edges[b + 1]]
             text = runs.raw[np.repeat(runs.start[own] - (np.cumsum(head["size"].astype(np.int64)) - head["size"]), head["size"]) + np.arange(head["size"].sum(dtype=np.int64))]
             rows.append((int(b), len(own).to_bytes(4, "little") + head.tobytes() + text.tobytes()))
         return _parcels(shard, rows)

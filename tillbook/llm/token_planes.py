@@ -27,6 +27,7 @@ from __future__ import annotations
 import math
 import re
 import zlib
+from array import array
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
@@ -45,8 +46,10 @@ from tillbook.session import run_folder
 BLOCK_IDS = 1 << 16
 #: Bytes of text that one shard holds on average.
 FILE_TEXT_BYTES = 16 << 20
+#: Shards at most (then they hold more text): what is known of each when the files are read back fits the driver.
+MOST_FILES = 100_000
 #: Words a worker remembers before it forgets all of them.
-REMEMBERED = 500_000
+REMEMBERED = 1_000_000
 ZSTD_LEVEL = 3
 
 
@@ -148,9 +151,9 @@ class WordCoder:
             tokenize, characters = self.merges.tokenize, self.characters
             for w in new:
                 shown = w if w.isascii() else w.encode().decode("latin-1").translate(characters)
-                self.known[w] = np.array([t.id for t in tokenize(shown)], "<u4").tobytes()
+                self.known[w] = array("I", [t.id for t in tokenize(shown)]).tobytes()
         elif new:
-            self.known.update(zip(new, (np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)), strict=True))
+            self.known.update(zip(new, (array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)), strict=True))
 
     def encode(self, texts: list[str], end: int) -> list[np.ndarray]:
         """Each text's ids and the end id, as uint32."""
@@ -212,7 +215,7 @@ class _Blocks:
 def write(docs: DataFrame, folder: str, path: str, end: int, block: int = BLOCK_IDS, kind: str = "byte") -> None:
     """Encodes every text of ``docs`` with the tokenizers file ``path`` and writes the chunks to ``folder``, shards in ascending doc_id order."""
     rows = id_and_text(docs)
-    shards = max(1, math.ceil(text_bytes(rows) / FILE_TEXT_BYTES))
+    shards = min(max(1, math.ceil(text_bytes(rows) / FILE_TEXT_BYTES)), MOST_FILES)
     rows = rows.repartitionByRange(shards, "doc_id").sortWithinPartitions("doc_id", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -235,7 +238,7 @@ def read_documents(spark: SparkSession, folder: str) -> DataFrame:
     A chunk is opened by itself; a document that spans chunks is put together
     from its pieces' checksums, so no task holds more than a chunk of ids."""
     chunks = spark.read.parquet(folder)
-    totals = chunks.groupBy("shard").agg(F.sum("n_ids").alias("n")).orderBy("shard").collect()  # a row per file, index columns only
+    totals = chunks.groupBy("shard").agg(F.sum("n_ids").alias("n")).orderBy("shard").collect()  # MOST_FILES rows at most, from the index columns
     before, starts = 0, {}
     for row in totals:
         starts[row.shard], before = before, before + row.n
