@@ -53,7 +53,7 @@ def main() -> None:
         "Generated by `python scripts/explain_plans.py`; operators that matter for scale only. Size-based\n"
         "broadcasting is switched off to show the shape that runs when no join side fits in memory; with\n"
         "the default 32 MB threshold AQE measures the aggregated sides at this scale and broadcasts them.\n"
-        "Remaining `BroadcastExchange` nodes are the bounded ones (heavy-hitter key sets).\n"
+        "Remaining `BroadcastExchange` nodes are the bounded ones (the daily batch and its keys).\n"
     )
     for name in HEADLINE:
         print(f"## {name}\n\n```")
