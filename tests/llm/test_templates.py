@@ -89,3 +89,23 @@ def test_empty_tables(spark):
     assert templates.find(docs.limit(0), benchmark(spark)).count() == 0
     assert templates.find(docs, benchmark(spark, [])).count() == 0
     assert templates.clean(docs, benchmark(spark, [])).count() == len(CASES)
+
+
+def test_one_literal_window_is_no_contamination(spark):
+    """Rows of numbers and stock phrases that an item shares with clean documents; longer runs and whole items still count."""
+    stock = "Which of the following statements is true about the water cycle in dry places near the coast of a large island"
+    items = [(1, "Go on with the row 1 2 3 4 5 6 7 8 and name the rule"), (2, stock), (3, "1 2 3 4 5 6 7 8"), (4, "the sum of 1 2 3 4 5 6")]
+    rows = [
+        (1, "a table has 1 2 3 4 5 6 7 8 as its columns"),
+        (2, "tell me which of the following statements is true about horses"),
+        (3, "quiz: which of the following statements is true about the water cycle in dry weather"),
+        (4, f"quiz: {stock} today"),
+        (5, "1 2 3 4 5 6 7 8"),
+        (6, "we want the sum of 1 2 3 4 5 6 here"),
+    ]
+    got = {(r.doc_id, r.item_id): (r.exact, r.contaminated) for r in templates.find(documents(spark, rows), benchmark(spark, items)).collect()}
+    assert got[1, 1] == got[1, 3] == got[2, 2] == (True, False)
+    assert got[3, 2] == got[4, 2] == (True, True), "13 words in a row, and all of it"
+    assert got[5, 3] == (True, True) and got[5, 1] == (True, False)
+    assert got[6, 4] == (True, True)
+    assert sorted(r.doc_id for r in templates.clean(documents(spark, rows), benchmark(spark, items)).collect()) == [1, 2]

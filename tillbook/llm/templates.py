@@ -18,9 +18,15 @@ scripts; A-Z are lower-cased.
 
 An item's windows are all its runs of ``WINDOW`` tokens, or the whole item if
 it is shorter; an item under ``LEAST`` tokens only counts where it is a whole
-document.  A document is contaminated by an item where a window matches word
-for word, or where aligned windows cover ``SHARE`` of the item's windows with
-consistent slots and at least half of the covered tokens are literal.
+document.  A document is contaminated by an item where
+
+* it holds the whole item word for word, and the item has a literal token or is the whole document;
+* ``RUN`` tokens in a row match word for word and at least half of them are literal; or
+* aligned windows, either with consistent slots or word for word, cover ``SHARE`` of the
+  item's windows and at least half of the covered tokens are literal.
+
+A single window that matches word for word (``exact``) is no contamination by
+itself: a stock phrase or a row of numbers is as long.
 
 The benchmark's windows are joined by broadcast up to ``BROADCAST_WINDOWS``;
 beyond that, documents' windows are shuffled to them by hash.
@@ -45,6 +51,7 @@ from tillbook.llm.common import LOWER, _byte_table, prefix_sums, range_hashes, r
 WINDOW = 8
 LEAST = 5
 SHARE = 0.5
+RUN = 13
 BROADCAST_WINDOWS = 2_000_000
 
 # Number words and units of measurement.
@@ -170,7 +177,7 @@ def judge(docs: Templates, row: int, items: Items, item: int, pairs: list[tuple[
     best = (0, False, False, False)
     for found in by_shift.values():
         values: dict[tuple[int, int], int] = {}
-        windows, exact, covered = set(), False, set()
+        windows, exact, covered = set(), [], set()
         consistent = True
         for at, own, size in sorted(found):
             left, right = slice(at, at + size), slice(own, own + size)
@@ -178,7 +185,8 @@ def judge(docs: Templates, row: int, items: Items, item: int, pairs: list[tuple[
                 continue
             windows.add(own)
             covered.update(range(own, own + size))
-            exact |= bool((docs.literal[left] == words.literal[right]).all())
+            if (docs.literal[left] == words.literal[right]).all():
+                exact.append((own, own + size))
             for k in range(size):
                 if words.slot[own + k]:
                     key = (int(words.token[own + k]), int(words.literal[own + k]))
@@ -186,11 +194,30 @@ def judge(docs: Templates, row: int, items: Items, item: int, pairs: list[tuple[
         if not windows:
             continue
         literal = sum(not words.slot[k] for k in covered)
-        verdict = exact or (consistent and len(windows) >= SHARE * int(items.count[item]) and 2 * literal >= len(covered))
-        best = max(best, (len(windows), exact, consistent, bool(verdict)), key=lambda x: (x[3], x[0], x[1], x[2]))
+        verdict = consistent and len(windows) >= SHARE * int(items.count[item]) and 2 * literal >= len(covered)
+        verdict = verdict or _word_for_word(words, item, exact, SHARE * int(items.count[item]), total)
+        best = max(best, (len(windows), bool(exact), consistent, bool(verdict)), key=lambda x: (x[3], x[0], x[1], x[2]))
     return best if best[0] else None
 
 
+def _word_for_word(words: Templates, item: int, exact: list[tuple[int, int]], share: float, total: int) -> bool:
+    """Verdict on the windows (ascending token ranges of the item) that match word for word in a document of ``total`` tokens."""
+    runs: list[list[int]] = []
+    for a, b in exact:
+        if runs and a <= runs[-1][1]:
+            runs[-1][1] = b
+        else:
+            runs.append([a, b])
+    tokens = [b - a for a, b in runs]
+    literal = [int(words.literals[b] - words.literals[a]) for a, b in runs]
+    whole = int(words.first[item + 1] - words.first[item])
+    if any(n == whole and (k or n == total) for n, k in zip(tokens, literal, strict=True)):
+        return True
+    if any(n >= RUN and 2 * k >= n for n, k in zip(tokens, literal, strict=True)):
+        return True
+    return bool(exact) and len(exact) >= share and 2 * sum(literal) >= sum(tokens)
+
+
 def _hits(part, items: Items, docs: Templates, first: np.ndarray, match: np.ndarray, sizes: np.ndarray) -> pa.RecordBatch:
     """Rows for matching windows: document token, place in the items' windows, size."""
     ids = list(zip(part.column("doc_id").to_pylist(), part.column("key").to_pylist(), strict=True))
