@@ -109,3 +109,33 @@ def test_one_literal_window_is_no_contamination(spark):
     assert got[5, 3] == (True, True) and got[5, 1] == (True, False)
     assert got[6, 4] == (True, True)
     assert sorted(r.doc_id for r in templates.clean(documents(spark, rows), benchmark(spark, items)).collect()) == [1, 2]
+
+
+def test_questions_asked_anew(spark):
+    """Other names and numbers in more or fewer words, and names that open sentences."""
+    items = [
+        (1, "Tom has 5 apples. Tom buys 3 more. How many apples does Tom have?"),
+        (2, "Last week the farm of Anna sold 250 boxes of pears for 4 dollars a box and then Anna paid 30 workers"),
+        (3, "Tom baked 20 cakes for the fair. Tom sold 7 cakes before noon. What was left over?"),
+        (4, "Each of the boats at the pier holds seven people and costs forty dollars an hour to rent"),
+        (5, "On the first day the red team ran around the big old lake and on the next day the blue team slept"),
+    ]
+    rows = [
+        (1, "quiz: Maria has 12 apples. Maria buys 9 more. How many apples does Maria have?"),
+        (2, "Last week the farm of Mary Ann sold 1,250 boxes of pears for 3.5 dollars a box and then Mary Ann paid 1,030 workers"),
+        (3, "Maria baked 3 cakes for the fair. Maria sold 9,000 cakes before noon. What was left over?"),
+        (4, "each of the boats at the pier holds twenty two people and costs two hundred dollars an hour to rent"),
+        (5, "on the first day the red team ran around the big but old lake and on the next day the blue team slept"),
+        (6, "Maria has 12 apples. Peter buys 9 more. How many apples does Susan have?"),
+        (7, "Last week the farm of Mary Ann sold 1,250 boxes of pears for 3.5 dollars a box and then Bob Lee paid 1,030 workers"),
+    ]
+    for more in ({}, {"broadcast_windows": 0}):
+        got = {(r.doc_id, r.item_id) for r in templates.find(documents(spark, rows), benchmark(spark, items), **more).where("contaminated").collect()}
+        assert got == {(k, k) for k in range(1, 6)}
+
+
+def test_words_that_make_one_token():
+    own = templates.Templates(pa.array(["Anna Lee paid 1,250.5 dollars. Bob met Anna, Tom O'Neil and twenty five men.", "Anna"]))
+    kinds = {int(templates.NUMBER): "N", int(templates.NAME): "P", int(templates.UNIT): "U"}
+    shape = lambda way: "".join(kinds.get(int(t), ".") for t in own.read(way).token)
+    assert shape("names") == "P.NU..PP.N.." and shape("openers") == "P.NUP.PP.N.P"

@@ -16,6 +16,17 @@ scripts; A-Z are lower-cased.
   Greek or Cyrillic capital) that doesn't open a sentence;
 * anything else stands for itself.
 
+Texts are read in three ways, and the verdicts of each are taken together:
+
+* ``words``: as above;
+* ``names``: what another number or name may write in more or fewer words is
+  one token - digits parted by a comma or a point, number words and what
+  precedes them, names in a row - and a word that opens a sentence is a name
+  if the same text has it as a name elsewhere;
+* ``openers``: the same, and every upper-case word that opens a sentence is a name.
+
+Items of under ``LEAST`` tokens are compared as ``words`` only.
+
 An item's windows are all its runs of ``WINDOW`` tokens, or the whole item if
 it is shorter; an item under ``LEAST`` tokens only counts where it is a whole
 document.  A document is contaminated by an item where
@@ -23,7 +34,9 @@ document.  A document is contaminated by an item where
 * it holds the whole item word for word, and the item has a literal token or is the whole document;
 * ``RUN`` tokens in a row match word for word and at least half of them are literal; or
 * aligned windows, either with consistent slots or word for word, cover ``SHARE`` of the
-  item's windows and at least half of the covered tokens are literal.
+  item's windows and at least half of the covered tokens are literal; windows
+  that lie up to ``WINDOW`` tokens further or nearer, where words were put in or
+  left out, count along if their slots take the same values.
 
 A single window that matches word for word (``exact``) is no contamination by
 itself: a stock phrase or a row of numbers is as long.
@@ -38,6 +51,7 @@ tables give no rows; further columns are not read.
 
 from __future__ import annotations
 
+from bisect import bisect_left, bisect_right
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -46,7 +60,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillbook.llm.common import LOWER, _byte_table, prefix_sums, range_hashes, read_table, slices, text_arrays
+from tillbook.llm.common import LOWER, _byte_table, mix, prefix_sums, range_hashes, read_table, slices, text_arrays
 
 WINDOW = 8
 LEAST = 5
@@ -84,6 +98,9 @@ def _among(sorted_keys: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return sorted_keys[at] == keys
 
 
+WAYS = ("words", "names", "openers")
+
+
 class Templates:
     """Template tokens of a column of texts: ``literal`` (hash of the word itself), ``token`` (of its type or itself)."""
 
@@ -119,10 +136,46 @@ class Templates:
         opens = ~same_doc
         opens[1:] |= stops[starts[1:]] > stops[self.ends[:-1]]
         name = upper & ~opens & ~number & ~unit
+        self._kinds = number, unit, name, upper & opens & ~number & ~unit, same_doc
+        self._tell(number, unit, name)
+
+    def _tell(self, number: np.ndarray, unit: np.ndarray, name: np.ndarray) -> None:
         self.slot = number | unit | name
         self.token = np.where(number, NUMBER, np.where(unit, UNIT, np.where(name, NAME, self.literal)))
         self.literals = np.concatenate([[0], np.cumsum(~self.slot)])
 
+    def read(self, way: str) -> Templates:
+        """The same texts read in another of ``WAYS``."""
+        if way == "words" or not len(self.starts):
+            return self
+        number, unit, name, opener, same_doc = self._kinds
+        if way == "names":
+            with np.errstate(over="ignore"):
+                own = mix(self.literal + mix(self.doc.astype(np.uint64)))  # a word of one text
+            name = name | (opener & np.isin(own, own[name]))
+        else:
+            name = name | opener
+        # what goes on the token before it, by the one byte between them
+        gap = self.raw[np.maximum(self.starts - 1, 0)]
+        close = same_doc.copy()
+        close[1:] &= self.starts[1:] - self.ends[:-1] == 1
+        digit = (self.raw[self.starts] >= 48) & (self.raw[self.starts] < 58)
+        last = self.raw[self.ends - 1]
+        joined = np.zeros(len(close), bool)
+        joined[1:] = digit[1:] & digit[:-1] & (last[:-1] >= 48) & (last[:-1] < 58) & ((gap[1:] == 44) | (gap[1:] == 46))
+        joined[1:] |= number[1:] & ~digit[1:] & number[:-1] & ((gap[1:] == 32) | (gap[1:] == 45))
+        joined[1:] |= name[1:] & name[:-1] & ((gap[1:] == 32) | (gap[1:] == 45) | (gap[1:] == 39))
+        joined &= close
+        begin = np.flatnonzero(~joined)
+        end = np.append(begin[1:], len(joined))
+        out = object.__new__(Templates)
+        out.raw, out.offsets = self.raw, self.offsets
+        out.starts, out.ends, out.doc = self.starts[begin], self.ends[end - 1], self.doc[begin]
+        out.first = np.searchsorted(out.starts, out.offsets)
+        out.literal = np.where(end - begin > 1, range_hashes(prefix_sums(self.literal), begin, end), self.literal[begin])
+        out._tell(number[begin], unit[begin], name[begin])
+        return out
+
     def windows(self, size: int) -> tuple[np.ndarray, np.ndarray]:
         """First token and hash of every window of ``size`` tokens that lies in one row."""
         n = len(self.starts) - size + 1
@@ -133,11 +186,10 @@ class Templates:
 
 
 class Items:
-    """Benchmark items and their windows, sorted by hash."""
+    """Benchmark items and their windows, sorted by hash; ``words`` are the items' texts read in one way."""
 
-    def __init__(self, ids: list[int | None], texts: list[str], window: int = WINDOW):
-        self.ids, self.window = ids, window
-        self.words = Templates(pa.array(texts, pa.string()))
+    def __init__(self, ids: list[int | None], words: Templates, window: int = WINDOW):
+        self.ids, self.window, self.words = ids, window, words
         size = np.diff(self.words.first)
         self.size = np.where(size >= window, window, size)  # of each item's windows
         self.count = np.where(size >= window, size - window + 1, (size > 0).astype(int))
@@ -172,27 +224,36 @@ def judge(docs: Templates, row: int, items: Items, item: int, pairs: list[tuple[
     if length < LEAST and total != length:
         return None
     by_shift: dict[int, list[tuple[int, int, int]]] = defaultdict(list)
-    for at, own, size in pairs:
-        by_shift[at - own].append((at, own, size))
+    for at, own, size in sorted(pairs):
+        if (docs.token[at : at + size] == words.token[own : own + size]).all():  # a hash alone is no match
+            by_shift[at - own].append((at, own, size))
     best = (0, False, False, False)
-    for found in by_shift.values():
+    shifts = sorted(by_shift)
+
+    def slots(at: int, own: int, size: int) -> list[tuple[tuple[int, int], int]]:
+        return [((int(words.token[own + k]), int(words.literal[own + k])), int(docs.literal[at + k])) for k in range(size) if words.slot[own + k]]
+
+    for place, shift in enumerate(shifts):
         values: dict[tuple[int, int], int] = {}
         windows, exact, covered = set(), [], set()
         consistent = True
-        for at, own, size in sorted(found):
-            left, right = slice(at, at + size), slice(own, own + size)
-            if not (docs.token[left] == words.token[right]).all():  # a hash alone is no match
-                continue
+        for at, own, size in by_shift[shift]:
             windows.add(own)
             covered.update(range(own, own + size))
-            if (docs.literal[left] == words.literal[right]).all():
+            if (docs.literal[at : at + size] == words.literal[own : own + size]).all():
                 exact.append((own, own + size))
-            for k in range(size):
-                if words.slot[own + k]:
-                    key = (int(words.token[own + k]), int(words.literal[own + k]))
-                    consistent &= values.setdefault(key, int(docs.literal[at + k])) == int(docs.literal[at + k])
-        if not windows:
-            continue
+            for key, value in slots(at, own, size):
+                consistent &= values.setdefault(key, value) == value
+        # windows of the nearest other alignments, while they tell the same values
+        near = shifts[bisect_left(shifts, shift - WINDOW) : place] + shifts[place + 1 : bisect_right(shifts, shift + WINDOW)]
+        for other in sorted(near, key=lambda x: (abs(x - shift), x)) if consistent else ():
+            for at, own, size in by_shift[other]:
+                if own not in windows:
+                    told = slots(at, own, size)
+                    if all(values.get(key, value) == value for key, value in told) and len(dict(told)) == len(set(told)):
+                        values.update(told)
+                        windows.add(own)
+                        covered.update(range(own, own + size))
         literal = sum(not words.slot[k] for k in covered)
         verdict = consistent and len(windows) >= SHARE * int(items.count[item]) and 2 * literal >= len(covered)
         verdict = verdict or _word_for_word(words, item, exact, SHARE * int(items.count[item]), total)
@@ -218,17 +279,27 @@ def _word_for_word(words: Templates, item: int, exact: list[tuple[int, int]], sh
     return bool(exact) and len(exact) >= share and 2 * sum(literal) >= sum(tokens)
 
 
-def _hits(part, items: Items, docs: Templates, first: np.ndarray, match: np.ndarray, sizes: np.ndarray) -> pa.RecordBatch:
-    """Rows for matching windows: document token, place in the items' windows, size."""
+_Found = list[tuple[Items, Templates, np.ndarray, np.ndarray, np.ndarray]]
+
+
+def _hits(part, ways: _Found) -> pa.RecordBatch:
+    """Rows for matching windows.  For each way of reading: items, documents, and of the windows document token, place in the items' windows, size."""
     ids = list(zip(part.column("doc_id").to_pylist(), part.column("key").to_pylist(), strict=True))
-    pairs: dict[tuple[int, int], list[tuple[int, int, int]]] = defaultdict(list)
-    for at, place, size in zip(first.tolist(), match.tolist(), sizes.tolist(), strict=True):
-        pairs[int(docs.doc[at]), int(items.item[place])].append((at, int(items.at[place]), size))
+    said: dict[tuple[int, int], list[tuple[bool, float, int, int, bool, bool, int]]] = defaultdict(list)
+    for way, (items, docs, first, match, sizes) in enumerate(ways):
+        pairs: dict[tuple[int, int], list[tuple[int, int, int]]] = defaultdict(list)
+        for at, place, size in zip(first.tolist(), match.tolist(), sizes.tolist(), strict=True):
+            pairs[int(docs.doc[at]), int(items.item[place])].append((at, int(items.at[place]), size))
+        for (row, item), found in pairs.items():
+            if way and items.size[item] < LEAST:  # as few tokens say nothing where names and numbers are joined
+                continue
+            if judged := judge(docs, row, items, item, found):
+                n, total = judged[0], int(items.count[item])
+                said[row, item].append((judged[3], n / total, -way, n, judged[1], judged[2], total))
     rows = []
-    for (row, item), found in sorted(pairs.items()):
-        if said := judge(docs, row, items, item, found):
-            n, total = said[0], int(items.count[item])
-            rows.append((*ids[row], items.ids[item], n, total, n / total, *said[1:]))
+    for (row, item), found in sorted(said.items()):
+        verdict, share, _, n, _, consistent, total = max(found)
+        rows.append((*ids[row], ways[0][0].ids[item], n, total, share, any(f[4] for f in found), consistent, verdict))
     columns = zip(*rows, strict=True) if rows else [[]] * len(_HIT)
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _HIT, strict=True)], schema=_HIT)
 
@@ -252,34 +323,48 @@ def find(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, broadcast_
     return _by_shuffle(rows, given, window)
 
 
+def _matches(items: Items, docs: Templates, filters: dict[int, np.ndarray] | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Windows of documents that items have too: document token, place in the items' windows, size."""
+    found = [(np.zeros(0, np.int64),) * 3]
+    for length in items.lengths():
+        first, hashes = docs.windows(length)
+        if filters:
+            maybe = filters[length][hashes >> np.uint64(44)]
+            first, hashes = first[maybe], hashes[maybe]
+        left, right = (np.searchsorted(items.hashes, hashes, side) for side in ("left", "right"))
+        which, place = _spread(left, right)
+        same = items.sizes[place] == length
+        found.append((first[which[same]], place[same], np.full(same.sum(), length)))
+    first, place, sizes = (np.concatenate(c) for c in zip(*found, strict=True))
+    return first, place, sizes
+
+
 def _by_broadcast(rows: DataFrame, ids: list[int | None], texts: list[str], window: int) -> DataFrame:
     sent = rows.sparkSession.sparkContext.broadcast((ids, texts))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        items = Items(*sent.value, window)
-        if not len(items.hashes):
+        ids, texts = sent.value
+        words = Templates(pa.array(texts, pa.string()))
+        every = [Items(ids, words.read(way), window) for way in WAYS]
+        if not any(len(items.hashes) for items in every):
             return
-        filters = {}
-        for length in items.lengths():  # a bit per hash prefix sends most windows away at once
-            own = items.sizes == length
-            bits = np.zeros(1 << 20, bool)
-            bits[items.hashes[own] >> np.uint64(44)] = True
-            filters[length] = bits
+        filters = []
+        for items in every:  # a bit per hash prefix sends most windows away at once
+            of_length = {}
+            for length in items.lengths():
+                bits = np.zeros(1 << 20, bool)
+                bits[items.hashes[items.sizes == length] >> np.uint64(44)] = True
+                of_length[length] = bits
+            filters.append(of_length)
         for batch in batches:
             for part in slices(batch, most=1 << 20):
-                docs = Templates(part.column("text"))
-                found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-                for length, bits in filters.items():
-                    first, hashes = docs.windows(length)
-                    maybe = bits[hashes >> np.uint64(44)]
-                    first, hashes = first[maybe], hashes[maybe]
-                    left, right = (np.searchsorted(items.hashes, hashes, side) for side in ("left", "right"))
-                    which, place = _spread(left, right)
-                    same = items.sizes[place] == length
-                    found.append((first[which[same]], place[same], np.full(same.sum(), length)))
-                first, place, sizes = (np.concatenate(c) for c in zip(*found, strict=True))
-                if len(first):
-                    yield _hits(part, items, docs, first, place, sizes)
+                plain = Templates(part.column("text"))
+                ways = []
+                for way, items, of_length in zip(WAYS, every, filters, strict=True):
+                    docs = plain.read(way)
+                    ways.append((items, docs, *_matches(items, docs, of_length)))
+                if any(len(way[2]) for way in ways):
+                    yield _hits(part, ways)
 
     return rows.mapInArrow(run, HIT)
 
@@ -291,13 +376,15 @@ def _by_shuffle(rows: DataFrame, given: DataFrame, window: int) -> DataFrame:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 for part in slices(batch, most=1 << 20):
-                    if lengths is None:
-                        items = Items(part.column("id").to_pylist(), part.column("text").to_pylist(), window)
-                        which, found, sizes = items.item, items.hashes, items.sizes
-                    else:
-                        docs = Templates(part.column("text"))
-                        own = [(docs.doc[f], h, np.full(len(f), n)) for n in lengths for f, h in [docs.windows(n)]]
-                        which, found, sizes = (np.concatenate(c) for c in zip(*own, strict=True))
+                    plain, own = Templates(part.column("text")), []
+                    for k, way in enumerate(WAYS):  # windows meet those that are read in the same way
+                        words, salt = plain.read(way), np.uint64(k)
+                        if lengths is None:
+                            items = Items(part.column("id").to_pylist(), words, window)
+                            own.append((items.item, items.hashes ^ salt, items.sizes))
+                        else:
+                            own += [(words.doc[f], h ^ salt, np.full(len(f), n)) for n in lengths for f, h in [words.windows(n)]]
+                    which, found, sizes = (np.concatenate(c) for c in zip(*own, strict=True))
                     keyed = np.unique(np.rec.fromarrays([which, found.view(np.int64), sizes], names="row,hash,size"))
                     texts = part.column("name").take(pa.array(keyed["row"]))
                     yield pa.RecordBatch.from_arrays([texts, pa.array(keyed["hash"]), pa.array(keyed["size"])], names=["name", "hash", "size"])
@@ -319,14 +406,13 @@ def _by_shuffle(rows: DataFrame, given: DataFrame, window: int) -> DataFrame:
         for batch in batches:
             for i in range(batch.num_rows):
                 part = batch.slice(i, 1)
-                items = Items(part.column("item_id").to_pylist(), part.column("item_text").to_pylist(), window)
-                docs = Templates(part.column("text"))
-                for length in items.lengths():
-                    first, found = docs.windows(length)
-                    left, right = (np.searchsorted(items.hashes, found, side) for side in ("left", "right"))
-                    which, place = _spread(left, right)
-                    if len(which):
-                        yield _hits(part, items, docs, first[which], place, np.full(len(which), length))
+                words, plain = Templates(part.column("item_text")), Templates(part.column("text"))
+                ways = []
+                for way in WAYS:
+                    items, docs = Items(part.column("item_id").to_pylist(), words.read(way), window), plain.read(way)
+                    ways.append((items, docs, *_matches(items, docs)))
+                if any(len(way[2]) for way in ways):
+                    yield _hits(part, ways)
 
     return joined.mapInArrow(run, HIT)
 
