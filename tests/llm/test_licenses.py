@@ -1,4 +1,5 @@
 import random
+import textwrap
 
 import pytest
 import zstandard
@@ -82,3 +83,22 @@ def test_planted_lines_of_the_given_tables(spark):
     expected = sorted((r.doc_id, n, wanted[line]) for r in docs for n, line in enumerate((r.text or "").split("\n")) if line in wanted)
     got = sorted((r.doc_id, r.first_line, r.license) for r in licenses.op9_licenses(spark, path).where("exact").collect() if r.license in wanted.values())
     assert got == expected
+
+
+@pytest.mark.parametrize("width", [40, 60, 66, 72, 80])
+@pytest.mark.parametrize("mark", ["", " * ", "# "])
+def test_every_wrapped_template_finds_itself(loaded, width, mark):
+    for name, text in licenses.TEMPLATES:
+        notice = textwrap.wrap(text, width, break_long_words=False, break_on_hyphens=False)
+        lines = ["int x = 1;", "some words of the file", *(mark + line for line in notice), mark, "other words follow here"]
+        got = [(a, b, said["exact"], said["confirmed"]) for a, b, said in loaded.scan("\n".join(lines)) if said["license"] == name]
+        assert got == [(2, len(notice) + 1, True, True)], (name, text)
+
+
+def test_wrapped_notices_over_blank_lines(spark):
+    apache = 'Licensed under the Apache License, Version 2.0 (the "License");\nyou may not use this file except in compliance with the License.\nYou may obtain a copy of the License at\n\n    http://www.apache.org/licenses/LICENSE-2.0\n'
+    bsd = "Copyright 2020 A. All rights reserved. Redistribution and use in\nsource and binary forms, with or without modification, are\npermitted provided that these conditions are met:"
+    gpl = "This work is licensed\nunder the GNU General Public\nLicense, version 9."
+    rows = [(1, apache), (2, bsd), (3, gpl), (4, "free and unencumbered software released into the public\n# domain")]
+    got = {(r.doc_id, r.first_line, r.n_lines, r.license, r.n_changes) for r in licenses.scan(documents(spark, rows)).where("confirmed").collect()}
+    assert got == {(1, 0, 5, "Apache-2.0", 0), (2, 0, 1, "All-Rights-Reserved", 0), (2, 0, 3, "BSD-3-Clause", 2), (4, 0, 2, "Unlicense", 2)}

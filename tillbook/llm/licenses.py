@@ -1,7 +1,12 @@
 """License scan by conditional compression.
 
 Method: a line that holds a trigger word is a candidate block, together with the
-next such line if at most ``GAP`` lines lie between and the sentence runs on.  Each block is compressed with
+next such line if at most ``GAP`` lines lie between and the sentence runs on; a
+trigger may be broken over two lines.  A block grows over the lines around it,
+blank ones too, to the whole of a wrapped notice, if a template is confirmed
+there that reaches out of the block: up to ``1 + CHANGED`` times the longest
+template's words are looked at on both sides.  Blocks inside a grown one go
+unless they are confirmed for another license.  Each block is compressed with
 zstandard alone and with every template as raw dictionary; templates are
 ranked by how much smaller the block becomes.  The ``RANKED`` first ones are
 compared word by word with the best fitting stretch of the block, and the one
@@ -19,6 +24,7 @@ blocks of any length are compared whole; further columns are not read.
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 from difflib import SequenceMatcher
@@ -70,6 +76,8 @@ TEMPLATES = [
 ]
 
 _TRIGGER = re.compile(r"\b(?:" + "|".join(TRIGGERS) + r")\b", re.IGNORECASE)
+_BREAK = r"(?: |[ \t\r]*\n[^\w\n]*)"  # a space, or a line's end and the signs that open the next one
+_BROKEN = re.compile(r"\b(?:" + "|".join(t.replace(" ", _BREAK) for t in TRIGGERS if " " in t) + r")\b", re.IGNORECASE)
 _WORD = re.compile(r"[^\W_]+(?:\.[^\W_]+)*")
 
 
@@ -80,9 +88,14 @@ def words(text: str) -> list[str]:
 def blocks(text: str) -> list[tuple[int, int]]:
     """First and last line of each candidate block."""
     lines = text.split("\n")
+    broken = set()
+    for found in _BROKEN.finditer(text):
+        if "\n" in found.group():
+            first = text.count("\n", 0, found.start())
+            broken.update(range(first, first + found.group().count("\n") + 1))
     out: list[list[int]] = []
     for n, line in enumerate(lines):
-        if _TRIGGER.search(line):
+        if n in broken or _TRIGGER.search(line):
             if out and n - out[-1][1] <= GAP + 1 and _runs_on(lines[out[-1][1] : n]):
                 out[-1][1] = n
             else:
@@ -95,6 +108,18 @@ def _runs_on(lines: list[str]) -> bool:
     return all(line.strip() and not line.rstrip().endswith((".", "!", "?", ":")) for line in lines)
 
 
+def _around(lines: list[str], numbers: range, reach: int) -> list[tuple[int, list[str]]]:
+    """Number and words of the lines in this order, ``reach`` words in all: those nearest to where it begins."""
+    out, left = [], reach
+    for n in numbers:
+        if left <= 0:
+            break
+        own = words(lines[n])
+        out.append((n, own[:left] if numbers.step > 0 else own[-left:]))
+        left -= len(own)
+    return out
+
+
 class Templates:
     """Compressors and words of the templates."""
 
@@ -105,6 +130,7 @@ class Templates:
         raw = [zstandard.ZstdCompressionDict(t.encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT) for _, t in templates]
         self.with_template = [zstandard.ZstdCompressor(level=LEVEL, dict_data=d, write_content_size=False) for d in raw]
         self.known: dict[str, dict] = {}
+        self.reach = math.ceil((1 + CHANGED) * max(map(len, self.words), default=0))
 
     def reductions(self, block: str) -> list[float]:
         raw = block.encode()
@@ -127,9 +153,46 @@ class Templates:
         own = words(block)
         fits = {k: fit(self.words[k], own) for k in ranked}
         best = min(ranked, key=lambda k: (fits[k][0] / len(self.words[k]), -gain[k], k))
-        changes, begin, end = fits[best]
-        missing, added = differences(self.words[best], own[begin:end])
-        return {"license": self.names[best], "reduction": gain[best], "missing": missing, "added": added, "n_changes": changes, "exact": changes == 0, "confirmed": changes <= CHANGED * len(self.words[best]) and not any(c.isdigit() for w in missing for c in w)}
+        return self._said(best, gain[best], own, fits[best])
+
+    def _said(self, k: int, gain: float, own: list[str], fitted: tuple[int, int, int]) -> dict:
+        changes, begin, end = fitted
+        missing, added = differences(self.words[k], own[begin:end])
+        return {"license": self.names[k], "reduction": gain, "missing": missing, "added": added, "n_changes": changes, "exact": changes == 0, "confirmed": changes <= CHANGED * len(self.words[k]) and not any(c.isdigit() for w in missing for c in w)}
+
+    def grown(self, lines: list[str], a: int, b: int) -> tuple[int, int, dict] | None:
+        """The block of lines a to b grown to a whole notice, and what is said of it; none if no template reaches out of the block."""
+        own, at = [], []  # words around the block and their lines
+        for n, line in [*_around(lines, range(a - 1, -1, -1), self.reach)[::-1], *((n, words(lines[n])) for n in range(a, b + 1)), *_around(lines, range(b + 1, len(lines)), self.reach)]:
+            own += line
+            at += [n] * len(line)
+        here, found = set(own), []
+        for k, template in enumerate(self.words):
+            if sum(w not in here for w in template) > CHANGED * len(template):  # each of them is a change
+                continue
+            changes, begin, end = fit(template, own)
+            if begin < end and changes <= CHANGED * len(template):
+                first, last = at[begin], at[end - 1]
+                if first <= b and last >= a and (first < a or last > b):
+                    said = self._said(k, 0.0, own, (changes, begin, end))
+                    if said["confirmed"]:
+                        found.append((changes / len(template), -len(template), k, min(a, first), max(b, last), said))
+        if not found:
+            return None
+        _, _, k, first, last, said = min(found, key=lambda x: x[:3])
+        return first, last, said | {"reduction": self.reductions("\n".join(lines[first : last + 1]))[k]}
+
+    def scan(self, text: str) -> list[tuple[int, int, dict]]:
+        """First and last line of each block of a text, and what is said of it."""
+        lines = text.split("\n")
+        core = [(a, b, self.look("\n".join(lines[a : b + 1]))) for a, b in blocks(text)]
+        whole: list[tuple[int, int, dict]] = []
+        for a, b, _ in core:
+            more = self.grown(lines, a, b)
+            if more and not any(x <= more[0] and more[1] <= y and said["license"] == more[2]["license"] for x, y, said in whole):
+                whole.append(more)
+        inside = lambda a, b, said: any(x <= a and b <= y and (not said["confirmed"] or said["license"] == own["license"]) for x, y, own in whole)
+        return sorted([c for c in core if not inside(*c)] + whole, key=lambda x: x[:2])
 
 
 def _sweep(template: list[str], text: list[str]) -> np.ndarray:
@@ -196,15 +259,12 @@ def scan(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES) -> DataF
         for batch in batches:
             rows = []
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                lines = None
-                for n, (a, b) in enumerate(blocks(text)):
-                    lines = lines or text.split("\n")
-                    said = loaded.look("\n".join(lines[a : b + 1]))
+                for n, (a, b, said) in enumerate(loaded.scan(text)):
                     rows.append({"doc_id": doc_id, "block": n, "first_line": a, "n_lines": b - a + 1, **said})
             if rows:
                 yield pa.RecordBatch.from_pylist(rows, schema=_FOUND)
 
-    triggered = id_and_text(docs).where(F.col("text").rlike("(?i)(" + "|".join(TRIGGERS) + ")"))
+    triggered = id_and_text(docs).where(F.col("text").rlike("(?i)(" + "|".join(t.replace(" ", _BREAK) for t in TRIGGERS) + ")"))
     return triggered.mapInArrow(run, FOUND)
 
 
