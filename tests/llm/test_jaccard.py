@@ -116,3 +116,33 @@ def test_components(spark):
     assert set(got) == linked
     assert all((got[x] == got[y]) == (find(x) == find(y)) for x in linked for y in linked)
     assert graph.components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_large_leaves_are_compared_block_by_block(spark, monkeypatch):
+    """Leaves of 3 to 90 near copies: no task holds more than two blocks, every two sets of a leaf meet, links are those of all pairs."""
+    monkeypatch.setattr(jaccard, "LEAF_BLOCK", 20)
+    rng = np.random.default_rng(7)
+    rows, groups = [], {}
+    for path, n in ((11, 3), (12, 20), (13, 21), (14, 90)):
+        base = rng.integers(0, 2**32, (3, jaccard.SAMPLED))
+        for k in range(n):
+            own = np.where(rng.random(jaccard.SAMPLED) < 0.75, base[k % 3], rng.integers(0, 2**32, jaccard.SAMPLED)).astype(np.uint32)
+            groups.setdefault(path, {})[1000 * path + k] = own
+            rows.append((path, 1000 * path + k, bytearray(own.tobytes()), n))
+    members = spark.createDataFrame(rows, "path long, node long, tokens binary, n long")
+    tasks = {}
+    for r in jaccard.blocks(members).collect():
+        tasks.setdefault(r.leaf, []).append((r.side, r.node))
+    assert max(map(len, tasks.values())) < 80, "a block is about LEAF_BLOCK sets"
+    met = {frozenset((a, b)) for own in tasks.values() for s, a in own for t, b in own if a != b and (s == 2 or s != t)}
+    assert met == {frozenset((a, b)) for own in groups.values() for a in own for b in own if a != b}
+
+    def roots(pairs):
+        root = {r[1]: r[1] for r in rows}
+        for a, b in pairs:
+            x, y = root[a], root[b]
+            root = {k: x if v == y else v for k, v in root.items()}
+        return {frozenset(k for k in root if root[k] == v) for v in root.values()}
+
+    expected = [(a, b) for own in groups.values() for a in own for b in own if a < b and (own[a] == own[b]).sum() >= jaccard.PASS]
+    assert roots((r.a, r.b) for r in jaccard.compared(members).collect()) == roots(expected)

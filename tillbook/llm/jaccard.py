@@ -12,7 +12,9 @@ at a Jaccard similarity of ``SIMILAR`` or more.
    together on average; the runs (roots) are repeated until the chance to meet
    in some leaf at full depth reaches ``RECALL``.
 3. In a leaf all pairs are compared by their sampled tokens; those that agree
-   on ``PASS`` or more put their sets in one component.
+   on ``PASS`` or more put their sets in one component.  A leaf of more than
+   ``LEAF_BLOCK`` sets (near copies that no level parts) is cut to blocks, and
+   every pair of blocks is compared in a task of its own.
 4. Components are verified: every pair of their sets is compared exactly,
    large components block by block in many tasks.  A pair lies in one
    component, so each link is counted once, and only counts and a spanning
@@ -47,6 +49,8 @@ SAMPLED = 48
 PASS = 26
 #: Sets that are compared pair by pair: about as much work as sending each to its children.
 SMALL = 1024
+#: Sets of one leaf that are compared in one task, or that meet as many others there.
+LEAF_BLOCK = 4096
 DEPTH = 4
 BRANCH = 1.875
 RECALL = 0.9999
@@ -132,7 +136,7 @@ def _token_rows(column: pa.Array) -> np.ndarray:
 
 
 def leaves(nodes: DataFrame, runs: int) -> DataFrame:
-    """``path, node`` of every leaf of two sets or more; ``nodes``: node, tokens (distinct, not empty)."""
+    """``path, node, n`` (its sets) of every leaf of two sets or more; ``nodes``: node, tokens (distinct, not empty)."""
 
     def start(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         roots = mix(np.arange(1, runs + 1, dtype=np.uint64) << np.uint64(20))
@@ -154,7 +158,8 @@ def leaves(nodes: DataFrame, runs: int) -> DataFrame:
     for depth in range(1, DEPTH + 1):
         sizes = level.groupBy("path").agg(F.count("*").alias("n")).where("n > 1")
         level = pin(level.join(sizes, "path"), f"paths-{depth}")
-        done = level.select("path", "node") if depth == DEPTH else level.where(F.col("n") <= SMALL).select("path", "node")
+        done = level if depth == DEPTH else level.where(F.col("n") <= SMALL)
+        done = done.select("path", "node", "n")
         found = done if found is None else found.unionByName(done)
         if depth == DEPTH:
             break
@@ -165,17 +170,30 @@ def leaves(nodes: DataFrame, runs: int) -> DataFrame:
     return found
 
 
+def blocks(members: DataFrame) -> DataFrame:
+    """``leaf, side, node, tokens``: what is compared in one task; ``members``: path, node, tokens, n.
+
+    A leaf of up to ``LEAF_BLOCK`` sets is one; of a larger one, every block and every two blocks.
+    Sides 0 and 1 are compared with each other, side 2 also within itself."""
+    n = F.ceil(F.col("n") / LEAF_BLOCK)
+    dealt = members.where(F.col("n") > LEAF_BLOCK).withColumn("own", F.pmod(F.xxhash64("node", "path"), n))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), n - 1)))
+    side = "CASE WHEN own = other THEN 2 WHEN own < other THEN 0 ELSE 1 END AS side"
+    dealt = dealt.selectExpr("xxhash64(path, least(own, other), greatest(own, other)) AS leaf", side, "node", "tokens")
+    return members.where(F.col("n") <= LEAF_BLOCK).selectExpr("path AS leaf", "2 AS side", "node", "tokens").unionByName(dealt)
+
+
 def compared(members: DataFrame) -> DataFrame:
-    """Links (a, b) between the sets of each leaf that agree on ``PASS`` sampled tokens, a spanning forest; ``members``: path, node, tokens."""
+    """Links (a, b) between the sets of each leaf that agree on ``PASS`` sampled tokens, a spanning forest of each block or two; ``members``: path, node, tokens, n."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         carried: list[pa.RecordBatch] = []
         for batch in batches:
             if not batch.num_rows:
                 continue
-            paths = batch.column("path").to_numpy()
+            paths = batch.column("leaf").to_numpy()
             cut = int(np.searchsorted(paths, paths[-1]))  # the last leaf may go on in the next batch
-            if cut or (carried and carried[0].column("path")[0].as_py() != paths[0]):
+            if cut or (carried and carried[0].column("leaf")[0].as_py() != paths[0]):
                 yield pairs([*carried, batch.slice(0, cut)])
                 carried = []
             carried.append(batch.slice(cut))
@@ -184,7 +202,7 @@ def compared(members: DataFrame) -> DataFrame:
 
     def pairs(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
         table = pa.Table.from_batches(parts)
-        paths, names = table.column("path").to_numpy(), table.column("node").to_numpy()
+        paths, names, side = (table.column(c).to_numpy() for c in ("leaf", "node", "side"))
         tokens = _token_rows(table.column("tokens"))
         labels = np.arange(len(paths))
         active, d = np.arange(len(paths)), 0
@@ -192,15 +210,16 @@ def compared(members: DataFrame) -> DataFrame:
             d += 1
             active = active[active + d < len(paths)]
             active = active[paths[active + d] == paths[active]]
-            for at in range(0, len(active), 1 << 16):
-                some = active[at : at + (1 << 16)]
+            meet = active[(side[active] == 2) | (side[active] != side[active + d])]
+            for at in range(0, len(meet), 1 << 16):
+                some = meet[at : at + (1 << 16)]
                 near = some[(tokens[some] == tokens[some + d]).sum(1) >= PASS]
                 merge(labels, near, near + d)
         labels = labels[labels]
         linked = np.flatnonzero(labels != np.arange(len(labels)))
         return pa.RecordBatch.from_arrays([pa.array(names[labels[linked]]), pa.array(names[linked])], names=["a", "b"])
 
-    return members.repartition("path").sortWithinPartitions("path", "node").mapInArrow(run, "a long, b long")
+    return blocks(members).repartition("leaf").sortWithinPartitions("leaf", "side", "node").mapInArrow(run, "a long, b long")
 
 
 # ---------------------------------------------------------------- exact comparison
@@ -305,7 +324,7 @@ def join(docs: DataFrame) -> DataFrame:
     filled = nodes.where("size > 0")
 
     met = leaves(filled, runs_needed())
-    near = components(compared(met.join(filled.select("node", "tokens"), "node").select("path", "node", "tokens")))
+    near = components(compared(met.join(filled.select("node", "tokens"), "node").select("path", "node", "tokens", "n")))
 
     sizes = near.groupBy("root").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
     asked = near.join(sizes, "root").join(nodes.select("node", "docs", "place.*"), "node").select("node", "root", "blocks", "docs", "doc", "tie", "shard")
