@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tillbook.llm.byte_bpe import op1_byte_bpe
 from tillbook.llm.class_lm import op6_class_lm
+from tillbook.llm.infill import op13_infill
 from tillbook.llm.jaccard import op7_jaccard_join
 from tillbook.llm.licenses import op9_licenses
 from tillbook.llm.lines import op8_line_dedup
@@ -16,12 +17,14 @@ from tillbook.llm.quality import op2_quality
 from tillbook.llm.repeats import op10_repeats
 from tillbook.llm.templates import op4_templates
 from tillbook.llm.token_planes import op5_token_planes
+from tillbook.llm.toxicity import op11_toxicity
+
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def registered() -> dict[str, Query]:
-    found = [op1_byte_bpe, op5_token_planes, op6_class_lm, op10_repeats, op4_templates, op2_quality, op8_line_dedup, op7_jaccard_join, op3_multiprobe, op9_licenses]
+    found = [op1_byte_bpe, op5_token_planes, op6_class_lm, op10_repeats, op4_templates, op2_quality, op8_line_dedup, op7_jaccard_join, op3_multiprobe, op9_licenses, op11_toxicity, op13_infill]
     return {f.__name__: f for f in found}
 
 
