@@ -142,22 +142,23 @@ def _nth(sizes: np.ndarray) -> np.ndarray:
 
 
 class _Means:
-    """Averages of rows over ranges, and the way back for gradients."""
+    """Averages of a column over ranges of its rows, and the way back for gradients."""
 
     def __init__(self, starts: np.ndarray, ends: np.ndarray, sizes: np.ndarray | None = None):
         self.starts, self.ends = starts, ends
-        self.sizes = np.maximum(ends - starts if sizes is None else sizes, 1)[:, None]
+        self.sizes = np.maximum(ends - starts if sizes is None else sizes, 1)
 
-    def __call__(self, rows: np.ndarray) -> np.ndarray:
-        sums = np.zeros((len(rows) + 1, rows.shape[1]))
-        np.cumsum(rows, axis=0, out=sums[1:])
+    def __call__(self, column: np.ndarray) -> np.ndarray:
+        sums = np.zeros(len(column) + 1)
+        np.cumsum(column, out=sums[1:])
         return (sums[self.ends] - sums[self.starts]) / self.sizes
 
     def back(self, grads: np.ndarray, n: int) -> np.ndarray:
         """What each of ``n`` rows gets of the gradients of the ranges it lies in."""
         share = grads / self.sizes
-        steps = np.stack([np.bincount(self.starts, share[:, d], n + 1) - np.bincount(self.ends, share[:, d], n + 1) for d in range(share.shape[1])], 1)
-        return np.cumsum(steps, axis=0)[:-1]
+        steps = np.bincount(self.starts, share, n + 1)
+        steps -= np.bincount(self.ends, share, n + 1)
+        return np.cumsum(steps, out=steps)[:-1]
 
 
 def fit(column: pa.Array, labels: np.ndarray, epochs: int = EPOCHS) -> Model:
@@ -170,7 +171,7 @@ def fit(column: pa.Array, labels: np.ndarray, epochs: int = EPOCHS) -> Model:
     spelled = block_hashes(bags.bytes, np.array([0, len(bags.bytes)]), mix(np.arange(1, 257, dtype=np.uint64)), bags.starts, bags.ends)
     _, one, word = np.unique(spelled, return_index=True, return_inverse=True)
     length = bags.sizes()[one]
-    fill, flat = np.cumsum(length) - length, np.empty(length.sum(), np.int64)
+    fill, flat = np.cumsum(length) - length, np.empty(length.sum(), np.int32)
     for rows, a, b in bags.grams():
         a, n = a[one], (b - a)[one]
         nth = _nth(n)
@@ -180,14 +181,18 @@ def fit(column: pa.Array, labels: np.ndarray, epochs: int = EPOCHS) -> Model:
     text_of = np.searchsorted(bags.first[1:], np.arange(len(word)), side="right")
     pairs = np.unique(text_of * len(one) + word)
     begin, holders = np.cumsum(length) - length, np.zeros((2, BUCKETS))
-    for part in np.array_split(pairs, max(1, len(pairs) // 100_000)):
+    for part in np.array_split(pairs, max(1, len(pairs) // 20_000)):
         n = length[part % len(one)]
         held = np.unique(np.repeat(part // len(one), n) * BUCKETS + flat[np.repeat(begin[part % len(one)], n) + _nth(n)])
         for y in (0, 1):
             holders[y] += np.bincount(held[labels[held // BUCKETS] == y] % BUCKETS, minlength=BUCKETS)
     kept = holders.sum(0)[flat] >= LEAST_TEXTS
     owner = np.repeat(np.arange(len(one)), length)[kept]
-    used, flat = np.unique(flat[kept], return_inverse=True)
+    flat = flat[kept]
+    there = np.zeros(BUCKETS, bool)
+    there[flat] = True
+    used = np.flatnonzero(there)
+    flat = (np.cumsum(there, dtype=np.int32) - np.int32(1))[flat]
     length_kept = np.bincount(owner, minlength=len(one))
     of_word = _Means(np.cumsum(length_kept) - length_kept, np.cumsum(length_kept), length)
     of_window = _Means(*bags.windows)
@@ -204,19 +209,17 @@ def fit(column: pa.Array, labels: np.ndarray, epochs: int = EPOCHS) -> Model:
     parameters = [table, softmax, bias]
     moments = [(np.zeros_like(p), np.zeros_like(p)) for p in parameters]
     for step in range(1, epochs + 1):
-        words = of_word(table[flat])
-        windows = of_window(words[word])
-        logits = windows @ softmax + bias
-        difference = logits[:, 1] - logits[:, 0]
+        windows = [of_window(of_word(table[flat, d])[word]) for d in range(DIMENSIONS)]  # one dimension at a time: less memory
+        difference = sum(w * (r[1] - r[0]) for w, r in zip(windows, softmax, strict=True)) + (bias[1] - bias[0])
         odds = np.logaddexp.reduceat(difference, bags.text_starts)
         wrong = (1 / (1 + np.exp(-np.clip(odds, -40, 40))) - labels) * weight
-        pull = np.exp(difference - odds[bags.window_of]) * wrong[bags.window_of]
-        down = np.stack([-pull, pull], 1)
-        by_word = of_window.back(down @ softmax.T, len(word))
-        by_distinct = np.stack([np.bincount(word, by_word[:, d], len(one)) for d in range(DIMENSIONS)], 1)
-        by_flat = of_word.back(by_distinct, len(flat))
-        by_row = np.stack([np.bincount(flat, by_flat[:, d], len(used)) for d in range(DIMENSIONS)], 1)
-        gradients = [by_row + DECAY * table, windows.T @ down + DECAY * softmax, down.sum(0)]
+        pull = np.exp(difference - odds[bags.window_of]) * wrong[bags.window_of]  # on a window's logit of label 1; the other gets its opposite
+        by_row = np.empty_like(table)
+        for d in range(DIMENSIONS):
+            by_word = of_window.back(pull * (softmax[d, 1] - softmax[d, 0]), len(word))
+            by_row[:, d] = np.bincount(flat, of_word.back(np.bincount(word, by_word, len(one)), len(flat)), len(used))
+        by_logit = np.array([[-(w @ pull), w @ pull] for w in windows])
+        gradients = [by_row + DECAY * table, by_logit + DECAY * softmax, np.array([-pull.sum(), pull.sum()])]
         for p, g, (m, v) in zip(parameters, gradients, moments, strict=True):
             m += 0.1 * (g - m)
             v += 0.001 * (g * g - v)
