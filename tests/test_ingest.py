@@ -136,3 +136,16 @@ def test_stream_reads_only_the_partitions_of_its_dates(spark):
     stream_append(spark, landing, raw_dir, f"{root}/ckpt", tables=("raw_shipments",))
     rows = daily.day_rows(read_landed(spark, raw_dir, "raw_shipments"), p.as_of_text).drop(BATCH_DATE)
     assert sorted(map(tuple, rows.collect()), key=str) == sorted(map(tuple, batch.select(rows.columns).collect()), key=str)
+
+
+def test_a_key_that_repeats_in_a_micro_batch(spark):
+    """One row of it lands, by a stated rule and not by which task came first."""
+    p = Project.from_dir(spark, SF_SMALL)
+    root = run_folder(spark, "test-stream-ties")
+    raw_dir, landing = f"{root}/raw", f"{root}/landing"
+    _land(spark, p, raw_dir, tables=("raw_payments",))
+    one = daily.daily_batches(p.sources, p.as_of_text)["raw_payments"].limit(1).withColumn(BATCH_DATE, daily.batch_day(p.as_of_text))
+    for order_id in (9, 3, 7):
+        one.withColumn("order_id", F.lit(order_id).cast("long")).write.mode("append").parquet(f"{landing}/raw_payments")
+    stream_append(spark, landing, raw_dir, f"{root}/ckpt", tables=("raw_payments",))
+    assert [r.order_id for r in daily.day_rows(read_landed(spark, raw_dir, "raw_payments"), p.as_of_text).collect()] == [3]

@@ -36,6 +36,7 @@ def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="tillbook")
     parser.add_argument("command", choices=["seed", "append", "build", "check", "daily"])
     parser.add_argument("--seed-dir", help="seed CSVs, one folder or file per raw table")
+    parser.add_argument("--quarantine-dir", help="folder for malformed seed lines (default: one fails the load)")
     parser.add_argument("--source-dir", required=True, help="folder with the source parquet tables")
     parser.add_argument("--raw-dir", help="landed raw tables (default: derive them from the sources)")
     parser.add_argument("--out", help="output folder for a build")
@@ -50,7 +51,7 @@ def main(argv: list[str] | None = None) -> None:
             parser.error("seed needs --raw-dir")
         for table in RAW_SCHEMAS:
             if args.seed_dir:
-                load_seed(spark, f"{args.seed_dir.rstrip('/')}/{table}", table, args.raw_dir)
+                load_seed(spark, f"{args.seed_dir.rstrip('/')}/{table}", table, args.raw_dir, args.quarantine_dir)
             else:
                 land(project.table(table), args.raw_dir, table, mode="overwrite")
         print(json.dumps({"raw_dir": args.raw_dir, "tables": list(RAW_SCHEMAS)}))

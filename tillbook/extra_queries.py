@@ -12,6 +12,7 @@ from tillbook.plans.graph import Project
 from tillbook.session import run_folder
 from tillbook.sources.seeds import load_seed, write_seed_csv
 from tillbook.sources.tables import BATCH_DATE, land, read_landed
+from tillbook.sources.versions import publish, read_current
 from tillbook.streaming import daily
 from tillbook.streaming.stream import stream_append
 
@@ -49,7 +50,10 @@ def dq(tests: tuple[str, ...]):
 def sample_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = _project(spark, sf_dir)
     return daily.sample_rows(
-        p.sources["orders"].select("o_orderkey", "o_custkey"), "o_orderkey", daily.BATCH_ROWS["raw_payments"]
+        p.sources["orders"].select("o_orderkey", "o_custkey"),
+        "o_orderkey",
+        daily.BATCH_ROWS["raw_payments"],
+        daily.sample_seed("raw_payments", p.as_of_text),
     )
 
 
@@ -112,6 +116,14 @@ def stream_append_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _appended(spark, raw_dir, p.as_of_text)
 
 
+def rebuilt_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A report written as a table, rebuilt over itself, and read as a reader would."""
+    folder = run_folder(spark, "rebuild") + "/rpt_daily_revenue"
+    for _ in range(2):
+        publish(_project(spark, sf_dir).table("rpt_daily_revenue"), folder)
+    return read_current(spark, folder)
+
+
 def seed_load(table: str):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         """A raw table written as seed CSV, loaded from it, and read as landed."""
@@ -151,6 +163,7 @@ def registered() -> dict:
         "latest_shipments": latest("raw_shipments"),
         "latest_clicks": latest("raw_marketing_clicks"),
         "stream_append": stream_append_query,
+        "rebuilt_table": rebuilt_table,
         "seed_payments": seed_load("raw_payments"),
         "seed_shipments": seed_load("raw_shipments"),
         "seed_campaigns": seed_load("raw_marketing_campaigns"),

@@ -8,15 +8,16 @@ from tillbook.oracle import AS_OF, BATCH_DAY, CTES, HOURS, cte, model_sql, with_
 from tillbook.sources.schemas import RAW_SCHEMAS
 
 # ------------------------------------------------------------- daily batch
-cte("sampled_orders", [], """
-SELECT o_orderkey, o_custkey,
-       row_number() OVER (ORDER BY (o_orderkey * 7919 + 17) % 1000003, o_orderkey) AS rn
-FROM orders WHERE o_orderkey IS NOT NULL""")
+def _sampled(name: str, table: str, key: str, columns: str, raw: str) -> None:
+    """The rows of a table in the order of the day's draw for a raw table."""
+    cte(name, [], f"""
+SELECT {columns}, row_number() OVER (ORDER BY md5('{DEFAULT_AS_OF[:10]}:{raw}:' || {key}), {key}) AS rn
+FROM {table} WHERE {key} IS NOT NULL""")
 
-cte("sampled_customers", [], """
-SELECT c_custkey,
-       row_number() OVER (ORDER BY (c_custkey * 7919 + 17) % 1000003, c_custkey) AS rn
-FROM customer WHERE c_custkey IS NOT NULL""")
+
+_sampled("sampled_orders", "orders", "o_orderkey", "o_orderkey, o_custkey", "raw_payments")
+_sampled("sampled_shipped", "orders", "o_orderkey", "o_orderkey", "raw_shipments")
+_sampled("sampled_customers", "customer", "c_custkey", "c_custkey", "raw_marketing_clicks")
 
 cte("batch_payments", ["sampled_orders"], f"""
 SELECT 'PMT_{BATCH_DAY}_' || printf('%04d', rn) AS payment_id, o_orderkey AS order_id, o_custkey AS customer_id,
@@ -29,7 +30,7 @@ SELECT 'PMT_{BATCH_DAY}_' || printf('%04d', rn) AS payment_id, o_orderkey AS ord
        {AS_OF} - {HOURS('rn % 37')} AS paid_at
 FROM sampled_orders WHERE rn <= 100""")
 
-cte("batch_shipments", ["sampled_orders"], f"""
+cte("batch_shipments", ["sampled_shipped"], f"""
 SELECT 'SHIP_{BATCH_DAY}_' || printf('%04d', rn) AS shipment_id, o_orderkey AS order_id,
        CASE rn % 4 WHEN 0 THEN 'UPS' WHEN 1 THEN 'FedEx' WHEN 2 THEN 'USPS' ELSE 'DHL' END AS carrier,
        CAST(100000000 + (o_orderkey * 104729) % 899999999 AS VARCHAR) AS tracking_number,
@@ -37,7 +38,7 @@ SELECT 'SHIP_{BATCH_DAY}_' || printf('%04d', rn) AS shipment_id, o_orderkey AS o
             WHEN (rn * 53) % 100 < 25 THEN 'delayed' ELSE 'delivered' END AS status,
        {AS_OF} - to_days(CAST(1 + rn % 7 AS INTEGER)) AS shipped_at,
        CASE WHEN (rn * 37) % 100 < 75 THEN {AS_OF} + to_days(CAST(2 + rn % 7 AS INTEGER)) END AS delivered_at
-FROM sampled_orders WHERE rn <= 75""")
+FROM sampled_shipped WHERE rn <= 75""")
 
 cte("batch_clicks", ["sampled_customers"], f"""
 SELECT 'CLICK_{BATCH_DAY}_' || printf('%05d', rn) AS click_id,
@@ -155,6 +156,8 @@ def queries() -> dict[str, str]:
         # the physical append (and its streaming form) must land exactly the guarded rows once
         "append_batch": _appended_sql(),
         "stream_append": _appended_sql(),
+        # a table is the same after a rebuild over itself
+        "rebuilt_table": model_sql("rpt_daily_revenue"),
         # a raw table is the same after a round through seed CSV
         "seed_payments": model_sql("raw_payments"),
         "seed_shipments": model_sql("raw_shipments"),

@@ -3,6 +3,9 @@
 * The two reused intermediates are written once to the shared storage root
   and read back (reliable, lineage-cutting; a lost executor never forces a
   recompute from the raw scans).
+* Every table is a folder of versions (``sources/versions.py``): a rebuild
+  into the same ``out_dir`` shows readers the old table until the new one is
+  whole; ``RunResult.tables`` names the versions of this run.
 * Core marts are written as tables, and the reports read those tables, as in
   the warehouse layout.  Facts are partitioned by year so date-range reads
   prune directories.
@@ -16,10 +19,9 @@ import time
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
-
 from tillbook.plans.graph import CORE, REPORTS, Project
 from tillbook.session import run_folder
+from tillbook.sources.versions import prune, publish
 
 PARTITION_COLUMNS = {"fct_orders": ["order_year"], "fct_revenue": ["paid_year"]}
 
@@ -31,14 +33,6 @@ class RunResult:
     seconds: dict[str, float] = field(default_factory=dict)
 
 
-def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
-    if partition_by:
-        # each year's rows meet in as many tasks as their size needs, so a year is a few files, not one per task
-        df.hint("rebalance", *partition_by).write.mode("overwrite").partitionBy(*partition_by).parquet(path)
-    else:
-        df.write.mode("overwrite").parquet(path)
-
-
 def build_all(
     project: Project, out_dir: str | None = None, with_checks: bool = True, parallel_models: int = 4
 ) -> RunResult:
@@ -57,9 +51,9 @@ def build_all(
         frames = {name: project.table(name) for name in names}
 
         def write(name: str) -> tuple[str, str, float]:
-            path = f"{root}/{folder}/{name}"
             start = time.perf_counter()
-            write_table(frames[name], path, PARTITION_COLUMNS.get(name))
+            path = publish(frames[name], f"{root}/{folder}/{name}", PARTITION_COLUMNS.get(name))
+            prune(spark, f"{root}/{folder}/{name}")
             return name, path, time.perf_counter() - start
 
         with ThreadPoolExecutor(max_workers=max(1, parallel_models)) as pool:
@@ -77,9 +71,9 @@ def build_all(
     if with_checks:
         from tillbook.operators.quality import run_checks
 
-        path = f"{root}/checks/dq_summary"
         start = time.perf_counter()
-        write_table(run_checks(project), path)
+        path = publish(run_checks(project), f"{root}/checks/dq_summary")
+        prune(spark, f"{root}/checks/dq_summary")
         result.seconds["dq_summary"] = time.perf_counter() - start
         result.tables["dq_summary"] = path
     return result

@@ -11,7 +11,9 @@ came with (NULL: the first load).  The guard reads that day's partition alone,
 and never judges by key text: a first-load key may look like a day's.  Batch
 rows whose key is in the partition already are dropped (the N-row batch and the
 keys of one day's batch are what is joined), so a batch that landed in part
-is completed and a whole one adds nothing.
+is completed and a whole one adds nothing.  What a run adds is one file with a
+name that follows from its first key, renamed into the partition: two runs at
+a time bring the same rows under the same name, and the later one replaces the earlier.
 """
 
 from __future__ import annotations
@@ -24,7 +26,9 @@ from pyspark.sql import functions as F
 
 from tillbook.sources.raw import CARRIERS, LANDING_PAGES, PAYMENT_METHODS, pad_sql, pick_sql
 from tillbook.session import remove, run_folder
-from tillbook.sources.tables import BATCH_DATE, land, read_landed
+from tillbook.sources.schemas import RAW_SCHEMAS
+from tillbook.sources.tables import BATCH_DATE, read_landed
+from tillbook.sources.versions import make_folder, only_file, replace_file
 
 # ---- fixed values ----------------------------------------------------------
 ID_PREFIX = {"raw_payments": "PMT_", "raw_shipments": "SHIP_", "raw_marketing_clicks": "CLICK_"}
@@ -38,16 +42,31 @@ TIME_COLUMNS = {"raw_payments": "paid_at", "raw_shipments": "shipped_at", "raw_m
 BATCH_TABLES = tuple(KEYS)
 
 
-def sample_order(key: Column) -> Column:
-    """Deterministic pseudo-random order of keys."""
-    return (key * 7919 + 17) % 1000003
+SAMPLE_HASH = "sample_hash"
 
 
-def sample_rows(df: DataFrame, key: str, n: int) -> DataFrame:
-    """Exactly ``n`` rows (or all, if fewer) numbered 1..n in sample order."""
-    order = [sample_order(F.col(key)), F.col(key)]
-    top = df.where(F.col(key).isNotNull()).orderBy(*order).limit(n)
-    return top.withColumn("rn", F.row_number().over(Window.orderBy(*order)))
+def bottom_k(df: DataFrame, key: str, n: int, seed: str) -> DataFrame:
+    """The ``n`` rows (all, if fewer) with the smallest ``sample_hash`` of seed and key; ties by key.
+
+    Rows without a key are not drawn.  Whether a row is drawn does not depend on how the table is parted."""
+    hashed = df.where(F.col(key).isNotNull()).withColumn(SAMPLE_HASH, F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")).cast("binary")))
+    return hashed.orderBy(SAMPLE_HASH, key).limit(n)
+
+
+def merge_samples(samples: list[DataFrame], key: str, n: int) -> DataFrame:
+    """The ``bottom_k`` of several tables together, from each one's own (of at least ``n`` rows, with one seed)."""
+    return reduce(DataFrame.unionByName, samples).orderBy(SAMPLE_HASH, key).limit(n)
+
+
+def sample_rows(df: DataFrame, key: str, n: int, seed: str) -> DataFrame:
+    """``n`` rows (or all, if fewer), numbered 1..n in sample order (``rn``)."""
+    order = Window.orderBy(SAMPLE_HASH, key)  # n rows
+    return bottom_k(df, key, n, seed).withColumn("rn", F.row_number().over(order)).drop(SAMPLE_HASH)
+
+
+def sample_seed(table: str, as_of_text: str) -> str:
+    """One draw for each table and day."""
+    return f"{as_of_text[:10]}:{table}"
 
 
 def batch_prefix(table: str, as_of_text: str) -> str:
@@ -59,7 +78,7 @@ def _as_of_sql(as_of_text: str) -> str:
 
 
 def batch_payments(orders: DataFrame, as_of_text: str) -> DataFrame:
-    s = sample_rows(orders.select("o_orderkey", "o_custkey"), "o_orderkey", BATCH_ROWS["raw_payments"])
+    s = sample_rows(orders.select("o_orderkey", "o_custkey"), "o_orderkey", BATCH_ROWS["raw_payments"], sample_seed("raw_payments", as_of_text))
     now, roll = _as_of_sql(as_of_text), "(rn * 53) % 100"
     return s.selectExpr(
         f"concat('{batch_prefix('raw_payments', as_of_text)}', {pad_sql('rn', 4)}) AS payment_id",
@@ -74,7 +93,7 @@ def batch_payments(orders: DataFrame, as_of_text: str) -> DataFrame:
 
 
 def batch_shipments(orders: DataFrame, as_of_text: str) -> DataFrame:
-    s = sample_rows(orders.select("o_orderkey"), "o_orderkey", BATCH_ROWS["raw_shipments"])
+    s = sample_rows(orders.select("o_orderkey"), "o_orderkey", BATCH_ROWS["raw_shipments"], sample_seed("raw_shipments", as_of_text))
     now, roll = _as_of_sql(as_of_text), "(rn * 53) % 100"
     return s.selectExpr(
         f"concat('{batch_prefix('raw_shipments', as_of_text)}', {pad_sql('rn', 4)}) AS shipment_id",
@@ -90,7 +109,7 @@ def batch_shipments(orders: DataFrame, as_of_text: str) -> DataFrame:
 
 
 def batch_clicks(customers: DataFrame, as_of_text: str) -> DataFrame:
-    s = sample_rows(customers.select("c_custkey"), "c_custkey", BATCH_ROWS["raw_marketing_clicks"])
+    s = sample_rows(customers.select("c_custkey"), "c_custkey", BATCH_ROWS["raw_marketing_clicks"], sample_seed("raw_marketing_clicks", as_of_text))
     now = _as_of_sql(as_of_text)
     return s.selectExpr(
         f"concat('{batch_prefix('raw_marketing_clicks', as_of_text)}', {pad_sql('rn', 5)}) AS click_id",
@@ -167,6 +186,28 @@ class AppendReport:
     skipped_existing: bool
 
 
+def stage_batch(spark: SparkSession, raw_dir: str, table: str, batch: DataFrame, as_of_text: str) -> tuple[str, int]:
+    """Writes the rows that an append would add (at most N) as one file of a fresh folder: the folder and their number."""
+    rows = guarded_batch(table, batch, read_landed(spark, raw_dir, table), as_of_text).drop(BATCH_DATE)
+    path = run_folder(spark, f"append-{table}")
+    rows.select(*RAW_SCHEMAS[table].names).orderBy(KEYS[table]).coalesce(1).write.parquet(path)
+    return path, spark.read.parquet(path).count()
+
+
+def land_staged(spark: SparkSession, raw_dir: str, table: str, staged: tuple[str, int], as_of_text: str) -> None:
+    """Moves staged rows into the day's partition with one rename.
+
+    The file's name follows from the first key in it: runs that saw the same table bring the
+    same rows under the same name, and one replaces the other."""
+    path, n = staged
+    if n:
+        first = spark.read.parquet(path).agg(F.min(KEYS[table])).first()[0]
+        folder = f"{raw_dir.rstrip('/')}/{table}/{BATCH_DATE}={as_of_text[:10]}"
+        make_folder(spark, folder)
+        replace_file(spark, only_file(spark, path), f"{folder}/batch-{first}.parquet")
+    remove(spark, path)
+
+
 def append_daily_batch(
     spark: SparkSession,
     raw_dir: str,
@@ -174,22 +215,14 @@ def append_daily_batch(
     as_of_text: str,
     tables: tuple[str, ...] = BATCH_TABLES,
 ) -> list[AppendReport]:
-    """Append what is missing of today's batch to each landed raw table; safe to re-run.
+    """Append what is missing of today's batch to each landed raw table; safe to re-run, and to run twice at a time.
 
     A run that crashed between tables, or within one, is completed by the next."""
     reports = []
     for table in tables:
-        rows = guarded_batch(table, batches[table], read_landed(spark, raw_dir, table), as_of_text)
-        # pin the (at most N) new rows first: the count and the append then read
-        # the same files, and the append never reads the table it writes
-        path = run_folder(spark, f"append-{table}")
-        rows.write.parquet(path)
-        rows = spark.read.parquet(path)
-        n = rows.count()
-        if n:
-            land(rows.coalesce(1), raw_dir, table)
-        remove(spark, path)
-        reports.append(AppendReport(table, n, n == 0))
+        staged = stage_batch(spark, raw_dir, table, batches[table], as_of_text)
+        land_staged(spark, raw_dir, table, staged, as_of_text)
+        reports.append(AppendReport(table, staged[1], staged[1] == 0))
     return reports
 
 

@@ -29,7 +29,10 @@ def _apply_micro_batch(spark: SparkSession, table: str, raw_dir: str):
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         path = run_folder(spark, f"micro-batch-{table}-{batch_id}")
-        batch.dropDuplicates([key]).write.parquet(f"{path}/batch")
+        # of the rows with one key, the one whose other columns come first: a replay keeps the same
+        others = [c for c in batch.columns if c != key]
+        one = batch.groupBy(key).agg(F.min(F.struct(*others)).alias("row")).select(key, "row.*").select(*batch.columns)
+        one.write.parquet(f"{path}/batch")
         rows = spark.read.parquet(f"{path}/batch")
         days = [r[0] for r in rows.select(BATCH_DATE).distinct().collect()]  # a few days' batches at most
         target = read_landed(spark, raw_dir, table)
