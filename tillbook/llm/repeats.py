@@ -125,88 +125,115 @@ class _RangeMin:
         return out
 
 
-def build(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Transform (ranks of bytes from 1 on, 0 for an end) and common prefixes (uint8) of strings of at most 254 bytes.
+_PLACE = np.int64((1 << 32) - 1)
+
+
+def construct(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Transform (ranks of symbols from 1 on, 0 for an end), common prefixes (uint8) and LF order of strings of at most 254 symbols.
 
     Round j inserts, for every string that has so many symbols, its suffix of
-    j symbols; ends sort before all bytes and by string."""
+    j symbols; ends sort before all symbols and by string.  ``keys`` has symbol and place of
+    each row, ascending: what LF mapping counts in.  Insertion keeps the
+    order of the rows that are there, so a round merges its few new keys."""
     count = len(offsets) - 1
-    used = np.flatnonzero(np.bincount(data, minlength=256))
-    code = np.zeros(256, np.uint8 if len(used) < 256 else np.uint16)  # one byte a symbol, unless all 256 occur
-    code[used] = np.arange(1, len(used) + 1)
-    data = code[data]
+    data = np.unique(data, return_inverse=True)[1].astype(np.uint32) + np.uint32(1)
     left = np.diff(offsets)  # symbols not inserted yet
-    bwt, lcp = np.zeros(count, code.dtype), np.zeros(count, np.uint8)
+    bwt, lcp = np.zeros(count, np.uint32), np.zeros(count, np.uint8)
     alive = np.flatnonzero(left > 0)
     bwt[alive] = data[offsets[1:][alive] - 1]
     place, symbol = alive.copy(), bwt[alive]
+    keys = np.sort(bwt.astype(np.int64) << 32 | np.arange(count))
     while len(alive):
         n = len(bwt)
-        order = np.argsort(bwt, kind="stable")  # by symbol, then by place: what LF mapping does
-        begin = np.concatenate([[0], np.cumsum(np.bincount(bwt, minlength=len(used) + 1))])  # of each symbol in the order
-        rank = np.empty(len(alive), np.int64)
-        by_symbol = np.argsort(symbol, kind="stable")
-        cuts = np.searchsorted(symbol[by_symbol], np.arange(len(used) + 2))
-        for c in np.flatnonzero(np.diff(cuts)):
-            own = by_symbol[cuts[c] : cuts[c + 1]]
-            rank[own] = begin[c] + np.searchsorted(order[begin[c] : begin[c + 1]], place[own])
-        ends = begin[1]  # rows whose symbol is an end have no suffix before them
-        ascending = np.argsort(rank)
-        alive, rank, symbol = alive[ascending], rank[ascending], symbol[ascending]
+        own = symbol.astype(np.int64) << 32 | place
+        ascending = np.argsort(own)
+        alive, symbol = alive[ascending], symbol[ascending]
+        rank = np.searchsorted(keys, own[ascending])
+        ends = int(np.searchsorted(keys, 1 << 32))  # rows whose symbol is an end have no suffix before them
         least = _RangeMin(lcp)
 
-        def prefix(k: np.ndarray, c: np.ndarray, order=order, begin=begin, least=least) -> np.ndarray:
-            """Common prefix of the rows of ranks k - 1 and k, the latter with symbol c."""
+        def prefix(k: np.ndarray, keys=keys, least=least) -> np.ndarray:
+            """Common prefix of the suffixes that the rows of ranks k - 1 and k lead to."""
             out = np.zeros(len(k), np.uint8)
-            same = k > begin[c]
-            k = k[same]
-            out[same] = least(order[k - 1] + 1, order[k]) + 1
+            before, here = keys[np.maximum(k - 1, 0)], keys[k]
+            same = (k > 0) & (before >> 32 == here >> 32)
+            out[same] = least((before[same] & _PLACE) + 1, here[same] & _PLACE) + 1
             return out
 
         left[alive] -= 1
         more = left[alive] > 0
-        new_symbol = np.zeros(len(alive), code.dtype)
+        new_symbol = np.zeros(len(alive), np.uint32)
         new_symbol[more] = data[offsets[alive[more]] + left[alive[more]] - 1]
         target = count + rank - ends
         old = np.ones(n + len(alive), bool)
         old[target] = False
-        grown = np.empty(n + len(alive), code.dtype)
+        grown = np.empty(n + len(alive), np.uint32)
         common = np.empty(n + len(alive), np.uint8)
         grown[old], common[old] = bwt, lcp
-        grown[target], common[target] = new_symbol, prefix(rank, symbol)
+        grown[target], common[target] = new_symbol, prefix(rank)
         after = rank + 1  # whose predecessor may be new
         after = after[after < n]
-        common[count + after - ends] = prefix(after, bwt[order[after]])
+        common[count + after - ends] = prefix(after)
+        # the old keys with their new places, the new ones between them
+        moved = keys & ~_PLACE | np.flatnonzero(old)[keys & _PLACE]
+        fresh = np.sort(new_symbol.astype(np.int64) << 32 | target)
+        at = np.searchsorted(moved, fresh) + np.arange(len(fresh))
+        kept = np.ones(n + len(fresh), bool)
+        kept[at] = False
+        keys = np.empty(n + len(fresh), np.int64)
+        keys[kept], keys[at] = moved, fresh
         bwt, lcp = grown, common
         alive, place, symbol = alive[more], target[more], new_symbol[more]
-    return bwt, lcp
+    return bwt, lcp, keys & _PLACE
+
+
+def build(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Transform and common prefixes of strings of bytes."""
+    return construct(data, offsets)[:2]
+
+
+def symbol_bytes(length: int) -> int:
+    """Bytes that one symbol of the construction holds: windows are a whole number of symbols."""
+    return next(n for n in (7, 6, 5, 4, 3, 2, 1) if length % n == 0)
 
 
 def first_seen(data: np.ndarray, offsets: np.ndarray, docs: np.ndarray, length: int = LENGTH) -> np.ndarray:
-    """For each string (rows) and start (columns, RUN at most) the smallest document with an equal window; NO_DOC where the string is over."""
-    count = len(offsets) - 1
-    bwt, lcp = build(data, offsets)
-    order = np.argsort(bwt, kind="stable")
+    """For each string (rows) and start (columns, RUN at most) the smallest document with an equal window; NO_DOC where the string is over.
+
+    A symbol is ``unit`` bytes, so a string is inserted ``unit`` times, from its first ``unit``
+    starts: as many symbols in all as bytes, in that many times fewer rounds.  Every window begins
+    at a symbol of one of them, and equal windows are equal symbols."""
+    unit, count = symbol_bytes(length), len(offsets) - 1
+    windows = np.diff(offsets) - length + 1
+    begins = np.repeat(np.arange(count), np.clip(windows, 0, unit))  # the string of each insertion
+    shift = np.arange(len(begins)) - np.searchsorted(begins, begins)
+    own = -(-(windows[begins] - shift) // unit)  # windows that begin at its symbols
+    sizes = own - 1 + length // unit
+    ends = np.cumsum(sizes)
+    at = np.repeat(offsets[:-1][begins] + shift, sizes) + (np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - sizes, sizes)) * unit
+    symbols = np.zeros(len(at), np.int64)
+    for k in range(unit):
+        symbols = symbols << 8 | data[at + k]
+    starts = max(1, int(windows.max(initial=0)))
+    out = np.full((count, starts), NO_DOC)
+    if not len(begins):
+        return out
+    bwt, lcp, order = construct(symbols, np.concatenate([[0], ends]))
     lf = np.empty(len(bwt), np.int64)
     lf[order] = np.arange(len(bwt))
-    shift = count - int(np.searchsorted(bwt[order], 1))
-    sizes = np.diff(offsets)
+    lf += len(begins) - np.count_nonzero(bwt == 0)
     doc_at = np.full(len(bwt), NO_DOC)
-    widest = int(sizes.max(initial=0))
-    starts = max(1, widest - length + 1)
     where = np.full((count, starts), -1, np.int64)
-    place = np.arange(count)
-    for size in range(1, widest + 1):  # the rows of the suffixes of each size, by walking back from the ends
+    place = np.arange(len(begins))
+    for size in range(1, int(sizes.max()) + 1):  # the rows of the suffixes of each size, by walking back from the ends
         going = np.flatnonzero(sizes >= size)
-        place[going] = lf[place[going]] + shift
-        if size >= length:
-            where[going, sizes[going] - size] = place[going]
-            doc_at[place[going]] = docs[going]
-    group = np.flatnonzero(lcp < length)
-    if not len(group):
-        return np.full((count, starts), NO_DOC)
+        place[going] = lf[place[going]]
+        if size * unit >= length:
+            where[begins[going], shift[going] + (sizes[going] - size) * unit] = place[going]
+            doc_at[place[going]] = docs[begins[going]]
+    group = np.flatnonzero(lcp < length // unit)
     least = np.minimum.reduceat(doc_at, group)
-    group_of = np.cumsum(lcp < length) - 1
+    group_of = np.cumsum(lcp < length // unit) - 1
     return np.where(where >= 0, least[group_of[where]], NO_DOC)
 
 
