@@ -17,12 +17,13 @@ a run of at most ``RUN`` windows.  Equal windows have equal minimisers, so
 
 1. shards tell the buckets which minimisers they hold; those of one document
    alone are done with (the answer is a bit for each);
-2. of the others the runs' hashes are sent.  A window holds half of its bytes
-   beside the minimiser left or right of it, so two kinds of run that differ
-   so far on both sides have no window in common; where a kind has no such
-   partner, the first document that has it is the whole answer;
+2. of the others the runs' hashes are sent.  A window in two kinds of run has the
+   minimiser at one place in both, so they agree on the bytes around it that all windows
+   near that place hold: four hashes, one for each quarter of the places.  Where no
+   other kind has an equal hash, the first document that has the kind is the whole answer;
 3. the bytes of the remaining kinds of run are sent, each kind once per shard,
-   and inserted column by column, which says for each window where it is first.
+   and inserted column by column (a symbol is five bytes, so each is inserted from five starts, in
+   17 rounds instead of 81), which says for each window where it is first.
 
 A minimiser with more than ``HOT_KINDS`` kinds of run (a passage that very many
 documents share in different surroundings) has its runs cut again by a second,
@@ -41,7 +42,7 @@ rows give repeated results; an empty table gives no rows.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -66,6 +67,7 @@ from tillbook.llm.common import (
     slices,
     text_arrays,
     text_bytes,
+    tidied,
 )
 
 LENGTH = 50
@@ -240,17 +242,24 @@ def first_seen(data: np.ndarray, offsets: np.ndarray, docs: np.ndarray, length:
 # ---------------------------------------------------------------- runs of a shard
 
 
-def minima(sums: np.ndarray, gram: int, length: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hash of each gram, and the smallest in each window of ``length`` bytes."""
-    n = len(sums) - 1
-    if n < length:
-        return np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+def gram_hashes(sums: np.ndarray, at: slice | np.ndarray, gram: int, seed: int) -> np.ndarray:
+    """Hashes of the ``gram`` bytes at some places."""
+    after = slice(at.start + gram, at.stop + gram) if isinstance(at, slice) else at + gram
     with np.errstate(over="ignore"):
-        h = (sums[gram:] - sums[:-gram]) * powers(_INVERSE, n + 1)[: n - gram + 1]
+        h = (sums[after] - sums[at]) * powers(_INVERSE, len(sums))[at]
         h *= np.uint64(0x9E3779B97F4A7C15 + 2 * seed)
         h ^= h >> np.uint64(29)
         h *= np.uint64(0xBF58476D1CE4E5B9)
         h ^= h >> np.uint64(32)
+    return h
+
+
+def minima(sums: np.ndarray, gram: int, length: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hash of each gram, and the smallest in each window of ``length`` bytes."""
+    n = len(sums) - 1
+    if n < length:
+        return np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+    h = gram_hashes(sums, slice(0, n - gram + 1), gram, seed)
     wide, step, least = length - gram + 1, 1, h
     while 2 * step <= wide:
         least = np.minimum(least[:-step], least[step:])
@@ -258,68 +267,115 @@ def minima(sums: np.ndarray, gram: int, length: int, seed: int) -> tuple[np.ndar
     return h, np.minimum(least[: len(least) - (wide - step)], least[wide - step :]) if step < wide else least
 
 
-def sides(sums: np.ndarray, grams: np.ndarray, least: np.ndarray, start: np.ndarray, stop: np.ndarray, length: int) -> np.ndarray:
-    """For each run, 32-bit hashes (nonzero) of its minimiser with the bytes left and right of it, 0 where a run has too few; both 1 where the minimiser occurs twice."""
-    side = (length - GRAM) // 2  # a window has so many bytes left or right of its minimiser
-    wide = np.arange(length - GRAM + 1)
-    out = np.zeros((len(start), 2), np.uint32)
+def places(grams: np.ndarray, least: np.ndarray, start: np.ndarray, stop: np.ndarray, gram: int, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each run the last place of its minimiser, and whether it has others."""
+    wide = np.arange(length - gram + 1)
+    place, twice = np.zeros(len(start), np.int64), np.zeros(len(start), bool)
     for at in range(0, len(start), 1 << 14):
         a, b = start[at : at + (1 << 14)], stop[at : at + (1 << 14)]
         own = least[a][:, None]
-        first = a + np.argmax(grams[a[:, None] + wide] == own, axis=1)
         last = b - 1 + wide[-1] - np.argmax(grams[(b - 1)[:, None] + wide[::-1]] == own, axis=1)
-        for k, (left, right) in enumerate(((first - side, first + GRAM), (first, first + GRAM + side))):
-            fits = (left >= a) & (right <= b + length - 1)
-            out[at : at + len(a), k][fits] = (range_hashes(sums, left[fits], right[fits]) >> np.uint64(32)).astype(np.uint32) | np.uint32(2)
-        out[at : at + len(a)][first != last] = 1
+        place[at : at + len(a)] = last
+        twice[at : at + len(a)] = a + np.argmax(grams[a[:, None] + wide] == own, axis=1) != last
+    return place, twice
+
+
+def cut_to_runs(raw: np.ndarray, offsets: np.ndarray, docs: np.ndarray, gram: int, seed: int, length: int, chosen: np.ndarray | None = None):
+    """Runs of some rows: start, stop (last window + 1), place of the minimiser and whether it has others.
+
+    ``chosen`` (by byte position, or all) are the windows that take part."""
+    rows, sums = len(offsets) - 1, prefix_sums(_byte_table(0)[raw])
+    grams, least = minima(sums, gram, length, seed)
+    n = len(least)
+    sizes = np.diff(offsets)
+    valid = np.where(docs != NO_DOC, np.maximum(sizes - length + 1, 0), 0)
+    # no window opens at a row's last bytes, so windows of two rows are never neighbours
+    inside = np.repeat(np.tile([True, False], rows), np.stack([valid, sizes - valid], 1).ravel())[:n]
+    if chosen is not None:
+        inside &= chosen[:n]
+    first = inside.copy()
+    first[1:] &= (least[1:] != least[:-1]) | ~inside[:-1]
+    last = inside.copy()
+    last[:-1] &= first[1:] | ~inside[1:]
+    start, stop = np.flatnonzero(first), np.flatnonzero(last) + 1
+    pieces = -(-(stop - start) // RUN)  # long runs (text that repeats itself) are cut
+    if len(start) and pieces.max() > 1:
+        nth = np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+        end_of = np.repeat(stop, pieces)
+        start = np.repeat(start, pieces) + nth * RUN
+        stop = np.minimum(start + RUN, end_of)
+    return start, stop, *places(grams, least, start, stop, gram, length)
+
+
+#: A run in 16 bits: its windows less one, its minimiser's distance from the last window, whether the minimiser has other places.
+_WINDOWS, _PLACE_AT, _TWICE_AT = 31, 5, 11
+
+
+def with_cuts(docs: DataFrame, length: int = LENGTH) -> DataFrame:
+    """Adds ``cuts``: the runs of each text, one after another (they lie side by side from its first byte)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, most=1 << 20):
+                raw, offsets = text_arrays(part.column("text"))
+                start, stop, place, twice = cut_to_runs(raw, offsets, part.column("doc_id").fill_null(NO_DOC).to_numpy(), GRAM, 0, length)
+                packed = (stop - start - 1 | (place - stop + 1) << _PLACE_AT | twice.astype(np.int64) << _TWICE_AT).astype("<u2")
+                edges = 2 * np.searchsorted(start, offsets)
+                cuts = pa.Array.from_buffers(pa.large_binary(), len(offsets) - 1, [None, pa.py_buffer(edges.astype("<i8").tobytes()), pa.py_buffer(packed.tobytes())])
+                yield tidied(pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("text"), cuts], names=["doc_id", "text", "cuts"]))
+
+    return docs.mapInArrow(run, "doc_id long, text string, cuts binary")
+
+
+def sides(sums: np.ndarray, start: np.ndarray, stop: np.ndarray, place: np.ndarray, twice: np.ndarray, length: int) -> np.ndarray:
+    """For each run and each part of a window's possible places, a 16-bit hash (2 or more) of the bytes around the minimiser
+    that all windows of the part hold; 0 where the run has too few, 1 in all where the minimiser has several places."""
+    spare = length - GRAM  # bytes of a window left and right of its minimiser
+    lows = [spare * i // 4 for i in range(5)]
+    out = np.zeros((len(start), 4), np.uint16)
+    for k in range(4):
+        # windows that begin lows[k] to lows[k + 1] - 1 (or all) bytes before the minimiser
+        left, right = place - lows[k], place + GRAM + spare - (lows[k + 1] - 1 if k < 3 else spare)
+        fits = (left >= start) & (right <= stop + length - 1)
+        out[fits, k] = (range_hashes(sums, left[fits], right[fits]) >> np.uint64(48)).astype(np.uint16) | np.uint16(2)
+    out[twice] = 1
     return out
 
 
 class Runs:
-    """Runs of the documents of a shard, rows in order of doc_id; byte positions count from the shard's first."""
+    """Runs of the documents of a shard (rows with ``cuts``); byte positions count from the shard's first.
+
+    ``key`` is the minimiser (mixed: minima alone lie at the low end, and buckets are ranges), ``kind`` the hash of the content."""
 
     def __init__(self, table: pa.Table, length: int = LENGTH, sides: bool = False):
         self.table, self.length, self.with_sides = table, length, sides
         self.raw, self.offsets = text_arrays(table.column("text"))
         self.docs = table.column("doc_id").fill_null(NO_DOC).to_numpy()
-        self.start, self.stop, self.key, self.kind, self.doc, self.sides = self._all(GRAM, 0, None)
-
-    def _all(self, gram: int, seed: int, chosen: np.ndarray | None) -> list[np.ndarray]:
-        found, row = [], 0
+        cuts, ends = text_arrays(table.column("cuts"))
+        packed = np.ascontiguousarray(cuts).view("<u2").astype(np.int64)
+        row = np.repeat(np.arange(len(self.docs)), np.diff(ends) // 2)
+        size = (packed & _WINDOWS) + 1
+        until = np.cumsum(size)
+        before = np.concatenate([[0], until])[ends[:-1] // 2]  # windows of the rows before
+        stop = self.offsets[row] + until - before[row]
+        place = stop - 1 + (packed >> _PLACE_AT & 63)
+        self._take(stop - size, stop, place, (packed >> _TWICE_AT).astype(bool), self.docs[row], GRAM, 0)
+
+    def _take(self, start: np.ndarray, stop: np.ndarray, place: np.ndarray, twice: np.ndarray, doc: np.ndarray, gram: int, seed: int) -> None:
+        """Hashes of the runs, for some rows at a time."""
+        self.start, self.stop, self.doc = start, stop, doc
+        self.key, self.kind, self.sides = np.zeros(len(start), np.uint64), np.zeros(len(start), np.uint64), np.zeros((len(start), 4), np.uint16)
+        row = 0
         for part in slices(self.table, most=1 << 20):
-            found.append(self._cut(row, part.num_rows, gram, seed, chosen))
+            base, end = self.offsets[row], self.offsets[row + part.num_rows]
             row += part.num_rows
-        kinds = (np.int64, np.int64, np.uint64, np.uint64, np.int64, np.uint32)
-        return [np.concatenate([np.zeros((0, 2) if i == 5 else 0, t), *(f[i] for f in found)]) for i, t in enumerate(kinds)]
-
-    def _cut(self, row: int, rows: int, gram: int, seed: int, chosen: np.ndarray | None):
-        """Runs of rows [row, row + rows): start, stop (last window + 1), minimiser (mixed: minima
-        alone lie at the low end, and buckets are ranges), hash of content, doc.
-
-        ``chosen`` (windows by byte position, or all) are the windows that take part."""
-        base, end = self.offsets[row], self.offsets[row + rows]
-        sums = prefix_sums(_byte_table(0)[self.raw[base:end]])
-        grams, least = minima(sums, gram, self.length, seed)
-        n = len(least)
-        sizes = np.diff(self.offsets[row : row + rows + 1])
-        valid = np.where(self.docs[row : row + rows] != NO_DOC, np.maximum(sizes - self.length + 1, 0), 0)
-        # no window opens at a row's last bytes, so windows of two rows are never neighbours
-        inside = np.repeat(np.tile([True, False], rows), np.stack([valid, sizes - valid], 1).ravel())[:n]
-        if chosen is not None:
-            inside &= chosen[base : base + n]
-        first = inside.copy()
-        first[1:] &= (least[1:] != least[:-1]) | ~inside[:-1]
-        last = inside.copy()
-        last[:-1] &= first[1:] | ~inside[1:]
-        start, stop = np.flatnonzero(first), np.flatnonzero(last) + 1
-        pieces = -(-(stop - start) // RUN)  # long runs (text that repeats itself) are cut
-        if len(start) and pieces.max() > 1:
-            nth = np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces)
-            end_of = np.repeat(stop, pieces)
-            start = np.repeat(start, pieces) + nth * RUN
-            stop = np.minimum(start + RUN, end_of)
-        beside = sides(sums, grams, least, start, stop, self.length) if self.with_sides else np.zeros((len(start), 2), np.uint32)
-        return start + base, stop + base, mix(least[start]), range_hashes(sums, start, stop + self.length - 1), self.docs[row + np.searchsorted(np.cumsum(sizes), start, side="right")], beside
+            i, j = np.searchsorted(start, [base, end])
+            sums = prefix_sums(_byte_table(0)[self.raw[base:end]])
+            a, b, p = start[i:j] - base, stop[i:j] - base, place[i:j] - base
+            self.key[i:j] = mix(gram_hashes(sums, p, gram, seed))
+            self.kind[i:j] = range_hashes(sums, a, b + self.length - 1)
+            if self.with_sides:
+                self.sides[i:j] = sides(sums, a, b, p, twice[i:j], self.length)
 
     def kinds(self, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Of the chosen runs the first occurrence (by document) of each kind, in order of kind, and whether several documents have it."""
@@ -331,13 +387,23 @@ class Runs:
         return order[first], self.doc[order[first]] < self.doc[order[last]]
 
     def replace(self, which: np.ndarray) -> None:
-        """Cuts the runs at ``which`` (boolean) again, by the longer minimiser."""
+        """Cuts the runs at ``which`` (boolean) again, by the longer minimiser, and puts them behind the others."""
         windows = np.zeros(len(self.raw) + 1, np.int32)
         np.add.at(windows, self.start[which], 1)
         np.add.at(windows, self.stop[which], -1)
-        again = self._all(HOT_GRAM, 1, np.cumsum(windows[:-1]) > 0)
-        mine = (self.start, self.stop, self.key, self.kind, self.doc, self.sides)
-        self.start, self.stop, self.key, self.kind, self.doc, self.sides = (np.concatenate([m[~which], a]) for m, a in zip(mine, again, strict=True))
+        chosen = np.cumsum(windows[:-1]) > 0
+        plain = [x[~which] for x in (self.start, self.stop, self.key, self.kind, self.doc, self.sides)]
+        found, row = [], 0
+        for part in slices(self.table, most=1 << 20):
+            rows = slice(row, row + part.num_rows + 1)
+            row += part.num_rows
+            base, end = self.offsets[rows][[0, -1]]
+            start, stop, place, twice = cut_to_runs(self.raw[base:end], self.offsets[rows] - base, self.docs[rows.start : row], HOT_GRAM, 1, self.length, chosen[base:end])
+            doc = self.docs[rows.start + np.searchsorted(self.offsets[rows][1:] - base, start, side="right")]
+            found.append((start + base, stop + base, place + base, twice, doc))
+        self._take(*(np.concatenate(c) for c in zip(*found, strict=True)), HOT_GRAM, 1)
+        again = (self.start, self.stop, self.key, self.kind, self.doc, self.sides)
+        self.start, self.stop, self.key, self.kind, self.doc, self.sides = (np.concatenate(c) for c in zip(plain, again, strict=True))
 
 
 def _has(sorted_keys: np.ndarray, keys: np.ndarray) -> np.ndarray:
@@ -350,7 +416,7 @@ def _has(sorted_keys: np.ndarray, keys: np.ndarray) -> np.ndarray:
 
 # ---------------------------------------------------------------- the three questions
 
-_KIND = np.dtype([("key", "<u8"), ("kind", "<u8"), ("doc", "<i8"), ("sides", "<u4", 2), ("several", "?")])
+_KIND = np.dtype([("key", "<u8"), ("kind", "<u8"), ("doc", "<i8"), ("sides", "<u2", 4), ("several", "?")])
 #: Answers to the second question: the first document of a kind, or that its bytes (its runs cut again) are asked for.
 _FOUND = np.dtype([("kind", "<u8"), ("doc", "<i8"), ("state", "u1")])
 DONE, BYTES, AGAIN = 0, 1, 2
@@ -386,13 +452,15 @@ def _shard_keys(runs: Runs) -> tuple[np.ndarray, np.ndarray]:
 
 def _partners(key: np.ndarray, sides_: np.ndarray) -> np.ndarray:
     """Which kinds of run may share a window with another kind of the same minimiser (keys numbered, ascending)."""
-    others = np.bincount(key) > 1
-    twice = np.bincount(key, weights=(sides_[:, 0] == 1)) > 0  # the minimiser's place is not clear
-    out = (others & twice)[key]
-    for k in range(2):
-        code = key.astype(np.uint64) << np.uint64(32) | sides_[:, k].astype(np.uint64)
+    out = np.zeros(len(key), bool)
+    some = np.flatnonzero((np.bincount(key) > 1)[key])  # most minimisers have one kind of run
+    key, sides_ = key[some], sides_[some]
+    found = (np.bincount(key, weights=(sides_[:, 0] == 1)) > 0)[key]  # the minimiser's place is not clear
+    for k in range(sides_.shape[1]):
+        code = key.astype(np.uint64) << np.uint64(16) | sides_[:, k].astype(np.uint64)
         _, which, counts = np.unique(code, return_inverse=True, return_counts=True)
-        out |= (counts[which] > 1) & (sides_[:, k] > 1)
+        found |= (counts[which] > 1) & (sides_[:, k] > 1)
+    out[some] = found
     return out
 
 
@@ -406,10 +474,12 @@ def _by_bucket(keys: np.ndarray, rows: np.ndarray, buckets: int) -> Iterable[tup
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """Per row: ``doc_id, n_bytes, n_removed, n_spans, kept_sha256`` and ``kept`` (the remaining bytes)."""
+    if not HOT_GRAM <= length <= min(254 - RUN, GRAM + 63):
+        raise ValueError(f"length {length} is not between {HOT_GRAM} and {min(254 - RUN, GRAM + 63)}")
     rows = id_and_text(docs)
     shards = shard_count(text_bytes(rows))
     buckets = shards
-    placed = sharded(rows, shards)
+    placed = sharded(with_cuts(rows, length), shards)  # texts are cut once, before the exchange that all steps read
 
     # 1. which minimisers do several documents have?
     def ask_keys(shard: int, table: pa.Table) -> Iterable[tuple[int, bytes]]:
