@@ -49,7 +49,7 @@ def found(spark, rows):
 
 @pytest.mark.parametrize("hot", [20_000, 1])
 def test_against_brute_force(spark, monkeypatch, hot):
-    """Shared passages, near copies, text that repeats itself; with ``hot`` 1 every shared minimiser takes the second cut."""
+    """Shared passages, near copies, text that repeats itself; with ``hot`` 1 every shared minimiser goes on window by window."""
     monkeypatch.setattr(repeats, "HOT_KINDS", hot)
     monkeypatch.setattr(common.shard_count, "__defaults__", (3000,))
     rng = random.Random(hot)
@@ -74,3 +74,41 @@ def test_windows_of_just_the_length(spark):
 
 def test_empty_table(spark):
     assert found(spark, []) == []
+
+
+def test_a_passage_of_just_the_length_in_a_third_of_all_documents(spark, monkeypatch):
+    """Each time in other surroundings: its windows leave the minimiser's bucket, the one that repeats goes once from a shard."""
+    monkeypatch.setattr(repeats, "HOT_KINDS", 50)
+    monkeypatch.setattr(common.shard_count, "__defaults__", (20_000,))
+    rng = random.Random(5)
+    letters = "abcdefghijklmnopqrstuvwxyz "
+    passage = "".join(rng.choice(letters) for _ in range(50))
+    rows = []
+    for i in range(600):
+        text = "".join(rng.choice(letters) for _ in range(200))
+        rows.append((i, text[:90] + passage + text[90:] if i % 3 == 0 else text))
+    assert found(spark, rows) == brute(rows)
+    table = repeats.with_cuts(documents(spark, [r for r in rows if r[0] % 3 == 0]).select("doc_id", "text")).toArrow()
+    runs = repeats.Runs(table)
+    same, counts = np.unique(runs.key, return_counts=True)
+    hot = np.isin(runs.key, same[counts > 50])
+    assert hot.sum() >= 200
+    runs.replace(hot)
+    fresh = runs.key[~np.isin(runs.key, same)]
+    _, counts = np.unique(fresh, return_counts=True)
+    assert len(fresh) > 1000 and counts.max() == 200 and np.sort(counts)[-2] < 30, "only the passage itself repeats often"
+
+
+def test_lengths_that_do_not_fit(spark):
+    for length in (10, 240):
+        with pytest.raises(ValueError, match="not between"):
+            repeats.remove_repeats(documents(spark, ODD), length)
+
+
+@pytest.mark.parametrize("length", [30, 53, 70])
+def test_other_lengths(spark, length):
+    rng = random.Random(length)
+    passages = ["".join(rng.choice("abcd ") for _ in range(rng.randint(length - 5, 3 * length))) for _ in range(6)]
+    rows = [(i, "".join(rng.choice(passages) + "".join(rng.choice("efgh") for _ in range(rng.randint(0, 30))) for _ in range(rng.randint(0, 4)))) for i in range(60)]
+    got = sorted((str(r.doc_id), r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in repeats.remove_repeats(documents(spark, rows), length).collect())
+    assert got == brute(rows, length)

@@ -25,9 +25,10 @@ a run of at most ``RUN`` windows.  Equal windows have equal minimisers, so
    and inserted column by column (a symbol is five bytes, so each is inserted from five starts, in
    17 rounds instead of 81), which says for each window where it is first.
 
-A minimiser with more than ``HOT_KINDS`` kinds of run (a passage that very many
-documents share in different surroundings) has its runs cut again by a second,
-longer minimiser, which deals them to many buckets.  Nothing is left out; the
+A minimiser with more than ``HOT_KINDS`` kinds of run that may share windows (a
+passage that very many documents share in different surroundings) has the windows of its
+runs sent one by one, each to the bucket of its own hash: the shared ones go once
+from each shard, and the others spread over all buckets.  Nothing is left out; the
 buckets hold the collection that a single machine would keep in external files.
 
 Runs are compared by 64-bit hashes within one minimiser's group, windows by
@@ -72,8 +73,7 @@ from tillbook.llm.common import (
 
 LENGTH = 50
 GRAM = 24
-#: Longer minimisers for the runs of hot ones.
-HOT_GRAM = 44
+#: Kinds of run of one minimiser beyond which their windows go on one by one.
 HOT_KINDS = 20_000
 #: Windows in a run at most.
 RUN = 32
@@ -242,24 +242,24 @@ def first_seen(data: np.ndarray, offsets: np.ndarray, docs: np.ndarray, length:
 # ---------------------------------------------------------------- runs of a shard
 
 
-def gram_hashes(sums: np.ndarray, at: slice | np.ndarray, gram: int, seed: int) -> np.ndarray:
+def gram_hashes(sums: np.ndarray, at: slice | np.ndarray, gram: int) -> np.ndarray:
     """Hashes of the ``gram`` bytes at some places."""
     after = slice(at.start + gram, at.stop + gram) if isinstance(at, slice) else at + gram
     with np.errstate(over="ignore"):
         h = (sums[after] - sums[at]) * powers(_INVERSE, len(sums))[at]
-        h *= np.uint64(0x9E3779B97F4A7C15 + 2 * seed)
+        h *= np.uint64(0x9E3779B97F4A7C15)
         h ^= h >> np.uint64(29)
         h *= np.uint64(0xBF58476D1CE4E5B9)
         h ^= h >> np.uint64(32)
     return h
 
 
-def minima(sums: np.ndarray, gram: int, length: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
+def minima(sums: np.ndarray, gram: int, length: int) -> tuple[np.ndarray, np.ndarray]:
     """Hash of each gram, and the smallest in each window of ``length`` bytes."""
     n = len(sums) - 1
     if n < length:
         return np.zeros(0, np.uint64), np.zeros(0, np.uint64)
-    h = gram_hashes(sums, slice(0, n - gram + 1), gram, seed)
+    h = gram_hashes(sums, slice(0, n - gram + 1), gram)
     wide, step, least = length - gram + 1, 1, h
     while 2 * step <= wide:
         least = np.minimum(least[:-step], least[step:])
@@ -280,19 +280,15 @@ def places(grams: np.ndarray, least: np.ndarray, start: np.ndarray, stop: np.nda
     return place, twice
 
 
-def cut_to_runs(raw: np.ndarray, offsets: np.ndarray, docs: np.ndarray, gram: int, seed: int, length: int, chosen: np.ndarray | None = None):
-    """Runs of some rows: start, stop (last window + 1), place of the minimiser and whether it has others.
-
-    ``chosen`` (by byte position, or all) are the windows that take part."""
+def cut_to_runs(raw: np.ndarray, offsets: np.ndarray, docs: np.ndarray, gram: int, length: int):
+    """Runs of some rows: start, stop (last window + 1), place of the minimiser and whether it has others."""
     rows, sums = len(offsets) - 1, prefix_sums(_byte_table(0)[raw])
-    grams, least = minima(sums, gram, length, seed)
+    grams, least = minima(sums, gram, length)
     n = len(least)
     sizes = np.diff(offsets)
     valid = np.where(docs != NO_DOC, np.maximum(sizes - length + 1, 0), 0)
     # no window opens at a row's last bytes, so windows of two rows are never neighbours
     inside = np.repeat(np.tile([True, False], rows), np.stack([valid, sizes - valid], 1).ravel())[:n]
-    if chosen is not None:
-        inside &= chosen[:n]
     first = inside.copy()
     first[1:] &= (least[1:] != least[:-1]) | ~inside[:-1]
     last = inside.copy()
@@ -318,7 +314,7 @@ def with_cuts(docs: DataFrame, length: int = LENGTH) -> DataFrame:
         for batch in batches:
             for part in slices(batch, most=1 << 20):
                 raw, offsets = text_arrays(part.column("text"))
-                start, stop, place, twice = cut_to_runs(raw, offsets, part.column("doc_id").fill_null(NO_DOC).to_numpy(), GRAM, 0, length)
+                start, stop, place, twice = cut_to_runs(raw, offsets, part.column("doc_id").fill_null(NO_DOC).to_numpy(), GRAM, length)
                 packed = (stop - start - 1 | (place - stop + 1) << _PLACE_AT | twice.astype(np.int64) << _TWICE_AT).astype("<u2")
                 edges = 2 * np.searchsorted(start, offsets)
                 cuts = pa.Array.from_buffers(pa.large_binary(), len(offsets) - 1, [None, pa.py_buffer(edges.astype("<i8").tobytes()), pa.py_buffer(packed.tobytes())])
@@ -347,8 +343,8 @@ class Runs:
 
     ``key`` is the minimiser (mixed: minima alone lie at the low end, and buckets are ranges), ``kind`` the hash of the content."""
 
-    def __init__(self, table: pa.Table, length: int = LENGTH, sides: bool = False):
-        self.table, self.length, self.with_sides = table, length, sides
+    def __init__(self, table: pa.Table, length: int = LENGTH, with_sides: bool = False):
+        self.table, self.length = table, length
         self.raw, self.offsets = text_arrays(table.column("text"))
         self.docs = table.column("doc_id").fill_null(NO_DOC).to_numpy()
         cuts, ends = text_arrays(table.column("cuts"))
@@ -359,23 +355,20 @@ class Runs:
         before = np.concatenate([[0], until])[ends[:-1] // 2]  # windows of the rows before
         stop = self.offsets[row] + until - before[row]
         place = stop - 1 + (packed >> _PLACE_AT & 63)
-        self._take(stop - size, stop, place, (packed >> _TWICE_AT).astype(bool), self.docs[row], GRAM, 0)
-
-    def _take(self, start: np.ndarray, stop: np.ndarray, place: np.ndarray, twice: np.ndarray, doc: np.ndarray, gram: int, seed: int) -> None:
-        """Hashes of the runs, for some rows at a time."""
-        self.start, self.stop, self.doc = start, stop, doc
+        start, twice = stop - size, (packed >> _TWICE_AT).astype(bool)
+        self.start, self.stop, self.doc = start, stop, self.docs[row]
         self.key, self.kind, self.sides = np.zeros(len(start), np.uint64), np.zeros(len(start), np.uint64), np.zeros((len(start), 4), np.uint16)
-        row = 0
-        for part in slices(self.table, most=1 << 20):
-            base, end = self.offsets[row], self.offsets[row + part.num_rows]
-            row += part.num_rows
+        first = 0
+        for part in slices(table, most=1 << 20):
+            base, end = self.offsets[first], self.offsets[first + part.num_rows]
+            first += part.num_rows
             i, j = np.searchsorted(start, [base, end])
             sums = prefix_sums(_byte_table(0)[self.raw[base:end]])
             a, b, p = start[i:j] - base, stop[i:j] - base, place[i:j] - base
-            self.key[i:j] = mix(gram_hashes(sums, p, gram, seed))
-            self.kind[i:j] = range_hashes(sums, a, b + self.length - 1)
-            if self.with_sides:
-                self.sides[i:j] = sides(sums, a, b, p, twice[i:j], self.length)
+            self.key[i:j] = mix(gram_hashes(sums, p, GRAM))
+            self.kind[i:j] = range_hashes(sums, a, b + length - 1)
+            if with_sides:
+                self.sides[i:j] = sides(sums, a, b, p, twice[i:j], length)
 
     def kinds(self, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Of the chosen runs the first occurrence (by document) of each kind, in order of kind, and whether several documents have it."""
@@ -387,22 +380,17 @@ class Runs:
         return order[first], self.doc[order[first]] < self.doc[order[last]]
 
     def replace(self, which: np.ndarray) -> None:
-        """Cuts the runs at ``which`` (boolean) again, by the longer minimiser, and puts them behind the others."""
-        windows = np.zeros(len(self.raw) + 1, np.int32)
-        np.add.at(windows, self.start[which], 1)
-        np.add.at(windows, self.stop[which], -1)
-        chosen = np.cumsum(windows[:-1]) > 0
+        """Puts every window of the runs at ``which`` (boolean) behind the others, as a run by itself with its own hash as key."""
         plain = [x[~which] for x in (self.start, self.stop, self.key, self.kind, self.doc, self.sides)]
-        found, row = [], 0
+        n = self.stop[which] - self.start[which]
+        start = np.repeat(self.start[which] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        kind, row = np.zeros(len(start), np.uint64), 0
         for part in slices(self.table, most=1 << 20):
-            rows = slice(row, row + part.num_rows + 1)
+            base, end = self.offsets[row], self.offsets[row + part.num_rows]
             row += part.num_rows
-            base, end = self.offsets[rows][[0, -1]]
-            start, stop, place, twice = cut_to_runs(self.raw[base:end], self.offsets[rows] - base, self.docs[rows.start : row], HOT_GRAM, 1, self.length, chosen[base:end])
-            doc = self.docs[rows.start + np.searchsorted(self.offsets[rows][1:] - base, start, side="right")]
-            found.append((start + base, stop + base, place + base, twice, doc))
-        self._take(*(np.concatenate(c) for c in zip(*found, strict=True)), HOT_GRAM, 1)
-        again = (self.start, self.stop, self.key, self.kind, self.doc, self.sides)
+            i, j = np.searchsorted(start, [base, end])
+            kind[i:j] = range_hashes(prefix_sums(_byte_table(0)[self.raw[base:end]]), start[i:j] - base, start[i:j] - base + self.length)
+        again = (start, start + 1, mix(kind), kind, np.repeat(self.doc[which], n), np.zeros((len(start), 4), np.uint16))
         self.start, self.stop, self.key, self.kind, self.doc, self.sides = (np.concatenate(c) for c in zip(plain, again, strict=True))
 
 
@@ -417,7 +405,7 @@ def _has(sorted_keys: np.ndarray, keys: np.ndarray) -> np.ndarray:
 # ---------------------------------------------------------------- the three questions
 
 _KIND = np.dtype([("key", "<u8"), ("kind", "<u8"), ("doc", "<i8"), ("sides", "<u2", 4), ("several", "?")])
-#: Answers to the second question: the first document of a kind, or that its bytes (its runs cut again) are asked for.
+#: Answers to the second question: the first document of a kind, or that its bytes (or those of its windows) are asked for.
 _FOUND = np.dtype([("kind", "<u8"), ("doc", "<i8"), ("state", "u1")])
 DONE, BYTES, AGAIN = 0, 1, 2
 _MASK = np.dtype([("kind", "<u8"), ("doc", "<i8"), ("mask", "<u4")])
@@ -474,8 +462,8 @@ def _by_bucket(keys: np.ndarray, rows: np.ndarray, buckets: int) -> Iterable[tup
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """Per row: ``doc_id, n_bytes, n_removed, n_spans, kept_sha256`` and ``kept`` (the remaining bytes)."""
-    if not HOT_GRAM <= length <= min(254 - RUN, GRAM + 63):
-        raise ValueError(f"length {length} is not between {HOT_GRAM} and {min(254 - RUN, GRAM + 63)}")
+    if not GRAM <= length <= min(254 - RUN, GRAM + 63):
+        raise ValueError(f"length {length} is not between {GRAM} and {min(254 - RUN, GRAM + 63)}")
     rows = id_and_text(docs)
     shards = shard_count(text_bytes(rows))
     buckets = shards
@@ -504,7 +492,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 
     # 2. which kinds of run do they have, and in which document first?
     def ask_kinds(shard: int, table: pa.Table, replies: dict[int, bytes]) -> pa.Table:
-        runs = Runs(table, length, sides=True)
+        runs = Runs(table, length, with_sides=True)
         keys, _ = _shard_keys(runs)
         edges = bucket_edges(keys, buckets)
         shared = np.zeros(len(keys), bool)
@@ -548,7 +536,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 
     # 3. bytes of the kinds whose windows may be elsewhere
     def prepare(table: pa.Table, found: np.ndarray) -> tuple[Runs, np.ndarray, np.ndarray]:
-        """Runs (those of hot minimisers cut again), the place of each in ``found`` (sorted by kind), and whether its bytes are asked for."""
+        """Runs (those of hot minimisers window by window), the place of each in ``found`` (sorted by kind), and whether its bytes are asked for."""
         runs = Runs(table, length)
         at = _has(found["kind"], runs.kind)
         again = (at >= 0) & (found["state"][at] == AGAIN) if len(found) else np.zeros(len(at), bool)
