@@ -1,5 +1,6 @@
 import random
 import textwrap
+import time
 
 import pytest
 import zstandard
@@ -101,4 +102,74 @@ def test_wrapped_notices_over_blank_lines(spark):
     gpl = "This work is licensed\nunder the GNU General Public\nLicense, version 9."
     rows = [(1, apache), (2, bsd), (3, gpl), (4, "free and unencumbered software released into the public\n# domain")]
     got = {(r.doc_id, r.first_line, r.n_lines, r.license, r.n_changes) for r in licenses.scan(documents(spark, rows)).where("confirmed").collect()}
-    assert got == {(1, 0, 5, "Apache-2.0", 0), (2, 0, 1, "All-Rights-Reserved", 0), (2, 0, 3, "BSD-3-Clause", 2), (4, 0, 2, "Unlicense", 2)}
+    assert got == {(1, 0, 5, "Apache-2.0", 0), (2, 0, 1, "All-Rights-Reserved", 0), (2, 0, 3, "BSD", 2), (4, 0, 2, "Unlicense", 2)}
+
+
+def verdicts(loaded, text):
+    return [(a, b, said["license"]) for a, b, said in loaded.scan(text) if said["confirmed"]]
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        "This project is not licensed under the terms of the MIT license.",
+        "This file is not\nlicensed under CC BY 4.0.",
+        "It was never released under the MIT License.",
+        "It isn't licensed under the Apache License, Version 2.0.",
+        "Permission is not hereby granted, free of charge, to any person.",
+        "Not all rights reserved.",
+    ],
+)
+def test_a_negated_notice_is_not_confirmed(loaded, text):
+    assert verdicts(loaded, text) == []
+
+
+@pytest.mark.parametrize("text", ["This is not mine. Released under the MIT License.", "It is not.\nReleased under the MIT License.", "not\n\nReleased under the MIT License."])
+def test_a_negation_in_another_sentence_does_not_count(loaded, text):
+    assert [v[2] for v in verdicts(loaded, text)] == ["MIT"]
+
+
+def test_licenses_of_one_family_are_told_apart(loaded):
+    whole = {name: text for name, text in licenses.TEMPLATES}  # the longest of each family comes last
+    for two, three in (("BSD-2-Clause", "BSD-3-Clause"), ("0BSD", "ISC"), ("GPL-2.0-or-later", "GPL-3.0-or-later"), ("LGPL-3.0-or-later", "AGPL-3.0-or-later"), ("CC-BY-4.0", "CC-BY-SA-4.0"), ("CC-BY-NC-4.0", "CC-BY-NC-SA-4.0")):
+        for name in (two, three):
+            for width in (60, 500, 5000):
+                text = "\n".join(textwrap.wrap(whole[name], width, break_on_hyphens=False))
+                assert [v[2] for v in verdicts(loaded, text)] == [name], (name, width)
+    renamed = whole["BSD-3-Clause"].replace("the copyright holder nor", "Example University nor").replace("COPYRIGHT HOLDERS", "REGENTS")
+    assert {v[2] for v in verdicts(loaded, "\n".join(textwrap.wrap(renamed, 70)))} == {"BSD-3-Clause"}
+    dropped = whole["BSD-3-Clause"].replace(" to endorse or promote products", "")
+    assert "BSD-3-Clause" not in {v[2] for v in verdicts(loaded, "\n".join(textwrap.wrap(dropped, 70)))}
+
+
+@pytest.mark.parametrize(
+    ("text", "license"),
+    [
+        ("This work is licensed under the GNU General Public License, version 2.", "GPL-2.0"),
+        ("This work is licensed under the GNU General Public License, version 2 or later.", "GPL-2.0-or-later"),
+        ("This work is licensed under the GNU General Public License, version 2\nor any later version.", "GPL-2.0-or-later"),
+    ],
+)
+def test_only_and_or_later(loaded, text, license):
+    assert {v[2] for v in verdicts(loaded, text)} <= {license}
+
+
+def test_cost_grows_with_the_text(loaded):
+    text = "\n".join(["a line of other words that says nothing of it."] * 3 + ["copyright held by somebody else, 1999"]) + "\n"
+    loaded.scan(text * 10)
+
+    def seconds(n):
+        begin = time.perf_counter()
+        loaded.scan(text * n)
+        return time.perf_counter() - begin
+
+    short = min(seconds(100) for _ in range(3))
+    assert min(seconds(800) for _ in range(2)) < 24 * short  # 8 in proportion, 64 if quadratic
+
+
+def test_query_against_plain_scan_of_every_text(spark):
+    path = "/root/testdata/sf0.01"
+    loaded = licenses.Templates(licenses.TEMPLATES)
+    expected = sorted((r.doc_id, n, a, b - a + 1, str(said["license"]), said["confirmed"]) for r in spark.read.parquet(f"{path}/documents.parquet").collect() for n, (a, b, said) in enumerate(loaded.scan(r.text or "")))
+    got = sorted((r.doc_id, r.block, r.first_line, r.n_lines, str(r.license), r.confirmed) for r in licenses.op9_licenses(spark, path).collect())
+    assert got == expected
