@@ -43,6 +43,7 @@ def recall(spark, vectors, monkeypatch):
     monkeypatch.setattr(neighbours, "PIECE", 50)  # cells are dealt to several pieces
     monkeypatch.setattr(neighbours, "PART_ROWS", 8000)
     monkeypatch.setattr(neighbours, "SAMPLE", 500)  # far from all rows
+    monkeypatch.setattr(neighbours, "FALLBACK", False)  # what the cells find alone
     rows = [(i, [float(x) for x in v]) for i, v in enumerate(vectors)]
     got = neighbours.search(frame(spark, rows), QUERY).collect()
     own = np.array(vectors, np.float32).astype(np.float64)
@@ -74,10 +75,31 @@ def test_recall_with_clusters_and_lengths(spark, monkeypatch):
 
 
 def test_probes_come_in_order_of_cost():
-    hash_ = neighbours.Hash(8, 1.0)
+    hash_ = neighbours.Hash(8, 1.0, 8)
     vector = np.random.default_rng(2).normal(size=(1, 8)) / 4
     names = hash_.probes(0, vector, 500)[0]
     cell, place = hash_.cells(0, vector, True)
     assert names[0] == hash_.names(0, cell)[0] and len(set(names.tolist())) == 500
-    costs = {int(hash_.names(0, cell[0] + m)): float((np.where(m < 0, place[0], np.where(m > 0, 1 - place[0], 0)) ** 2).sum()) for m in neighbours._MOVES}
+    costs = {int(hash_.names(0, cell[0] + m)): float((np.where(m < 0, place[0], np.where(m > 0, 1 - place[0], 0)) ** 2).sum()) for m in neighbours.moves(8)}
     assert [costs[n] for n in names.tolist()] == sorted(costs.values())[:500]
+
+
+def test_the_share_of_rows_visited_falls_as_rows_grow():
+    rng = np.random.default_rng(3)
+    centres = rng.normal(size=(400, 32))
+    every = centres[rng.integers(0, 400, 50_000)] + 0.35 * rng.normal(size=(50_000, 32))
+    every /= np.linalg.norm(every, axis=1, keepdims=True)
+    shares = []
+    for n in (2000, 50_000):
+        vectors = every[:n]
+        hash_, count = neighbours.fit(32, 1.0, vectors[rng.permutation(n)[: neighbours.SAMPLE]], n)
+        asked = rng.permutation(n)[:40]
+        met = neighbours.first_met(hash_, vectors[asked], vectors) < count
+        score = vectors[asked] @ vectors.T
+        score[np.arange(40), asked] = -np.inf
+        near = np.argpartition(-score, 19, axis=1)[:, :20]
+        recall_, share = np.take_along_axis(met, near, 1).mean(), met.mean()
+        print(f"{n} rows: {hash_.hashes} projections, {count} cells a table, recall {recall_:.3f}, {share:.1%} of rows visited")
+        assert recall_ >= 0.9
+        shares.append(share)
+    assert shares[1] < 0.6 * shares[0]
