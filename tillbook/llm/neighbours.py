@@ -50,8 +50,9 @@ from tillbook.llm.common import mix, read_table
 from tillbook.session import pin
 
 K = 20
-TABLES, HASHES, WIDTH, MOVED = 8, (6, 8, 10, 12), 2.0, 4
-SAMPLE, SAMPLE_QUERIES, RECALL, PROBE = 2000, 200, 0.95, 8
+TABLES, HASHES, WIDTH, MOVED = 8, (6, 8, 10, 12), 2.0, 3
+#: A probe is a row that is joined and shuffled, a comparison some 64 multiplications: about 50 to 1.
+SAMPLE, SAMPLE_QUERIES, RECALL, PROBE = 2000, 200, 0.95, 50
 LADDER = (1, 2, 3, 5, 8, 12, 18, 25, 50, 75, 100, 150, 200, 300, 400, 600, 1000, 2000, 4000, 8000)
 #: Whether queries are compared with the sample as well.
 FALLBACK = True
