@@ -5,16 +5,23 @@ Method: P(w_i | w_{i-1}) = P(class_i | class_{i-1}) * P(w_i | class_i).
 1. Words of all training texts are counted by an exchange between shards of
    documents and buckets of words (counts of every word, no cut-off); each
    shard gets the counts of its own words back.
-2. The words are gathered to units: the ``TOP_WORDS`` most frequent words are
-   units by themselves, all others share a unit with the words of the same
-   ending (``ENDING_UNITS`` hash values of the last three bytes).  Bigrams of
-   units are counted over all training texts.
+2. The classes that step 4 starts from: words are gathered to units, the ``TOP_WORDS``
+   most frequent ones each to its own, all others by their ending
+   (``ENDING_UNITS`` hash values of the last three bytes).  Bigrams of units are
+   counted over all training texts.
 3. The exchange algorithm moves one unit after another to the class where the
-   class bigram likelihood is highest, until a sweep moves none.  It works on
-   the matrix of step 2, whose size the two parameters fix.
-4. Each text is scored: class transitions are interpolated with class
+   class bigram likelihood is highest, until a sweep moves none (``MOST_SWEEPS``
+   at most).  It works on the matrix of step 2, whose size the two parameters fix.
+4. Every word of the training texts, however rare, leaves its unit and goes to the class that
+   fits its own neighbours: shards of documents count how often each of their words has each class
+   before and after it, buckets of words sum the counts and move each word to the class where the
+   likelihood is highest, all other words staying where they are, and tell the shards.
+   This goes on for ``ROUNDS`` rounds, or until no word moves; a round after which the
+   likelihood over all training texts is lower is taken back and ends it.
+5. Each text is scored: class transitions are interpolated with class
    frequencies, emissions use absolute discounting; a class keeps the
-   discounted mass for one unseen word.
+   discounted mass for one unseen word.  Words of no training text have no
+   neighbours to go by and take the class of their ending's unit.
 
 Words are known by a 64-bit hash (a chance of about 1e-2 for one wrong pair
 among 1e9 distinct words).  Text is held as UTF-8 bytes, A-Z lower-cased, parted at
@@ -29,7 +36,7 @@ each; an empty table gives no rows; without training texts every word is unseen.
 from __future__ import annotations
 
 import struct
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -38,12 +45,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillbook.llm.common import (
+    PARCEL,
     Words,
     answer,
     bucket_edges,
     crc_mod,
     id_and_text,
     meet,
+    parcels,
     prefix_sums,
     range_hashes,
     read_table,
@@ -53,7 +62,7 @@ from tillbook.llm.common import (
     slices,
     text_bytes,
 )
-from tillbook.session import pin
+from tillbook.session import pin, remove, run_folder
 
 TOP_WORDS = 512
 ENDING_UNITS = 511
@@ -63,6 +72,8 @@ END = 0
 #: Weight of the class frequencies in a transition.
 PRIOR = 5.0
 MOST_SWEEPS = 20
+#: Rounds in which all words may change their class.
+ROUNDS = 2
 UNITS = 1 + TOP_WORDS + ENDING_UNITS
 
 
@@ -164,11 +175,11 @@ def statistics(replies: DataFrame) -> tuple[dict[int, int], np.ndarray]:
 # ---------------------------------------------------------------- step 2: bigrams of units
 
 
-def _with_ends(words: Words, units: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _with_ends(words: Words, units: np.ndarray, end: int = END) -> tuple[np.ndarray, np.ndarray]:
     """Units with the end token before and after each text, and the row of each."""
     rows = len(words.offsets) - 1
     at = np.arange(len(units)) + words.doc + 1
-    out = np.full(len(units) + rows + 1, END, units.dtype)
+    out = np.full(len(units) + rows + 1, end, units.dtype)
     out[at] = units
     row = np.repeat(np.arange(rows + 1), np.concatenate([np.diff(words.first) + 1, [1]]))
     return out, row
@@ -267,13 +278,234 @@ def exchange(pairs: np.ndarray, classes: int = CLASSES, sweeps: int = MOST_SWEEP
     return at
 
 
-# ---------------------------------------------------------------- step 4: the model
+# ---------------------------------------------------------------- step 4: classes of all words
+
+#: What a word has beside it: each class after it, each class before it, itself.
+SIDES = 2 * CLASSES + 1
+#: Counts of (word, side) that are weighed at a time.
+ENTRIES = 1 << 13
+#: Likelihood that a move gains at least.
+GAIN = 1e-4
+
+
+def better(table: np.ndarray, classes: np.ndarray, word: np.ndarray, side: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """The class where each word's likelihood is highest, all others staying in theirs (not ``END``).
+
+    ``table``: bigrams of classes; ``word`` (ascending, each has an entry), ``side`` and
+    ``count``: how often a word has a class before or after it, or itself.
+    A word that moves to class b takes its counts along in row b and column b; cell (b, b) has both."""
+    table = table.astype(np.float64)
+    rows, columns = table.sum(1), table.sum(0)
+    first = np.searchsorted(word, np.arange(len(classes) + 1))
+    out = classes.copy()
+    at = 0
+    while at < len(classes):
+        to = max(at + 1, int(np.searchsorted(first, first[at] + ENTRIES, side="right")) - 1)
+        own = slice(first[at], first[to])
+        w, s, n = word[own] - at, side[own], count[own].astype(np.float64)
+        each, a = np.arange(to - at), classes[at:to]
+        beside = np.zeros((to - at, SIDES))
+        beside[w, s] = n
+        right, left, itself = beside[:, :CLASSES], beside[:, CLASSES:-1], beside[:, -1]
+        # cells of the table without the word, for each entry and each class it may move to
+        after, before = s < CLASSES, s < 2 * CLASSES
+        d = s % CLASSES
+        cells = np.where(after[:, None], table.T[d], table[d])
+        among = np.flatnonzero(before & (d == a[w]))
+        cells[among] -= np.where(after[among, None], left[w[among]], right[w[among]])
+        cells[np.arange(len(w)), a[w]] -= n
+        moved = _f(cells + n[:, None]) - _f(cells)
+        moved[np.arange(len(w)), d] = 0  # cell (b, b), below
+        moved[~before] = 0
+        gain = np.add.reduceat(moved, first[at:to] - first[at], axis=0)
+        both = right + left + itself[:, None]
+        corner = np.repeat(np.diag(table)[None, :], to - at, axis=0)
+        corner[each, a] -= both[each, a]
+        gain += _f(corner + both) - _f(corner)
+        for sums, more in ((rows, right.sum(1) + itself), (columns, left.sum(1) + itself)):
+            others = np.repeat(sums[None, :], to - at, axis=0)
+            others[each, a] -= more
+            gain -= _f(others + more[:, None]) - _f(others)
+        gain[:, END] = -np.inf
+        best = gain.argmax(1)
+        out[at:to] = np.where(gain[each, best] > gain[each, a] + GAIN, best, a)
+        at = to
+    return out
+
+
+def _sums(keys: np.ndarray, values: np.ndarray) -> bytes:
+    return np.stack([keys, values], 1).astype("<i8").tobytes()
+
+
+def totals(sent: DataFrame) -> dict[int, int]:
+    """Sums by key over payloads of ``_sums``, whose keys are fixed in number."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for payload in batch.column("payload").to_pylist():
+                pairs = np.frombuffer(payload, "<i8").reshape(-1, 2)
+                yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["key", "n"])
+
+    rows = sent.select("payload").mapInArrow(run, "key long, n long")
+    return {r.key: r.n for r in rows.groupBy("key").agg(F.sum("n").alias("n")).collect()}
+
+
+@dataclass
+class Classes:
+    """Classes of the units, and of the words as the buckets told the shards (``told``; none: all as their units)."""
+
+    top: Top
+    units: np.ndarray
+    told: DataFrame | None = None
+
+    def of(self, words: Words, unique: np.ndarray, first: np.ndarray, by_bucket: dict[int, bytes], buckets: int) -> np.ndarray:
+        """Class of each distinct word of a shard; one that the buckets have in no training text follows its unit."""
+        out = self.units[self.top.units(unique, endings(words, first))]
+        edges = bucket_edges(unique, buckets)
+        for b, payload in by_bucket.items():
+            told = np.frombuffer(payload, np.uint8)
+            out[edges[b] : edges[b + 1]] = np.where(told != END, told, out[edges[b] : edges[b + 1]])
+        return out
+
+
+def count_beside(placed: DataFrame, buckets: int, classes: Classes, further: bool) -> DataFrame:
+    """Parcels for the buckets (if ``further``): each shard's words, their classes and what is beside them in training
+    texts; and, at bucket -1, the shard's bigrams of classes."""
+    plain = Classes(classes.top, classes.units)
+
+    def emit(table: pa.Table, by_bucket: dict[int, bytes]) -> Iterable[tuple[int, bytes]]:
+        words = Words(table.column("text"))
+        unique, first, which = np.unique(words.hashes, return_index=True, return_inverse=True)
+        kinds = np.append(plain.of(words, unique, first, by_bucket, buckets), END)
+        end = len(unique)
+        run, row = _with_ends(words, which, end)
+        train = np.append(table.column("train").to_numpy(zero_copy_only=False).astype(bool), False)[row[:-1]]
+        x, y = run[:-1][train], run[1:][train]
+        cells = np.bincount(kinds[x] * CLASSES + kinds[y], minlength=CLASSES * CLASSES)
+        used = np.flatnonzero(cells)
+        if len(used):
+            yield -1, _sums(used, cells[used])
+        if not further:
+            return
+        twin = (x == y) & (x != end)
+        right, left = (x != end) & ~twin, (y != end) & ~twin
+        key = np.concatenate([x[right] * SIDES + kinds[y[right]], y[left] * SIDES + CLASSES + kinds[x[left]], x[twin] * SIDES + SIDES - 1])
+        key, count = np.unique(key, return_counts=True)
+        begin = np.searchsorted(key, np.arange(end + 1) * SIDES)
+        edges = bucket_edges(unique, buckets)
+        for b in np.flatnonzero(np.diff(edges)):
+            own = slice(edges[b], edges[b + 1])
+            n = count[begin[edges[b]] : begin[edges[b + 1]]]
+            wide = n[n >= 255]
+            head = np.array([edges[b + 1] - edges[b], len(n), len(wide)], "<i8")
+            yield int(b), b"".join(
+                part.tobytes()
+                for part in (
+                    head,
+                    unique[own],
+                    wide.astype("<i8"),
+                    kinds[:-1][own].astype(np.uint8),
+                    np.diff(begin)[own].astype(np.uint8),
+                    (key[begin[edges[b]] : begin[edges[b + 1]]] % SIDES).astype(np.uint8),
+                    np.minimum(n, 255).astype(np.uint8),
+                )
+            )
+
+    if classes.told is None:
+        return send(placed, lambda shard, table: emit(table, {}))
+
+    def run(shard: int, table: pa.Table, by_bucket: dict[int, bytes]) -> pa.Table:
+        return parcels((shard, bucket, payload) for bucket, payload in emit(table, by_bucket))
+
+    return meet(placed, classes.told, run, PARCEL)
+
+
+def _beside(payload: bytes) -> tuple[np.ndarray, ...]:
+    """Hashes and classes of a parcel's words, number of sides of each, sides and their counts."""
+    words, entries, wide = np.frombuffer(payload, "<i8", 3).tolist()
+    at, parts = 24, []
+    for kind, size in (("<u8", words), ("<i8", wide), ("u1", words), ("u1", words), ("u1", entries), ("u1", entries)):
+        parts.append(np.frombuffer(payload, kind, size, at))
+        at += parts[-1].nbytes
+    hashes, large, kinds, number, sides, small = parts
+    count = small.astype(np.int64)
+    count[small == 255] = large
+    return hashes, kinds, number, sides, count
+
+
+#: Keys of a bucket's sums: words that moved, words of each class (0 and on), class of each top word.
+_MOVED, _TOP_CLASS = -1, CLASSES
+
+
+def move_words(top: Top, table: np.ndarray) -> Callable[[int, list[int], list[bytes]], Iterable[tuple[int, bytes]]]:
+    """Replies of a bucket: the new class of each of a shard's words (``END``: in no training text), and sums at shard -1."""
+
+    def reduce(bucket: int, shards: list[int], payloads: list[bytes]) -> Iterable[tuple[int, bytes]]:
+        parts = [_beside(p) for p in payloads]
+        hashes, kinds, number, sides, count = (np.concatenate(c) for c in zip(*parts, strict=True))
+        unique, first, which = np.unique(hashes, return_index=True, return_inverse=True)
+        key, at = np.unique(np.repeat(which, number) * SIDES + sides, return_inverse=True)
+        count = np.bincount(at, weights=count, minlength=len(key)).astype(np.int64)
+        seen, word = np.unique(key // SIDES, return_inverse=True)
+        before = kinds[first][seen].astype(np.int64)
+        after = better(table, before, word, key % SIDES, count)
+        new = np.full(len(unique), END, np.uint8)
+        new[seen] = after
+        at = 0
+        for shard, part in zip(shards, parts, strict=True):
+            yield shard, new[which[at : at + len(part[0])]].tobytes()
+            at += len(part[0])
+        per_class = np.bincount(after, minlength=CLASSES)
+        places = np.searchsorted(top.hashes, unique[seen])
+        is_top = np.append(top.hashes, 0)[places] == unique[seen] if len(top.hashes) else np.zeros(len(seen), bool)
+        is_top &= places < len(top.hashes)
+        yield -1, _sums(np.concatenate([[_MOVED], np.arange(CLASSES), _TOP_CLASS + places[is_top]]), np.concatenate([[(after != before).sum()], per_class, after[is_top]]))
+
+    return reduce
+
+
+def likelihood(table: np.ndarray) -> float:
+    table = table.astype(np.float64)
+    return float(_f(table).sum() - _f(table.sum(1)).sum() - _f(table.sum(0)).sum())
+
+
+def regroup(placed: DataFrame, buckets: int, classes: Classes, kinds: np.ndarray) -> tuple[Classes, np.ndarray, np.ndarray]:
+    """Classes of all words after ``ROUNDS`` rounds at most, the bigrams of these classes and how many distinct words each has (``kinds``: before)."""
+    spark, best = placed.sparkSession, None
+    for turn in range(ROUNDS + 1):
+        folder = run_folder(spark, "lm-beside")
+        count_beside(placed, buckets, classes, turn < ROUNDS).write.parquet(folder)
+        sent = spark.read.parquet(folder)
+        cells = totals(sent.where("bucket = -1"))
+        table = np.zeros(CLASSES * CLASSES, np.int64)
+        table[list(cells)] = list(cells.values())
+        table = table.reshape(CLASSES, CLASSES)
+        lower = best is not None and likelihood(table) < likelihood(best[1])
+        if not lower:
+            best = classes, table, kinds
+        if lower or turn == ROUNDS:
+            remove(spark, folder)
+            break
+        told = pin(answer(sent.where("bucket >= 0"), move_words(classes.top, table)), "lm-classes")
+        remove(spark, folder)
+        sums = totals(told.where("shard = -1"))
+        if not sums.get(_MOVED):
+            break
+        kinds = np.array([sums.get(c, 0) for c in range(CLASSES)], np.int64)
+        classes = Classes(classes.top, classes.units, told.where("shard >= 0"))
+        tops = {key - _TOP_CLASS: n for key, n in sums.items() if key >= _TOP_CLASS}
+        classes.units = classes.units.copy()
+        classes.units[[1 + place for place in tops]] = list(tops.values())
+    return best
+
+
+# ---------------------------------------------------------------- step 5: the model
 
 
 @dataclass
 class Model:
     top: Top
-    classes: np.ndarray  # of each unit
+    classes: np.ndarray  # of each unit (a top word by itself)
     transition: np.ndarray  # log10 P(class | class before)
     size: np.ndarray  # training tokens of each class
     unseen: np.ndarray  # log10 P(unseen word | class)
@@ -288,23 +520,23 @@ class Model:
         return np.where(counts > 0, known, self.unseen[classes])
 
 
-def build(sums: dict[int, int], top: np.ndarray, pairs: np.ndarray, ends: int) -> Model:
-    tokens, words, once, twice = (sums.get(k, 0) for k in (-4, -3, -2, -1))
-    ordered = np.sort(top["hash"])
-    classes = exchange(pairs)
+def kinds_of(sums: dict[int, int], top: np.ndarray, units: np.ndarray) -> np.ndarray:
+    """Distinct words of each class, all words being in the class of their unit."""
     distinct = np.array([sums.get(u, 0) for u in range(UNITS)], np.int64)
     np.subtract.at(distinct, top["ending"].astype(np.int64), 1)  # the top words are units by themselves
     distinct[1 : 1 + len(top)] = 1
-    member = np.zeros((UNITS, CLASSES))
-    member[np.arange(UNITS), classes] = 1
-    table = member.T @ pairs.astype(np.float64) @ member
-    size, kinds = table.sum(0), member.T @ distinct
+    return np.bincount(units, weights=distinct, minlength=CLASSES).astype(np.int64)
+
+
+def build(sums: dict[int, int], classes: Classes, table: np.ndarray, kinds: np.ndarray, ends: int) -> Model:
+    tokens, words, once, twice = (sums.get(k, 0) for k in (-4, -3, -2, -1))
+    size = table.sum(0).astype(np.float64)
     prior = (size + 1) / (size.sum() + CLASSES)
     transition = np.log10((table + PRIOR * prior[None, :]) / (table.sum(1, keepdims=True) + PRIOR))
     discount = once / (once + 2 * twice) if once and twice else 0.5
     with np.errstate(divide="ignore"):
         unseen = np.where(size > 0, np.log10(np.maximum(discount * kinds, 1e-3) / np.maximum(size, 1)), 0.0)
-    return Model(Top(ordered), classes, transition, size, unseen, discount, tokens + ends, words + (ends > 0), ends)
+    return Model(classes.top, classes.units, transition, size, unseen, discount, tokens + ends, words + (ends > 0), ends)
 
 
 _SCORE = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, perplexity double"
@@ -318,7 +550,11 @@ def score(docs: DataFrame, held_out) -> DataFrame:
     replies = pin(count_words(placed, shards), "lm-counts")
     sums, top = statistics(replies)
     ends = rows.where("train").count()
-    model = build(sums, top, count_units(rows, Top(np.sort(top["hash"]))), ends)
+    known = Top(np.sort(top["hash"]))
+    units = exchange(count_units(rows, known))
+    classes, table, kinds = regroup(placed, shards, Classes(known, units), kinds_of(sums, top, units))
+    model = build(sums, classes, table, kinds, ends)
+    plain = Classes(classes.top, classes.units)
 
     def finish(shard: int, table: pa.Table, by_bucket: dict[int, bytes]) -> pa.Table:
         words = Words(table.column("text"))
@@ -327,9 +563,11 @@ def score(docs: DataFrame, held_out) -> DataFrame:
         edges = bucket_edges(unique, shards)
         counts = np.zeros(len(unique), np.int64)
         for b, payload in by_bucket.items():
+            if b >= shards:
+                continue
             size = edges[b + 1] - edges[b]
             counts[edges[b] : edges[b + 1]] = np.frombuffer(payload, "<u4" if len(payload) == 4 * size else "<u8")
-        kinds = model.classes[model.top.units(unique, endings(words, first))]
+        kinds = plain.of(words, unique, first, {b - shards: payload for b, payload in by_bucket.items() if b >= shards}, shards)
         per_word = model.emission(kinds, counts)
         base_word = np.log10((counts + 1) / (model.tokens + model.words + 1))
         run, row = _with_ends(words, kinds[which])
@@ -350,7 +588,10 @@ def score(docs: DataFrame, held_out) -> DataFrame:
         }
         return pa.table(columns)
 
-    return meet(placed, replies.where("shard >= 0"), finish, _SCORE)
+    told = replies.where("shard >= 0")
+    if classes.told is not None:
+        told = told.unionByName(classes.told.withColumn("bucket", F.col("bucket") + shards))  # beside the counts
+    return meet(placed, told, finish, _SCORE)
 
 
 def op6_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
